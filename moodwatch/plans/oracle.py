@@ -272,6 +272,17 @@ FROM lab_tf t JOIN idf i USING (term)"""
        round(1.0 / (1.0 + exp(r1 - r0)), 6) AS p0,
        round(1.0 / (1.0 + exp(r0 - r1)), 6) AS p1
 FROM pair"""
+    # streams: the latest view of each sink equals the batch result
+    q["stream_word_counts"] = q["word_counts"]
+    q["stream_gender_counts"] = q["gender_counts"]
+    q["stream_trend_scored"] = q["trend_wide"]
+    q["stream_trend_windowed"] = q["trend_wide"]
+    q["stream_profiles"] = _with(USERS) + ("SELECT user_id, user_name, gender, description, follow_count, "
+                                           "followers_count FROM users")
+    q["stream_comment_dedup"] = _with(*dec) + "SELECT comment_id, monitor_id, like_count, user_id, text FROM valid"
+    q["stream_line_word_count"] = (f"SELECT word, count(*) AS n FROM (SELECT unnest({jvm_split('line', ',', ',')}) "
+                                   f"AS word FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) "
+                                   f"GROUP BY word")
     return q
 
 
