@@ -19,7 +19,8 @@ TAG_PATTERN = r"(?U)</?\w+[^>]*>"
 
 # Letters and digits that are not Han characters, written without class
 # intersection so the same shape works in RE2 (``\p{Han}`` there).
-_RUN = r"(?:[^\P{L}\p{IsHan}]|[^\P{N}\p{IsHan}])+"
+_RUN_CHAR = r"[^\P{L}\p{IsHan}]|[^\P{N}\p{IsHan}]"
+_RUN = f"(?:{_RUN_CHAR})+"
 _HAN = r"\p{IsHan}"
 
 # Full-width ASCII (U+FF01..U+FF5E) and the ideographic space fold to ASCII,
@@ -56,13 +57,20 @@ def normalize(col: str | Column, lowercase: bool = True) -> Column:
     return F.lower(c) if lowercase else c
 
 
+def _ends_in_run(word: str) -> bool:
+    ch = word[-1]
+    return ch.isalnum() and not ("\u3400" <= ch <= "\u9fff" or "\uf900" <= ch <= "\ufaff")
+
+
 def segment_pattern(dictionary: Iterable[str] = EXTENSION_WORDS) -> str:
     """One alternation: dictionary words longest first, then runs of non-Han
     letters/digits, then single Han characters.  Regex alternation is
-    leftmost-first, so the longest dictionary word at a position wins."""
+    leftmost-first, so the longest dictionary word at a position wins.  A word
+    ending in a Latin letter or digit must also end the run (``of the`` does not
+    match the start of ``of them``)."""
     words = sorted({w for w in dictionary if w}, key=lambda w: (-len(w), w))
-    alts = [re.escape(w) for w in words] + [_RUN, _HAN]
-    return "(" + "|".join(alts) + ")"
+    alts = [re.escape(w) + (f"(?!{_RUN_CHAR})" if _ends_in_run(w) else "") for w in words]
+    return "(" + "|".join(alts + [_RUN, _HAN]) + ")"
 
 
 def tokens(col: str | Column, dictionary: Iterable[str] = EXTENSION_WORDS,
