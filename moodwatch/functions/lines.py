@@ -29,18 +29,31 @@ def jvm_split(col: str | Column, sep: str = FIELD_SEPARATOR, regex: bool = False
     """``String.split(regex)`` of the JVM: trailing empty fields are removed.
 
     Spark's ``split`` keeps them, so the trailing run of separators is cut first
-    (anchored with ``\\z``: ``$`` would also match before a final newline).  A
-    string made only of separators splits into nothing, an empty string into one
-    empty field -- both as on the JVM.  ``sep`` is literal unless ``regex``.
+    (a one-character literal separator with ``rtrim``, no regex; otherwise with
+    a regex anchored at ``\\z`` -- ``$`` would also match before a final
+    newline).  A string made only of separators splits into nothing, an empty
+    string into one empty field -- both as on the JVM.  ``sep`` is literal
+    unless ``regex``.
     """
     c = _c(col)
     q = sep if regex else re.escape(sep)
-    stripped = F.regexp_replace(c, f"(?:{q})+\\z", "")
+    if not regex and len(sep) == 1:
+        stripped = F.rtrim(c, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(c, f"(?:{q})+\\z", "")
     return F.when((stripped == "") & (c != ""), F.array().cast("array<string>")).otherwise(F.split(stripped, q))
 
 
 def field_count(col: str | Column, sep: str = FIELD_SEPARATOR) -> Column:
-    return F.size(jvm_split(col, sep))
+    """Number of fields :func:`jvm_split` yields, counted without splitting."""
+    if len(sep) != 1:
+        return F.size(jvm_split(col, sep))
+    c = _c(col)
+    stripped = F.rtrim(c, F.lit(sep))
+    seps = F.length(stripped) - F.length(F.replace(stripped, F.lit(sep), F.lit("")))
+    return (F.when(c == "", F.lit(1))
+            .when(stripped == "", F.lit(0))
+            .otherwise(seps + F.lit(1)))
 
 
 def has_arity(col: str | Column, n: int, sep: str = FIELD_SEPARATOR) -> Column:

@@ -57,6 +57,15 @@ def normalize(col: str | Column, lowercase: bool = True) -> Column:
     return F.lower(c) if lowercase else c
 
 
+_FW_TABLE = str.maketrans(_FULL_WIDTH, _HALF_WIDTH)
+
+
+def normalize_word(word: str, lowercase: bool = True) -> str:
+    """:func:`normalize` for a dictionary word on the driver."""
+    w = word.translate(_FW_TABLE)
+    return w.lower() if lowercase else w
+
+
 def _ends_in_run(word: str) -> bool:
     ch = word[-1]
     return ch.isalnum() and not ("\u3400" <= ch <= "\u9fff" or "\uf900" <= ch <= "\ufaff")
@@ -80,7 +89,8 @@ def tokens(col: str | Column, dictionary: Iterable[str] = EXTENSION_WORDS,
     ``array_except`` would de-duplicate, so stop words are removed with a
     higher-order ``filter`` instead.
     """
-    found = F.regexp_extract_all(normalize(col, lowercase), F.lit(segment_pattern(dictionary)), F.lit(1))
+    words = [normalize_word(w, lowercase) for w in dictionary]
+    found = F.regexp_extract_all(normalize(col, lowercase), F.lit(segment_pattern(words)), F.lit(1))
     stop = [w.lower() if lowercase else w for w in stop_words]
     if not stop:
         return found

@@ -1,0 +1,119 @@
+"""T1 for a large dictionary held as a table.
+
+The regex path (:func:`moodwatch.functions.text.tokens`) compiles the
+dictionary into one alternation, which is fine for a handful of words but not
+for a segmenter's main dictionary of hundreds of thousands.  Here the
+dictionary becomes an Aho-Corasick automaton: its word list is size-checked,
+broadcast once, and the automaton is built once per executor process.  Rows
+are segmented in Arrow batches with ``mapInPandas``; Spark keeps the
+partitioning, and normalisation / stop-word removal stay JVM expressions.
+
+Token contract (same as the regex path): at each position the longest
+dictionary word wins (a word ending in a letter/digit must also end the run);
+otherwise a run of non-Han letters/digits; otherwise one Han character; other
+characters separate tokens.
+"""
+
+from __future__ import annotations
+
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from moodwatch.functions.constants import STOP_WORDS
+from moodwatch.functions.text import normalize
+
+# The dictionary is shipped to every executor: refuse anything larger.
+MAX_DICTIONARY_BYTES = 256 << 20
+
+_AUTOMATA: dict[int, object] = {}
+
+
+def _automaton(bc):
+    key = bc.id if hasattr(bc, "id") else id(bc)
+    a = _AUTOMATA.get(key)
+    if a is None:
+        import ahocorasick
+        a = ahocorasick.Automaton()
+        for w in bc.value:
+            a.add_word(w, len(w))
+        a.make_automaton()
+        _AUTOMATA[key] = a
+    return a
+
+
+def _segmenter():
+    import regex
+    run_char = regex.compile(r"(?V1)[[\p{L}\p{N}]--\p{Han}]")
+    token = regex.compile(r"(?V1)[[\p{L}\p{N}]--\p{Han}]+|\p{Han}")
+
+    def segment(text: str, automaton) -> list[str]:
+        if text is None:
+            return []
+        n = len(text)
+        best: dict[int, int] = {}
+        if len(automaton):
+            for end, length in automaton.iter(text):
+                if end + 1 < n and run_char.match(text[end]) and run_char.match(text[end + 1]):
+                    continue  # a word ending inside a run is not a token
+                start = end - length + 1
+                if length > best.get(start, 0):
+                    best[start] = length
+        starts = sorted(best)
+        out: list[str] = []
+        i = 0
+        while i < n:
+            length = best.get(i)
+            if length:
+                out.append(text[i:i + length])
+                i += length
+                continue
+            m = token.match(text, i)
+            if m:
+                out.append(m.group())
+                i = m.end()
+                continue
+            m = token.search(text, i + 1)
+            nxt = m.start() if m else n
+            k = bisect_right(starts, i)
+            if k < len(starts) and starts[k] < nxt:
+                nxt = starts[k]
+            i = nxt
+        return out
+
+    return segment
+
+
+def segment_with_dictionary_table(df: DataFrame, dictionary: DataFrame, text: str = "text",
+                                  out: str = "tokens", stop_words: Sequence[str] = STOP_WORDS,
+                                  lowercase: bool = True) -> DataFrame:
+    """Add ``out`` = tokens of ``text`` using the words of ``dictionary`` (first column)."""
+    spark = df.sparkSession
+    col = dictionary.columns[0]
+    words = dictionary.select(normalize(F.col(col), lowercase).alias("w")).where(F.length("w") > 0).distinct()
+    size = words.agg(F.coalesce(F.sum(F.length("w") * 4 + 16), F.lit(0)).alias("b")).first()["b"]
+    if size > MAX_DICTIONARY_BYTES:
+        raise ValueError(f"dictionary of ~{size} bytes exceeds the broadcast limit {MAX_DICTIONARY_BYTES}")
+    bc = spark.sparkContext.broadcast([r.w for r in words.collect()])
+
+    fields = [f for f in df.schema.fields]
+    schema = T.StructType(fields + [T.StructField(out, T.ArrayType(T.StringType()))])
+    src = df.withColumn("_norm", normalize(text, lowercase))
+    order = [f.name for f in fields]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seg = _segmenter()
+        a = _automaton(bc)
+        for pdf in batches:
+            pdf[out] = [seg(t, a) for t in pdf["_norm"]]
+            yield pdf[order + [out]]
+
+    seg_df = src.mapInPandas(run, schema)
+    stop = [w.lower() if lowercase else w for w in stop_words]
+    if stop:
+        seg_df = seg_df.withColumn(out, F.filter(out, lambda t: ~t.isin(*stop)))
+    return seg_df

@@ -178,6 +178,17 @@ def q_segment(spark, d):
     return s.select("comment_id", "monitor_id", "comment_text", F.size("tokens").alias("n_tokens"))
 
 
+def q_segment_dict(spark, d):
+    """T1 through the large-dictionary path (dictionary as a table, Aho-Corasick
+    in ``mapInPandas``); must equal ``segment``."""
+    from moodwatch.functions.constants import EXTENSION_WORDS
+    from moodwatch.operators.dictseg import segment_with_dictionary_table
+    dictionary = spark.createDataFrame([(w,) for w in EXTENSION_WORDS], "word string")
+    s = segment_with_dictionary_table(decoded_comments(spark, d), dictionary)
+    return text.join_tokens(s, "tokens", "comment_text").select(
+        "comment_id", "monitor_id", "comment_text", F.size("tokens").alias("n_tokens"))
+
+
 def q_word_counts(spark, d):
     return word_counts(spark, d)
 
@@ -281,7 +292,8 @@ def q_monitor_append(spark, d):
 
 
 def q_table_get(spark, d):
-    return fx.users(spark, d).where(F.col("user_id") == F.lit(TABLE_GET_KEY))
+    from moodwatch.sources.tables import get
+    return get(fx.users(spark, d), "user_id", TABLE_GET_KEY)
 
 
 def q_html_strip(spark, d):

@@ -185,6 +185,7 @@ WHERE len(f) <> 6 OR try_strptime(substr(f[3], 5), '%b %d %H:%M:%S %z %Y') IS NU
     q["hour_bucket_12h"] = _with(*dec) + "SELECT comment_id, hour12 AS hour FROM valid"
     q["segment"] = _with(*seg) + ("SELECT comment_id, monitor_id, array_to_string(tokens, ' ') AS comment_text, "
                                   "CAST(len(tokens) AS INTEGER) AS n_tokens FROM segmented")
+    q["segment_dict"] = q["segment"]
     q["word_counts"] = _with(*seg) + "SELECT monitor_id, word, n FROM word_counts"
     q["word_cloud"] = _with(*seg) + (f"SELECT monitor_id, word AS name, n AS value FROM word_counts "
                                      f"WHERE monitor_id = {_q(B.WORD_CLOUD_MONITOR)}")

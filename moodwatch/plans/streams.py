@@ -21,7 +21,17 @@ from moodwatch.sources import fixtures as fx
 from moodwatch.sources import topics
 from moodwatch.streaming import jobs
 
-TOPIC_FILES = 4
+# Micro-batches per stream run.  A topic partition is a file here; each batch
+# takes one file per core, as a Kafka batch takes one split per partition.
+BATCHES = 4
+
+
+def _parts(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def _topic_files(spark: SparkSession) -> int:
+    return BATCHES * _parts(spark)
 
 
 def _comment_topic(spark: SparkSession, d: str, copies: int = 1) -> str:
@@ -29,10 +39,14 @@ def _comment_topic(spark: SparkSession, d: str, copies: int = 1) -> str:
     path = fresh_dir(spark, "topic-com")
     lines = batch.comment_lines(spark, d)
     for seg in range(copies):
-        topics.write_topic(lines, path, segment=seg, files=TOPIC_FILES)
+        topics.write_topic(lines, path, segment=seg, files=_topic_files(spark))
     return path
 
 
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return topics.read_topic(spark, path, max_files_per_trigger=_parts(spark))
+
+
 def _run(spark, stream_df: DataFrame, name: str, output_mode: str = "update") -> str:
     sink = fresh_dir(spark, f"sink-{name}")
     jobs.run_to_end(stream_df, sink, fresh_dir(spark, f"ckpt-{name}"), output_mode)
@@ -40,20 +54,20 @@ def _run(spark, stream_df: DataFrame, name: str, output_mode: str = "update") ->
 
 
 def q_stream_word_counts(spark, d):
-    lines = topics.read_topic(spark, _comment_topic(spark, d), max_files_per_trigger=1)
+    lines = _read(spark, _comment_topic(spark, d))
     out = jobs.word_cloud(lines)
     return jobs.latest(spark, _run(spark, out, "words"), ["monitor_id", "word"], out.schema)
 
 
 def q_stream_gender_counts(spark, d):
-    lines = topics.read_topic(spark, _comment_topic(spark, d), max_files_per_trigger=1)
+    lines = _read(spark, _comment_topic(spark, d))
     out = jobs.gender(lines, fx.users(spark, d))
     return jobs.latest(spark, _run(spark, out, "gender"), ["monitor_id", "gender"], out.schema)
 
 
 def q_stream_trend(spark, d):
     """L1 end to end on a stream with the hashing model (rows-only check)."""
-    lines = topics.read_topic(spark, _comment_topic(spark, d), max_files_per_trigger=1)
+    lines = _read(spark, _comment_topic(spark, d))
     out = jobs.trend(lines, batch.trained_model(spark, d))
     return jobs.latest(spark, _run(spark, out, "trend"), ["monitor_id", "hour"], out.schema)
 
@@ -88,16 +102,18 @@ def q_stream_profiles(spark, d):
     users = fx.users(spark, d)
     older = users.withColumn("followers_count", F.col("followers_count") - 1).withColumn(
         "description", F.lit(None).cast("string"))
-    topics.write_topic(records.encode_users(older), path, segment=0, files=TOPIC_FILES)
-    topics.write_topic(records.encode_users(users), path, segment=1, files=TOPIC_FILES)
-    rows = records.decode_users(topics.read_topic(spark, path, max_files_per_trigger=2))
+    topics.write_topic(records.encode_users(older), path, segment=0, files=_topic_files(spark))
+    topics.write_topic(records.encode_users(users), path, segment=1, files=_topic_files(spark))
+    rows = records.decode_users(_read(spark, path))
     sink = _run(spark, rows, "profiles", output_mode="append")
-    return changelog.latest_view(spark, sink, ["user_id"], ["segment", "offset"])
+    # messages carry their own order (segment, offset); the batch they landed in does not matter
+    log = changelog.read_log(spark, sink).drop(changelog.BATCH)
+    return changelog.latest(log, ["user_id"], ["segment", "offset"]).drop("segment", "offset")
 
 
 def q_stream_comment_dedup(spark, d):
     """Every comment arrives twice; dropDuplicates keeps one per id."""
-    lines = topics.read_topic(spark, _comment_topic(spark, d, copies=2), max_files_per_trigger=2)
+    lines = _read(spark, _comment_topic(spark, d, copies=2))
     out = jobs.comments(lines, dedup=True).select("comment_id", "monitor_id", "like_count", "user_id", "text")
     sink = _run(spark, out, "dedup", output_mode="append")
     return changelog.read_log(spark, sink).drop(changelog.BATCH)
@@ -106,8 +122,8 @@ def q_stream_comment_dedup(spark, d):
 def q_stream_line_word_count(spark, d):
     """S2 + T4 + A5: document texts replayed as a text line stream, split on commas."""
     path = fresh_dir(spark, "lines")
-    fx.table(spark, d, "documents").select("text").repartition(TOPIC_FILES).write.text(path)
-    out = jobs.split_word_count(topics.read_lines(spark, path, max_files_per_trigger=1))
+    fx.table(spark, d, "documents").select("text").repartition(_topic_files(spark)).write.text(path)
+    out = jobs.split_word_count(topics.read_lines(spark, path, max_files_per_trigger=_parts(spark)))
     return jobs.latest(spark, _run(spark, out, "linecount"), ["word"], out.schema)
 
 

@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="moodwatch-")
         spark.sparkContext.setCheckpointDir(path)
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = spark.sparkContext.getCheckpointDir() or path
     return path.rstrip("/")
 
 

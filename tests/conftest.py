@@ -16,10 +16,9 @@ def spark():
     from moodwatch.session import local_session
     s = local_session("*", 8, app="moodwatch-tests")
     # tests own their checkpoint folder (a cluster would set spark.checkpoint.dir)
-    if not s.conf.get("spark.checkpoint.dir", None):
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
         d = tempfile.mkdtemp(prefix="moodwatch-test-")
         s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
     yield s
     s.stop()
 

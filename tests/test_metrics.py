@@ -92,3 +92,28 @@ def test_dedup_keeps_latest(spark):
     assert df.count() == 3
     got = {r.comment_id: r.like_count for r in latest(df, ["comment_id"], ["crawl"]).collect()}
     assert got == {1: 6, 2: 1}
+
+
+def test_monitor_table_roundtrip_and_get(spark):
+    from moodwatch.session import fresh_dir
+    from moodwatch.sources import tables
+    path = fresh_dir(spark, "monitors")
+    first = spark.createDataFrame([(1, "a", "x,y", dt.date(2024, 1, 1))],
+                                  "monitor_id int, name string, words string, created date")
+    tables.append_monitors_table(first, path)
+    new = monitors.append_monitors(tables.read_monitors(spark, path),
+                                   spark.createDataFrame([("b", "z")], "name string, words string"),
+                                   created="2024-01-02")
+    tables.append_monitors_table(new, path)
+    got = sorted((r.monitor_id, r.name) for r in tables.read_monitors(spark, path).collect())
+    assert got == [(1, "a"), (2, "b")]
+    assert tables.get(tables.scan(spark, path), "monitor_id", 2).first().words == "z"
+
+
+def test_url_tag_joins_frontier_owner(spark):
+    from moodwatch.operators import records
+    mons = spark.createDataFrame([(1, "k")], "monitor_id int, words string")
+    owner = monitors.url_owner(monitors.url_frontier(monitors.keyword_explode(mons), template="s?q=$1&p=$2"))
+    fetched = spark.createDataFrame([("s?q=k&p=3", "r1"), ("other", "r2")], "url string, raw string")
+    got = [(r.raw, r.monitor_id) for r in records.tag_with_monitor(fetched, owner).collect()]
+    assert got == [("r1", 1)]

@@ -58,3 +58,16 @@ def test_line_stream_word_count(spark):
     jobs.run_to_end(out, sink, fresh_dir(spark, "lcc"))
     got = {r.word: r.n for r in jobs.latest(spark, sink, ["word"], out.schema).collect()}
     assert got == {"a": 1, "b": 2, "c": 1}
+
+
+def test_preview_to_memory_sink_and_watermark_dedup(spark, sf_small):
+    lines = batch.comment_lines(spark, sf_small)
+    topic = fresh_dir(spark, "t2")
+    topics.write_topic(lines, topic, segment=0, files=2)
+    topics.write_topic(lines, topic, segment=1, files=2)
+    stream = jobs.comments(topics.read_topic(spark, topic), dedup_within="1 day")
+    q = (stream.select("comment_id").writeStream.format("memory").queryName("dedup_preview")
+         .option("checkpointLocation", fresh_dir(spark, "c2")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("SELECT count(*) AS n, count(DISTINCT comment_id) AS d FROM dedup_preview").first()
+    assert got.n == got.d == batch.decoded_comments(spark, sf_small).count()
