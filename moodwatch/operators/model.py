@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from moodwatch.functions.constants import (LABEL_NAMES, LABEL_NEGATIVE, LABEL_NEUTRAL, LABEL_POSITIVE,
                                            NEUTRAL_THRESHOLD)
 from moodwatch.operators.text import join_tokens, segment
+from moodwatch.session import materialize
 
 MODEL_INPUT = "comment_text"
 NUM_FEATURES = 1 << 18
@@ -46,8 +47,13 @@ def sentiment_pipeline(vocabulary: bool = False, smoothing: float = 1.0) -> Pipe
 
 
 def train(labelled: DataFrame, text: str = "text", vocabulary: bool = False, **seg) -> PipelineModel:
-    """M5: fit on ``(text, label)`` rows; label 0.0 positive, 1.0 negative."""
-    return sentiment_pipeline(vocabulary).fit(model_input(labelled, text, **seg))
+    """M5: fit on ``(text, label)`` rows; label 0.0 positive, 1.0 negative.
+
+    Each estimator of the pipeline scans its input again, so the segmented
+    training rows are materialised once (checkpoint in the shared folder).
+    """
+    rows = materialize(model_input(labelled, text, **seg).select(MODEL_INPUT, "label"))
+    return sentiment_pipeline(vocabulary).fit(rows)
 
 
 def load(path: str) -> PipelineModel:

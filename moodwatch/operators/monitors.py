@@ -11,6 +11,7 @@ from moodwatch.functions.constants import (DEFAULT_SEARCH_TEMPLATE, KEYWORD_SEPA
                                            URL_KEYWORD_SLOT, URL_PAGE_SLOT)
 from moodwatch.functions.lines import jvm_split
 from moodwatch.functions.text import url_encode_path
+from moodwatch.session import materialize
 
 
 def keyword_explode(monitors: DataFrame, separators: str = KEYWORD_SEPARATOR) -> DataFrame:
@@ -58,9 +59,12 @@ def dense_ids(df: DataFrame, order: Sequence[str], start: int | Column = 1, out:
     adds each row's position inside its partition.  ``start`` is an int or a
     scalar Column (e.g. a scalar subquery).
     """
-    ranked = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
+    # materialised once so partition sizes and positions come from the same
+    # partitioning (and stay fixed if a task is recomputed)
+    ranked = materialize(
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
     sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodwatch.functions.lines import jvm_split
+from moodwatch.session import materialize
 
 
 def whitespace_tokens(col: str):
@@ -20,8 +21,12 @@ def whitespace_tokens(col: str):
 
 
 def tfidf(docs: DataFrame, doc_id: str = "doc_id", text: str = "comment_text", digits: int = 6) -> DataFrame:
-    terms = docs.select(doc_id, F.explode(whitespace_tokens(text)).alias("term"))
-    tf = terms.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    # explode_outer + null filter: no inferred filter that would re-run the segmentation
+    terms = (docs.select(doc_id, F.explode_outer(whitespace_tokens(text)).alias("term"))
+             .where(F.col("term").isNotNull()))
+    # tf feeds both the document frequencies and the final join; materialise it
+    # once instead of segmenting every text twice.
+    tf = materialize(terms.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf")))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = df.select("term", F.ln((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0))).alias("idf"))

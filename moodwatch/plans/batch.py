@@ -316,9 +316,8 @@ def q_author_union(spark, d):
 def q_comment_dedup(spark, d):
     """The topic holds every comment twice (a re-crawl with one more like);
     keep the newest copy of each comment id."""
-    first = decoded_comments(spark, d).withColumn("crawl", F.lit(0))
-    again = first.withColumn("like_count", F.col("like_count") + 1).withColumn("crawl", F.lit(1))
-    both = first.unionByName(again)
+    crawls = decoded_comments(spark, d).withColumn("crawl", F.explode(F.array(F.lit(0), F.lit(1))))
+    both = crawls.withColumn("like_count", F.col("like_count") + F.col("crawl"))
     return latest(both, ["comment_id"], ["crawl"]).select(
         "comment_id", "monitor_id", "like_count", "user_id", "text")
 

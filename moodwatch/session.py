@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 UTC = "UTC"
 
@@ -38,6 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in the
+    shared folder (survives executor loss; never a local checkpoint)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the shared folder for one run of one job."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -3,10 +3,10 @@
 Parquet has no MERGE, so an upsert is written as a change log plus a latest
 view:
 
-* ``write_batch`` overwrites the folder ``batch_id=<id>`` of the log -- a batch
-  that is replayed after a failure replaces its own earlier attempt, so the
-  sink is idempotent per batch id (exactly-once together with the query's
-  checkpoint).
+* ``write_batch`` overwrites the folder ``batch_id=<id>`` of the log (the
+  folder name is the partition column) -- a batch that is replayed after a
+  failure replaces its own earlier attempt, so the sink is idempotent per batch
+  id (exactly-once together with the query's checkpoint).
 * ``latest`` folds the log: per key, the row with the greatest order key
   (``batch_id`` then an in-batch sequence).  ``max_by`` is a partial aggregate,
   so a key updated in a third of all rows is reduced map-side.
@@ -30,7 +30,12 @@ def latest(log: DataFrame, keys: Sequence[str], order: Sequence[str],
     replaces an older value (the newest record wins as a whole)."""
     keys = list(keys)
     values = list(values) if values is not None else [c for c in log.columns if c not in keys]
-    newest = F.max_by(F.struct(*values), F.struct(*order))
+    order = list(order)
+    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    if len(values) == 1:
+        # one value, one order column: fixed-width buffer -> hash aggregate
+        return log.groupBy(*keys).agg(F.max_by(values[0], by).alias(values[0]))
+    newest = F.max_by(F.struct(*values), by)
     return log.groupBy(*keys).agg(newest.alias("_v")).select(*keys, "_v.*")
 
 
@@ -40,13 +45,12 @@ def write_batch(df: DataFrame, path: str, batch_id: int, seq: str | None = None)
     ``seq`` (optional) names a column that orders rows inside the batch (e.g.
     the topic offset); it is kept for :func:`latest`.
     """
-    out = df.withColumn(BATCH, F.lit(int(batch_id)).cast("bigint"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH).parquet(path))
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={int(batch_id)}")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """All batches; ``batch_id`` comes from the folder names."""
+    return spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 
 def latest_view(spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str] = (),
