@@ -20,7 +20,7 @@ def word_counts(words: DataFrame, keys=("monitor_id", "word")) -> DataFrame:
     return words.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def gender_join(comments: DataFrame, profiles: DataFrame) -> DataFrame:
+def gender_join(comments: DataFrame, profiles: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Comment left-join profile on ``user_id`` -> ``gender`` (null when the
     profile or its gender is missing).
 
@@ -31,8 +31,15 @@ def gender_join(comments: DataFrame, profiles: DataFrame) -> DataFrame:
     measured size fits the threshold, else a shuffled join with skew splitting.
     In a stream, gender is resolved when the comment arrives and later profile
     edits do not revise old counts; a batch run re-joins everything.
+
+    ``hot`` (a bounded list of user ids, see :func:`moodwatch.operators.joins.hot_keys`)
+    splits heavy commenters off to a broadcast join, for streams where AQE's
+    skew handling does not apply.
     """
     g = profiles.select("user_id", "gender")
+    if hot is not None:
+        from moodwatch.operators.joins import split_join
+        return split_join(comments, g, "user_id", hot, "left")
     return comments.join(g, "user_id", "left")
 
 

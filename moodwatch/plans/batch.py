@@ -152,6 +152,19 @@ def q_record_filter(spark, d):
     return comment_lines_valid(spark, d)
 
 
+def q_post_lines(spark, d):
+    """R6 for the ``wz`` topic: posts extracted from search responses."""
+    posts = records.extract_posts(search_responses(spark, d))
+    return records.encode_posts(posts, keep=["post_id"])
+
+
+def q_user_lines(spark, d):
+    """R6 for the ``user`` topic: authors of posts and comments."""
+    users = records.author_union(records.extract_posts(search_responses(spark, d)),
+                                 records.extract_comments(comment_responses(spark, d)))
+    return records.encode_users(users)
+
+
 def q_record_decode(spark, d):
     return decoded_comments(spark, d).select("comment_id", "monitor_id", "created_at", "like_count",
                                              "user_id", "text")
@@ -245,6 +258,13 @@ def q_trend_series(spark, d):
                                     for c in ("x", "y1", "y2", "y3")])
 
 
+def q_trend_series_12h(spark, d):
+    """Q3/Q4 with the 12-hour clock of the original read side (``hh`` labels)."""
+    s = serve.trend_series(trend_wide(spark, d, clock12=True), clock12=True)
+    return s.select("monitor_id", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+                                    for c in ("x", "y1", "y2", "y3")])
+
+
 def q_profile_latest(spark, d):
     return latest(fx.profile_log(spark, d), ["user_id"], ["updated_at", "seq"])
 
@@ -257,6 +277,15 @@ def q_gender_counts(spark, d):
     return gender_counts(spark, d)
 
 
+def q_gender_counts_split(spark, d):
+    """J1+A4 with heavy commenters (>= 1% of comments each) split off to a
+    broadcast join; must equal ``gender_counts``."""
+    from moodwatch.operators.joins import hot_keys
+    c = decoded_comments(spark, d)
+    hot = hot_keys(c, "user_id", share=0.01)
+    return metrics.gender_counts(metrics.gender_join(c, fx.users(spark, d), hot))
+
+
 def q_gender_breakdown(spark, d):
     return serve.gender_breakdown(gender_counts(spark, d))
 

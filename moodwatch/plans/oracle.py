@@ -223,6 +223,21 @@ FROM wide"""
        string_agg(CAST(positive AS VARCHAR), ',' ORDER BY hour) AS y1,
        string_agg(CAST(negative AS VARCHAR), ',' ORDER BY hour) AS y2,
        string_agg(CAST(neutral AS VARCHAR), ',' ORDER BY hour) AS y3
+FROM last50 GROUP BY monitor_id"""
+    q["trend_series_12h"] = _with(SCORED) + """, wide12 AS (
+  SELECT monitor_id, hour12 AS hour,
+         count(*) FILTER (WHERE label = 0.0) AS positive,
+         count(*) FILTER (WHERE label = 1.0) AS negative,
+         count(*) FILTER (WHERE label = 2.0) AS neutral
+  FROM banded GROUP BY monitor_id, hour12),
+last50 AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY monitor_id ORDER BY hour DESC) AS rn FROM wide12)
+  WHERE rn <= 50)
+SELECT monitor_id,
+       string_agg(strftime(hour, '%Y-%m-%d %I'), ',' ORDER BY hour) AS x,
+       string_agg(CAST(positive AS VARCHAR), ',' ORDER BY hour) AS y1,
+       string_agg(CAST(negative AS VARCHAR), ',' ORDER BY hour) AS y2,
+       string_agg(CAST(neutral AS VARCHAR), ',' ORDER BY hour) AS y3
 FROM last50 GROUP BY monitor_id"""
     q["profile_latest"] = """SELECT user_id, updated_at, seq, description, followers_count, props FROM (
   SELECT user_id, ts AS updated_at, event_id AS seq, event_type AS description,
@@ -238,6 +253,7 @@ breakdown AS (
   FROM gcounts GROUP BY ALL)"""]
     q["gender_join"] = _with(*gj) + "SELECT comment_id, monitor_id, user_id, gender FROM joined"
     q["gender_counts"] = _with(*gj) + "SELECT monitor_id, gender, n FROM gcounts"
+    q["gender_counts_split"] = q["gender_counts"]
     q["gender_breakdown"] = _with(*gj) + "SELECT monitor_id, name, value FROM breakdown"
     q["gender_share"] = _with(*gj) + """SELECT monitor_id, name, value,
        round(value * 100.0 / sum(value) OVER (PARTITION BY monitor_id), 6) AS share FROM breakdown"""
@@ -264,6 +280,20 @@ FROM posts WHERE user_id IS NOT NULL
 UNION ALL
 SELECT user_id, user_name, gender, description, follow_count, followers_count
 FROM conv_comments WHERE user_id IS NOT NULL"""
+    none = "'None'"
+    q["post_lines"] = _with(USERS, POSTS) + f"""SELECT post_id, concat_ws('|', coalesce(CAST(post_id AS VARCHAR), {none}),
+       coalesce(CAST(monitor_id AS VARCHAR), {none}), coalesce(CAST(user_id AS VARCHAR), {none}),
+       coalesce(source, {none}), coalesce(CAST(reposts_count AS VARCHAR), {none}),
+       coalesce(CAST(comments_count AS VARCHAR), {none}), coalesce(CAST(attitudes_count AS VARCHAR), {none}),
+       coalesce(text, {none})) AS value
+FROM posts"""
+    q["user_lines"] = _with(USERS, POSTS, CONV_COMMENTS) + f"""SELECT concat_ws('|', coalesce(CAST(user_id AS VARCHAR), {none}),
+       coalesce(user_name, {none}), coalesce(gender, {none}), coalesce(description, {none}),
+       coalesce(CAST(follow_count AS VARCHAR), {none}), coalesce(CAST(followers_count AS VARCHAR), {none})) AS value
+FROM (SELECT user_id, user_name, gender, description, follow_count, followers_count FROM posts WHERE user_id IS NOT NULL
+      UNION ALL
+      SELECT user_id, user_name, gender, description, follow_count, followers_count FROM conv_comments
+      WHERE user_id IS NOT NULL)"""
     q["comment_dedup"] = _with(*dec) + "SELECT comment_id, monitor_id, like_count + 1 AS like_count, user_id, text FROM valid"
     q["tfidf"] = _with(LABELLED, _model_terms("labelled", "lab"), IDF) + """SELECT t.doc_id, t.term, t.tf, round(t.tf * i.idf, 6) AS tfidf
 FROM lab_tf t JOIN idf i USING (term)"""

@@ -53,11 +53,11 @@ def trend(lines: DataFrame, fitted: PipelineModel, **kw) -> DataFrame:
     return metrics.trend_wide(scored)
 
 
-def gender(lines: DataFrame, profiles: DataFrame, **kw) -> DataFrame:
+def gender(lines: DataFrame, profiles: DataFrame, hot: DataFrame | None = None, **kw) -> DataFrame:
     """L3: stream-static join with the profile view, then running counts.
     Gender is resolved when a comment arrives (a later profile change does not
-    revise counts already made)."""
-    return metrics.gender_counts(metrics.gender_join(comments(lines, **kw), profiles))
+    revise counts already made).  ``hot`` user ids are joined by broadcast."""
+    return metrics.gender_counts(metrics.gender_join(comments(lines, **kw), profiles, hot))
 
 
 def windowed_trend(labelled: DataFrame, event_time: str = "created_at", watermark: str = "1 hour") -> DataFrame:
