@@ -333,6 +333,18 @@ def q_json_posts(spark, d):
     return records.extract_posts(search_responses(spark, d)).drop("user")
 
 
+def q_json_posts_files(spark, d):
+    """S5 from files: every search response stored as one JSON file under
+    ``monitor_id=<id>/``, read back whole (``wholetext``) and parsed."""
+    from moodwatch.session import fresh_dir
+    from moodwatch.sources.tables import read_responses
+    path = fresh_dir(spark, "responses")
+    (search_responses(spark, d).repartition("monitor_id").write
+     .partitionBy("monitor_id").option("maxRecordsPerFile", 1).text(path))
+    raw = read_responses(spark, path).withColumn("monitor_id", F.col("monitor_id").cast("bigint"))
+    return records.extract_posts(raw).drop("user")
+
+
 def q_json_comments(spark, d):
     return records.extract_comments(comment_responses(spark, d)).drop("user")
 

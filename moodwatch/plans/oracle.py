@@ -273,6 +273,7 @@ FROM nation"""
     q["html_strip"] = f"SELECT page_id, {strip('html')} AS text FROM pages"
     q["json_posts"] = _with(USERS, POSTS) + """SELECT monitor_id, post_id, mid, created_at, text, source, reposts_count,
        comments_count, attitudes_count, user_id FROM posts"""
+    q["json_posts_files"] = q["json_posts"]
     q["json_comments"] = _with(USERS, CONV_COMMENTS) + """SELECT monitor_id, comment_id, created_at, like_count, user_id, text
 FROM conv_comments"""
     q["author_union"] = _with(USERS, POSTS, CONV_COMMENTS) + """SELECT user_id, user_name, gender, description, follow_count, followers_count

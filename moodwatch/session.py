@@ -29,12 +29,17 @@ def shared_dir(spark: SparkSession) -> str:
     dir is created and registered, so ``DataFrame.checkpoint()`` works too.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a context handle (e.g. Spark Connect)
+        sc = None
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="moodwatch-")
-        spark.sparkContext.setCheckpointDir(path)
-        path = spark.sparkContext.getCheckpointDir() or path
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            path = sc.getCheckpointDir() or path
     return path.rstrip("/")
 
 

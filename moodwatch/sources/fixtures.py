@@ -32,10 +32,12 @@ def parallelism_floor(df: DataFrame) -> DataFrame:
     ``defaultParallelism`` partitions.  On a large input the scan already has
     more splits than cores and nothing changes (no extra shuffle).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan in this session type: leave as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
