@@ -16,10 +16,12 @@ characters separate tokens.
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,19 +32,24 @@ from moodwatch.functions.text import normalize
 # The dictionary is shipped to every executor: refuse anything larger.
 MAX_DICTIONARY_BYTES = 256 << 20
 
-_AUTOMATA: dict[int, object] = {}
+# The functions below run in Python workers.  They are pickled by value, so
+# executors need neither this package installed nor the driver's sys.path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _automaton(bc):
+    """One automaton per broadcast per worker process (cached on the ``sys``
+    module, which outlives the per-task copies of this code)."""
+    cache = sys.__dict__.setdefault("_moodwatch_automata", {})
     key = bc.id if hasattr(bc, "id") else id(bc)
-    a = _AUTOMATA.get(key)
+    a = cache.get(key)
     if a is None:
         import ahocorasick
         a = ahocorasick.Automaton()
         for w in bc.value:
             a.add_word(w, len(w))
         a.make_automaton()
-        _AUTOMATA[key] = a
+        cache[key] = a
     return a
 
 

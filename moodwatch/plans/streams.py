@@ -38,8 +38,8 @@ def _comment_topic(spark: SparkSession, d: str, copies: int = 1) -> str:
     """The ``com`` topic: every comment line, ``copies`` times (re-sent crawls)."""
     path = fresh_dir(spark, "topic-com")
     lines = batch.comment_lines(spark, d)
-    for seg in range(copies):
-        topics.write_topic(lines, path, segment=seg, files=_topic_files(spark))
+    for seg in range(copies):  # BATCHES micro-batches in total, whatever the number of copies
+        topics.write_topic(lines, path, segment=seg, files=max(_parts(spark), _topic_files(spark) // copies))
     return path
 
 
@@ -49,7 +49,8 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 def _run(spark, stream_df: DataFrame, name: str, output_mode: str = "update") -> str:
     sink = fresh_dir(spark, f"sink-{name}")
-    jobs.run_to_end(stream_df, sink, fresh_dir(spark, f"ckpt-{name}"), output_mode)
+    jobs.run_to_end(stream_df, sink, fresh_dir(spark, f"ckpt-{name}"), output_mode,
+                    state_partitions=2 * _parts(spark))
     return sink
 
 
@@ -102,8 +103,9 @@ def q_stream_profiles(spark, d):
     users = fx.users(spark, d)
     older = users.withColumn("followers_count", F.col("followers_count") - 1).withColumn(
         "description", F.lit(None).cast("string"))
-    topics.write_topic(records.encode_users(older), path, segment=0, files=_topic_files(spark))
-    topics.write_topic(records.encode_users(users), path, segment=1, files=_topic_files(spark))
+    half = max(_parts(spark), _topic_files(spark) // 2)
+    topics.write_topic(records.encode_users(older), path, segment=0, files=half)
+    topics.write_topic(records.encode_users(users), path, segment=1, files=half)
     rows = records.decode_users(_read(spark, path))
     sink = _run(spark, rows, "profiles", output_mode="append")
     # messages carry their own order (segment, offset); the batch they landed in does not matter

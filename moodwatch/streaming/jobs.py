@@ -81,9 +81,16 @@ def split_word_count(lines: DataFrame, sep: str = ",") -> DataFrame:
 
 # --- sinks ----------------------------------------------------------------------------
 def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
-           available_now: bool = False, output_mode: str = "update", name: str | None = None) -> StreamingQuery:
+           available_now: bool = False, output_mode: str = "update", name: str | None = None,
+           state_partitions: int | None = None) -> StreamingQuery:
     """K3/K4/K5 (running totals) and K2/K7 (rows, ``output_mode='append'``):
-    every micro-batch is written to ``sink`` as ``batch_id=<id>``."""
+    every micro-batch is written to ``sink`` as ``batch_id=<id>``.
+
+    ``state_partitions`` sets the shuffle/state partition count of this query
+    (recorded in its checkpoint at the first start and fixed afterwards; size
+    it to the cluster, a few times the cores).  The session setting is only
+    changed while the query starts.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         changelog.write_batch(batch, sink, batch_id)
 
@@ -91,7 +98,16 @@ def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFA
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def preview(df: DataFrame, rows: int = 20, output_mode: str = "update") -> StreamingQuery:
@@ -99,9 +115,11 @@ def preview(df: DataFrame, rows: int = 20, output_mode: str = "update") -> Strea
     return df.writeStream.outputMode(output_mode).format("console").option("numRows", rows).start()
 
 
-def run_to_end(df: DataFrame, sink: str, checkpoint: str, output_mode: str = "update") -> None:
+def run_to_end(df: DataFrame, sink: str, checkpoint: str, output_mode: str = "update",
+               state_partitions: int | None = None) -> None:
     """Process everything available now (W1 ``availableNow``) and stop."""
-    q = upsert(df, sink, checkpoint, available_now=True, output_mode=output_mode)
+    q = upsert(df, sink, checkpoint, available_now=True, output_mode=output_mode,
+               state_partitions=state_partitions)
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced to the caller
         raise q.exception()
