@@ -307,6 +307,8 @@ FROM pair"""
     # streams: the latest view of each sink equals the batch result
     q["stream_word_counts"] = q["word_counts"]
     q["stream_gender_counts"] = q["gender_counts"]
+    q["stream_word_counts_delta"] = q["word_counts"]
+    q["stream_trend_delta"] = q["trend_wide"]
     q["stream_trend_scored"] = q["trend_wide"]
     q["stream_trend_windowed"] = q["trend_wide"]
     q["stream_profiles"] = _with(USERS) + ("SELECT user_id, user_name, gender, description, follow_count, "

@@ -60,6 +60,27 @@ def q_stream_word_counts(spark, d):
     return jobs.latest(spark, _run(spark, out, "words"), ["monitor_id", "word"], out.schema)
 
 
+def _run_delta(spark, rows: DataFrame, keys, sums, name: str) -> str:
+    sink = fresh_dir(spark, f"sink-{name}")
+    q = jobs.delta_upsert(rows, keys, sums, sink, fresh_dir(spark, f"ckpt-{name}"), available_now=True)
+    q.awaitTermination()
+    return sink
+
+
+def q_stream_word_counts_delta(spark, d):
+    """L2 as a stateless stream: per-batch word-count deltas, summed on read."""
+    rows = jobs.word_rows(_read(spark, _comment_topic(spark, d)))
+    sink = _run_delta(spark, rows, ["monitor_id", "word"], None, "words-delta")
+    return changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"])
+
+
+def q_stream_trend_delta(spark, d):
+    """L1 (stand-in scores) as a stateless stream of per-batch trend deltas."""
+    keys, sums = jobs.trend_rows(None)
+    sink = _run_delta(spark, _scored_stream(spark, d, max_files=None), keys, sums, "trend-delta")
+    return changelog.totals_view(spark, sink, keys, list(sums))
+
+
 def q_stream_gender_counts(spark, d):
     lines = _read(spark, _comment_topic(spark, d))
     out = jobs.gender(lines, fx.users(spark, d))

@@ -71,3 +71,24 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot: str,
     log = read_log(spark, path)
     values = [c for c in log.columns if c not in keys]
     latest(log, keys, [BATCH, *seq], values).write.mode("overwrite").parquet(snapshot)
+
+
+def totals_view(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
+                snapshot: str | None = None) -> DataFrame:
+    """Read side of an additive (delta) log: per key, the sum of every batch's
+    delta (plus a compacted snapshot, which holds the sums up to its last batch)."""
+    log = read_log(spark, path)
+    if snapshot is not None:
+        snap = spark.read.parquet(snapshot)
+        last = snap.agg(F.max(BATCH)).scalar()
+        log = snap.unionByName(log.where(F.col(BATCH) > last))
+    return log.groupBy(*keys).agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
+
+
+def compact_totals(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
+                   snapshot: str) -> None:
+    """Fold all deltas into a snapshot stamped with the last batch id folded."""
+    log = read_log(spark, path)
+    last = log.agg(F.max(BATCH)).scalar()
+    (log.groupBy(*keys).agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
+     .withColumn(BATCH, last).write.mode("overwrite").parquet(snapshot))

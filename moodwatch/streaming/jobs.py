@@ -110,6 +110,45 @@ def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFA
         spark.conf.set(key, before)
 
 
+def delta_upsert(rows: DataFrame, keys: Sequence[str], sums: dict[str, object] | None, sink: str,
+                 checkpoint: str, available_now: bool = False, trigger: str | None = DEFAULT_TRIGGER,
+                 name: str | None = None) -> StreamingQuery:
+    """Additive running totals without a state store.
+
+    Each micro-batch of raw ``rows`` is aggregated inside ``foreachBatch`` (an
+    ordinary batch plan: partial aggregation, AQE) and written as that batch's
+    delta to ``batch_id=<id>``; :func:`moodwatch.sinks.changelog.totals_view`
+    sums the deltas.  No per-key state lives on executors, so an unbounded key
+    space (every word ever seen) costs nothing between batches, and a replayed
+    batch overwrites its own delta.  ``sums`` maps output column -> Column to
+    sum (``None``: a row count ``n``).
+    """
+    exprs = ({"n": F.count(F.lit(1))} if sums is None else
+             {k: F.sum(v) for k, v in sums.items()})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        delta = batch.groupBy(*keys).agg(*[e.cast("bigint").alias(k) for k, e in exprs.items()])
+        changelog.write_batch(delta, sink, batch_id)
+
+    w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    if name:
+        w = w.queryName(name)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
+
+
+def word_rows(lines: DataFrame, **kw) -> DataFrame:
+    """L2 without the aggregate: one row per (monitor_id, word)."""
+    return text.explode_tokens(text.segment(comments(lines, **kw)), ["monitor_id"])
+
+
+def trend_rows(labelled: DataFrame) -> tuple[list[str], dict[str, object]]:
+    """Keys and summed indicator columns of the trend for :func:`delta_upsert`."""
+    return ["monitor_id", "hour"], {
+        name: F.when(F.col("label") == F.lit(v), 1).otherwise(0)
+        for name, v in (("positive", LABEL_POSITIVE), ("negative", LABEL_NEGATIVE), ("neutral", LABEL_NEUTRAL))}
+
+
 def preview(df: DataFrame, rows: int = 20, output_mode: str = "update") -> StreamingQuery:
     """K8: the first rows of every batch on stdout."""
     return df.writeStream.outputMode(output_mode).format("console").option("numRows", rows).start()
