@@ -74,7 +74,7 @@ SCORED = """scored AS (
 banded AS (
   SELECT comment_id, monitor_id, date_trunc('hour', created_at) AS hour,
          date_trunc('day', created_at) + to_hours(hour(created_at) % 12) AS hour12,
-         CASE WHEN abs(p0 - p1) < 0.3 THEN 2.0 WHEN p1 > p0 THEN 1.0 ELSE 0.0 END AS label
+         CAST(CASE WHEN abs(p0 - p1) < 0.3 THEN 2.0 WHEN p1 > p0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label
   FROM scored),
 wide AS (
   SELECT monitor_id, hour,
@@ -300,7 +300,7 @@ FROM (SELECT user_id, user_name, gender, description, follow_count, followers_co
 FROM lab_tf t JOIN idf i USING (term)"""
     q["nb_vocab_score"] = _with(LABELLED, _model_terms("labelled", "lab"), IDF,
                                 _model_terms("documents", "all"), NB) + """SELECT doc_id,
-       CASE WHEN r1 > r0 THEN 1.0 ELSE 0.0 END AS prediction,
+       CAST(CASE WHEN r1 > r0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction,
        round(1.0 / (1.0 + exp(r1 - r0)), 6) AS p0,
        round(1.0 / (1.0 + exp(r0 - r1)), 6) AS p1
 FROM pair"""

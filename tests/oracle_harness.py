@@ -57,6 +57,23 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+}
+
+
+def _type_mismatches(sdf, cur) -> list:
+    duck_types = {d[0]: str(d[1]) for d in cur.description}
+    bad = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            bad.append((f.name, f.dataType.simpleString(), got))
+    return bad
+
+
 def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     from __spark_entry__ import oracle_sql, queries
     con = con or duck(sf_dir)
@@ -77,6 +94,10 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     if sorted(scols) != sorted(dcols):
         res["status"] = f"COLUMNS spark={sorted(scols)} duck={sorted(dcols)}"
         return res
+    types = _type_mismatches(sdf, cur)
+    if types:
+        res["status"] = f"TYPES {types}"
+        return res
     a, b = _rows(scols, srows), _rows(dcols, drows)
     if a == b:
         res["status"] = "match"
