@@ -13,7 +13,6 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodwatch.functions.constants import LABEL_NAMES
 from moodwatch.functions.text import strip_tags
 from moodwatch.functions.timefmt import format_created_at, hour_bucket
 from moodwatch.operators import metrics, model, monitors, records, serve, text
@@ -104,15 +103,17 @@ def search_responses(spark, d) -> DataFrame:
 
 def comment_responses(spark, d) -> DataFrame:
     """Comment responses made from conversations: one response per conversation,
-    its assistant turns are the comments; a conversation without one yields a
-    response whose ``data`` has no inner ``data`` list."""
+    its assistant turns are the comments (posted ``turn`` hours after
+    2024-01-01); a conversation without one yields a response whose ``data`` has
+    no inner ``data`` list."""
     c = fx.table(spark, d, "conversations")
     u = fx.users(spark, d)
     cu = c.join(u, (c.conv_id + c.turn) == u.user_id, "left")
     user = F.struct(F.col("user_id").alias("id"), F.col("user_name").alias("screen_name"), "gender",
                     "description", "follow_count", "followers_count")
+    posted = F.timestamp_add("HOUR", F.col("turn"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     item = F.struct(
-        F.lit(None).cast("string").alias("created_at"),
+        format_created_at(posted).alias("created_at"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text"),
         F.col("turn").alias("like_count"), user.alias("user"))
     items = F.collect_list(F.when(F.col("role") == "assistant", item))
@@ -390,5 +391,3 @@ def q_sentiment_score(spark, d):
 def q_sentiment_trend(spark, d):
     return sentiment_trend(spark, d)
 
-
-LABELS = LABEL_NAMES

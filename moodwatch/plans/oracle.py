@@ -112,7 +112,8 @@ POSTS = f"""posts AS (
   FROM pages p LEFT JOIN users u ON p.page_id = u.user_id)"""
 
 CONV_COMMENTS = f"""conv_comments AS (
-  SELECT c.conv_id AS monitor_id, c.conv_id * 1000 + c.turn AS comment_id, CAST(NULL AS VARCHAR) AS created_at,
+  SELECT c.conv_id AS monitor_id, c.conv_id * 1000 + c.turn AS comment_id,
+         strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(c.turn), '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
          c.turn AS like_count, u.user_id, {strip('c.text')} AS text,
          u.user_name, u.gender, u.description, u.follow_count, u.followers_count
   FROM conversations c LEFT JOIN users u ON c.conv_id + c.turn = u.user_id
