@@ -96,3 +96,19 @@ def test_delta_stream_equals_batch(spark, sf_small):
     got = changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"])
     cols = ["monitor_id", "word", "n"]
     assert _rows(got, cols) == _rows(batch.word_counts(spark, sf_small), cols)
+
+
+def test_processing_time_trigger(spark, sf_small):
+    lines = batch.comment_lines(spark, sf_small)
+    topic, sink = fresh_dir(spark, "pt"), fresh_dir(spark, "pts")
+    topics.write_topic(lines, topic, files=2)
+    q = jobs.upsert(jobs.word_cloud(topics.read_topic(spark, topic)), sink, fresh_dir(spark, "ptc"),
+                    trigger="1 second", state_partitions=4)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = jobs.latest(spark, sink, ["monitor_id", "word"], None)
+    cols = ["monitor_id", "word", "n"]
+    assert _rows(got, cols) == _rows(batch.word_counts(spark, sf_small), cols)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # restored after start
