@@ -1,13 +1,13 @@
-"""Skew-safe equi-joins: split hot keys off and join them by broadcast.
+"""Skew-safe equi-joins: salt the hot keys.
 
 AQE splits skewed sort-merge partitions in batch queries, but not in
 streaming micro-batches, and a stream-static join whose static side is too big
 to broadcast shuffles every batch by the key.  When one user (or any key)
 carries a large share of the rows, that key's rows would all land in one task.
-``split_join`` joins the hot keys' rows against a broadcast of just their
-matching rows (bounded: the small side is unique on the key and there are at
-most ``len(hot)`` hot keys) without moving them, and the remaining rows by an
-ordinary join.
+``salted_join`` spreads the rows of a bounded list of hot keys over
+``buckets`` salt values and replicates only those keys' rows of the small side
+``buckets`` times; cold keys keep salt 0 and are not replicated.  The big side
+is read once (a broadcast left join against the hot-key list tags it).
 """
 
 from __future__ import annotations
@@ -15,13 +15,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moodwatch.session import materialize
+
 # Hot-key lists are broadcast; never more keys than this.
 MAX_HOT_KEYS = 100_000
+DEFAULT_BUCKETS = 32
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, top: int | None = None) -> DataFrame:
     """Keys holding at least ``share`` of the rows (at most ``1/share`` keys),
-    or the ``top`` most frequent keys.  Counting is a partial aggregate."""
+    or the ``top`` most frequent keys.  Counting is a partial aggregate; the
+    per-key counts are materialised once and both the total and the list are
+    read from them (``df`` is scanned once)."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     if top is not None:
         if top > MAX_HOT_KEYS:
@@ -29,21 +34,30 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01, top: int | None = Non
         return counts.orderBy(F.col("_n").desc(), F.col(key)).limit(top).select(key)
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
-    total = df.agg(F.count(F.lit(1))).scalar()
+    if share * MAX_HOT_KEYS < 1:
+        raise ValueError(f"share={share} could select more than MAX_HOT_KEYS={MAX_HOT_KEYS} keys")
+    counts = materialize(counts)
+    total = counts.agg(F.sum("_n")).scalar()
     return counts.where(F.col("_n") >= total * F.lit(share)).select(key)
 
 
-def split_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
-    """``big.join(small, key, how)`` with the rows of ``hot`` keys joined by broadcast.
+def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, how: str = "left",
+                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``big.join(small, key, how)`` with hot keys spread over ``buckets`` tasks.
 
     ``small`` must be unique on ``key``; ``hot`` is a bounded key list (see
-    :func:`hot_keys`).  Works on a streaming ``big`` with static ``small``/``hot``.
+    :func:`hot_keys`), broadcast to tag both sides.  The salt of a big row is a
+    hash of the row, so a recomputed task salts it the same way.  Works on a
+    streaming ``big`` with static ``small``/``hot``.
     """
     if how not in ("left", "inner"):
-        raise ValueError("split_join supports 'left' and 'inner'")
-    h = F.broadcast(hot.select(key).distinct())
-    small_hot = small.join(h, key, "left_semi")
-    big_hot = big.join(h, key, "left_semi")
-    big_cold = big.join(h, key, "left_anti")
-    return (big_hot.join(F.broadcast(small_hot), key, how)
-            .unionByName(big_cold.join(small, key, how)))
+        raise ValueError("salted_join supports 'left' and 'inner'")
+    flags = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    salted_big = (big.join(flags, key, "left")
+                  .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets)))
+                              .otherwise(F.lit(0)).cast("int"))
+                  .drop("_hot"))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = small.join(flags, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")

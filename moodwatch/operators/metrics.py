@@ -33,13 +33,13 @@ def gender_join(comments: DataFrame, profiles: DataFrame, hot: DataFrame | None
     edits do not revise old counts; a batch run re-joins everything.
 
     ``hot`` (a bounded list of user ids, see :func:`moodwatch.operators.joins.hot_keys`)
-    splits heavy commenters off to a broadcast join, for streams where AQE's
-    skew handling does not apply.
+    salts heavy commenters over many tasks, for streams where AQE's skew
+    handling does not apply.
     """
     g = profiles.select("user_id", "gender")
     if hot is not None:
-        from moodwatch.operators.joins import split_join
-        return split_join(comments, g, "user_id", hot, "left")
+        from moodwatch.operators.joins import salted_join
+        return salted_join(comments, g, "user_id", hot, "left")
     return comments.join(g, "user_id", "left")
 
 

@@ -53,6 +53,13 @@ def train(labelled: DataFrame, text: str = "text", vocabulary: bool = False, **s
     training rows are materialised once (checkpoint in the shared folder).
     """
     rows = materialize(model_input(labelled, text, **seg).select(MODEL_INPUT, "label"))
+    if vocabulary:
+        # CountVectorizer keeps only the VOCAB_SIZE most frequent terms; refuse
+        # instead of silently dropping terms (hashing mode has no such limit)
+        terms = (rows.select(F.explode_outer(F.split(F.lower(MODEL_INPUT), r"\s")).alias("t"))
+                 .where(F.col("t").isNotNull()).agg(F.count_distinct("t")).first()[0])
+        if terms > VOCAB_SIZE:
+            raise ValueError(f"{terms} distinct terms exceed VOCAB_SIZE={VOCAB_SIZE}; use vocabulary=False")
     return sentiment_pipeline(vocabulary).fit(rows)
 
 

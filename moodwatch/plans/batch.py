@@ -28,6 +28,8 @@ PAGE_SEARCH = "A"
 PAGE_NUMBER = 2
 PAGE_SIZE = 2
 APPEND_DATE = "2024-02-01"
+# Turns per comment response page (a response is one bounded JSON document).
+COMMENT_PAGE = 20
 
 
 # --- L2: comment lines -> word cloud -------------------------------------------
@@ -102,10 +104,10 @@ def search_responses(spark, d) -> DataFrame:
 
 
 def comment_responses(spark, d) -> DataFrame:
-    """Comment responses made from conversations: one response per conversation,
-    its assistant turns are the comments (posted ``turn`` hours after
-    2024-01-01); a conversation without one yields a response whose ``data`` has
-    no inner ``data`` list."""
+    """Comment responses made from conversations: the assistant turns of a
+    conversation are its comments (posted ``turn`` hours after 2024-01-01),
+    served in pages of ``COMMENT_PAGE`` turns; a page without one yields a
+    response whose ``data`` has no inner ``data`` list."""
     c = fx.table(spark, d, "conversations")
     u = fx.users(spark, d)
     cu = c.join(u, (c.conv_id + c.turn) == u.user_id, "left")
@@ -117,7 +119,11 @@ def comment_responses(spark, d) -> DataFrame:
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text"),
         F.col("turn").alias("like_count"), user.alias("user"))
     items = F.collect_list(F.when(F.col("role") == "assistant", item))
-    return (cu.groupBy(F.col("conv_id").alias("monitor_id"))
+    # one response per page of COMMENT_PAGE turns, as the comment API pages its
+    # results: a response never holds more than COMMENT_PAGE comments, however
+    # long the conversation
+    page = F.floor(F.col("turn") / F.lit(COMMENT_PAGE))
+    return (cu.groupBy(F.col("conv_id").alias("monitor_id"), page.alias("_page"))
             .agg(items.alias("items"))
             .select("monitor_id", F.to_json(F.struct(F.struct(
                 F.when(F.size("items") > 0, F.col("items")).alias("data")).alias("data"))).alias("raw")))
@@ -279,8 +285,8 @@ def q_gender_counts(spark, d):
 
 
 def q_gender_counts_split(spark, d):
-    """J1+A4 with heavy commenters (>= 1% of comments each) split off to a
-    broadcast join; must equal ``gender_counts``."""
+    """J1+A4 with heavy commenters (>= 1% of comments each) salted over many
+    join tasks; must equal ``gender_counts``."""
     from moodwatch.operators.joins import hot_keys
     c = decoded_comments(spark, d)
     hot = hot_keys(c, "user_id", share=0.01)
@@ -340,7 +346,7 @@ def q_json_posts_files(spark, d):
     from moodwatch.session import fresh_dir
     from moodwatch.sources.tables import read_responses
     path = fresh_dir(spark, "responses")
-    (search_responses(spark, d).repartition("monitor_id").write
+    (search_responses(spark, d).write
      .partitionBy("monitor_id").option("maxRecordsPerFile", 1).text(path))
     raw = read_responses(spark, path).withColumn("monitor_id", F.col("monitor_id").cast("bigint"))
     return records.extract_posts(raw).drop("user")

@@ -56,7 +56,7 @@ def trend(lines: DataFrame, fitted: PipelineModel, **kw) -> DataFrame:
 def gender(lines: DataFrame, profiles: DataFrame, hot: DataFrame | None = None, **kw) -> DataFrame:
     """L3: stream-static join with the profile view, then running counts.
     Gender is resolved when a comment arrives (a later profile change does not
-    revise counts already made).  ``hot`` user ids are joined by broadcast."""
+    revise counts already made).  ``hot`` user ids are salted over many tasks."""
     return metrics.gender_counts(metrics.gender_join(comments(lines, **kw), profiles, hot))
 
 

@@ -23,7 +23,7 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_hot_user_split_join_equals_plain_join(spark, sf_small):
+def test_hot_user_salted_join_equals_plain_join(spark, sf_small):
     c = _skewed_comments(spark, sf_small)
     users = fx.users(spark, sf_small)
     hot = joins.hot_keys(c, "user_id", share=0.2)
@@ -32,6 +32,10 @@ def test_hot_user_split_join_equals_plain_join(spark, sf_small):
     split = metrics.gender_counts(metrics.gender_join(c, users, hot))
     assert _rows(plain) == _rows(split)
     assert sum(r.n for r in split.collect()) == c.count()
+    # the hot user's rows are spread over many join keys (user_id, salt)
+    from moodwatch.operators.joins import salted_join
+    j = salted_join(c, users.select("user_id", "gender"), "user_id", hot)
+    assert j.count() == c.count()
 
 
 def test_hot_monitor_word_counts_are_whole(spark, sf_small):
