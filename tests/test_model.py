@@ -29,3 +29,30 @@ def test_empty_text_still_scored(spark, sf_small):
     df = spark.createDataFrame([(1, "的了过"), (2, "")], "doc_id int, text string")
     out = model.score(m, df).collect()
     assert len(out) == 2 and all(r.prediction in (0.0, 1.0) for r in out)
+
+
+def test_hashing_scores_equal_brute_force(spark, sf_small):
+    """sentiment_score has no SQL twin: recompute tf-idf and the Naive Bayes
+    posterior in numpy from the fitted parameters and compare."""
+    import numpy as np
+    from pyspark.ml.feature import HashingTF
+
+    from moodwatch.operators import text as T
+    m = model.train(fx.labelled(spark, sf_small))
+    tok, tf, idf, nb = m.stages
+    docs = fx.table(spark, sf_small, "documents").select("doc_id", "text").orderBy("doc_id").limit(40)
+    got = {r.doc_id: (r.prediction, r.p0, r.p1) for r in model.score(m, docs).collect()}
+    rows = T.join_tokens(T.segment(docs), "tokens", "t").select("doc_id", "t").collect()
+    hashing = HashingTF(numFeatures=tf.getNumFeatures())
+    idf_v = idf.idf.toArray()
+    theta, pi = nb.theta.toArray(), nb.pi.toArray()
+    for r in rows:
+        x = np.zeros(tf.getNumFeatures())
+        for term in r.t.lower().split(" ") if r.t else [""]:
+            x[hashing.indexOf(term)] += 1.0
+        raw = pi + theta @ (x * idf_v)
+        p = np.exp(raw - raw.max())
+        p /= p.sum()
+        pred, p0, p1 = got[r.doc_id]
+        assert pred == float(np.argmax(raw))
+        assert abs(p0 - p[0]) < 1e-9 and abs(p1 - p[1]) < 1e-9
