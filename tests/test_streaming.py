@@ -112,3 +112,22 @@ def test_processing_time_trigger(spark, sf_small):
     cols = ["monitor_id", "word", "n"]
     assert _rows(got, cols) == _rows(batch.word_counts(spark, sf_small), cols)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # restored after start
+
+
+def test_delta_stream_survives_restart(spark, sf_small):
+    lines = batch.comment_lines(spark, sf_small)
+    topic, sink, ckpt = fresh_dir(spark, "rt"), fresh_dir(spark, "rs"), fresh_dir(spark, "rc")
+
+    def run():
+        q = jobs.delta_upsert(jobs.word_rows(topics.read_topic(spark, topic, max_files_per_trigger=1)),
+                              ["monitor_id", "word"], None, sink, ckpt, available_now=True)
+        q.awaitTermination()
+
+    topics.write_topic(lines, topic, segment=0, files=2)
+    run()
+    topics.write_topic(lines, topic, segment=1, files=2)
+    run()  # same checkpoint: only the new files are read
+    got = changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"])
+    want = batch.word_counts(spark, sf_small).withColumn("n", F.col("n") * 2)
+    cols = ["monitor_id", "word", "n"]
+    assert _rows(got, cols) == _rows(want, cols)
