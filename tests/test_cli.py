@@ -1,0 +1,22 @@
+"""The command line drives the same apps."""
+
+from moodwatch import cli
+from moodwatch.plans import batch
+from moodwatch.session import fresh_dir
+from moodwatch.sources import fixtures as fx
+from moodwatch.sources import topics
+
+
+def test_cli_train_stream_and_show(spark, sf_small):
+    topic, words, trend, mdl = (fresh_dir(spark, n) for n in ("cli-com", "cli-words", "cli-trend", "cli-model"))
+    lab = fresh_dir(spark, "cli-labelled")
+    fx.labelled(spark, sf_small).write.parquet(lab)
+    topics.write_topic(batch.comment_lines(spark, sf_small), topic, files=2)
+    cli.main(["train", "--labelled", lab, "--model", mdl], spark)
+    cli.main(["words", "--topic", topic, "--sink", words, "--once", "--max-files", "1"], spark)
+    cli.main(["trend", "--topic", topic, "--model", mdl, "--sink", trend, "--once"], spark)
+    shown = cli.main(["show", "--what", "words", "--sink", words], spark)
+    want = {(r.monitor_id, r.word): r.n for r in batch.word_counts(spark, sf_small).collect()}
+    assert {(r.monitor_id, r.name): r.value for r in shown.collect()} == want
+    t = cli.main(["show", "--what", "trend", "--sink", trend, "--rows", "1000"], spark)
+    assert sum(r.positive + r.negative + r.neutral for r in t.collect()) == batch.decoded_comments(spark, sf_small).count()
