@@ -255,6 +255,7 @@ breakdown AS (
     q["gender_join"] = _with(*gj) + "SELECT comment_id, monitor_id, user_id, gender FROM joined"
     q["gender_counts"] = _with(*gj) + "SELECT monitor_id, gender, n FROM gcounts"
     q["gender_counts_split"] = q["gender_counts"]
+    q["gender_counts_bucketed"] = q["gender_counts"]
     q["gender_breakdown"] = _with(*gj) + "SELECT monitor_id, name, value FROM breakdown"
     q["gender_share"] = _with(*gj) + """SELECT monitor_id, name, value,
        round(value * 100.0 / sum(value) OVER (PARTITION BY monitor_id), 6) AS share FROM breakdown"""

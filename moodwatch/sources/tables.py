@@ -41,6 +41,24 @@ def append_monitors_table(rows: DataFrame, path: str | None = None, url: str | N
         rows.select(*MONITOR_COLUMNS).write.mode("append").parquet(path)
 
 
+def save_bucketed(df: DataFrame, key: str, buckets: int, path: str, name: str | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed and sorted by ``key`` at ``path`` and
+    return it read back.
+
+    A join on ``key`` against a bucketed table shuffles only the other side
+    (into the table's buckets): the profile view is joined by every micro-batch
+    of the gender stream, so it is written once this way instead of being
+    re-shuffled per batch.  ``buckets`` is fixed per table (a multiple of the
+    cluster's cores; ``spark.sql.shuffle.partitions`` of the joins matched to it).
+    """
+    import uuid
+    spark = df.sparkSession
+    name = name or f"moodwatch_{uuid.uuid4().hex[:12]}"
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def profile_column(profiles: DataFrame, column: str, key: str = "user_id") -> DataFrame:
     """One profile attribute per user; the scan reads only these two columns."""
     return profiles.select(key, column)

@@ -114,6 +114,13 @@ def read_profiles(spark: SparkSession, sink: str) -> DataFrame:
     return changelog.latest(log.drop(changelog.BATCH), ["user_id"], ["segment", "offset"]).drop("segment", "offset")
 
 
+def publish_profiles(spark: SparkSession, sink: str, path: str, buckets: int, name: str | None = None) -> DataFrame:
+    """Write the latest profiles as a table bucketed by ``user_id`` (for the
+    gender stream: each batch then shuffles only its comments)."""
+    from moodwatch.sources.tables import save_bucketed
+    return save_bucketed(read_profiles(spark, sink).select("user_id", "gender"), "user_id", buckets, path, name)
+
+
 def _counts(spark, sink, keys, values, stateful):
     if stateful:
         return changelog.latest_view(spark, sink, keys)

@@ -1,5 +1,7 @@
 """A third of all rows on one key: results stay whole and equal to the plain plan."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from moodwatch.operators import joins, metrics, text
@@ -59,3 +61,22 @@ def test_stream_gender_with_hot_keys(spark, sf_small):
     got = jobs.latest(spark, sink, ["monitor_id", "gender"], out.schema)
     want = metrics.gender_counts(metrics.gender_join(batch.decoded_comments(spark, sf_small), users))
     assert _rows(got.select("monitor_id", "gender", "n")) == _rows(want.select("monitor_id", "gender", "n"))
+
+
+def test_bucketed_profiles_are_not_shuffled(spark, sf_small):
+    from moodwatch.sources.tables import save_bucketed
+    profiles = save_bucketed(fx.users(spark, sf_small).select("user_id", "gender"), "user_id", 8,
+                             fresh_dir(spark, "bucketed"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a profile table too big to broadcast
+    try:
+        j = metrics.gender_join(batch.decoded_comments(spark, sf_small), profiles)
+        j.write.format("noop").mode("overwrite").save()
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "SelectedBucketsCount: 8 out of 8" in plan
+        # one exchange on user_id: the comments are shuffled into the buckets, the profile scan is not
+        assert len(re.findall(r"Exchange hashpartitioning\(user_id", plan)) == 1
+        assert _rows(metrics.gender_counts(j)) == _rows(metrics.gender_counts(
+            metrics.gender_join(batch.decoded_comments(spark, sf_small), fx.users(spark, sf_small))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
