@@ -6,7 +6,8 @@ package with ``--py-files moodwatch.zip``).
     spark-submit moodwatch/cli.py trend  --topic T/com --model M --sink S/trend
     spark-submit moodwatch/cli.py gender --topic T/com --profiles S/users --sink S/gender
     spark-submit moodwatch/cli.py users  --topic T/user --sink S/users
-    spark-submit moodwatch/cli.py show   --what trend|words|gender|users --sink S/x [--monitor ID]
+    spark-submit moodwatch/cli.py compact --what trend|words|gender --sink S/x --snapshot S/x-snap
+    spark-submit moodwatch/cli.py show   --what trend|words|gender|users --sink S/x [--monitor ID] [--snapshot ...]
 
 ``gender`` reads the profile view once when it starts (genders are resolved
 as of then, like a lookup at arrival); restart it to pick up new profiles.
@@ -54,7 +55,13 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--sink", required=True)
     r.add_argument("--monitor")
     r.add_argument("--stateful", action="store_true")
+    r.add_argument("--snapshot")
     r.add_argument("--rows", type=int, default=50)
+    c = sub.add_parser("compact", help="fold a sink into a new snapshot version")
+    c.add_argument("--what", choices=("trend", "words", "gender"), required=True)
+    c.add_argument("--sink", required=True)
+    c.add_argument("--snapshot", required=True)
+    c.add_argument("--stateful", action="store_true")
     return p
 
 
@@ -73,10 +80,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         fitted.write().overwrite().save(args.model)
         return fitted
 
+    if args.cmd == "compact":
+        return apps.compact_sink(spark, args.what, args.sink, args.snapshot, args.stateful)
+
     if args.cmd == "show":
-        read = {"trend": lambda: apps.read_trend(spark, args.sink, args.monitor, args.stateful, points=args.rows),
-                "words": lambda: apps.read_word_cloud(spark, args.sink, args.monitor, args.stateful),
-                "gender": lambda: apps.read_gender(spark, args.sink, args.monitor, args.stateful),
+        snap = args.snapshot
+        read = {"trend": lambda: apps.read_trend(spark, args.sink, args.monitor, args.stateful, args.rows, snap),
+                "words": lambda: apps.read_word_cloud(spark, args.sink, args.monitor, args.stateful, snapshot=snap),
+                "gender": lambda: apps.read_gender(spark, args.sink, args.monitor, args.stateful, snap),
                 "users": lambda: apps.read_profiles(spark, args.sink)}[args.what]()
         read.show(args.rows, truncate=False)
         return read

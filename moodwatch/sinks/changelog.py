@@ -10,8 +10,12 @@ view:
 * ``latest`` folds the log: per key, the row with the greatest order key
   (``batch_id`` then an in-batch sequence).  ``max_by`` is a partial aggregate,
   so a key updated in a third of all rows is reduced map-side.
-* ``compact`` writes the folded view as a snapshot and records the last batch
-  folded into it, so readers scan the snapshot plus the newer batches only.
+* ``compact`` / ``compact_totals`` write the folded view as a new snapshot
+  version ``upto=<last batch>`` from the previous version plus the newer
+  batches only; readers take the newest version plus the batches after it.
+  Snapshots can be partitioned by ``monitor_id`` so point reads prune folders.
+  Folded batch folders are no longer read and can be expired by the storage's
+  lifecycle rules.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = "batch_id"
+UPTO = "upto"
 
 
 def latest(log: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -53,42 +58,87 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    """Newest compacted version under ``root`` (folders ``upto=<batch id>``); None if none."""
+    try:
+        versions = spark.read.parquet(root)
+    except Exception as e:  # nothing compacted yet
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+    return versions.agg(F.max(UPTO)).first()[0]  # one number, from partition values
+
+
+def _snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return (spark.read.option("basePath", f"{root}/{UPTO}={version}").parquet(f"{root}/{UPTO}={version}")
+            .withColumn(BATCH, F.lit(version).cast("bigint")))
+
+
+def _with_snapshot(spark: SparkSession, path: str, snapshot: str | None) -> DataFrame:
+    """The log, or the newest snapshot plus only the batches after it."""
+    log = read_log(spark, path)
+    version = latest_version(spark, snapshot) if snapshot is not None else None
+    if version is None:
+        return log
+    snap = _snapshot(spark, snapshot, version)
+    types = dict(log.dtypes)
+    # partition folders (e.g. monitor_id=3) come back with inferred types: align with the log
+    snap = snap.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in snap.columns])
+    return snap.unionByName(log.where(F.col(BATCH) > version), allowMissingColumns=True)
+
+
 def latest_view(spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str] = (),
                 snapshot: str | None = None) -> DataFrame:
-    """Latest value per key from the log (and an optional compacted snapshot)."""
-    log = read_log(spark, path)
-    if snapshot is not None:
-        snap = spark.read.parquet(snapshot)
-        last = snap.agg(F.max(BATCH)).scalar()
-        log = snap.unionByName(log.where(F.col(BATCH) > last), allowMissingColumns=True)
+    """Latest value per key from the log (and the newest compacted snapshot)."""
+    log = _with_snapshot(spark, path, snapshot)
     values = [c for c in log.columns if c not in keys]
     view = latest(log, keys, [BATCH, *seq], values)
     return view.drop(BATCH, *seq)
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot: str, seq: Sequence[str] = ()) -> None:
-    """Fold the log into a snapshot (keeps ``batch_id`` of each winning row)."""
-    log = read_log(spark, path)
-    values = [c for c in log.columns if c not in keys]
-    latest(log, keys, [BATCH, *seq], values).write.mode("overwrite").parquet(snapshot)
-
-
 def totals_view(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
                 snapshot: str | None = None) -> DataFrame:
     """Read side of an additive (delta) log: per key, the sum of every batch's
-    delta (plus a compacted snapshot, which holds the sums up to its last batch)."""
-    log = read_log(spark, path)
-    if snapshot is not None:
-        snap = spark.read.parquet(snapshot)
-        last = snap.agg(F.max(BATCH)).scalar()
-        log = snap.unionByName(log.where(F.col(BATCH) > last))
+    delta (the newest snapshot holds the sums up to its version)."""
+    log = _with_snapshot(spark, path, snapshot)
     return log.groupBy(*keys).agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
 
 
-def compact_totals(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
-                   snapshot: str) -> None:
-    """Fold all deltas into a snapshot stamped with the last batch id folded."""
+def _write_version(df: DataFrame, root: str, version: int, partition_by: Sequence[str]) -> None:
+    w = df.drop(BATCH).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{root}/{UPTO}={version}")
+
+
+def _new_version(spark: SparkSession, path: str, snapshot: str) -> tuple[int | None, int | None]:
+    prev = latest_version(spark, snapshot)
     log = read_log(spark, path)
-    last = log.agg(F.max(BATCH)).scalar()
-    (log.groupBy(*keys).agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
-     .withColumn(BATCH, last).write.mode("overwrite").parquet(snapshot))
+    if prev is not None:
+        log = log.where(F.col(BATCH) > prev)
+    return prev, log.agg(F.max(BATCH)).first()[0]
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot: str, seq: Sequence[str] = (),
+            partition_by: Sequence[str] = ()) -> int | None:
+    """Fold the batches after the newest snapshot into a new snapshot version
+    (incremental: earlier batches are read from the previous version only).
+    ``partition_by`` (e.g. ``monitor_id``) lets point reads prune folders.
+    Returns the new version (None when there was nothing new)."""
+    prev, last = _new_version(spark, path, snapshot)
+    if last is None:
+        return prev
+    log = _with_snapshot(spark, path, snapshot)
+    values = [c for c in log.columns if c not in keys]
+    _write_version(latest(log, keys, [BATCH, *seq], values).drop(*seq), snapshot, last, partition_by)
+    return last
+
+
+def compact_totals(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
+                   snapshot: str, partition_by: Sequence[str] = ()) -> int | None:
+    """Additive twin of :func:`compact`: the new version holds the running sums."""
+    prev, last = _new_version(spark, path, snapshot)
+    if last is None:
+        return prev
+    _write_version(totals_view(spark, path, keys, values, snapshot), snapshot, last, partition_by)
+    return last

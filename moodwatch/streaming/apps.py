@@ -121,28 +121,46 @@ def publish_profiles(spark: SparkSession, sink: str, path: str, buckets: int, na
     return save_bucketed(read_profiles(spark, sink).select("user_id", "gender"), "user_id", buckets, path, name)
 
 
-def _counts(spark, sink, keys, values, stateful):
+# keys and values of each running-total sink
+SINKS = {
+    "trend": (["monitor_id", "hour"], ["positive", "negative", "neutral"]),
+    "words": (["monitor_id", "word"], ["n"]),
+    "gender": (["monitor_id", "gender"], ["n"]),
+}
+
+
+def _counts(spark, sink, keys, values, stateful, snapshot=None):
+    if stateful:
+        return changelog.latest_view(spark, sink, keys, snapshot=snapshot)
+    return changelog.totals_view(spark, sink, keys, values, snapshot=snapshot)
+
+
+def compact_sink(spark: SparkSession, what: str, sink: str, snapshot: str, stateful: bool = False) -> int | None:
+    """Fold a running-total sink into a new snapshot version partitioned by
+    ``monitor_id`` (every read query asks about one monitor)."""
+    keys, values = SINKS[what]
     if stateful:
-        return changelog.latest_view(spark, sink, keys)
-    return changelog.totals_view(spark, sink, keys, values)
+        return changelog.compact(spark, sink, keys, snapshot, partition_by=["monitor_id"])
+    return changelog.compact_totals(spark, sink, keys, values, snapshot, partition_by=["monitor_id"])
 
 
 def read_trend(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
-               points: int | None = None) -> DataFrame:
+               points: int | None = None, snapshot: str | None = None) -> DataFrame:
     """Q1: the trend (newest ``points`` hours per monitor when given)."""
-    wide = _counts(spark, sink, ["monitor_id", "hour"], ["positive", "negative", "neutral"], stateful)
+    wide = _counts(spark, sink, *SINKS["trend"], stateful, snapshot)
     if monitor_id is not None:
         wide = wide.where(F.col("monitor_id") == F.lit(monitor_id))
     return wide if points is None else serve.trend_last(wide, points)
 
 
 def read_word_cloud(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
-                    top: int | None = None) -> DataFrame:
+                    top: int | None = None, snapshot: str | None = None) -> DataFrame:
     """Q7: ``(name, value)`` per word."""
-    return serve.word_cloud(_counts(spark, sink, ["monitor_id", "word"], ["n"], stateful), monitor_id, top)
+    return serve.word_cloud(_counts(spark, sink, *SINKS["words"], stateful, snapshot), monitor_id, top)
 
 
-def read_gender(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False) -> DataFrame:
+def read_gender(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
+                snapshot: str | None = None) -> DataFrame:
     """Q5+Q6: 男 / 女 / 其它 with their shares."""
-    counts = _counts(spark, sink, ["monitor_id", "gender"], ["n"], stateful)
+    counts = _counts(spark, sink, *SINKS["gender"], stateful, snapshot)
     return serve.gender_share(serve.gender_breakdown(counts, monitor_id))

@@ -18,5 +18,9 @@ def test_cli_train_stream_and_show(spark, sf_small):
     shown = cli.main(["show", "--what", "words", "--sink", words], spark)
     want = {(r.monitor_id, r.word): r.n for r in batch.word_counts(spark, sf_small).collect()}
     assert {(r.monitor_id, r.name): r.value for r in shown.collect()} == want
+    snap = fresh_dir(spark, "cli-words-snap")
+    cli.main(["compact", "--what", "words", "--sink", words, "--snapshot", snap], spark)
+    again = cli.main(["show", "--what", "words", "--sink", words, "--snapshot", snap], spark)
+    assert {(r.monitor_id, r.name): r.value for r in again.collect()} == want
     t = cli.main(["show", "--what", "trend", "--sink", trend, "--rows", "1000"], spark)
     assert sum(r.positive + r.negative + r.neutral for r in t.collect()) == batch.decoded_comments(spark, sf_small).count()
