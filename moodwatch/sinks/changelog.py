@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 BATCH = "batch_id"
 UPTO = "upto"
+MANIFEST = "manifest"
 
 
 def latest(log: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -59,14 +60,19 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Newest compacted version under ``root`` (folders ``upto=<batch id>``); None if none."""
+    """Newest finished snapshot version under ``root``; None if none.
+
+    Versions are listed in ``<root>/manifest``, appended only after a version's
+    folder was written completely, so a compaction that died half-way is never
+    read.
+    """
     try:
-        versions = spark.read.parquet(root)
+        manifest = spark.read.parquet(f"{root}/{MANIFEST}")
     except Exception as e:  # nothing compacted yet
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
-    return versions.agg(F.max(UPTO)).first()[0]  # one number, from partition values
+    return manifest.agg(F.max(UPTO)).first()[0]  # one number
 
 
 def _snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
@@ -109,6 +115,9 @@ def _write_version(df: DataFrame, root: str, version: int, partition_by: Sequenc
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{root}/{UPTO}={version}")
+    # publish the version only once its folder is complete
+    df.sparkSession.range(1).select(F.lit(version).cast("bigint").alias(UPTO)).write.mode("append").parquet(
+        f"{root}/{MANIFEST}")
 
 
 def _new_version(spark: SparkSession, path: str, snapshot: str) -> tuple[int | None, int | None]:
