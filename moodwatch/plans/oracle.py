@@ -144,27 +144,28 @@ IDF = """idf AS (
 NB = """lab_x AS (
   SELECT t.doc_id, l.label, t.term, t.tf * i.idf AS x
   FROM lab_tf t JOIN idf i USING (term) JOIN labelled l USING (doc_id)),
-classes AS (
-  SELECT label, ln(count(*) + 1.0) - ln((SELECT count(*) FROM labelled) + 2.0) AS prior FROM labelled GROUP BY label),
-s_ct AS (SELECT label, term, sum(x) AS s FROM lab_x GROUP BY label, term),
-s_c AS (SELECT label, sum(x) AS s FROM lab_x GROUP BY label),
+priors AS (
+  SELECT ln(count(*) FILTER (WHERE label = 0.0) + 1.0) - ln(count(*) + 2.0) AS prior0,
+         ln(count(*) FILTER (WHERE label = 1.0) + 1.0) - ln(count(*) + 2.0) AS prior1
+  FROM labelled),
+class_tot AS (
+  SELECT sum(x) FILTER (WHERE label = 0.0) AS s0, sum(x) FILTER (WHERE label = 1.0) AS s1 FROM lab_x),
 theta AS (
-  SELECT c.label, i.term,
-         ln(coalesce(s.s, 0.0) + 1.0) - ln(sc.s + (SELECT count(*) FROM idf)) AS theta
-  FROM classes c JOIN idf i ON TRUE
-  LEFT JOIN s_ct s ON s.label = c.label AND s.term = i.term
-  JOIN s_c sc ON sc.label = c.label),
-doc_x AS (
-  SELECT t.doc_id, t.term, t.tf * i.idf AS x FROM all_tf t JOIN idf i USING (term)),
-raw AS (
-  SELECT d.doc_id, c.label, c.prior + coalesce(sum(x.x * th.theta), 0.0) AS r
-  FROM (SELECT DISTINCT doc_id FROM all_tok) d JOIN classes c ON TRUE
-  LEFT JOIN doc_x x ON x.doc_id = d.doc_id
-  LEFT JOIN theta th ON th.label = c.label AND th.term = x.term
-  GROUP BY d.doc_id, c.label, c.prior),
+  SELECT i.term,
+         ln(coalesce(sum(x.x) FILTER (WHERE x.label = 0.0), 0.0) + 1.0)
+           - ln((SELECT s0 FROM class_tot) + (SELECT count(*) FROM idf)) AS theta0,
+         ln(coalesce(sum(x.x) FILTER (WHERE x.label = 1.0), 0.0) + 1.0)
+           - ln((SELECT s1 FROM class_tot) + (SELECT count(*) FROM idf)) AS theta1
+  FROM idf i LEFT JOIN lab_x x USING (term)
+  GROUP BY i.term),
+doc_scores AS (
+  SELECT t.doc_id, sum(t.tf * i.idf * th.theta0) AS d0, sum(t.tf * i.idf * th.theta1) AS d1
+  FROM all_tf t JOIN idf i USING (term) JOIN theta th USING (term)
+  GROUP BY t.doc_id),
 pair AS (
-  SELECT doc_id, max(r) FILTER (WHERE label = 0.0) AS r0, max(r) FILTER (WHERE label = 1.0) AS r1
-  FROM raw GROUP BY doc_id)"""
+  SELECT d.doc_id, (SELECT prior0 FROM priors) + coalesce(s.d0, 0.0) AS r0,
+         (SELECT prior1 FROM priors) + coalesce(s.d1, 0.0) AS r1
+  FROM (SELECT DISTINCT doc_id FROM all_tok) d LEFT JOIN doc_scores s USING (doc_id))"""
 
 
 def _queries() -> dict[str, str]:
