@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,13 +17,19 @@ from moodwatch.session import materialize
 
 def keyword_explode(monitors: DataFrame, separators: str = KEYWORD_SEPARATOR) -> DataFrame:
     """``(monitor_id, words)`` -> one row per (monitor_id, keyword) with its
-    position in the list.  ``separators`` lists single characters that split
-    (the default splits on commas only, like the scheduler)."""
+    position in the list.
+
+    One separator (the default comma) splits exactly like the scheduler: JVM
+    split rules, spaces kept (``"a, b"`` gives ``" b"``).  Several separator
+    characters (e.g. ``", "``, what the monitor form allows) split on any run of
+    them, so ``"a, b"`` gives ``a`` and ``b``.
+    """
     seps = "".join(dict.fromkeys(separators))
-    src = F.col("words")
-    if len(seps) > 1:
-        src = F.translate(src, seps[1:], seps[0] * (len(seps) - 1))
-    return monitors.select("monitor_id", F.posexplode(jvm_split(src, seps[0])).alias("keyword_pos", "keyword"))
+    if len(seps) == 1:
+        parts = jvm_split(F.col("words"), seps)
+    else:
+        parts = jvm_split(F.col("words"), "[" + re.escape(seps) + "]+", regex=True)
+    return monitors.select("monitor_id", F.posexplode(parts).alias("keyword_pos", "keyword"))
 
 
 def url_frontier(keywords: DataFrame, template: str = DEFAULT_SEARCH_TEMPLATE,

@@ -22,6 +22,7 @@ from moodwatch.sources import fixtures as fx
 
 # Parameters of the single-key read queries (any existing key works).
 WORD_CLOUD_MONITOR = "src0"
+TREND_MONITOR = "click"
 LOOKUP_WORD = "the"
 TABLE_GET_KEY = 42
 PAGE_SEARCH = "A"
@@ -259,6 +260,11 @@ def q_trend_last50(spark, d):
     return serve.trend_last(trend_wide(spark, d))
 
 
+def q_trend_last50_one(spark, d):
+    """Q1 for one monitor, as the dashboard asks for it."""
+    return serve.trend_last(trend_wide(spark, d), monitor_id=TREND_MONITOR)
+
+
 def q_trend_series(spark, d):
     s = serve.trend_series(trend_wide(spark, d))
     return s.select("monitor_id", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
@@ -316,6 +322,18 @@ def q_keyword_explode(spark, d):
     return monitors.keyword_explode(fx.monitors(spark, d))
 
 
+def q_keyword_explode_typed(spark, d):
+    """E1 on lists typed as ``"A, B, C"``: the scheduler's comma split keeps the
+    spaces (``" B"``), as the original did (D13)."""
+    return monitors.keyword_explode(fx.monitors(spark, d, sep=", "))
+
+
+def q_keyword_explode_multi(spark, d):
+    """E1 with the form's separators (comma or space, D13): ``"A, B, C"`` gives
+    clean keywords."""
+    return monitors.keyword_explode(fx.monitors(spark, d, sep=", "), separators=", ")
+
+
 def q_url_frontier(spark, d):
     return monitors.url_frontier(monitors.keyword_explode(fx.monitors(spark, d))).select(
         "monitor_id", "keyword", "page", "url")
@@ -325,6 +343,11 @@ def q_url_owner(spark, d):
     return monitors.url_owner(monitors.url_frontier(monitors.keyword_explode(fx.monitors(spark, d))))
 
 
+def q_url_owner_all(spark, d):
+    """E4 with ``owner='all'``: every (url, monitor) pair."""
+    return monitors.url_owner(monitors.url_frontier(monitors.keyword_explode(fx.monitors(spark, d))), owner="all")
+
+
 def q_monitor_list(spark, d):
     return fx.monitors(spark, d).select("monitor_id", "name", "words", "created")
 

@@ -220,6 +220,8 @@ FROM wide"""
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY monitor_id ORDER BY hour DESC) AS rn FROM wide)
   WHERE rn <= 50)"""
     q["trend_last50"] = _with(SCORED, last50) + "SELECT monitor_id, hour, positive, negative, neutral FROM last50"
+    q["trend_last50_one"] = _with(SCORED) + f"""SELECT monitor_id, hour, positive, negative, neutral
+FROM wide WHERE monitor_id = {_q(B.TREND_MONITOR)} ORDER BY hour DESC LIMIT 50"""
     q["trend_series"] = _with(SCORED, last50) + """SELECT monitor_id,
        string_agg(strftime(hour, '%Y-%m-%d %H'), ',' ORDER BY hour) AS x,
        string_agg(CAST(positive AS VARCHAR), ',' ORDER BY hour) AS y1,
@@ -261,9 +263,16 @@ breakdown AS (
     q["gender_share"] = _with(*gj) + """SELECT monitor_id, name, value,
        round(value * 100.0 / sum(value) OVER (PARTITION BY monitor_id), 6) AS share FROM breakdown"""
     q["keyword_explode"] = _with(frontier_tpl) + "SELECT monitor_id, keyword_pos, keyword FROM keywords"
+    typed = MONITORS.replace("string_agg(n.n_name, ',' ORDER BY", "string_agg(n.n_name, ', ' ORDER BY").replace(
+        "__TEMPLATE__", B_TEMPLATE)
+    q["keyword_explode_typed"] = _with(typed.replace("__SPLIT__", jvm_split("words", ",", ","))) + (
+        "SELECT monitor_id, keyword_pos, keyword FROM keywords")
+    q["keyword_explode_multi"] = _with(typed.replace("__SPLIT__", jvm_split("words", "[, ]+", ","))) + (
+        "SELECT monitor_id, keyword_pos, keyword FROM keywords")
     q["url_frontier"] = _with(frontier_tpl) + "SELECT monitor_id, keyword, page, url FROM frontier"
     q["url_owner"] = _with(frontier_tpl) + ("SELECT url, arg_max(monitor_id, (monitor_id, keyword_pos)) AS monitor_id "
                                             "FROM frontier GROUP BY url")
+    q["url_owner_all"] = _with(frontier_tpl) + "SELECT DISTINCT url, monitor_id FROM frontier"
     q["monitor_list"] = _with(frontier_tpl) + "SELECT monitor_id, name, words, created FROM monitors"
     q["monitor_page"] = _with(frontier_tpl) + f"""SELECT monitor_id, name, words, created FROM monitors
 WHERE contains(CAST(monitor_id AS VARCHAR), {_q(B.PAGE_SEARCH)}) OR contains(name, {_q(B.PAGE_SEARCH)})

@@ -78,13 +78,13 @@ def monitor_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
         n.n_nationkey.alias("keyword_pos"))
 
 
-def monitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monitors(spark: SparkSession, sf_dir: str, sep: str = KEYWORD_SEPARATOR) -> DataFrame:
     """The monitor table ``(monitor_id, name, words, created)``; ``words`` is the
-    comma list as a user types it (keywords in nation-key order)."""
+    keyword list joined by ``sep`` (keywords in nation-key order)."""
     kw = monitor_keywords(spark, sf_dir)
     words = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("keyword_pos", "keyword"))), lambda s: s["keyword"]),
-        KEYWORD_SEPARATOR)
+        sep)
     return (kw.groupBy("monitor_id", "name")
             .agg(words.alias("words"))
             .withColumn("created", F.lit("2024-01-01").cast("date")))
