@@ -428,6 +428,14 @@ def q_sentiment_score(spark, d):
                     model.label_name().alias("label_name"))
 
 
+def q_sentiment_trend_vocab(spark, d):
+    """L1 end to end with the vocabulary-mode model (exactly recomputable in SQL):
+    decode -> segment -> tokenizer -> counts -> IDF -> Naive Bayes -> neutral
+    band -> hourly trend per monitor."""
+    m = trained_model(spark, d, vocabulary=True)
+    return metrics.trend_wide(model.neutral_band(model.score(m, decoded_comments(spark, d))))
+
+
 def q_sentiment_trend(spark, d):
     return sentiment_trend(spark, d)
 

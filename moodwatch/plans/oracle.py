@@ -316,6 +316,21 @@ FROM lab_tf t JOIN idf i USING (term)"""
        round(1.0 / (1.0 + exp(r1 - r0)), 6) AS p0,
        round(1.0 / (1.0 + exp(r0 - r1)), 6) AS p1
 FROM pair"""
+    comment_docs = "cdocs AS (SELECT comment_id AS doc_id, text, monitor_id, hour FROM valid)"
+    q["sentiment_trend_vocab"] = _with(*dec, LABELLED, _model_terms("labelled", "lab"), IDF, comment_docs,
+                                       _model_terms("cdocs", "all"), NB) + """, scored AS (
+  SELECT c.monitor_id, c.hour,
+         1.0 / (1.0 + exp(p.r1 - p.r0)) AS p0, 1.0 / (1.0 + exp(p.r0 - p.r1)) AS p1,
+         CASE WHEN p.r1 > p.r0 THEN 1.0 ELSE 0.0 END AS prediction
+  FROM pair p JOIN cdocs c USING (doc_id)),
+banded AS (
+  SELECT monitor_id, hour, CASE WHEN abs(p0 - p1) < 0.3 THEN 2.0 ELSE prediction END AS label FROM scored)
+SELECT monitor_id, hour,
+       count(*) FILTER (WHERE label = 0.0) AS positive,
+       count(*) FILTER (WHERE label = 1.0) AS negative,
+       count(*) FILTER (WHERE label = 2.0) AS neutral
+FROM banded GROUP BY monitor_id, hour"""
+    q["stream_trend_vocab"] = q["sentiment_trend_vocab"]
     # streams: the latest view of each sink equals the batch result
     q["stream_word_counts"] = q["word_counts"]
     q["stream_gender_counts"] = q["gender_counts"]

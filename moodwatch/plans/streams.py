@@ -94,6 +94,15 @@ def q_stream_trend(spark, d):
     return jobs.latest(spark, _run(spark, out, "trend"), ["monitor_id", "hour"], out.schema)
 
 
+def q_stream_trend_vocab(spark, d):
+    """L1 as a stateless stream with the vocabulary-mode model (exact oracle)."""
+    fitted = batch.trained_model(spark, d, vocabulary=True)
+    scored = model.neutral_band(model.score(fitted, jobs.comments(_read(spark, _comment_topic(spark, d)))))
+    keys, sums = jobs.trend_rows(scored)
+    sink = _run_delta(spark, scored, keys, sums, "trend-vocab")
+    return changelog.totals_view(spark, sink, keys, list(sums))
+
+
 def _scored_stream(spark, d, max_files: int | None = None):
     pin_utc(spark)
     ev = topics.read_table_stream(spark, f"{d.rstrip('/')}/events*.parquet",
