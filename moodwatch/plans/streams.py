@@ -76,7 +76,7 @@ def q_stream_word_counts_delta(spark, d):
 
 def q_stream_trend_delta(spark, d):
     """L1 (stand-in scores) as a stateless stream of per-batch trend deltas."""
-    keys, sums = jobs.trend_rows(None)
+    keys, sums = jobs.trend_sums()
     sink = _run_delta(spark, _scored_stream(spark, d, max_files=None), keys, sums, "trend-delta")
     return changelog.totals_view(spark, sink, keys, list(sums))
 
@@ -98,7 +98,7 @@ def q_stream_trend_vocab(spark, d):
     """L1 as a stateless stream with the vocabulary-mode model (exact oracle)."""
     fitted = batch.trained_model(spark, d, vocabulary=True)
     scored = model.neutral_band(model.score(fitted, jobs.comments(_read(spark, _comment_topic(spark, d)))))
-    keys, sums = jobs.trend_rows(scored)
+    keys, sums = jobs.trend_sums()
     sink = _run_delta(spark, scored, keys, sums, "trend-vocab")
     return changelog.totals_view(spark, sink, keys, list(sums))
 

@@ -73,7 +73,7 @@ def sentiment_app(lines: DataFrame, fitted: PipelineModel, sink: str, checkpoint
         return _start(jobs.trend(lines, fitted, **kw), None, None, sink, checkpoint, True, trigger,
                       available_now, state_partitions)
     scored = model.neutral_band(model.score(fitted, jobs.comments(lines, **kw)))
-    keys, sums = jobs.trend_rows(scored)
+    keys, sums = jobs.trend_sums()
     return _start(scored, keys, sums, sink, checkpoint, False, trigger, available_now, None)
 
 

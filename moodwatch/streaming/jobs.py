@@ -142,8 +142,9 @@ def word_rows(lines: DataFrame, **kw) -> DataFrame:
     return text.explode_tokens(text.segment(comments(lines, **kw)), ["monitor_id"])
 
 
-def trend_rows(labelled: DataFrame) -> tuple[list[str], dict[str, object]]:
-    """Keys and summed indicator columns of the trend for :func:`delta_upsert`."""
+def trend_sums() -> tuple[list[str], dict[str, object]]:
+    """Keys and summed label indicators of the trend, for :func:`delta_upsert`
+    over labelled rows."""
     return ["monitor_id", "hour"], {
         name: F.when(F.col("label") == F.lit(v), 1).otherwise(0)
         for name, v in (("positive", LABEL_POSITIVE), ("negative", LABEL_NEGATIVE), ("neutral", LABEL_NEUTRAL))}
