@@ -303,10 +303,10 @@ def q_gender_counts_bucketed(spark, d):
     """J1+A4 against the profile view stored bucketed by ``user_id`` (the
     co-located form used when profiles are too big to broadcast); must equal
     ``gender_counts``."""
-    from moodwatch.session import fresh_dir
+    from moodwatch.session import fresh_dir, parallelism
     from moodwatch.sources.tables import save_bucketed
     profiles = save_bucketed(fx.users(spark, d).select("user_id", "gender"), "user_id",
-                             2 * spark.sparkContext.defaultParallelism, fresh_dir(spark, "profiles-bucketed"))
+                             2 * parallelism(spark), fresh_dir(spark, "profiles-bucketed"))
     return metrics.gender_counts(metrics.gender_join(decoded_comments(spark, d), profiles))
 
 

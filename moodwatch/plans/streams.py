@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from moodwatch.operators import model, records
 from moodwatch.plans import batch
-from moodwatch.session import fresh_dir, pin_utc
+from moodwatch.session import fresh_dir, parallelism, pin_utc
 from moodwatch.sinks import changelog
 from moodwatch.sources import fixtures as fx
 from moodwatch.sources import topics
@@ -27,7 +27,7 @@ BATCHES = 4
 
 
 def _parts(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+    return parallelism(spark)
 
 
 def _topic_files(spark: SparkSession) -> int:

@@ -43,6 +43,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def parallelism(spark: SparkSession, default: int = 8) -> int:
+    """Cores available to the session (``defaultParallelism``), with a fallback
+    for sessions without a context handle."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", str(default)))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint in the
     shared folder (survives executor loss; never a local checkpoint)."""
