@@ -35,6 +35,11 @@ POST_FIELDS = ("post_id", "monitor_id", "user_id", "source", "reposts_count", "c
 NULL_TEXT = "None"
 # created_at as sent by the source API, e.g. "Sat Jan 18 20:03:51 +0800 2020".
 CREATED_AT_FORMAT = "EEE MMM dd HH:mm:ss Z yyyy"
+# HTML tags removed from post and comment text (comments <!-- --> and a bare < stay).
+TAG_PATTERN = r"</?\w+[^>]*>"
+# Hour labels of the trend's x axis: 24-hour, and the original 12-hour form without AM/PM.
+HOUR_LABEL_FORMAT = "yyyy-MM-dd HH"
+HOUR_LABEL_FORMAT_12H = "yyyy-MM-dd hh"
 # Keyword list separator of a monitor row.
 KEYWORD_SEPARATOR = ","
 # Crawl fan-out: pages 0..9 of every keyword search.

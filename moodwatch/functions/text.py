@@ -11,11 +11,11 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from moodwatch.functions.constants import EXTENSION_WORDS, STOP_WORDS
+from moodwatch.functions.constants import EXTENSION_WORDS, STOP_WORDS, TAG_PATTERN
 
-# HTML tag as the crawler strips it.  ``(?U)`` makes ``\w`` Unicode-aware, as it
-# is in Python; comments ``<!-- -->`` and a bare ``<`` survive.
-TAG_PATTERN = r"(?U)</?\w+[^>]*>"
+# HTML tag as the crawler strips it.  ``(?U)`` makes ``\w`` Unicode-aware in
+# Java, as it is in Python's ``re``.
+TAG_REGEX = "(?U)" + TAG_PATTERN
 
 # Letters and digits that are not Han characters, written without class
 # intersection so the same shape works in RE2 (``\p{Han}`` there).
@@ -34,7 +34,7 @@ def _c(col: str | Column) -> Column:
 
 
 def strip_tags(col: str | Column) -> Column:
-    return F.regexp_replace(_c(col), TAG_PATTERN, "")
+    return F.regexp_replace(_c(col), TAG_REGEX, "")
 
 
 def url_encode_path(col: str | Column) -> Column:

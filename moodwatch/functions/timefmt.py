@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from moodwatch.functions.constants import CREATED_AT_FORMAT
+from moodwatch.functions.constants import CREATED_AT_FORMAT, HOUR_LABEL_FORMAT, HOUR_LABEL_FORMAT_12H
 
 
 def _c(col: str | Column) -> Column:
@@ -44,4 +44,4 @@ def hour_bucket(ts: str | Column, clock12: bool = False) -> Column:
 
 def hour_label(ts: str | Column, clock12: bool = False) -> Column:
     """``yyyy-MM-dd HH`` (``hh`` -- 01..12 -- with ``clock12``)."""
-    return F.date_format(_c(ts), "yyyy-MM-dd hh" if clock12 else "yyyy-MM-dd HH")
+    return F.date_format(_c(ts), HOUR_LABEL_FORMAT_12H if clock12 else HOUR_LABEL_FORMAT)
