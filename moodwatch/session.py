@@ -64,6 +64,27 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def cluster_conf(total_cores: int, state_store: str = "rocksdb") -> dict[str, str]:
+    """Suggested settings for a large cluster (pass to ``SparkSession.builder.config``
+    or spark-submit ``--conf``).  Shuffles start at 3x the cores and AQE
+    coalesces them towards 256 MB; streams fix their state partitions at the
+    first start, so those are sized to the cluster up front."""
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(3 * total_cores),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": UTC,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    }
+    if state_store == "rocksdb":
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return conf
+
+
 def local_session(cores: int | str = "*", partitions: int | None = None, app: str = "moodwatch") -> SparkSession:
     """Session for tests and the benchmark (never used by library code)."""
     n = os.cpu_count() if cores == "*" else int(cores)
