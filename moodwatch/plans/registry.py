@@ -19,14 +19,25 @@ def batch_queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in vars(batch).items() if name.startswith("q_") and callable(fn)}
 
 
+def _utc(fn: Query) -> Query:
+    """All wall-clock logic of the package is UTC (D16): pin the session zone
+    before the query is built."""
+    from moodwatch.session import pin_utc
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pin_utc(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Query]:
+    from moodwatch.plans import streams
     out = dict(batch_queries())
-    try:
-        from moodwatch.plans import streams
-        out.update(streams.stream_queries())
-    except ImportError:  # pragma: no cover - streams module optional during bring-up
-        pass
-    return out
+    out.update(streams.stream_queries())
+    return {name: _utc(fn) for name, fn in out.items()}
 
 
 def oracle_sql() -> dict[str, str]:
