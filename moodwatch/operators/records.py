@@ -164,9 +164,11 @@ def extract_posts(responses: DataFrame, raw: str = "raw", keep: Sequence[str] =
 
     Cards without ``mblog`` are skipped (the original would raise).
     """
-    cards = responses.select(*keep, F.explode(F.from_json(raw, SEARCH_SCHEMA)["data"]["cards"]).alias("card"))
+    # explode_outer + null filter: ``explode`` would let the optimizer copy the
+    # JSON parse into an inferred filter and parse every response twice
+    cards = responses.select(*keep, F.explode_outer(F.from_json(raw, SEARCH_SCHEMA)["data"]["cards"]).alias("card"))
     m = "card.mblog"
-    return cards.where(F.col(m).isNotNull()).select(
+    return cards.where(F.col("card").isNotNull() & F.col(m).isNotNull()).select(
         *keep,
         F.col(f"{m}.id").alias("post_id"),
         F.col(f"{m}.mid").alias("mid"),
@@ -183,7 +185,8 @@ def extract_posts(responses: DataFrame, raw: str = "raw", keep: Sequence[str] =
 def extract_comments(responses: DataFrame, raw: str = "raw", keep: Sequence[str] = ("monitor_id",)) -> DataFrame:
     """R2: comment responses -> one row per comment.  A response without ``data``
     or without the inner ``data`` list yields no rows and no error."""
-    items = responses.select(*keep, F.explode(F.from_json(raw, COMMENTS_SCHEMA)["data"]["data"]).alias("c"))
+    items = (responses.select(*keep, F.explode_outer(F.from_json(raw, COMMENTS_SCHEMA)["data"]["data"]).alias("c"))
+             .where(F.col("c").isNotNull()))  # explode_outer: parse once (see extract_posts)
     return items.select(
         *keep,
         F.col("c.id").alias("comment_id"),

@@ -29,8 +29,16 @@ def segment(df: DataFrame, text: str = "text", out: str = "tokens",
 
 def explode_tokens(df: DataFrame, keys: Sequence[str], tokens_col: str = "tokens",
                    out: str = "word") -> DataFrame:
-    """One row per (keys..., token)."""
-    return df.select(*keys, F.explode(tokens_col).alias(out))
+    """One row per (keys..., token).
+
+    ``explode`` makes the optimizer infer ``size(tokens) > 0`` and push it below
+    the projection that computes ``tokens`` -- which inlines the whole
+    segmentation regex into that filter and runs it a second time per row.
+    ``explode_outer`` plus a null filter above the generator gives the same rows
+    (tokens are never null) with the regex evaluated once.
+    """
+    exploded = df.select(*keys, F.explode_outer(tokens_col).alias(out))
+    return exploded.where(F.col(out).isNotNull())
 
 
 def remove_stop_words(words: DataFrame, stop: DataFrame, word: str = "word") -> DataFrame:
@@ -46,7 +54,8 @@ def remove_stop_words(words: DataFrame, stop: DataFrame, word: str = "word") ->
 def split_words(df: DataFrame, col: str = "value", sep: str = KEYWORD_SEPARATOR,
                 keys: Sequence[str] = (), out: str = "word") -> DataFrame:
     """T4: ``a,b,c`` lines -> one row per word (JVM split: trailing empties dropped)."""
-    return df.select(*keys, F.explode(jvm_split(col, sep)).alias(out))
+    exploded = df.select(*keys, F.explode_outer(jvm_split(col, sep)).alias(out))  # see explode_tokens
+    return exploded.where(F.col(out).isNotNull())
 
 
 def join_tokens(df: DataFrame, tokens_col: str = "tokens", out: str = "comment_text") -> DataFrame:
