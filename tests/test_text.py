@@ -51,3 +51,11 @@ def test_dictionary_table_path_equals_regex_path(spark, sf_small):
     b = {r.doc_id: r.tokens for r in segment_with_dictionary_table(docs, d).collect()}
     assert a == b
     assert a[-1] == ["武", "汉", "北京加油", "abc", "123", "of", "them", "of the", "end", "the end"]
+
+
+def test_segmentation_regex_evaluated_once_per_row(spark, sf_small):
+    """explode would let the optimizer copy the regex into an inferred filter."""
+    from moodwatch.plans import batch
+    for df in (batch.word_counts(spark, sf_small), batch.q_segment(spark, sf_small)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1, plan
