@@ -88,7 +88,7 @@ def append_monitors(existing: DataFrame, new: DataFrame, order: Sequence[str] =
     start = existing.agg((F.coalesce(F.max("monitor_id"), F.lit(0)) + F.lit(1)).cast("bigint")).scalar()
     ids = dense_ids(new, list(order), start, "monitor_id")
     day = F.current_date() if created is None else F.lit(created).cast("date")
-    return ids.select(F.col("monitor_id").cast("int"), "name", "words", day.alias("created"))
+    return ids.select(F.col("monitor_id").cast("bigint"), "name", "words", day.alias("created"))
 
 
 def monitor_page(monitors: DataFrame, search: str | None = None, page: int = 1, size: int = 10) -> DataFrame:

@@ -330,7 +330,7 @@ def q_keyword_explode_typed(spark, d):
 
 def q_keyword_explode_multi(spark, d):
     """E1 with the form's separators (comma or space, D13): ``"A, B, C"`` gives
-    clean keywords."""
+    clean keywords, and ``MIDDLE EAST`` two."""
     return monitors.keyword_explode(fx.monitors(spark, d, sep=", "), separators=", ")
 
 
@@ -357,8 +357,9 @@ def q_monitor_page(spark, d):
 
 
 def q_monitor_append(spark, d):
-    n = fx.table(spark, d, "nation").select(F.col("n_name").alias("name"), F.col("n_name").alias("words"))
-    return monitors.append_monitors(fx.monitors(spark, d), n, order=("name",), created=APPEND_DATE)
+    """K6: supplier monitors appended after the customer monitors, ids in name order."""
+    return monitors.append_monitors(fx.monitors(spark, d), fx.new_monitors(spark, d), order=("name",),
+                                    created=APPEND_DATE)
 
 
 def q_table_get(spark, d):

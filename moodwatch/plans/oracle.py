@@ -84,10 +84,9 @@ wide AS (
   FROM banded GROUP BY monitor_id, hour)"""
 
 MONITORS = """monitors AS (
-  SELECT r.r_regionkey AS monitor_id, r.r_name AS name,
-         string_agg(n.n_name, ',' ORDER BY n.n_nationkey) AS words, DATE '2024-01-01' AS created
-  FROM region r JOIN nation n ON n.n_regionkey = r.r_regionkey
-  GROUP BY r.r_regionkey, r.r_name),
+  SELECT c.c_custkey AS monitor_id, c.c_name AS name,
+         concat_ws(',', n.n_name, r.r_name, c.c_mktsegment) AS words, DATE '2024-01-01' AS created
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
 keywords AS (
   SELECT monitor_id, CAST(unnest(range(len(l))) AS INTEGER) AS keyword_pos, unnest(l) AS keyword
   FROM (SELECT monitor_id, __SPLIT__ AS l FROM monitors)),
@@ -263,7 +262,7 @@ breakdown AS (
     q["gender_share"] = _with(*gj) + """SELECT monitor_id, name, value,
        round(value * 100.0 / sum(value) OVER (PARTITION BY monitor_id), 6) AS share FROM breakdown"""
     q["keyword_explode"] = _with(frontier_tpl) + "SELECT monitor_id, keyword_pos, keyword FROM keywords"
-    typed = MONITORS.replace("string_agg(n.n_name, ',' ORDER BY", "string_agg(n.n_name, ', ' ORDER BY").replace(
+    typed = MONITORS.replace("concat_ws(',', n.n_name", "concat_ws(', ', n.n_name").replace(
         "__TEMPLATE__", B_TEMPLATE)
     q["keyword_explode_typed"] = _with(typed.replace("__SPLIT__", jvm_split("words", ",", ","))) + (
         "SELECT monitor_id, keyword_pos, keyword FROM keywords")
@@ -278,9 +277,10 @@ breakdown AS (
 WHERE contains(CAST(monitor_id AS VARCHAR), {_q(B.PAGE_SEARCH)}) OR contains(name, {_q(B.PAGE_SEARCH)})
    OR contains(words, {_q(B.PAGE_SEARCH)}) OR contains(CAST(created AS VARCHAR), {_q(B.PAGE_SEARCH)})
 ORDER BY monitor_id LIMIT {B.PAGE_SIZE} OFFSET {(B.PAGE_NUMBER - 1) * B.PAGE_SIZE}"""
-    q["monitor_append"] = f"""SELECT CAST((SELECT max(r_regionkey) FROM region) + row_number() OVER (ORDER BY n_name) AS INTEGER)
-         AS monitor_id, n_name AS name, n_name AS words, DATE {_q(B.APPEND_DATE)} AS created
-FROM nation"""
+    q["monitor_append"] = f"""SELECT CAST((SELECT max(c.c_custkey) FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+               JOIN region r ON n.n_regionkey = r.r_regionkey) + row_number() OVER (ORDER BY s.s_name) AS BIGINT)
+         AS monitor_id, s.s_name AS name, n.n_name AS words, DATE {_q(B.APPEND_DATE)} AS created
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey"""
     q["table_get"] = _with(USERS) + f"SELECT * FROM users WHERE user_id = {B.TABLE_GET_KEY}"
     q["html_strip"] = f"SELECT page_id, {strip('html')} AS text FROM pages"
     q["json_posts"] = _with(USERS, POSTS) + """SELECT monitor_id, post_id, mid, created_at, text, source, reposts_count,

@@ -69,25 +69,26 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def monitor_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (monitor, keyword): regions are monitors, nations their keywords."""
-    r = table(spark, sf_dir, "region")
+def monitors(spark: SparkSession, sf_dir: str, sep: str = KEYWORD_SEPARATOR) -> DataFrame:
+    """The monitor table ``(monitor_id, name, words, created)``: one monitor per
+    customer, tracking its nation, region and market segment, joined by ``sep``
+    as a user types the list.  Monitors share keywords heavily (every segment
+    keyword is shared by about a fifth of all monitors)."""
+    c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    return r.join(n, n.n_regionkey == r.r_regionkey).select(
-        r.r_regionkey.alias("monitor_id"), r.r_name.alias("name"), n.n_name.alias("keyword"),
-        n.n_nationkey.alias("keyword_pos"))
+    r = table(spark, sf_dir, "region")
+    return (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+            .select(F.col("c_custkey").alias("monitor_id"), F.col("c_name").alias("name"),
+                    F.concat_ws(sep, "n_name", "r_name", "c_mktsegment").alias("words"),
+                    F.lit("2024-01-01").cast("date").alias("created")))
 
 
-def monitors(spark: SparkSession, sf_dir: str, sep: str = KEYWORD_SEPARATOR) -> DataFrame:
-    """The monitor table ``(monitor_id, name, words, created)``; ``words`` is the
-    keyword list joined by ``sep`` (keywords in nation-key order)."""
-    kw = monitor_keywords(spark, sf_dir)
-    words = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("keyword_pos", "keyword"))), lambda s: s["keyword"]),
-        sep)
-    return (kw.groupBy("monitor_id", "name")
-            .agg(words.alias("words"))
-            .withColumn("created", F.lit("2024-01-01").cast("date")))
+def new_monitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitors to append: one per supplier, tracking its nation."""
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("s_name").alias("name"),
+                                                             F.col("n_name").alias("words"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
