@@ -26,7 +26,7 @@ def read_monitors(spark: SparkSession, path: str | None = None, url: str | None
                                  upperBound=(bounds["hi"] or 0) + 1, numPartitions=partitions, properties=props)
         else:
             df = spark.read.jdbc(url, table, properties=props)
-        return df.select(F.col(id_column).cast("int").alias("monitor_id"), "name", "words",
+        return df.select(F.col(id_column).cast("bigint").alias("monitor_id"), "name", "words",
                          F.col("date").cast("date").alias("created"))
     return spark.read.parquet(path).select(*MONITOR_COLUMNS)
 
@@ -37,8 +37,9 @@ def append_monitors_table(rows: DataFrame, path: str | None = None, url: str | N
     if url is not None:
         out = rows.select(F.col("monitor_id").alias("id"), "name", "words", F.col("created").alias("date"))
         out.write.mode("append").jdbc(url, table, properties=dict(properties or {}))
-    else:
-        rows.select(*MONITOR_COLUMNS).write.mode("append").parquet(path)
+    else:  # ids are BIGINT in the table, whatever the caller's type
+        rows.select(F.col("monitor_id").cast("bigint"), "name", "words", F.col("created").cast("date")) \
+            .write.mode("append").parquet(path)
 
 
 def save_bucketed(df: DataFrame, key: str, buckets: int, path: str, name: str | None = None) -> DataFrame:
