@@ -54,6 +54,11 @@ def url_owner(frontier: DataFrame, owner: str = "last",
         return frontier.select("url", "monitor_id").distinct()
     if owner != "last":
         raise ValueError("owner must be 'last' or 'all'")
+    order = list(order)
+    if order[0] == "monitor_id":
+        # every row of one URL carries the same keyword, so later positions only
+        # break ties inside one monitor: the owner is the largest id (hash aggregate)
+        return frontier.groupBy("url").agg(F.max("monitor_id").alias("monitor_id"))
     key = F.struct(*[F.col(c) for c in order])
     return frontier.groupBy("url").agg(F.max_by("monitor_id", key).alias("monitor_id"))
 
