@@ -1,11 +1,12 @@
 """Stream plans: the batch pipelines run as Structured Streaming queries.
 
 Each query writes the driver's rows into a topic folder (as the crawler
-would), runs the streaming job over it with ``availableNow`` and several
-micro-batches (one topic file per trigger, so state carries across batches),
-and returns the latest view of the upsert sink -- a batch DataFrame whose rows
-must equal the batch query of the same pipeline.  All folders are fresh
-sub-folders of the shared checkpoint folder.
+would), runs the streaming job over it with ``availableNow`` in ``BATCHES``
+micro-batches (each takes one topic file per core, as a Kafka batch takes one
+split per partition; state or deltas carry across batches), and returns the
+read view of the sink -- a batch DataFrame whose rows must equal the batch query
+of the same pipeline.  All folders are fresh sub-folders of the shared
+checkpoint folder.
 """
 
 from __future__ import annotations
