@@ -80,3 +80,32 @@ def test_bucketed_profiles_are_not_shuffled(spark, sf_small):
             metrics.gender_join(batch.decoded_comments(spark, sf_small), fx.users(spark, sf_small))))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_stream_batches_read_bucketed_profiles_in_place(spark, sf_small):
+    """Each micro-batch shuffles only its comments into the profile buckets."""
+    from moodwatch.sources import topics
+    from moodwatch.sources.tables import save_bucketed
+    profiles = save_bucketed(fx.users(spark, sf_small).select("user_id", "gender"), "user_id", 8,
+                             fresh_dir(spark, "sbucketed"))
+    topic = fresh_dir(spark, "sbt")
+    topics.write_topic(batch.comment_lines(spark, sf_small), topic, files=2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stateful in (True, False):
+            lines = topics.read_topic(spark, topic, max_files_per_trigger=1)
+            if stateful:
+                q = jobs.upsert(jobs.gender(lines, profiles), fresh_dir(spark, "sbs"), fresh_dir(spark, "sbc"),
+                                available_now=True, state_partitions=8)
+            else:
+                joined = metrics.gender_join(jobs.comments(lines), profiles)
+                q = jobs.delta_upsert(joined, ["monitor_id", "gender"], None, fresh_dir(spark, "sbs"),
+                                      fresh_dir(spark, "sbc"), available_now=True)
+            q.awaitTermination()
+            plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+            final = plan.split("== Initial Plan ==")[0]  # AQE runs the stateless micro-batches
+            assert "SelectedBucketsCount: 8 out of 8" in final
+            assert len(re.findall(r"Exchange hashpartitioning\(user_id", final)) == 1, (stateful, final)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
