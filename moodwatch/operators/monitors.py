@@ -96,9 +96,11 @@ def append_monitors(existing: DataFrame, new: DataFrame, order: Sequence[str] =
     return ids.select(F.col("monitor_id").cast("bigint"), "name", "words", day.alias("created"))
 
 
-def monitor_page(monitors: DataFrame, search: str | None = None, page: int = 1, size: int = 10) -> DataFrame:
-    """Q9: the monitor table filtered by a search text on any column, in id order,
-    one page.  Paging is the feature here (a sorted top-k with an offset)."""
+def monitor_page(monitors: DataFrame, search: str | None = None, page: int = 1, size: int = 10,
+                 sort: str = "monitor_id", descending: bool = False) -> DataFrame:
+    """Q9: the monitor table filtered by a search text on any column, sorted by
+    ``sort`` (ties by id, so pages are stable), one page.  Paging is the feature
+    here (a sorted top-k with an offset)."""
     df = monitors
     if search:
         cond = None
@@ -106,4 +108,6 @@ def monitor_page(monitors: DataFrame, search: str | None = None, page: int = 1,
             hit = F.col(c).cast("string").contains(F.lit(search))
             cond = hit if cond is None else (cond | hit)
         df = df.where(cond)
-    return df.orderBy("monitor_id").offset((page - 1) * size).limit(size)
+    key = F.col(sort).desc() if descending else F.col(sort).asc()
+    ties = [] if sort == "monitor_id" else [F.col("monitor_id")]
+    return df.orderBy(key, *ties).offset((page - 1) * size).limit(size)

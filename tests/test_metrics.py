@@ -117,3 +117,11 @@ def test_url_tag_joins_frontier_owner(spark):
     fetched = spark.createDataFrame([("s?q=k&p=3", "r1"), ("other", "r2")], "url string, raw string")
     got = [(r.raw, r.monitor_id) for r in records.tag_with_monitor(fetched, owner).collect()]
     assert got == [("r1", 1)]
+
+
+def test_monitor_page_sorted_by_name_desc(spark):
+    mons = spark.createDataFrame([(i, f"n{i % 3}", "k", dt.date(2024, 1, 1)) for i in range(1, 8)],
+                                 "monitor_id int, name string, words string, created date")
+    got = [(r.name, r.monitor_id) for r in monitors.monitor_page(mons, page=1, size=4, sort="name",
+                                                                  descending=True).collect()]
+    assert got == [("n2", 2), ("n2", 5), ("n1", 1), ("n1", 4)]
