@@ -356,6 +356,12 @@ def q_monitor_page(spark, d):
     return monitors.monitor_page(q_monitor_list(spark, d), PAGE_SEARCH, PAGE_NUMBER, PAGE_SIZE)
 
 
+def q_monitor_page_sorted(spark, d):
+    """Q9 sorted by name, descending (the list widget's column sort)."""
+    return monitors.monitor_page(q_monitor_list(spark, d), PAGE_SEARCH, PAGE_NUMBER, PAGE_SIZE,
+                                 sort="name", descending=True)
+
+
 def q_monitor_append(spark, d):
     """K6: supplier monitors appended after the customer monitors, ids in name order."""
     return monitors.append_monitors(fx.monitors(spark, d), fx.new_monitors(spark, d), order=("name",),

@@ -277,6 +277,8 @@ breakdown AS (
 WHERE contains(CAST(monitor_id AS VARCHAR), {_q(B.PAGE_SEARCH)}) OR contains(name, {_q(B.PAGE_SEARCH)})
    OR contains(words, {_q(B.PAGE_SEARCH)}) OR contains(CAST(created AS VARCHAR), {_q(B.PAGE_SEARCH)})
 ORDER BY monitor_id LIMIT {B.PAGE_SIZE} OFFSET {(B.PAGE_NUMBER - 1) * B.PAGE_SIZE}"""
+    q["monitor_page_sorted"] = q["monitor_page"].replace(
+        "ORDER BY monitor_id LIMIT", "ORDER BY name DESC, monitor_id LIMIT")
     q["monitor_append"] = f"""SELECT CAST((SELECT max(c.c_custkey) FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
                JOIN region r ON n.n_regionkey = r.r_regionkey) + row_number() OVER (ORDER BY s.s_name) AS BIGINT)
          AS monitor_id, s.s_name AS name, n.n_name AS words, DATE {_q(B.APPEND_DATE)} AS created

@@ -82,6 +82,8 @@ def cluster_conf(total_cores: int, state_store: str = "rocksdb") -> dict[str, st
     if state_store == "rocksdb":
         conf["spark.sql.streaming.stateStore.providerClass"] = (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        # upload per-batch changelogs instead of full snapshots every batch
+        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     return conf
 
 
