@@ -7,6 +7,10 @@ emits the keys a micro-batch changed.  Each emitted batch goes through
 (overwrite of ``batch_id=<id>``), so a replayed batch replaces itself and the
 checkpoint makes the pipeline exactly-once.  One checkpoint folder per query;
 ``spark.sql.shuffle.partitions`` is fixed for the life of a checkpoint.
+
+Additive totals can skip the state store altogether (:func:`delta_upsert`):
+each micro-batch is aggregated on its own inside ``foreachBatch`` and the read
+side sums the per-batch deltas.
 """
 
 from __future__ import annotations
