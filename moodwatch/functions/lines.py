@@ -57,5 +57,17 @@ def field_count(col: str | Column, sep: str = FIELD_SEPARATOR) -> Column:
 
 
 def has_arity(col: str | Column, n: int, sep: str = FIELD_SEPARATOR) -> Column:
-    """True when the line has exactly ``n`` fields under JVM split rules."""
-    return field_count(col, sep) == F.lit(n)
+    """True when the line has exactly ``n`` fields under JVM split rules.
+
+    For a one-character separator and ``n >= 2`` this is one anchored regex:
+    ``n - 2`` separated fields, a separator, a non-empty last field, then only
+    trailing separators (which the JVM drops).  The line is referenced once, so
+    when the optimizer pushes this filter below the projection that builds the
+    line, the line expression is inlined once, not once per sub-expression.
+    """
+    if len(sep) != 1 or n < 2:
+        return field_count(col, sep) == F.lit(n)
+    q = re.escape(sep)
+    field = f"[^{q}]"
+    pattern = f"^{field}*(?:{q}{field}*){{{n - 2}}}{q}{field}+(?:{q})*\\z"
+    return _c(col).rlike(pattern)

@@ -7,13 +7,14 @@ to a reject output instead of failing the batch.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodwatch.functions.constants import COMMENT_FIELDS, POST_FIELDS, USER_FIELDS
+from moodwatch.functions.constants import COMMENT_FIELDS, FIELD_SEPARATOR, POST_FIELDS, USER_FIELDS
 from moodwatch.functions.lines import encode_fields, has_arity, jvm_split
 from moodwatch.functions.text import strip_tags
 from moodwatch.functions.timefmt import format_created_at, hour_bucket, parse_created_at
@@ -53,7 +54,9 @@ def arity_rejects(lines: DataFrame, n: int = 6, col: str = VALUE) -> DataFrame:
 
 # --- R8-R10: decode -----------------------------------------------------------
 def _fields(col: str = VALUE):
-    parts = jvm_split(col)
+    """Field ``i`` of a line that passed :func:`has_arity` (for those lines the
+    first fields of a plain split and of the JVM split are the same)."""
+    parts = F.split(F.col(col), re.escape(FIELD_SEPARATOR), -1)
     return lambda i: F.get(parts, i)
 
 

@@ -6,7 +6,7 @@ from urllib.parse import quote
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from moodwatch.functions.lines import field_count, jvm_split
+from moodwatch.functions.lines import field_count, has_arity, jvm_split
 from moodwatch.functions.text import tokens, url_encode_path
 
 SETTINGS = dict(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -23,15 +23,18 @@ def java_split(s: str, sep: str) -> list[str]:
 
 
 @settings(**SETTINGS)
-@given(st.lists(st.text(alphabet="ab|\n,", max_size=12), min_size=20, max_size=40))
+@given(st.lists(st.text(alphabet="ab|\n,", max_size=14), min_size=40, max_size=80))
 def test_jvm_split_matches_java(spark, lines):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, s string")
     for sep in ("|", ","):
-        got = {r.i: (r.p, r.n) for r in df.select("i", jvm_split("s", sep).alias("p"),
-                                                  field_count("s", sep).alias("n")).collect()}
+        got = {r.i: (r.p, r.n, r.a2, r.a3, r.a6) for r in df.select(
+            "i", jvm_split("s", sep).alias("p"), field_count("s", sep).alias("n"),
+            has_arity("s", 2, sep).alias("a2"), has_arity("s", 3, sep).alias("a3"),
+            has_arity("s", 6, sep).alias("a6")).collect()}
         for i, s in enumerate(lines):
             want = java_split(s, sep)
-            assert got[i] == (want, len(want)), (s, sep)
+            n = len(want)
+            assert got[i] == (want, n, n == 2, n == 3, n == 6), (s, sep)
 
 
 _text = st.text(st.characters(blacklist_categories=("Cs",)), max_size=15)
