@@ -59,3 +59,16 @@ def test_segmentation_regex_evaluated_once_per_row(spark, sf_small):
     for df in (batch.word_counts(spark, sf_small), batch.q_segment(spark, sf_small)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("regexp_extract_all") == 1, plan
+
+
+def test_stop_words_as_a_table(spark, sf_small):
+    """T2 with a stop list held as a table: anti-join after the explode equals
+    filtering inside the token array."""
+    from moodwatch.plans import batch
+    c = batch.decoded_comments(spark, sf_small)
+    stop = ["the", "de", "und", "la"]
+    inline = text.explode_tokens(text.segment(c, stop_words=stop), ["monitor_id"])
+    words = text.explode_tokens(text.segment(c, stop_words=[]), ["monitor_id"])
+    table = text.remove_stop_words(words, spark.createDataFrame([(w,) for w in stop], "w string"))
+    rows = lambda df: sorted((r.monitor_id, r.word) for r in df.collect())
+    assert rows(table) == rows(inline)
