@@ -125,3 +125,16 @@ def test_monitor_page_sorted_by_name_desc(spark):
     got = [(r.name, r.monitor_id) for r in monitors.monitor_page(mons, page=1, size=4, sort="name",
                                                                   descending=True).collect()]
     assert got == [("n2", 2), ("n2", 5), ("n1", 1), ("n1", 4)]
+
+
+def test_profile_column_reads_two_columns(spark, sf_small):
+    """A one-attribute lookup scans only the key and that attribute."""
+    from moodwatch.session import fresh_dir
+    from moodwatch.sources import fixtures as fx
+    from moodwatch.sources import tables
+    path = fresh_dir(spark, "profiles")
+    fx.users(spark, sf_small).write.parquet(path)
+    col = tables.profile_column(spark.read.parquet(path), "gender")
+    col.collect()
+    plan = col._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<user_id:bigint,gender:string>" in plan
