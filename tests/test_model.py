@@ -47,10 +47,13 @@ def test_hashing_scores_equal_brute_force(spark, sf_small):
     idf_v = idf.idf.toArray()
     theta, pi = nb.theta.toArray(), nb.pi.toArray()
     for r in rows:
-        x = np.zeros(tf.getNumFeatures())
+        counts: dict[int, float] = {}
         for term in r.t.lower().split(" ") if r.t else [""]:
-            x[hashing.indexOf(term)] += 1.0
-        raw = pi + theta @ (x * idf_v)
+            i = hashing.indexOf(term)
+            counts[i] = counts.get(i, 0.0) + 1.0
+        idx = np.array(sorted(counts))
+        x = np.array([counts[i] for i in idx]) * idf_v[idx]
+        raw = pi + theta[:, idx] @ x
         p = np.exp(raw - raw.max())
         p /= p.sum()
         pred, p0, p1 = got[r.doc_id]
