@@ -46,10 +46,16 @@ def test_hashing_scores_equal_brute_force(spark, sf_small):
     hashing = HashingTF(numFeatures=tf.getNumFeatures())
     idf_v = idf.idf.toArray()
     theta, pi = nb.theta.toArray(), nb.pi.toArray()
+    # hash indices of all distinct terms in one job (the hash HashingTF.indexOf uses)
+    docs_terms = {r.doc_id: (r.t.lower().split(" ") if r.t else [""]) for r in rows}
+    distinct = sorted({t for ts in docs_terms.values() for t in ts})
+    one_hot = hashing.setInputCol("f").setOutputCol("v").transform(
+        spark.createDataFrame([([t],) for t in distinct], "f array<string>"))
+    index = {row.f[0]: int(row.v.indices[0]) for row in one_hot.collect()}
     for r in rows:
         counts: dict[int, float] = {}
-        for term in r.t.lower().split(" ") if r.t else [""]:
-            i = hashing.indexOf(term)
+        for term in docs_terms[r.doc_id]:
+            i = index[term]
             counts[i] = counts.get(i, 0.0) + 1.0
         idx = np.array(sorted(counts))
         x = np.array([counts[i] for i in idx]) * idf_v[idx]
