@@ -336,6 +336,7 @@ FROM banded GROUP BY monitor_id, hour"""
     # streams: the latest view of each sink equals the batch result
     q["stream_word_counts"] = q["word_counts"]
     q["stream_gender_counts"] = q["gender_counts"]
+    q["stream_gender_counts_delta"] = q["gender_counts"]
     q["stream_word_counts_delta"] = q["word_counts"]
     q["stream_trend_delta"] = q["trend_wide"]
     q["stream_trend_scored"] = q["trend_wide"]

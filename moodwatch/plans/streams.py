@@ -82,6 +82,15 @@ def q_stream_trend_delta(spark, d):
     return changelog.totals_view(spark, sink, keys, list(sums))
 
 
+def q_stream_gender_counts_delta(spark, d):
+    """L3 as a stateless stream: stream-static join with profiles, per-batch
+    gender deltas, summed on read."""
+    from moodwatch.operators import metrics
+    joined = metrics.gender_join(jobs.comments(_read(spark, _comment_topic(spark, d))), fx.users(spark, d))
+    sink = _run_delta(spark, joined, ["monitor_id", "gender"], None, "gender-delta")
+    return changelog.totals_view(spark, sink, ["monitor_id", "gender"], ["n"])
+
+
 def q_stream_gender_counts(spark, d):
     lines = _read(spark, _comment_topic(spark, d))
     out = jobs.gender(lines, fx.users(spark, d))
