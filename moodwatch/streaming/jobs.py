@@ -154,9 +154,11 @@ def trend_sums() -> tuple[list[str], dict[str, object]]:
         for name, v in (("positive", LABEL_POSITIVE), ("negative", LABEL_NEGATIVE), ("neutral", LABEL_NEUTRAL))}
 
 
-def preview(df: DataFrame, rows: int = 20, output_mode: str = "update") -> StreamingQuery:
+def preview(df: DataFrame, rows: int = 20, output_mode: str = "update",
+            available_now: bool = False) -> StreamingQuery:
     """K8: the first rows of every batch on stdout."""
-    return df.writeStream.outputMode(output_mode).format("console").option("numRows", rows).start()
+    w = df.writeStream.outputMode(output_mode).format("console").option("numRows", rows)
+    return (w.trigger(availableNow=True) if available_now else w).start()
 
 
 def run_to_end(df: DataFrame, sink: str, checkpoint: str, output_mode: str = "update",

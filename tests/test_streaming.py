@@ -159,3 +159,14 @@ def test_complete_mode_sink(spark, sf_small):
     got = jobs.latest(spark, sink, ["monitor_id", "word"], None)
     cols = ["monitor_id", "word", "n"]
     assert _rows(got, cols) == _rows(batch.word_counts(spark, sf_small), cols)
+
+
+def test_console_preview(spark, sf_small):
+    """K8: the console sink runs (it prints from the JVM, so check the progress)."""
+    lines = batch.comment_lines(spark, sf_small)
+    topic = fresh_dir(spark, "pv")
+    topics.write_topic(lines, topic, files=1)
+    q = jobs.preview(jobs.word_cloud(topics.read_topic(spark, topic)), rows=3, available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == lines.count()
