@@ -138,3 +138,12 @@ def test_profile_column_reads_two_columns(spark, sf_small):
     col.collect()
     plan = col._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<user_id:bigint,gender:string>" in plan
+
+
+def test_neutral_band_default_threshold_edges(spark):
+    """D3 at 0.3: just below is neutral (values exact in binary); 0.65 - 0.35 is
+    0.30000000000000004 in doubles, so not below 0.3 -> keeps the prediction."""
+    rows = [(1, 0.6484375, 0.3515625), (2, 0.65, 0.35), (3, 0.35, 0.65), (4, 0.5, 0.5)]
+    df = spark.createDataFrame(rows, "id int, p0 double, p1 double")
+    got = {r.id: r.label for r in model.neutral_band(df).collect()}
+    assert got == {1: 2.0, 2: 0.0, 3: 1.0, 4: 2.0}
