@@ -338,6 +338,7 @@ FROM banded GROUP BY monitor_id, hour"""
     q["stream_gender_counts"] = q["gender_counts"]
     q["stream_gender_counts_delta"] = q["gender_counts"]
     q["stream_word_counts_delta"] = q["word_counts"]
+    q["stream_word_cloud_compacted"] = _with(*seg) + "SELECT monitor_id, word, n * 2 AS n FROM word_counts"
     q["stream_trend_delta"] = q["trend_wide"]
     q["stream_trend_scored"] = q["trend_wide"]
     q["stream_trend_windowed"] = q["trend_wide"]

@@ -75,6 +75,23 @@ def q_stream_word_counts_delta(spark, d):
     return changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"])
 
 
+def q_stream_word_cloud_compacted(spark, d):
+    """L2 read through incremental compaction: the topic is streamed and the
+    sink compacted; then every comment is re-sent (counted again, D2), streamed
+    and compacted incrementally; the read is snapshot + newer batches."""
+    from moodwatch.streaming import apps
+    topic = fresh_dir(spark, "topic-com")
+    lines = batch.comment_lines(spark, d)
+    sink, ckpt, snap = fresh_dir(spark, "sink-wc"), fresh_dir(spark, "ckpt-wc"), fresh_dir(spark, "snap-wc")
+    for seg in range(2):
+        topics.write_topic(lines, topic, segment=seg, files=2 * _parts(spark))
+        q = jobs.delta_upsert(jobs.word_rows(_read(spark, topic)), ["monitor_id", "word"], None, sink, ckpt,
+                              available_now=True)
+        q.awaitTermination()
+        apps.compact_sink(spark, "words", sink, snap)
+    return changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap)
+
+
 def q_stream_trend_delta(spark, d):
     """L1 (stand-in scores) as a stateless stream of per-batch trend deltas."""
     keys, sums = jobs.trend_sums()
