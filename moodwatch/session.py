@@ -24,22 +24,20 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints, change logs and topic files.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only when
-    neither is set -- a local test session -- a fresh folder under the system temp
-    dir is created and registered, so ``DataFrame.checkpoint()`` works too.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    A folder registered with ``setCheckpointDir`` wins over ``spark.checkpoint.dir``, as
+    in Spark itself.  Where neither is set, a session on one machine (``local[...]``) gets
+    a new temporary folder; any other session must name a shared one."""
     try:
         sc = spark.sparkContext
     except Exception:  # a session without a context handle (e.g. Spark Connect)
         sc = None
-    if not path and sc is not None:
-        path = sc.getCheckpointDir()
+    path = sc.getCheckpointDir() if sc is not None else None
+    path = path or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="moodwatch-")
-        if sc is not None:
-            sc.setCheckpointDir(path)
-            path = sc.getCheckpointDir() or path
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="moodwatch-"))
+        path = sc.getCheckpointDir()
     return path.rstrip("/")
 
 
