@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from moodwatch.session import fresh_dir
 
@@ -28,7 +29,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_pass(df: DataFrame, columns: list[str], schema: str,
+def arrow_pass(df: DataFrame, columns: list[str], schema: str | StructType,
                make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]) -> DataFrame:
     """Run a batch function over ``columns``.  ``make`` is called once a task, on the
     executor, so that it can open models and caches there."""

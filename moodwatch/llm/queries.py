@@ -29,6 +29,13 @@ def op8_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"))
 
 
+def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that aren't held out."""
+    from moodwatch.llm.langid import identify, learn
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, learn(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
 
