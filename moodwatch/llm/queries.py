@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the sentences of repeated spans."""
+    from moodwatch.llm.substring import dedup
+    return dedup(_table(spark, sf_dir, "documents"))
+
+
 def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     from moodwatch.llm.packing import pack_documents
@@ -29,6 +35,12 @@ def op8_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"))
 
 
+def op9_log_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of recurring templates."""
+    from moodwatch.llm.lines import dedup
+    return dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that aren't held out."""
     from moodwatch.llm.langid import identify, learn
@@ -41,4 +53,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from moodwatch.llm.lines import ORACLE_SQL
+    return {"op9_log_templates": ORACLE_SQL}
