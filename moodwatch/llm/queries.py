@@ -29,6 +29,12 @@ def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    from moodwatch.llm.neardup import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt to 40 shards of near equal bytes."""
     from moodwatch.llm.sharding import shard
