@@ -23,6 +23,12 @@ def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_edit_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that stand in documents."""
+    from moodwatch.llm.decontam import matches
+    return matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in ORC files, read back."""
     from moodwatch.llm.tokenfile import token_file_digest
