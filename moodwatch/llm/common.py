@@ -58,11 +58,13 @@ def running_total(df: DataFrame, order: list[str], value: Column | str, out: str
     return slice_total(ranged, "_slice", order, "_value", out).drop("_slice", "_value")
 
 
-def slice_total(df: DataFrame, slice_col: str, order: list[str], value: str, out: str) -> DataFrame:
-    """:func:`running_total` over rows whose ``slice_col`` already ascends with ``order``."""
+def slice_total(df: DataFrame, slice_col: str, order: list[str], value: str, out: str,
+                sums_of: DataFrame | None = None) -> DataFrame:
+    """:func:`running_total` over rows whose ``slice_col`` already ascends with ``order``.
+    ``sums_of``: a cheaper frame with the same slices and values to take the sums from."""
     before = Window.orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(slice_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    bases = (df.groupBy(slice_col).agg(F.sum(value).alias("_sum"))
+    bases = ((df if sums_of is None else sums_of).groupBy(slice_col).agg(F.sum(value).alias("_sum"))
              .select(slice_col, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")))
     return (df.join(F.broadcast(bases), slice_col)  # one row a slice
             .withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0)))

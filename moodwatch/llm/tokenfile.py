@@ -92,7 +92,8 @@ def token_digest(rows: DataFrame) -> DataFrame:
         return work
 
     dug = arrow_pass(rows, ["slice", "doc_id", "ids"], "slice int, doc_id long, n_tokens long, ids_crc32 long", make)
-    return slice_total(dug, "slice", ["doc_id", "ids_crc32"], "n_tokens", "start").select(
+    # the sums of slices come from the files' n_tokens column alone, without the ids
+    return slice_total(dug, "slice", ["doc_id", "ids_crc32"], "n_tokens", "start", rows.select("slice", "n_tokens")).select(
         "doc_id", "start", "n_tokens", "ids_crc32")
 
 
