@@ -17,6 +17,13 @@ def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth vector."""
+    from moodwatch.llm.ann import nearest
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     from moodwatch.llm.packing import pack_documents
