@@ -24,6 +24,13 @@ def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op3_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from moodwatch.llm.html import extract, learn
+    pages = _table(spark, sf_dir, "pages")
+    return extract(pages, learn(pages))
+
+
 def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     from moodwatch.llm.packing import pack_documents
@@ -67,8 +74,14 @@ def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, learn(docs))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through the stages of the corpus pipeline."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
+    return {n: f for n, f in globals().items() if n == "pipeline" or n.startswith("op") and n[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
