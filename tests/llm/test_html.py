@@ -1,0 +1,80 @@
+import random
+
+import numpy as np
+import pytest
+
+from moodwatch.llm import html
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def page(prose, k):
+    body = "".join(f"<p>{prose(30, 10 * k + j)}</p>" for j in range(3))
+    return (f"<html><head><title>T</title><script>var a='<p>no</p>';</script></head><body><nav><ul><li><a href=1>Home</a><li><a href=2>News {k}</a>"
+            f"</ul></nav><article><h1>Title {k}</h1>{body}</article><div class='comments'><p>{prose(12, 900 + k)}</p></div>"
+            f"<footer>&copy; site {k}</footer></body></html>"), "\n".join([f"Title {k}", *(prose(30, 10 * k + j) for j in range(3))])
+
+
+def test_blocks():
+    cut = html.blocks("<p>a &amp; b<br>c\n d<p>e <b>f</b></p><script>x<p>y</script><!-- <p>z --><div>g<a href='>'>h</a></div><style>no")
+    assert [b.text for b in cut] == ["a & b c d", "e f", "gh"]
+    assert cut[2].links == 1
+    assert html.blocks(None) == html.blocks("") == html.blocks("<script>never closed") == []
+    assert [b.text for b in html.blocks("cut off <a href=\"")] == ["cut off"]
+    assert [b.text for b in html.blocks("1 < 2 &lt; 3")] == ["1 < 2 < 3"]
+
+
+def test_long_page():
+    cut = html.blocks("<div>" * 5000 + "<p>x</p>" * 3000 + "y" * 200_000)
+    assert len(cut) == 3001
+
+
+def test_gradient():
+    rng = np.random.default_rng(0)
+    w = html._start(rng)
+    pages = [html.features(html.blocks("<p>one two</p><div class=ad>three</div><p>four</p>")), html.features(html.blocks("<p>five</p>"))]
+    labels = [np.array([1, 0, 1], np.float32), np.array([0], np.float32)]
+
+    def loss():
+        lengths, *_, p = html._run(w, pages)
+        return -sum(np.log(np.where(y > 0, p[k, :len(y)], 1 - p[k, :len(y)])).sum() for k, y in enumerate(labels)) / lengths.sum()
+
+    grad = html._gradient(w, pages, labels)
+    for name in ("xf", "hb", "out", "cf", "path", "word"):
+        at = np.unravel_index(np.abs(grad[name]).argmax(), grad[name].shape)
+        old = w[name][at]
+        w[name][at] = old + 1e-2
+        up = loss()
+        w[name][at] = old - 1e-2
+        down = loss()
+        w[name][at] = old
+        assert (up - down) / 2e-2 == pytest.approx(grad[name][at], rel=0.05, abs=1e-4), name
+
+
+def test_extract(frame, prose):
+    made = [page(prose, k) for k in range(60)]
+    rows = [(k, f"http://x/{k}", p) for k, (p, _) in enumerate(made)]
+    rows += [(100, None, None), (101, "u", ""), (None, "u", made[0][0]), (0, "http://x/0", made[0][0]), (102, "u", "<nav>a</nav>")]
+    df = frame([(*r, "z") for r in rows], SCHEMA + ", text string")
+    weights = html.learn(df)
+    out = html.extract(df, weights).collect()
+    assert len(out) == len(rows)
+    assert sum(r.text == made[r.page_id][1] for r in out if r.page_id is not None and r.page_id < 60) >= 58
+    assert all(r.text == "" and r.n_chars == 0 for r in out if r.page_id in (100, 101, 102))
+    assert all(r.n_chars == len(r.text) for r in out)
+    empty = frame([], SCHEMA)
+    assert html.extract(empty, html.learn(empty)).collect() == []
+
+
+def test_held_out_layouts(prose):
+    """Layouts that the network wasn't fitted on."""
+    rng = np.random.default_rng(5)
+    pages = [page(prose, k)[0] for k in range(80)]
+    w = html.train(pages[:60])
+    wrong = total = 0
+    for p in pages[60:]:
+        b = html.blocks(p)
+        made, known = html.relayout(b, html.teach(b), [prose(20, random.Random(1).randint(0, 99))] * 4, rng)
+        wrong += int((html.label(w, [made])[0] != (known > 0)).sum())
+        total += len(known)
+    assert wrong <= 0.1 * total
