@@ -41,8 +41,8 @@ class _Ends:
         """The last group end in ``capacity`` of ``place``; unsure ones count if hopeful."""
         limit = place + capacity
         i = bisect_right(self.first, limit) - 1
-        if i < 0:
-            return limit if hopeful else place
+        if i < 0:  # the first end is always known
+            return place
         first, last = self.stretches[i]
         if last <= limit:
             return max(place, last)
