@@ -22,6 +22,7 @@ trigger until stopped.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import sys
 
 from pyspark.sql import SparkSession
@@ -33,10 +34,12 @@ def _parser() -> argparse.ArgumentParser:
     t = sub.add_parser("train", help="fit the sentiment model on (text, label) rows and save it")
     t.add_argument("--labelled", required=True)
     t.add_argument("--model", required=True)
-    t.add_argument("--vocabulary", action="store_true")
     for name in ("words", "trend", "gender", "users"):
         s = sub.add_parser(name)
-        s.add_argument("--topic", required=True)
+        source = s.add_mutually_exclusive_group(required=True)
+        source.add_argument("--topic", help="folder of a file topic")
+        source.add_argument("--kafka", help="servers/topic, e.g. host:9092,host2:9092/com")
+        s.add_argument("--max-offsets", type=int, help="Kafka messages a batch (rate limit)")
         s.add_argument("--sink", required=True)
         s.add_argument("--checkpoint")
         s.add_argument("--trigger", default="5 seconds")
@@ -50,15 +53,18 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--model", required=True)
         if name == "gender":
             s.add_argument("--profiles", required=True, help="sink folder of the users stream")
+            s.add_argument("--profiles-snapshot", help="its snapshot folder")
     r = sub.add_parser("show", help="print a read-side query")
-    r.add_argument("--what", choices=("trend", "words", "gender", "users"), required=True)
+    r.add_argument("--what", choices=("trend", "series", "words", "word", "gender", "users"), required=True)
+    r.add_argument("--word")
     r.add_argument("--sink", required=True)
     r.add_argument("--monitor")
     r.add_argument("--stateful", action="store_true")
     r.add_argument("--snapshot")
     r.add_argument("--rows", type=int, default=50)
     c = sub.add_parser("compact", help="fold a sink into a new snapshot version")
-    c.add_argument("--what", choices=("trend", "words", "gender"), required=True)
+    c.add_argument("--what", choices=("trend", "words", "gender", "users"), required=True)
+    c.add_argument("--expire", action="store_true", help="delete the folded batches")
     c.add_argument("--sink", required=True)
     c.add_argument("--snapshot", required=True)
     c.add_argument("--stateful", action="store_true")
@@ -68,6 +74,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     from moodwatch.operators import model
     from moodwatch.session import pin_utc, shared_dir
+    from moodwatch.sinks import changelog
     from moodwatch.sources import topics
     from moodwatch.streaming import apps
 
@@ -76,24 +83,37 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     pin_utc(spark)
 
     if args.cmd == "train":
-        fitted = model.train(spark.read.parquet(args.labelled), vocabulary=args.vocabulary)
+        fitted = model.train(spark.read.parquet(args.labelled))
         fitted.write().overwrite().save(args.model)
         return fitted
 
     if args.cmd == "compact":
-        return apps.compact_sink(spark, args.what, args.sink, args.snapshot, args.stateful)
+        version = apps.compact_sink(spark, args.what, args.sink, args.snapshot, args.stateful)
+        if args.expire:
+            changelog.expire(spark, args.sink, args.snapshot)
+        return version
 
     if args.cmd == "show":
         snap = args.snapshot
         read = {"trend": lambda: apps.read_trend(spark, args.sink, args.monitor, args.stateful, args.rows, snap),
                 "words": lambda: apps.read_word_cloud(spark, args.sink, args.monitor, args.stateful, snapshot=snap),
                 "gender": lambda: apps.read_gender(spark, args.sink, args.monitor, args.stateful, snap),
-                "users": lambda: apps.read_profiles(spark, args.sink)}[args.what]()
+                "series": lambda: apps.read_series(spark, args.sink, args.monitor, args.stateful, snapshot=snap),
+                "word": lambda: apps.read_word(spark, args.sink, args.monitor, args.word, args.stateful, snap),
+                "users": lambda: apps.read_profiles(spark, args.sink, snap)}[args.what]()
         read.show(args.rows, truncate=False)
         return read
 
-    checkpoint = args.checkpoint or f"{shared_dir(spark)}/{args.cmd}-{args.sink.rstrip('/').split('/')[-1]}"
-    lines = topics.read_topic(spark, args.topic, max_files_per_trigger=args.max_files)
+    # one checkpoint a sink, named by its whole path; the sink refuses any other (jobs.claim)
+    name = hashlib.sha256(args.sink.rstrip("/").encode()).hexdigest()[:16]
+    checkpoint = args.checkpoint or f"{shared_dir(spark)}/checkpoints/{args.cmd}-{name}"
+    kafka = None
+    if args.kafka:
+        servers, _, topic = args.kafka.rpartition("/")
+        kafka = {"kafka.bootstrap.servers": servers, "subscribe": topic}
+        if args.max_offsets:
+            kafka["maxOffsetsPerTrigger"] = str(args.max_offsets)
+    lines = topics.read_topic(spark, args.topic, kafka, max_files_per_trigger=args.max_files)
     common = dict(trigger=args.trigger, available_now=args.once)
     if args.cmd == "users":
         q = apps.profile_app(lines, args.sink, checkpoint, **common)
@@ -105,8 +125,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         elif args.cmd == "trend":
             q = apps.sentiment_app(lines, model.load(args.model), args.sink, checkpoint, **common, **extra)
         else:
-            q = apps.gender_app(lines, apps.read_profiles(spark, args.profiles), args.sink, checkpoint,
-                                **common, **extra)
+            q = apps.gender_app(lines, lambda: apps.read_profiles(spark, args.profiles, args.profiles_snapshot), args.sink,
+                                checkpoint, **common, **extra)
     q.awaitTermination()
     return q
 

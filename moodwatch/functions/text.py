@@ -17,10 +17,10 @@ from moodwatch.functions.constants import EXTENSION_WORDS, STOP_WORDS, TAG_PATTE
 # Java, as it is in Python's ``re``.
 TAG_REGEX = "(?U)" + TAG_PATTERN
 
-# Letters and digits that are not Han characters, written without class
-# intersection so the same shape works in RE2 (``\p{Han}`` there).
-_RUN_CHAR = r"[^\P{L}\p{IsHan}]|[^\P{N}\p{IsHan}]"
-_RUN = f"(?:{_RUN_CHAR})+"
+# Letters and digits that are not Han characters: one class, possessive, so the
+# matcher neither recurses nor backtracks over a run of any length.
+_RUN_CHAR = r"[\p{L}\p{N}&&[^\p{IsHan}]]"
+_RUN = f"{_RUN_CHAR}++"
 _HAN = r"\p{IsHan}"
 
 # Full-width ASCII (U+FF01..U+FF5E) and the ideographic space fold to ASCII,

@@ -55,7 +55,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, how:
     flags = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     salted_big = (big.join(flags, key, "left")
-                  .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets)))
+                  # a null key matches nothing; its rows are spread like a hot key's
+                  .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(row_hash, F.lit(buckets)))
                               .otherwise(F.lit(0)).cast("int"))
                   .drop("_hot"))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from moodwatch.functions.constants import LABEL_NEGATIVE, LABEL_NEUTRAL, LABEL_POSITIVE, LABEL_NAMES
 
 
+#: tasks over which rows without a join key are spread
+NULL_BUCKETS = 1024
+
+
 def word_counts(words: DataFrame, keys=("monitor_id", "word")) -> DataFrame:
     """A3 (and A5 with ``keys=("word",)``): occurrences per key."""
     return words.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -40,7 +44,11 @@ def gender_join(comments: DataFrame, profiles: DataFrame, hot: DataFrame | None
     if hot is not None:
         from moodwatch.operators.joins import salted_join
         return salted_join(comments, g, "user_id", hot, "left")
-    return comments.join(g, "user_id", "left")
+    # comments without a user match nothing: a second key deals them over many tasks
+    others = [c for c in comments.columns if c != "user_id"]
+    spread = F.when(F.col("user_id").isNull(), F.pmod(F.xxhash64(*others), F.lit(NULL_BUCKETS))).otherwise(F.lit(0))
+    return (comments.withColumn("_spread", spread.cast("int"))
+            .join(g.withColumn("_spread", F.lit(0)), ["user_id", "_spread"], "left").drop("_spread"))
 
 
 def gender_counts(joined: DataFrame) -> DataFrame:

@@ -2,9 +2,8 @@
 multinomial Naive Bayes, then the neutral band and label names.
 
 All stages are Spark ML JVM transformers, so scoring stays out of Python.  The
-feature step is ``HashingTF`` by default (no vocabulary on the driver, fixed
-vector width); ``vocabulary=True`` swaps in ``CountVectorizer`` so the fitted
-model can be recomputed exactly in SQL.  The model is fitted or loaded once when
+feature step is ``HashingTF`` (no vocabulary on the driver, fixed vector width);
+:mod:`moodwatch.operators.bayes` is the same model over exact terms, as tables.  The model is fitted or loaded once when
 a query is defined, never per batch.
 """
 
@@ -12,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +23,6 @@ from moodwatch.session import materialize
 
 MODEL_INPUT = "comment_text"
 NUM_FEATURES = 1 << 18
-# Vocabulary mode keeps at most this many terms (most frequent first); the
-# vocabulary is collected to the driver and broadcast, so it must stay bounded.
-VOCAB_SIZE = 1 << 20
 
 
 def model_input(df: DataFrame, text: str = "text", **seg) -> DataFrame:
@@ -34,33 +30,23 @@ def model_input(df: DataFrame, text: str = "text", **seg) -> DataFrame:
     return join_tokens(segment(df, text, "_tokens", **seg), "_tokens", MODEL_INPUT).drop("_tokens")
 
 
-def sentiment_pipeline(vocabulary: bool = False, smoothing: float = 1.0) -> Pipeline:
+def sentiment_pipeline(smoothing: float = 1.0) -> Pipeline:
     """M1-M4 as one ML pipeline over ``comment_text`` and ``label``."""
     tok = Tokenizer(inputCol=MODEL_INPUT, outputCol="feature")
-    if vocabulary:
-        tf = CountVectorizer(inputCol="feature", outputCol="tf", vocabSize=VOCAB_SIZE)
-    else:
-        tf = HashingTF(inputCol="feature", outputCol="tf", numFeatures=NUM_FEATURES)
+    tf = HashingTF(inputCol="feature", outputCol="tf", numFeatures=NUM_FEATURES)
     idf = IDF(inputCol="tf", outputCol="tfidf")
     nb = NaiveBayes(featuresCol="tfidf", labelCol="label", modelType="multinomial", smoothing=smoothing)
     return Pipeline(stages=[tok, tf, idf, nb])
 
 
-def train(labelled: DataFrame, text: str = "text", vocabulary: bool = False, **seg) -> PipelineModel:
+def train(labelled: DataFrame, text: str = "text", **seg) -> PipelineModel:
     """M5: fit on ``(text, label)`` rows; label 0.0 positive, 1.0 negative.
 
     Each estimator of the pipeline scans its input again, so the segmented
     training rows are materialised once (checkpoint in the shared folder).
     """
     rows = materialize(model_input(labelled, text, **seg).select(MODEL_INPUT, "label"))
-    if vocabulary:
-        # CountVectorizer keeps only the VOCAB_SIZE most frequent terms; refuse
-        # instead of silently dropping terms (hashing mode has no such limit)
-        terms = (rows.select(F.explode_outer(F.split(F.lower(MODEL_INPUT), r"\s")).alias("t"))
-                 .where(F.col("t").isNotNull()).agg(F.count_distinct("t")).first()[0])
-        if terms > VOCAB_SIZE:
-            raise ValueError(f"{terms} distinct terms exceed VOCAB_SIZE={VOCAB_SIZE}; use vocabulary=False")
-    return sentiment_pipeline(vocabulary).fit(rows)
+    return sentiment_pipeline().fit(rows)
 
 
 def load(path: str) -> PipelineModel:

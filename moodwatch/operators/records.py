@@ -10,11 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodwatch.functions.constants import COMMENT_FIELDS, FIELD_SEPARATOR, POST_FIELDS, USER_FIELDS
+from moodwatch.functions.constants import COMMENT_FIELDS, FIELD_SEPARATOR, NULL_TEXT, POST_FIELDS, USER_FIELDS
 from moodwatch.functions.lines import encode_fields, has_arity, jvm_split
 from moodwatch.functions.text import strip_tags
 from moodwatch.functions.timefmt import format_created_at, hour_bucket, parse_created_at
@@ -65,9 +65,9 @@ def decode_comments(lines: DataFrame, col: str = VALUE, clock12: bool = False,
     """``com`` lines -> typed comments with event time and hour bucket.
 
     Output: comment_id, monitor_id, created_at (raw text), ts, hour, like_count,
-    user_id, text, plus any other input columns.  Lines with the wrong arity or
-    an unparsable ``created_at`` are dropped (see :func:`comment_rejects`)
-    unless ``keep_invalid``.
+    user_id, text, plus any other input columns.  Lines with the wrong arity, an
+    unparsable ``created_at`` or an id that is no number are dropped (see
+    :func:`comment_rejects`) unless ``keep_invalid``; an absent id (``None``) is null.
     """
     f = _fields(col)
     other = [c for c in lines.columns if c != col or keep_invalid]  # rejects keep the raw line
@@ -81,23 +81,32 @@ def decode_comments(lines: DataFrame, col: str = VALUE, clock12: bool = False,
         f(3).try_cast("bigint").alias("like_count"),
         f(4).try_cast("bigint").alias("user_id"),
         f(5).alias("text"),
-        has_arity(col, 6).alias("_arity_ok"),
+        _reject_reason(has_arity(col, 6), [("comment_id", f(0)), ("user_id", f(4))], ts).alias("_reason"),
     ).withColumn("hour", hour_bucket("ts", clock12))
     if keep_invalid:
         return out
-    return out.where(F.col("_arity_ok") & F.col("ts").isNotNull()).drop("_arity_ok")
+    return out.where(F.col("_reason").isNull()).drop("_reason")
+
+
+def _reject_reason(arity_ok: Column, ids: Sequence[tuple[str, Column]], ts: Column | None = None) -> Column:
+    """Why a line can't be decoded (null: it can): arity, an id that is no number, created_at."""
+    reason = F.when(arity_ok.isNull() | ~arity_ok, F.lit("arity"))
+    if ts is not None:
+        reason = reason.when(ts.isNull(), F.lit("created_at"))
+    for name, field in ids:
+        reason = reason.when((field != NULL_TEXT) & field.try_cast("bigint").isNull(), F.lit(name))
+    return reason
 
 
 def comment_rejects(lines: DataFrame, col: str = VALUE) -> DataFrame:
     """The side output of :func:`decode_comments`: lines it would drop, with a reason."""
     d = decode_comments(lines, col, keep_invalid=True)
-    reason = F.when(~F.col("_arity_ok"), F.lit("arity")).otherwise(F.lit("created_at"))
-    return (d.where(~F.col("_arity_ok") | F.col("ts").isNull())
-            .select(*[c for c in lines.columns], reason.alias("reason")))
+    return d.where(F.col("_reason").isNotNull()).select(*lines.columns, F.col("_reason").alias("reason"))
 
 
 def decode_users(lines: DataFrame, col: str = VALUE) -> DataFrame:
-    """``user`` lines -> typed profile rows (the literal text ``None`` is null)."""
+    """``user`` lines -> typed profile rows (the literal text ``None`` is null).  Lines that
+    can't be decoded go to :func:`user_rejects`."""
     f = _fields(col)
     other = [c for c in lines.columns if c != col]
 
@@ -105,7 +114,7 @@ def decode_users(lines: DataFrame, col: str = VALUE) -> DataFrame:
         v = f(i)
         return F.when(v == "None", F.lit(None).cast("string")).otherwise(v)
 
-    return arity_filter(lines, 6, col).select(
+    return lines.where(_user_reason(col).isNull()).select(
         *other,
         f(0).try_cast("bigint").alias("user_id"),
         text(1).alias("user_name"),
@@ -116,9 +125,21 @@ def decode_users(lines: DataFrame, col: str = VALUE) -> DataFrame:
     )
 
 
+def _user_reason(col: str) -> Column:
+    return _reject_reason(has_arity(col, 6), [("user_id", _fields(col)(0))])
+
+
+def user_rejects(lines: DataFrame, col: str = VALUE) -> DataFrame:
+    """The side output of :func:`decode_users`: lines it drops, with a reason."""
+    return (lines.withColumn("reason", _user_reason(col)).where(F.col("reason").isNotNull())
+            .select(*lines.columns, "reason"))
+
+
 # --- S5 / R1-R5: JSON responses -------------------------------------------------
+# Ids are text on the wire: responses carry them as numbers or as strings, and a
+# STRING field reads both.
 USER_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),
     T.StructField("screen_name", T.StringType()),
     T.StructField("gender", T.StringType()),
     T.StructField("description", T.StringType()),
@@ -127,8 +148,8 @@ USER_SCHEMA = T.StructType([
 ])
 MBLOG_SCHEMA = T.StructType([
     T.StructField("created_at", T.StringType()),
-    T.StructField("id", T.LongType()),
-    T.StructField("mid", T.LongType()),
+    T.StructField("id", T.StringType()),
+    T.StructField("mid", T.StringType()),
     T.StructField("text", T.StringType()),
     T.StructField("source", T.StringType()),
     T.StructField("reposts_count", T.LongType()),
@@ -141,7 +162,7 @@ SEARCH_SCHEMA = T.StructType([T.StructField("data", T.StructType([
 ]))])
 COMMENT_ITEM_SCHEMA = T.StructType([
     T.StructField("created_at", T.StringType()),
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),
     T.StructField("text", T.StringType()),
     T.StructField("like_count", T.LongType()),
     T.StructField("user", USER_SCHEMA),
@@ -153,7 +174,7 @@ COMMENTS_SCHEMA = T.StructType([T.StructField("data", T.StructType([
 
 def _user_cols(u: str):
     return [
-        F.col(f"{u}.id").alias("user_id"),
+        F.col(f"{u}.id").try_cast("bigint").alias("user_id"),
         F.col(f"{u}.screen_name").alias("user_name"),
         F.col(f"{u}.gender").alias("gender"),
         F.col(f"{u}.description").alias("description"),
@@ -195,7 +216,7 @@ def extract_comments(responses: DataFrame, raw: str = "raw", keep: Sequence[str]
         F.col("c.id").alias("comment_id"),
         F.col("c.created_at").alias("created_at"),
         F.col("c.like_count").alias("like_count"),
-        F.col("c.user.id").alias("user_id"),
+        F.col("c.user.id").try_cast("bigint").alias("user_id"),
         strip_tags("c.text").alias("text"),
         F.struct(*_user_cols("c.user")).alias("user"),
     )

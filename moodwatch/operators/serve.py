@@ -19,13 +19,17 @@ from moodwatch.functions.timefmt import hour_label
 def trend_last(wide: DataFrame, n: int = TREND_POINTS, monitor_id=None) -> DataFrame:
     """Q1: newest ``n`` hours per monitor (or of one monitor), returned ascending.
 
-    All monitors: ``row_number`` over ``monitor_id`` ordered by hour descending;
-    Spark plans a window group-limit so each task keeps at most ``n`` rows per
-    monitor before the shuffle.
+    One monitor: a top-``n`` by hour, then ascending.  All monitors: ``row_number``
+    over ``monitor_id`` ordered by hour descending; Spark plans a window group-limit
+    so each task keeps at most ``n`` rows per monitor before the shuffle, and the
+    rows come sorted by monitor and hour.
     """
-    df = wide if monitor_id is None else wide.where(F.col("monitor_id") == F.lit(monitor_id))
+    if monitor_id is not None:
+        newest = wide.where(F.col("monitor_id") == F.lit(monitor_id)).orderBy(F.col("hour").desc()).limit(n)
+        return newest.orderBy("hour")
     w = Window.partitionBy("monitor_id").orderBy(F.col("hour").desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    return (wide.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+            .orderBy("monitor_id", "hour"))
 
 
 def unpack_trend(packed: DataFrame, col: str = "packed") -> DataFrame:

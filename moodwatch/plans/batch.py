@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from moodwatch.functions.text import strip_tags
 from moodwatch.functions.timefmt import format_created_at, hour_bucket
-from moodwatch.operators import metrics, model, monitors, records, serve, text
+from moodwatch.operators import bayes, metrics, model, monitors, records, serve, text
 from moodwatch.session import pin_utc
 from moodwatch.sinks.changelog import latest
 from moodwatch.sources import fixtures as fx
@@ -24,11 +24,13 @@ from moodwatch.sources import fixtures as fx
 WORD_CLOUD_MONITOR = "src0"
 TREND_MONITOR = "click"
 LOOKUP_WORD = "the"
-TABLE_GET_KEY = 42
+TABLE_GET_KEY = 43
 PAGE_SEARCH = "A"
 PAGE_NUMBER = 2
 PAGE_SIZE = 2
 APPEND_DATE = "2024-02-01"
+# Phrases that hold every word of the dictionary and of the stop list.
+HAN_PHRASES = ("北京加油了", "数加的ABC牛逼", "过年好，北京 加油", "ｑｑ数加", "牛逼北京加油数加过了的")
 # Turns per comment response page (a response is one bounded JSON document).
 COMMENT_PAGE = 20
 
@@ -105,10 +107,9 @@ def search_responses(spark, d) -> DataFrame:
 
 
 def comment_responses(spark, d) -> DataFrame:
-    """Comment responses made from conversations: the assistant turns of a
-    conversation are its comments (posted ``turn`` hours after 2024-01-01),
-    served in pages of ``COMMENT_PAGE`` turns; a page without one yields a
-    response whose ``data`` has no inner ``data`` list."""
+    """Comment responses made from conversations: the turns of a conversation are
+    its comments (posted ``turn`` hours after 2024-01-01), served in pages of
+    ``COMMENT_PAGE`` turns."""
     c = fx.table(spark, d, "conversations")
     u = fx.users(spark, d)
     cu = c.join(u, (c.conv_id + c.turn) == u.user_id, "left")
@@ -119,26 +120,30 @@ def comment_responses(spark, d) -> DataFrame:
         format_created_at(posted).alias("created_at"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text"),
         F.col("turn").alias("like_count"), user.alias("user"))
-    items = F.collect_list(F.when(F.col("role") == "assistant", item))
+    items = F.collect_list(item)
     # one response per page of COMMENT_PAGE turns, as the comment API pages its
     # results: a response never holds more than COMMENT_PAGE comments, however
     # long the conversation
     page = F.floor(F.col("turn") / F.lit(COMMENT_PAGE))
     return (cu.groupBy(F.col("conv_id").alias("monitor_id"), page.alias("_page"))
             .agg(items.alias("items"))
-            .select("monitor_id", F.to_json(F.struct(F.struct(
-                F.when(F.size("items") > 0, F.col("items")).alias("data")).alias("data"))).alias("raw")))
+            .select("monitor_id", F.to_json(F.struct(F.struct(F.col("items").alias("data")).alias("data"))).alias("raw")))
 
 
 # --- model ---------------------------------------------------------------------------
 @lru_cache(maxsize=8)
-def _trained(spark: SparkSession, d: str, vocabulary: bool):
-    return model.train(fx.labelled(spark, d), vocabulary=vocabulary)
+def _trained(spark: SparkSession, d: str, terms: bool):
+    return bayes.fit(fx.labelled(spark, d)) if terms else model.train(fx.labelled(spark, d))
 
 
-def trained_model(spark, d, vocabulary: bool = False):
-    """M5: fitted once per (session, data, mode) and reused by every query."""
-    return _trained(spark, d, vocabulary)
+def trained_model(spark, d):
+    """M5: fitted once per (session, data) and reused by every query."""
+    return _trained(spark, d, False)
+
+
+def trained_terms(spark, d) -> bayes.NaiveBayesTable:
+    """M5 over exact terms, as tables; fitted once per (session, data)."""
+    return _trained(spark, d, True)
 
 
 def sentiment_scored(spark, d):
@@ -210,6 +215,25 @@ def q_segment_dict(spark, d):
         "comment_id", "monitor_id", "comment_text", F.size("tokens").alias("n_tokens"))
 
 
+def han_comments(spark, d) -> DataFrame:
+    """Comments with Chinese text: to each text words are added that depend on its id, so that
+    every dictionary and stop word occurs, alone, joined to Latin letters and inside a run."""
+    k = F.col("comment_id")
+    phrases = F.array(*[F.lit(p) for p in HAN_PHRASES])
+    extra = F.concat(F.element_at(phrases, (k % len(HAN_PHRASES) + 1).cast("int")), F.lit(" "),
+                     F.element_at(phrases, (F.floor(k / 7) % len(HAN_PHRASES) + 1).cast("int")), k.cast("string"))
+    return decoded_comments(spark, d).withColumn("text", F.concat("text", extra))
+
+
+def q_segment_han(spark, d):
+    s = text.join_tokens(text.segment(han_comments(spark, d)), "tokens", "comment_text")
+    return s.select("comment_id", "monitor_id", "comment_text", F.size("tokens").alias("n_tokens"))
+
+
+def q_word_counts_han(spark, d):
+    return metrics.word_counts(text.explode_tokens(text.segment(han_comments(spark, d)), ["monitor_id"]))
+
+
 def q_word_counts(spark, d):
     return word_counts(spark, d)
 
@@ -423,9 +447,8 @@ def model_tfidf(spark, d):
 
 
 def q_nb_vocab_score(spark, d):
-    m = trained_model(spark, d, vocabulary=True)
     docs = fx.table(spark, d, "documents").select("doc_id", "text")
-    s = model.score(m, docs)
+    s = bayes.score(trained_terms(spark, d), docs, "doc_id")
     return s.select("doc_id", "prediction", F.round("p0", 6).alias("p0"), F.round("p1", 6).alias("p1"))
 
 
@@ -436,11 +459,11 @@ def q_sentiment_score(spark, d):
 
 
 def q_sentiment_trend_vocab(spark, d):
-    """L1 end to end with the vocabulary-mode model (exactly recomputable in SQL):
+    """L1 end to end with the model over exact terms (recomputable in SQL):
     decode -> segment -> tokenizer -> counts -> IDF -> Naive Bayes -> neutral
     band -> hourly trend per monitor."""
-    m = trained_model(spark, d, vocabulary=True)
-    return metrics.trend_wide(model.neutral_band(model.score(m, decoded_comments(spark, d))))
+    scored = bayes.score(trained_terms(spark, d), decoded_comments(spark, d), "comment_id")
+    return metrics.trend_wide(model.neutral_band(scored))
 
 
 def q_sentiment_trend(spark, d):

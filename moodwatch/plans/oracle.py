@@ -3,13 +3,11 @@
 Each entry runs on the driver's tables registered as views and must return the
 same columns (names and values) as the Spark query of the same name.  The SQL
 is written independently from the Spark code: fixture views are inlined as
-CTEs, and regexes use RE2 syntax (``\\p{Han}`` instead of ``\\p{IsHan}``).
+CTEs, patterns are RE2, and words, folding and labels are stated here again.
 """
 
 from __future__ import annotations
 
-from moodwatch.functions.constants import EXTENSION_WORDS, STOP_WORDS
-from moodwatch.functions.text import _FULL_WIDTH, _HALF_WIDTH, segment_pattern
 from moodwatch.plans import batch as B
 
 
@@ -17,11 +15,18 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-SEG_RE = segment_pattern(EXTENSION_WORDS).replace(r"\p{IsHan}", r"\p{Han}")
-STOP_SQL = ", ".join(_q(w) for w in STOP_WORDS)
+# dictionary words (the longest first), runs of letters and digits outside Han, single Han characters
+SEG_RE = r"北京加油|数加|牛逼|(?:[^\P{L}\p{Han}]|[^\P{N}\p{Han}])+|\p{Han}"
+# full-width forms U+FF01 to U+FF5E and the wide blank
+WIDE, NARROW = "".join(map(chr, range(0xFF01, 0xFF5F))) + chr(0x3000), "".join(map(chr, range(0x21, 0x7F))) + " "
+
+
 def tokens(col: str) -> str:
-    return (f"list_filter(regexp_extract_all(lower(translate({col}, {_q(_FULL_WIDTH)}, {_q(_HALF_WIDTH)})), "
-            f"{_q(SEG_RE)}, 1), lambda t: t NOT IN ({STOP_SQL}))")
+    return (f"list_filter(regexp_extract_all(lower(translate({col}, {_q(WIDE)}, {_q(NARROW)})), "
+            f"{_q(SEG_RE)}), lambda t: t NOT IN ('的', '了', '过'))")
+
+
+HAN_SQL = "['北京加油了', '数加的ABC牛逼', '过年好，北京 加油', 'ｑｑ数加', '牛逼北京加油数加过了的']"
 
 
 def jvm_split(col: str, sep_re: str, sep: str) -> str:
@@ -35,7 +40,7 @@ USERS = """users AS (
               WHEN c_mktsegment IN ('FURNITURE','HOUSEHOLD') THEN 'f' END AS gender,
          c_mktsegment AS description, CAST(c_nationkey AS BIGINT) AS follow_count,
          CAST(floor(abs(c_acctbal)) AS BIGINT) AS followers_count
-  FROM customer)"""
+  FROM customer WHERE c_custkey % 7 <> 0)"""
 
 COMMENTS = """comments AS (
   SELECT d.doc_id AS comment_id, d.source AS monitor_id, e.ts AS created_at,
@@ -115,8 +120,7 @@ CONV_COMMENTS = f"""conv_comments AS (
          strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(c.turn), '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
          c.turn AS like_count, u.user_id, {strip('c.text')} AS text,
          u.user_name, u.gender, u.description, u.follow_count, u.followers_count
-  FROM conversations c LEFT JOIN users u ON c.conv_id + c.turn = u.user_id
-  WHERE c.role = 'assistant')"""
+  FROM conversations c LEFT JOIN users u ON c.conv_id + c.turn = u.user_id)"""
 
 LABELLED = """labelled AS (
   SELECT d.doc_id, d.text, CAST(l.toxic AS DOUBLE) AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -186,6 +190,13 @@ WHERE len(f) <> 6 OR try_strptime(substr(f[3], 5), '%b %d %H:%M:%S %z %Y') IS NU
     q["hour_bucket_12h"] = _with(*dec) + "SELECT comment_id, hour12 AS hour FROM valid"
     q["segment"] = _with(*seg) + ("SELECT comment_id, monitor_id, array_to_string(tokens, ' ') AS comment_text, "
                                   "CAST(len(tokens) AS INTEGER) AS n_tokens FROM segmented")
+    han_text = f"concat(text, {HAN_SQL}[comment_id % 5 + 1], ' ', {HAN_SQL}[CAST(floor(comment_id / 7) AS BIGINT) % 5 + 1], comment_id)"
+    han = dec + [f"""han AS (SELECT * REPLACE ({han_text} AS text) FROM valid),
+segmented AS (SELECT comment_id, monitor_id, {tokens('text')} AS tokens FROM han)"""]
+    q["segment_han"] = _with(*han) + ("SELECT comment_id, monitor_id, array_to_string(tokens, ' ') AS comment_text, "
+                                      "CAST(len(tokens) AS INTEGER) AS n_tokens FROM segmented")
+    q["word_counts_han"] = _with(*han) + """SELECT monitor_id, word, count(*) AS n
+FROM (SELECT monitor_id, unnest(tokens) AS word FROM segmented) GROUP BY monitor_id, word"""
     q["segment_dict"] = q["segment"]
     q["word_counts"] = _with(*seg) + "SELECT monitor_id, word, n FROM word_counts"
     q["word_cloud"] = _with(*seg) + (f"SELECT monitor_id, word AS name, n AS value FROM word_counts "
@@ -285,10 +296,10 @@ ORDER BY monitor_id LIMIT {B.PAGE_SIZE} OFFSET {(B.PAGE_NUMBER - 1) * B.PAGE_SIZ
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey"""
     q["table_get"] = _with(USERS) + f"SELECT * FROM users WHERE user_id = {B.TABLE_GET_KEY}"
     q["html_strip"] = f"SELECT page_id, {strip('html')} AS text FROM pages"
-    q["json_posts"] = _with(USERS, POSTS) + """SELECT monitor_id, post_id, mid, created_at, text, source, reposts_count,
+    q["json_posts"] = _with(USERS, POSTS) + """SELECT monitor_id, CAST(post_id AS VARCHAR) AS post_id, CAST(mid AS VARCHAR) AS mid, created_at, text, source, reposts_count,
        comments_count, attitudes_count, user_id FROM posts"""
     q["json_posts_files"] = q["json_posts"]
-    q["json_comments"] = _with(USERS, CONV_COMMENTS) + """SELECT monitor_id, comment_id, created_at, like_count, user_id, text
+    q["json_comments"] = _with(USERS, CONV_COMMENTS) + """SELECT monitor_id, CAST(comment_id AS VARCHAR) AS comment_id, created_at, like_count, user_id, text
 FROM conv_comments"""
     q["author_union"] = _with(USERS, POSTS, CONV_COMMENTS) + """SELECT user_id, user_name, gender, description, follow_count, followers_count
 FROM posts WHERE user_id IS NOT NULL
@@ -296,7 +307,7 @@ UNION ALL
 SELECT user_id, user_name, gender, description, follow_count, followers_count
 FROM conv_comments WHERE user_id IS NOT NULL"""
     none = "'None'"
-    q["post_lines"] = _with(USERS, POSTS) + f"""SELECT post_id, concat_ws('|', coalesce(CAST(post_id AS VARCHAR), {none}),
+    q["post_lines"] = _with(USERS, POSTS) + f"""SELECT CAST(post_id AS VARCHAR) AS post_id, concat_ws('|', coalesce(CAST(post_id AS VARCHAR), {none}),
        coalesce(CAST(monitor_id AS VARCHAR), {none}), coalesce(CAST(user_id AS VARCHAR), {none}),
        coalesce(source, {none}), coalesce(CAST(reposts_count AS VARCHAR), {none}),
        coalesce(CAST(comments_count AS VARCHAR), {none}), coalesce(CAST(attitudes_count AS VARCHAR), {none}),
@@ -339,6 +350,11 @@ FROM banded GROUP BY monitor_id, hour"""
     q["stream_gender_counts_delta"] = q["gender_counts"]
     q["stream_word_counts_delta"] = q["word_counts"]
     q["stream_word_cloud_compacted"] = _with(*seg) + "SELECT monitor_id, word, n * 2 AS n FROM word_counts"
+    q["stream_gender_arrival"] = _with(*gj) + """SELECT v.monitor_id, CASE WHEN v.comment_id % 2 = 1 THEN u.gender END AS gender, count(*) AS n
+FROM valid v LEFT JOIN users u ON v.user_id = u.user_id GROUP BY ALL"""
+    q["stream_word_lookup"] = q["word_lookup"]
+    q["stream_trend_series"] = q["trend_series"]
+    q["stream_late_rows"] = q["trend_wide"]
     q["stream_trend_delta"] = q["trend_wide"]
     q["stream_trend_scored"] = q["trend_wide"]
     q["stream_trend_windowed"] = q["trend_wide"]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodwatch.operators import model, records
+from moodwatch.operators import bayes, model, records
 from moodwatch.plans import batch
 from moodwatch.session import fresh_dir, parallelism, pin_utc
 from moodwatch.sinks import changelog
@@ -92,10 +92,15 @@ def q_stream_word_cloud_compacted(spark, d):
     return changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap)
 
 
+def _trend_sink(spark, d) -> str:
+    """The trend sink of the events stream (not a query)."""
+    return _run_delta(spark, _scored_stream(spark, d, max_files=None), *jobs.trend_sums(), "trend-delta")
+
+
 def q_stream_trend_delta(spark, d):
     """L1 (stand-in scores) as a stateless stream of per-batch trend deltas."""
     keys, sums = jobs.trend_sums()
-    sink = _run_delta(spark, _scored_stream(spark, d, max_files=None), keys, sums, "trend-delta")
+    sink = _trend_sink(spark, d)
     return changelog.totals_view(spark, sink, keys, list(sums))
 
 
@@ -122,11 +127,13 @@ def q_stream_trend(spark, d):
 
 
 def q_stream_trend_vocab(spark, d):
-    """L1 as a stateless stream with the vocabulary-mode model (exact oracle)."""
-    fitted = batch.trained_model(spark, d, vocabulary=True)
-    scored = model.neutral_band(model.score(fitted, jobs.comments(_read(spark, _comment_topic(spark, d)))))
+    """L1 as a stateless stream with the model over exact terms: each batch is scored by joins
+    inside ``foreachBatch`` (exact oracle)."""
+    fitted = batch.trained_terms(spark, d)
     keys, sums = jobs.trend_sums()
-    sink = _run_delta(spark, scored, keys, sums, "trend-vocab")
+    sink = fresh_dir(spark, "sink-trend-vocab")
+    jobs.delta_upsert(jobs.comments(_read(spark, _comment_topic(spark, d))), keys, sums, sink, fresh_dir(spark, "ckpt-trend-vocab"),
+                      available_now=True, prepare=lambda b: model.neutral_band(bayes.score(fitted, b, "comment_id"))).awaitTermination()
     return changelog.totals_view(spark, sink, keys, list(sums))
 
 
@@ -134,6 +141,10 @@ def _scored_stream(spark, d, max_files: int | None = None):
     pin_utc(spark)
     ev = topics.read_table_stream(spark, f"{d.rstrip('/')}/events*.parquet",
                                   fx.table(spark, d, "events").schema, max_files)
+    return _scored(ev)
+
+
+def _scored(ev: DataFrame) -> DataFrame:
     p0 = (F.col("event_id") % 101).cast("double") / F.lit(100.0)
     s = ev.select(F.col("event_id").alias("comment_id"), F.col("event_type").alias("monitor_id"),
                   F.col("ts").alias("created_at"), p0.alias("p0"), (F.lit(1.0) - p0).alias("p1"))
@@ -154,20 +165,70 @@ def q_stream_trend_windowed(spark, d):
 
 
 def q_stream_profiles(spark, d):
-    """K2 on a stream: the ``user`` topic holds an older snapshot of every
-    profile and then the current one; the newest message per user wins."""
+    """K2 on a stream: two ingests with default arguments, an older state of every profile
+    and then the current one; the newest message per user wins."""
+    from moodwatch.streaming import apps
     path = fresh_dir(spark, "topic-user")
     users = fx.users(spark, d)
     older = users.withColumn("followers_count", F.col("followers_count") - 1).withColumn(
         "description", F.lit(None).cast("string"))
     half = max(_parts(spark), _topic_files(spark) // 2)
-    topics.write_topic(records.encode_users(older), path, segment=0, files=half)
-    topics.write_topic(records.encode_users(users), path, segment=1, files=half)
-    rows = records.decode_users(_read(spark, path))
-    sink = _run(spark, rows, "profiles", output_mode="append")
-    # messages carry their own order (segment, offset); the batch they landed in does not matter
-    log = changelog.read_log(spark, sink).drop(changelog.BATCH)
-    return changelog.latest(log, ["user_id"], ["segment", "offset"]).drop("segment", "offset")
+    topics.write_topic(records.encode_users(older), path, files=half)
+    topics.write_topic(records.encode_users(users), path, files=half)
+    sink = fresh_dir(spark, "sink-profiles")
+    apps.profile_app(_read(spark, path), sink, fresh_dir(spark, "ckpt-profiles"), available_now=True).awaitTermination()
+    return apps.read_profiles(spark, sink)
+
+
+def q_stream_gender_arrival(spark, d):
+    """J1 as of arrival: the gender stream runs over the first half of the comments while the
+    profiles have no gender yet, then over the rest once the profiles arrived."""
+    from moodwatch.streaming import apps
+    users_topic, com, sink, ckpt = (fresh_dir(spark, n) for n in ("topic-user", "topic-com", "sink-arrival", "ckpt-arrival"))
+    profiles, users_ckpt = fresh_dir(spark, "sink-users"), fresh_dir(spark, "ckpt-users")
+    changelog.create(spark, profiles)
+    lines = batch.comment_lines(spark, d)
+    users = fx.users(spark, d)
+    for part in range(2):
+        if part:
+            topics.write_topic(records.encode_users(users), users_topic, files=_parts(spark))
+            apps.profile_app(_read(spark, users_topic), profiles, users_ckpt, available_now=True).awaitTermination()
+        topics.write_topic(lines.where(F.col("comment_id") % 2 == part), com, files=_parts(spark))
+        apps.gender_app(_read(spark, com), lambda: apps.read_profiles(spark, profiles), sink, ckpt,
+                        available_now=True).awaitTermination()
+    return changelog.totals_view(spark, sink, ["monitor_id", "gender"], ["n"])
+
+
+def q_stream_word_lookup(spark, d):
+    """Q8 from the compacted sink, where the cluster folder prunes."""
+    from moodwatch.streaming import apps
+    sink, snap = fresh_dir(spark, "sink-lookup"), fresh_dir(spark, "snap-lookup")
+    apps.word_cloud_app(_read(spark, _comment_topic(spark, d)), sink, fresh_dir(spark, "ckpt-lookup"),
+                        available_now=True).awaitTermination()
+    apps.compact_sink(spark, "words", sink, snap)
+    return apps.read_word(spark, sink, batch.WORD_CLOUD_MONITOR, batch.LOOKUP_WORD, snapshot=snap)
+
+
+def q_stream_trend_series(spark, d):
+    """Q3+Q4 from the compacted trend sink."""
+    from moodwatch.streaming import apps
+    sink, snap = _trend_sink(spark, d), fresh_dir(spark, "snap-series")
+    apps.compact_sink(spark, "trend", sink, snap)
+    s = apps.read_series(spark, sink, snapshot=snap)
+    return s.select("monitor_id", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("x", "y1", "y2", "y3")])
+
+
+def q_stream_late_rows(spark, d):
+    """Rows behind the watermark are dropped.  The first run reads every event, the second
+    the same events moved 10 years back; totals stay those of the first."""
+    sink, ckpt, folder = (fresh_dir(spark, n) for n in ("sink-late", "ckpt-late", "late-events"))
+    events = fx.table(spark, d, "events")
+    for years in (0, 10):
+        (events.withColumn("ts", F.col("ts") - F.expr(f"interval {years} years")).repartition(1)
+         .write.mode("append").parquet(folder))
+        rows = _scored(topics.read_table_stream(spark, folder, events.schema))
+        jobs.run_to_end(jobs.windowed_trend(rows), sink, ckpt, state_partitions=2 * _parts(spark))
+    return changelog.latest_view(spark, sink, ["monitor_id", "hour"])
 
 
 def q_stream_comment_dedup(spark, d):

@@ -13,21 +13,24 @@ view:
 * ``compact`` / ``compact_totals`` write the folded view as a new snapshot
   version ``upto=<last batch>`` from the previous version plus the newer
   batches only; readers take the newest version plus the batches after it.
-  Snapshots can be partitioned by ``monitor_id`` so point reads prune folders.
-  Folded batch folders are no longer read and can be expired by the storage's
-  lifecycle rules.
+  Snapshots can be clustered by ``monitor_id``, in a fixed number of folders and
+  files, so point reads prune folders.  Folded batch folders are not listed or
+  read any more; ``expire`` deletes them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = "batch_id"
 UPTO = "upto"
 MANIFEST = "manifest"
+CLUSTER = "key_cluster"
+#: folders of a snapshot version, and files of a folder
+CLUSTERS, SPLITS = 16, 4
 
 
 def latest(log: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -45,6 +48,24 @@ def latest(log: DataFrame, keys: Sequence[str], order: Sequence[str],
     return log.groupBy(*keys).agg(newest.alias("_v")).select(*keys, "_v.*")
 
 
+def _folders(spark: SparkSession, path: str, prefix: str) -> list[int] | None:
+    """The numbers of the folders ``<prefix>=<n>`` in ``path``, by one listing of names (a
+    driver call); None where ``path`` doesn't exist."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(root)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}="))
+
+
+def create(spark: SparkSession, path: str) -> None:
+    """Make an empty sink, so that a sink without batches differs from a missing one."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(root)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, seq: str | None = None) -> None:
     """Write one micro-batch into the log as partition ``batch_id=<id>``.
 
@@ -54,9 +75,42 @@ def write_batch(df: DataFrame, path: str, batch_id: int, seq: str | None = None)
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={int(batch_id)}")
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All batches; ``batch_id`` comes from the folder names."""
-    return spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the batches in the log; raises where there is no log."""
+    found = _folders(spark, path, BATCH)
+    if found is None:
+        raise FileNotFoundError(f"no sink at {path}")
+    return found
+
+
+def read_log(spark: SparkSession, path: str, after: int | None = None, upto: int | None = None,
+             schema=None) -> DataFrame:
+    """The batches in (``after``, ``upto``] (all by default); ``batch_id`` comes from the
+    folder names.  Only those folders are listed and read.  With no batch there the result
+    is empty, with ``schema`` (or that of the newest batch)."""
+    ids = batches(spark, path)
+    wanted = [i for i in ids if (after is None or i > after) and (upto is None or i <= upto)]
+    if not wanted:
+        if schema is None and not ids:
+            raise FileNotFoundError(f"no batch in {path}")
+        empty = schema if schema is not None else spark.read.parquet(f"{path}/{BATCH}={ids[-1]}").schema
+        return spark.createDataFrame([], empty).withColumn(BATCH, F.lit(None).cast("bigint"))
+    read = spark.read.option("basePath", path).parquet(*[f"{path}/{BATCH}={i}" for i in wanted])
+    return read.withColumn(BATCH, F.col(BATCH).cast("bigint"))
+
+
+def expire(spark: SparkSession, path: str, snapshot: str, keep: int = 2) -> list[int]:
+    """Delete the batch folders that the newest snapshot version holds, but for the last
+    ``keep`` of them (a reader that began before the version may still read those).
+    Returns the ids deleted."""
+    version = latest_version(spark, snapshot)
+    folded = [] if version is None else [i for i in batches(spark, path) if i <= version]
+    gone = folded[:-keep] if keep else folded
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for i in gone:
+        folder = hadoop.Path(f"{path}/{BATCH}={i}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return gone
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
@@ -66,55 +120,60 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     folder was written completely, so a compaction that died half-way is never
     read.
     """
-    try:
-        manifest = spark.read.parquet(f"{root}/{MANIFEST}")
-    except Exception as e:  # nothing compacted yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    return manifest.agg(F.max(UPTO)).first()[0]  # one number
+    if _folders(spark, f"{root}/{MANIFEST}", "") is None:  # nothing compacted yet
+        return None
+    return spark.read.parquet(f"{root}/{MANIFEST}").agg(F.max(UPTO)).first()[0]  # one number
 
 
 def _snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return (spark.read.option("basePath", f"{root}/{UPTO}={version}").parquet(f"{root}/{UPTO}={version}")
-            .withColumn(BATCH, F.lit(version).cast("bigint")))
+    """A snapshot version.  Keys are columns of the files; only the cluster number, an
+    integer, is a folder name, so no key changes its type."""
+    return spark.read.parquet(f"{root}/{UPTO}={version}").withColumn(BATCH, F.lit(version).cast("bigint"))
 
 
-def _with_snapshot(spark: SparkSession, path: str, snapshot: str | None) -> DataFrame:
-    """The log, or the newest snapshot plus only the batches after it."""
-    log = read_log(spark, path)
+def _with_snapshot(spark: SparkSession, path: str, snapshot: str | None, upto: int | None = None) -> DataFrame:
+    """The log up to ``upto``, or the newest snapshot plus only the batches after it."""
     version = latest_version(spark, snapshot) if snapshot is not None else None
     if version is None:
-        return log
+        return read_log(spark, path, upto=upto)
     snap = _snapshot(spark, snapshot, version)
-    types = dict(log.dtypes)
-    # partition folders (e.g. monitor_id=3) come back with inferred types: align with the log
-    snap = snap.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in snap.columns])
-    return snap.unionByName(log.where(F.col(BATCH) > version), allowMissingColumns=True)
+    newer = read_log(spark, path, after=version, upto=upto, schema=snap.drop(BATCH, CLUSTER).schema)
+    return snap.unionByName(newer, allowMissingColumns=True)
 
 
 def latest_view(spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str] = (),
                 snapshot: str | None = None) -> DataFrame:
     """Latest value per key from the log (and the newest compacted snapshot)."""
-    log = _with_snapshot(spark, path, snapshot)
+    log = _with_snapshot(spark, path, snapshot).drop(CLUSTER)
     values = [c for c in log.columns if c not in keys]
     view = latest(log, keys, [BATCH, *seq], values)
     return view.drop(BATCH, *seq)
 
 
 def totals_view(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
-                snapshot: str | None = None) -> DataFrame:
+                snapshot: str | None = None, upto: int | None = None) -> DataFrame:
     """Read side of an additive (delta) log: per key, the sum of every batch's
     delta (the newest snapshot holds the sums up to its version)."""
-    log = _with_snapshot(spark, path, snapshot)
+    log = _with_snapshot(spark, path, snapshot, upto)
     return log.groupBy(*keys).agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
 
 
-def _write_version(df: DataFrame, root: str, version: int, partition_by: Sequence[str]) -> None:
-    w = df.drop(BATCH).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{root}/{UPTO}={version}")
+def cluster(column: str, clusters: int = CLUSTERS) -> Column:
+    """The cluster a key's rows are stored in; filter on it to read one folder."""
+    return F.pmod(F.xxhash64(column), F.lit(clusters)).cast("int")
+
+
+def _write_version(df: DataFrame, keys: Sequence[str], root: str, version: int, cluster_by: str | None) -> None:
+    df = df.drop(BATCH, CLUSTER)
+    path = f"{root}/{UPTO}={version}"
+    if cluster_by is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        # CLUSTERS folders of at most SPLITS files each, however many keys there are; the rows
+        # of one heavy key are spread over the splits
+        split = F.pmod(F.xxhash64(*keys), F.lit(SPLITS))
+        (df.withColumn(CLUSTER, cluster(cluster_by)).repartition(CLUSTERS * SPLITS, CLUSTER, split)
+         .sortWithinPartitions(CLUSTER, cluster_by).write.mode("overwrite").partitionBy(CLUSTER).parquet(path))
     # publish the version only once its folder is complete
     df.sparkSession.range(1).select(F.lit(version).cast("bigint").alias(UPTO)).write.mode("append").parquet(
         f"{root}/{MANIFEST}")
@@ -122,32 +181,31 @@ def _write_version(df: DataFrame, root: str, version: int, partition_by: Sequenc
 
 def _new_version(spark: SparkSession, path: str, snapshot: str) -> tuple[int | None, int | None]:
     prev = latest_version(spark, snapshot)
-    log = read_log(spark, path)
-    if prev is not None:
-        log = log.where(F.col(BATCH) > prev)
-    return prev, log.agg(F.max(BATCH)).first()[0]
+    newer = [i for i in batches(spark, path) if prev is None or i > prev]
+    return prev, newer[-1] if newer else None
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot: str, seq: Sequence[str] = (),
-            partition_by: Sequence[str] = ()) -> int | None:
+            cluster_by: str | None = None) -> int | None:
     """Fold the batches after the newest snapshot into a new snapshot version
-    (incremental: earlier batches are read from the previous version only).
-    ``partition_by`` (e.g. ``monitor_id``) lets point reads prune folders.
+    (incremental: earlier batches are read from the previous version only).  The last batch
+    is fixed first; one that lands meanwhile is left for the next version.
+    ``cluster_by`` (e.g. ``monitor_id``) lets point reads prune folders.
     Returns the new version (None when there was nothing new)."""
     prev, last = _new_version(spark, path, snapshot)
     if last is None:
         return prev
-    log = _with_snapshot(spark, path, snapshot)
+    log = _with_snapshot(spark, path, snapshot, last).drop(CLUSTER)
     values = [c for c in log.columns if c not in keys]
-    _write_version(latest(log, keys, [BATCH, *seq], values).drop(*seq), snapshot, last, partition_by)
+    _write_version(latest(log, keys, [BATCH, *seq], values).drop(*seq), keys, snapshot, last, cluster_by)
     return last
 
 
 def compact_totals(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
-                   snapshot: str, partition_by: Sequence[str] = ()) -> int | None:
+                   snapshot: str, cluster_by: str | None = None) -> int | None:
     """Additive twin of :func:`compact`: the new version holds the running sums."""
     prev, last = _new_version(spark, path, snapshot)
     if last is None:
         return prev
-    _write_version(totals_view(spark, path, keys, values, snapshot), snapshot, last, partition_by)
+    _write_version(totals_view(spark, path, keys, values, snapshot, last), keys, snapshot, last, cluster_by)
     return last

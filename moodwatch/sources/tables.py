@@ -14,7 +14,7 @@ MONITOR_COLUMNS = ("monitor_id", "name", "words", "created")
 
 
 def read_monitors(spark: SparkSession, path: str | None = None, url: str | None = None,
-                  table: str = "tb_sentiment", properties: dict | None = None,
+                  table: str = "monitors", properties: dict | None = None,
                   id_column: str = "id", partitions: int | None = None) -> DataFrame:
     """S3: ``(monitor_id, name, words, created)`` from JDBC or parquet."""
     if url is not None:
@@ -32,7 +32,7 @@ def read_monitors(spark: SparkSession, path: str | None = None, url: str | None
 
 
 def append_monitors_table(rows: DataFrame, path: str | None = None, url: str | None = None,
-                          table: str = "tb_sentiment", properties: dict | None = None) -> None:
+                          table: str = "monitors", properties: dict | None = None) -> None:
     """K6 write: append new monitor rows (ids from :func:`operators.monitors.append_monitors`)."""
     if url is not None:
         out = rows.select(F.col("monitor_id").alias("id"), "name", "words", F.col("created").alias("date"))
@@ -55,7 +55,8 @@ def save_bucketed(df: DataFrame, key: str, buckets: int, path: str, name: str |
     import uuid
     spark = df.sparkSession
     name = name or f"moodwatch_{uuid.uuid4().hex[:12]}"
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    # one task a bucket: as many files as buckets, not buckets x tasks
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(name))
     return spark.table(name)
 

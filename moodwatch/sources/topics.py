@@ -3,7 +3,7 @@
 With the Kafka connector on the classpath, pass ``kafka={...}`` options and the
 topic is a real Kafka topic.  Without it (this container, tests) a topic is a
 folder of parquet files with the Kafka-like columns ``value`` (the message
-text), ``segment`` and ``offset``: appending a write adds files, and the file
+text), ``timestamp``, ``segment`` and ``offset``: appending a write adds files, and the file
 stream source picks them up in order.  Parquet keeps messages whole (a comment
 may contain newlines), unlike a text file.
 """
@@ -13,39 +13,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOPIC_SCHEMA = "value STRING, segment BIGINT, offset BIGINT"
+TOPIC_SCHEMA = "value STRING, timestamp TIMESTAMP, segment BIGINT, offset BIGINT"
+#: messages of one key in the order they were sent
+ORDER = ("timestamp", "segment", "offset")
 
 
 def write_topic(df: DataFrame, path: str, segment: int = 0, value: str = "value",
                 files: int | None = None) -> None:
-    """K1: append ``df[value]`` as messages.  ``segment`` numbers the write and
-    ``offset`` orders messages inside it (unique, increasing per file)."""
+    """K1: append ``df[value]`` as messages.  ``timestamp`` is the time of the write (as a
+    broker stamps messages), ``segment`` may number writes, and ``offset`` orders messages
+    inside one (unique, increasing per file)."""
     out = df.select(F.col(value).cast("string").alias("value"))
     if files:
         out = out.repartition(files)
-    out = out.select("value", F.lit(segment).cast("bigint").alias("segment"),
+    out = out.select("value", F.current_timestamp().alias("timestamp"), F.lit(segment).cast("bigint").alias("segment"),
                      F.monotonically_increasing_id().alias("offset"))
     out.write.mode("append").parquet(path)
 
 
-def write_kafka(df: DataFrame, servers: str, topic: str, value: str = "value") -> None:
-    """K1 with the Kafka connector: one message per row, no key."""
-    (df.select(F.col(value).cast("string").alias("value")).write.format("kafka")
+def write_kafka(df: DataFrame, servers: str, topic: str, value: str = "value", key: str | None = None) -> None:
+    """K1 with the Kafka connector: one message per row.  With ``key`` (e.g. ``user_id``) the
+    messages of one key stay in one partition, in order."""
+    keyed = [] if key is None else [F.col(key).cast("string").alias("key")]
+    (df.select(*keyed, F.col(value).cast("string").alias("value")).write.format("kafka")
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
 
 
 def read_topic(spark: SparkSession, path: str | None = None, kafka: dict | None = None,
                max_files_per_trigger: int | None = None, stream: bool = True) -> DataFrame:
-    """``value, segment, offset`` from the earliest message on.
+    """``value, timestamp, segment, offset`` from the earliest message on.
 
-    ``kafka`` options (``kafka.bootstrap.servers``, ``subscribe``) select the
-    Kafka source; the message key is dropped and ``partition`` stands in for
-    ``segment``.
+    ``kafka`` options (``kafka.bootstrap.servers``, ``subscribe``,
+    ``maxOffsetsPerTrigger``) select the Kafka source; the message key is dropped
+    and ``partition`` stands in for ``segment``.
     """
     if kafka is not None:
         reader = spark.readStream if stream else spark.read
         raw = reader.format("kafka").option("startingOffsets", "earliest").options(**kafka).load()
-        return raw.select(F.col("value").cast("string").alias("value"),
+        return raw.select(F.col("value").cast("string").alias("value"), "timestamp",
                           F.col("partition").cast("bigint").alias("segment"), F.col("offset"))
     if not stream:
         return spark.read.schema(TOPIC_SCHEMA).parquet(path)

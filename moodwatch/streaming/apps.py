@@ -16,13 +16,16 @@ Additive totals default to per-batch deltas (no state store); pass
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from moodwatch.functions.constants import COMMENT_FIELDS
+from moodwatch.functions.constants import COMMENT_FIELDS, TREND_POINTS
 from moodwatch.operators import metrics, model, records, serve
+from moodwatch.session import materialize
 from moodwatch.sinks import changelog
 from moodwatch.sources import topics
 from moodwatch.streaming import jobs
@@ -38,9 +41,12 @@ def ingest(search: DataFrame, comments: DataFrame, owners: DataFrame) -> dict[st
     "com"}`` DataFrames with a ``value`` column.
     """
     tagged = records.tag_with_monitor(search, owners)
+    # posts feed three outputs: the responses are parsed once (a stream can't be stored here)
     posts = records.extract_posts(tagged)
+    posts = posts if posts.isStreaming else materialize(posts)
     post_monitor = posts.select("post_id", "monitor_id").distinct()
-    com = records.extract_comments(comments.join(post_monitor, "post_id"), keep=("monitor_id",))
+    answers = comments.withColumn("post_id", F.col("post_id").cast("string"))
+    com = records.extract_comments(answers.join(post_monitor, "post_id"), keep=("monitor_id",))
     users = records.author_union(posts, com)
     return {
         "wz": records.encode_posts(posts),
@@ -50,19 +56,19 @@ def ingest(search: DataFrame, comments: DataFrame, owners: DataFrame) -> dict[st
 
 
 def write_topics(lines: dict[str, DataFrame], base: str, segment: int = 0) -> None:
-    """K1 for every topic: ``<base>/<topic>``."""
+    """K1 for every topic: ``<base>/<topic>``; a later write is newer (see ``topics.ORDER``)."""
     for name, df in lines.items():
         topics.write_topic(df, f"{base}/{name}", segment=segment)
 
 
 # --- stream apps ---------------------------------------------------------------------------
 def _start(rows_or_agg: DataFrame, keys, sums, sink: str, checkpoint: str, stateful: bool,
-           trigger: str, available_now: bool, state_partitions: int | None) -> StreamingQuery:
+           trigger: str, available_now: bool, state_partitions: int | None, prepare=None) -> StreamingQuery:
     if stateful:
         return jobs.upsert(rows_or_agg, sink, checkpoint, trigger=trigger, available_now=available_now,
                            state_partitions=state_partitions)
     return jobs.delta_upsert(rows_or_agg, keys, sums, sink, checkpoint, available_now=available_now,
-                             trigger=trigger)
+                             trigger=trigger, prepare=prepare)
 
 
 def sentiment_app(lines: DataFrame, fitted: PipelineModel, sink: str, checkpoint: str, stateful: bool = False,
@@ -88,15 +94,24 @@ def word_cloud_app(lines: DataFrame, sink: str, checkpoint: str, stateful: bool
                   trigger, available_now, None)
 
 
-def gender_app(lines: DataFrame, profiles: DataFrame, sink: str, checkpoint: str, hot: DataFrame | None = None,
+def gender_app(lines: DataFrame, profiles: DataFrame | Callable[[], DataFrame], sink: str, checkpoint: str, hot: DataFrame | None = None,
                stateful: bool = False, trigger: str = jobs.DEFAULT_TRIGGER, available_now: bool = False,
                state_partitions: int | None = None, **kw) -> StreamingQuery:
-    """L3: ``com`` lines joined with the profile view -> comments per gender."""
+    """L3: ``com`` lines joined with the profile view -> comments per gender.
+
+    ``profiles`` may be a function: then every batch reads the profiles as they are when its
+    comments arrive, so a user registered after the start of the stream has a gender.  Running
+    totals in the state store (``stateful``) need a fixed plan; they read it once, at the start."""
     if stateful:
-        return _start(jobs.gender(lines, profiles, hot, **kw), None, None, sink, checkpoint, True, trigger,
+        fixed = profiles() if callable(profiles) else profiles
+        return _start(jobs.gender(lines, fixed, hot, **kw), None, None, sink, checkpoint, True, trigger,
                       available_now, state_partitions)
-    joined = metrics.gender_join(jobs.comments(lines, **kw), profiles, hot)
-    return _start(joined, ["monitor_id", "gender"], None, sink, checkpoint, False, trigger, available_now, None)
+
+    def arrive(batch: DataFrame) -> DataFrame:
+        return metrics.gender_join(batch, profiles() if callable(profiles) else profiles, hot)
+
+    return _start(jobs.comments(lines, **kw), ["monitor_id", "gender"], None, sink, checkpoint, False, trigger,
+                  available_now, None, arrive)
 
 
 def profile_app(user_lines: DataFrame, sink: str, checkpoint: str, trigger: str = jobs.DEFAULT_TRIGGER,
@@ -108,10 +123,12 @@ def profile_app(user_lines: DataFrame, sink: str, checkpoint: str, trigger: str
 
 
 # --- read side -----------------------------------------------------------------------------
-def read_profiles(spark: SparkSession, sink: str) -> DataFrame:
-    """Latest profile per user (message order: segment, offset)."""
-    log = changelog.read_log(spark, sink)
-    return changelog.latest(log.drop(changelog.BATCH), ["user_id"], ["segment", "offset"]).drop("segment", "offset")
+def read_profiles(spark: SparkSession, sink: str, snapshot: str | None = None) -> DataFrame:
+    """Latest profile per user, in order of arrival: the batch, then the order of messages.
+    No profile has arrived where the sink has no batch yet; a missing sink raises."""
+    if not changelog.batches(spark, sink):
+        return spark.createDataFrame([], records.decode_users(spark.createDataFrame([], "value string")).schema)
+    return changelog.latest_view(spark, sink, ["user_id"], topics.ORDER, snapshot)
 
 
 def publish_profiles(spark: SparkSession, sink: str, path: str, buckets: int, name: str | None = None) -> DataFrame:
@@ -126,6 +143,7 @@ SINKS = {
     "trend": (["monitor_id", "hour"], ["positive", "negative", "neutral"]),
     "words": (["monitor_id", "word"], ["n"]),
     "gender": (["monitor_id", "gender"], ["n"]),
+    "users": (["user_id"], []),
 }
 
 
@@ -136,21 +154,37 @@ def _counts(spark, sink, keys, values, stateful, snapshot=None):
 
 
 def compact_sink(spark: SparkSession, what: str, sink: str, snapshot: str, stateful: bool = False) -> int | None:
-    """Fold a running-total sink into a new snapshot version partitioned by
-    ``monitor_id`` (every read query asks about one monitor)."""
+    """Fold a sink into a new snapshot version, clustered by its first key (every read
+    query asks about one monitor)."""
     keys, values = SINKS[what]
+    if what == "users":
+        return changelog.compact(spark, sink, keys, snapshot, topics.ORDER, cluster_by="user_id")
     if stateful:
-        return changelog.compact(spark, sink, keys, snapshot, partition_by=["monitor_id"])
-    return changelog.compact_totals(spark, sink, keys, values, snapshot, partition_by=["monitor_id"])
+        return changelog.compact(spark, sink, keys, snapshot, cluster_by="monitor_id")
+    return changelog.compact_totals(spark, sink, keys, values, snapshot, cluster_by="monitor_id")
+
+
+def _of_monitor(counts: DataFrame, monitor_id) -> DataFrame:
+    return counts if monitor_id is None else counts.where(F.col("monitor_id") == F.lit(monitor_id))
 
 
 def read_trend(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
                points: int | None = None, snapshot: str | None = None) -> DataFrame:
     """Q1: the trend (newest ``points`` hours per monitor when given)."""
-    wide = _counts(spark, sink, *SINKS["trend"], stateful, snapshot)
-    if monitor_id is not None:
-        wide = wide.where(F.col("monitor_id") == F.lit(monitor_id))
-    return wide if points is None else serve.trend_last(wide, points)
+    wide = _of_monitor(_counts(spark, sink, *SINKS["trend"], stateful, snapshot), monitor_id)
+    return wide if points is None else serve.trend_last(wide, points, monitor_id)
+
+
+def read_series(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
+                points: int = TREND_POINTS, snapshot: str | None = None) -> DataFrame:
+    """Q3+Q4: the aligned series of the trend chart, per monitor."""
+    return serve.trend_series(_of_monitor(_counts(spark, sink, *SINKS["trend"], stateful, snapshot), monitor_id), points)
+
+
+def read_word(spark: SparkSession, sink: str, monitor_id, word: str, stateful: bool = False,
+              snapshot: str | None = None) -> DataFrame:
+    """Q8: the count of one word in one monitor, from the sink."""
+    return serve.word_lookup(_counts(spark, sink, *SINKS["words"], stateful, snapshot), monitor_id, word)
 
 
 def read_word_cloud(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,

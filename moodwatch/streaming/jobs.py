@@ -15,7 +15,7 @@ side sums the per-batch deltas.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -84,6 +84,26 @@ def split_word_count(lines: DataFrame, sep: str = ",") -> DataFrame:
 
 
 # --- sinks ----------------------------------------------------------------------------
+def claim(spark, sink: str, checkpoint: str) -> None:
+    """Bind a sink to one checkpoint.  Batch ids count from 0 in every checkpoint, so a second
+    query, or the same one with a new checkpoint, would overwrite batches of the first: the
+    sink's first writer leaves its checkpoint's path there, and any other is refused."""
+    changelog.create(spark, sink)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{sink}/_writer")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        out.write(bytearray(checkpoint.rstrip("/").encode()))
+        out.close()
+        return
+    stream = fs.open(path)
+    owner = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    stream.close()
+    if owner != checkpoint.rstrip("/"):
+        raise ValueError(f"{sink} is written with the checkpoint {owner}, not {checkpoint}")
+
+
 def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
            available_now: bool = False, output_mode: str = "update", name: str | None = None,
            state_partitions: int | None = None) -> StreamingQuery:
@@ -98,6 +118,7 @@ def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFA
     def write(batch: DataFrame, batch_id: int) -> None:
         changelog.write_batch(batch, sink, batch_id)
 
+    claim(df.sparkSession, sink, checkpoint)
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         w = w.queryName(name)
@@ -116,8 +137,10 @@ def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFA
 
 def delta_upsert(rows: DataFrame, keys: Sequence[str], sums: dict[str, object] | None, sink: str,
                  checkpoint: str, available_now: bool = False, trigger: str | None = DEFAULT_TRIGGER,
-                 name: str | None = None) -> StreamingQuery:
-    """Additive running totals without a state store.
+                 name: str | None = None,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Additive running totals without a state store.  ``prepare`` turns a batch's rows into
+    the rows to sum, e.g. by a join with a table as it is when the batch arrives.
 
     Each micro-batch of raw ``rows`` is aggregated inside ``foreachBatch`` (an
     ordinary batch plan: partial aggregation, AQE) and written as that batch's
@@ -131,9 +154,10 @@ def delta_upsert(rows: DataFrame, keys: Sequence[str], sums: dict[str, object] |
              {k: F.sum(v) for k, v in sums.items()})
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        delta = batch.groupBy(*keys).agg(*[e.cast("bigint").alias(k) for k, e in exprs.items()])
+        delta = (batch if prepare is None else prepare(batch)).groupBy(*keys).agg(*[e.cast("bigint").alias(k) for k, e in exprs.items()])
         changelog.write_batch(delta, sink, batch_id)
 
+    claim(rows.sparkSession, sink, checkpoint)
     w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         w = w.queryName(name)
@@ -173,9 +197,6 @@ def run_to_end(df: DataFrame, sink: str, checkpoint: str, output_mode: str = "up
 
 def latest(spark, sink: str, keys: Sequence[str], schema, seq: Sequence[str] = ()) -> DataFrame:
     """Read side of an upsert sink; empty with ``schema`` when nothing was written."""
-    try:
-        return changelog.latest_view(spark, sink, keys, seq)
-    except Exception as e:  # no batch produced rows yet -> no folder
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    if not changelog.batches(spark, sink):  # raises where there is no sink
+        return spark.createDataFrame([], schema)
+    return changelog.latest_view(spark, sink, keys, seq)

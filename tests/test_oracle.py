@@ -5,7 +5,8 @@ import pytest
 
 from oracle_harness import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from moodwatch.plans.registry import oracle_sql, queries
 
 NAMES = sorted(queries())
 

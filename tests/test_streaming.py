@@ -140,16 +140,58 @@ def test_incremental_compaction_partitioned_by_monitor(spark):
     sink, snap = fresh_dir(spark, "ilog"), fresh_dir(spark, "isnap")
     mk = lambda rows: spark.createDataFrame(rows, "monitor_id int, word string, n long")
     changelog.write_batch(mk([(1, "a", 1), (2, "b", 2)]), sink, 0)
-    assert changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, ["monitor_id"]) == 0
+    assert changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, "monitor_id") == 0
     changelog.write_batch(mk([(1, "a", 3)]), sink, 1)
-    assert changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, ["monitor_id"]) == 1
+    assert changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, "monitor_id") == 1
     changelog.write_batch(mk([(1, "c", 5)]), sink, 2)
     view = changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap)
     assert sorted(tuple(r) for r in view.collect()) == [(1, "a", 4), (1, "c", 5), (2, "b", 2)]
-    one = view.where(F.col("monitor_id") == 1)
-    one.collect()
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(monitor_id" in plan and "= 1)" in plan  # snapshot read prunes folders
+    pruned = changelog._snapshot(spark, snap, 1).where(F.col(changelog.CLUSTER) == changelog.cluster("monitor_id")).where("monitor_id = 1")
+    assert [tuple(r) for r in pruned.select("monitor_id", "word", "n").collect()] == [(1, "a", 4)]
+
+
+def test_batch_landing_while_compacting(spark, monkeypatch):
+    """A batch that lands after the version is fixed is counted once, and keys keep their text."""
+    sink, snap = fresh_dir(spark, "rlog"), fresh_dir(spark, "rsnap")
+    mk = lambda rows: spark.createDataFrame(rows, "monitor_id string, word string, n long")
+    changelog.write_batch(mk([("01", "a", 5), ("1", "a", 1), ("", "a", 7)]), sink, 0)
+    real = changelog._new_version
+
+    def slow(*args):
+        out = real(*args)
+        changelog.write_batch(mk([("1", "a", 10)]), sink, 1)
+        return out
+
+    monkeypatch.setattr(changelog, "_new_version", slow)
+    assert changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, "monitor_id") == 0
+    monkeypatch.setattr(changelog, "_new_version", real)
+    want = [("", "a", 7), ("01", "a", 5), ("1", "a", 11)]
+    for _ in range(2):
+        view = changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap)
+        assert sorted(tuple(r) for r in view.collect()) == want
+        changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, "monitor_id")
+    assert changelog.expire(spark, sink, snap, keep=0) == [0, 1]
+    assert sorted(tuple(r) for r in changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap).collect()) == want
+
+
+def test_files_of_a_version_are_bounded(spark):
+    sink, snap = fresh_dir(spark, "flog"), fresh_dir(spark, "fsnap")
+    rows = spark.range(20_000).select((F.col("id") % 3000).alias("monitor_id"), F.col("id").cast("string").alias("word"), F.lit(1).cast("long").alias("n"))
+    changelog.write_batch(rows.repartition(16), sink, 0)
+    changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, "monitor_id")
+    files = spark.read.parquet(f"{snap}/upto=0").inputFiles()
+    assert len(files) <= changelog.CLUSTERS * changelog.SPLITS
+
+
+def test_missing_sink_and_foreign_checkpoint(spark, sf_small):
+    with pytest.raises(FileNotFoundError):
+        jobs.latest(spark, fresh_dir(spark, "nothing"), ["k"], "k string")
+    sink, ckpt = fresh_dir(spark, "claimed"), fresh_dir(spark, "ck")
+    jobs.claim(spark, sink, ckpt)
+    jobs.claim(spark, sink, ckpt + "/")
+    with pytest.raises(ValueError):
+        jobs.claim(spark, sink, fresh_dir(spark, "other"))
+    assert jobs.latest(spark, sink, ["k"], "k string").collect() == []
 
 
 def test_complete_mode_sink(spark, sf_small):

@@ -72,3 +72,9 @@ def test_stop_words_as_a_table(spark, sf_small):
     table = text.remove_stop_words(words, spark.createDataFrame([(w,) for w in stop], "w string"))
     rows = lambda df: sorted((r.monitor_id, r.word) for r in df.collect())
     assert rows(table) == rows(inline)
+
+
+def test_long_run_is_one_token(spark):
+    """A run of a million letters neither overflows the matcher's stack nor is cut."""
+    run = "a" * 1_000_000
+    assert _tok(spark, f"x {run} 好{run}") == ["x", run, "好", run]
