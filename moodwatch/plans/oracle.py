@@ -171,6 +171,60 @@ pair AS (
   FROM (SELECT DISTINCT doc_id FROM all_tok) d LEFT JOIN doc_scores s USING (doc_id))"""
 
 
+# MurmurHash3 (32 bits, seed 42) of a term's UTF-8 bytes, modulo 2^18: the public algorithm in
+# unsigned arithmetic.  ``blocks`` holds the whole little-endian words, ``tail`` the rest.
+_M = "4294967295::UBIGINT"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) << {r}) & {_M} | (({x}) >> {32 - r}))"
+
+
+def _mix_word(words: str) -> str:
+    a = f"list_transform({words}, lambda w: (w * 3432918353::UBIGINT) & {_M})"
+    return f"list_transform(list_transform({a}, lambda w: {_rotl('w', 15)}), lambda w: (w * 461845907::UBIGINT) & {_M})"
+
+
+def hashed_terms(*sources: str) -> str:
+    byte = "lambda i: ((strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1)::UBIGINT"
+    word = "lambda j: b[4 * j + 1] | (b[4 * j + 2] << 8) | (b[4 * j + 3] << 16) | (b[4 * j + 4] << 24)"
+    final = "h"
+    steps = []
+    for k, (shift, factor) in enumerate(((16, 2246822507), (13, 3266489909), (16, None))):
+        mixed = f"xor({final}, {final} >> {shift})"
+        steps.append(f"f{k} AS (SELECT term, {mixed if factor is None else f'({mixed} * {factor}::UBIGINT) & {_M}'} AS h FROM {f'f{k - 1}' if k else 'sums'})")
+    return f"""term_hex AS (
+  SELECT DISTINCT term, hex(encode(term)) AS x FROM ({' UNION ALL '.join(f'SELECT term FROM {s}' for s in sources)})),
+term_bytes AS (SELECT term, list_transform(range(len(x) // 2), {byte}) AS b FROM term_hex),
+term_words AS (
+  SELECT term, len(b)::UBIGINT AS n, list_transform(range(len(b) // 4), {word}) AS blocks,
+         list_reduce(list_prepend(0::UBIGINT, list_transform(range(len(b) % 4), lambda i: b[len(b) // 4 * 4 + i + 1] << (8 * i))), lambda p, q: p | q) AS tail
+  FROM term_bytes),
+sums AS (
+  SELECT term, xor(xor(list_reduce(list_prepend(42::UBIGINT, {_mix_word('blocks')}),
+               lambda h, k: ({_rotl('xor(h, k)', 13)} * 5::UBIGINT + 3864292196::UBIGINT) & {_M}), {_mix_word('[tail]')}[1]), n) AS h
+  FROM term_words),
+{', '.join(steps)},
+buckets AS (SELECT term, h % 262144 AS bucket FROM f2)"""
+
+
+# the model over hashed terms: an unseen bucket has no document, so its idf is ln(N + 1)
+HASHED_NB = """lab_h AS (SELECT doc_id, bucket, sum(tf) AS tf FROM lab_tf JOIN buckets USING (term) GROUP BY ALL),
+all_h AS (SELECT doc_id, bucket, sum(tf) AS tf FROM all_tf JOIN buckets USING (term) GROUP BY ALL),
+size AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = 0.0) AS n0, count(*) FILTER (WHERE label = 1.0) AS n1 FROM labelled),
+bucket_x AS (
+  SELECT bucket, ln((any_value(n) + 1.0) / (count(*) + 1.0)) AS idf,
+         coalesce(sum(tf) FILTER (WHERE label = 0.0), 0.0) * ln((any_value(n) + 1.0) / (count(*) + 1.0)) AS x0,
+         coalesce(sum(tf) FILTER (WHERE label = 1.0), 0.0) * ln((any_value(n) + 1.0) / (count(*) + 1.0)) AS x1
+  FROM lab_h JOIN labelled USING (doc_id), size GROUP BY bucket),
+class_sum AS (SELECT ln(sum(x0) + 262144.0) AS s0, ln(sum(x1) + 262144.0) AS s1 FROM bucket_x),
+pair AS (
+  SELECT a.doc_id,
+         any_value(ln(n0 + 1.0) - ln(n + 2.0)) + sum(a.tf * coalesce(b.idf, ln(n + 1.0)) * (ln(coalesce(b.x0, 0.0) + 1.0) - s0)) AS r0,
+         any_value(ln(n1 + 1.0) - ln(n + 2.0)) + sum(a.tf * coalesce(b.idf, ln(n + 1.0)) * (ln(coalesce(b.x1, 0.0) + 1.0) - s1)) AS r1
+  FROM all_h a LEFT JOIN bucket_x b USING (bucket), size, class_sum GROUP BY a.doc_id)"""
+
+
 def _queries() -> dict[str, str]:
     base = [COMMENTS, LINES]
     dec = base + [FIELDS, DECODED]
@@ -344,6 +398,24 @@ SELECT monitor_id, hour,
        count(*) FILTER (WHERE label = 2.0) AS neutral
 FROM banded GROUP BY monitor_id, hour"""
     q["stream_trend_vocab"] = q["sentiment_trend_vocab"]
+    hashed = _with(*dec, LABELLED, _model_terms("labelled", "lab"), comment_docs, _model_terms("cdocs", "all"),
+                   hashed_terms("lab_tf", "all_tf"), HASHED_NB) + """, scored AS (
+  SELECT c.doc_id, c.monitor_id, c.hour,
+         1.0 / (1.0 + exp(p.r1 - p.r0)) AS p0, 1.0 / (1.0 + exp(p.r0 - p.r1)) AS p1,
+         CAST(CASE WHEN p.r1 > p.r0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction
+  FROM pair p JOIN cdocs c USING (doc_id)),
+banded AS (
+  SELECT *, CAST(CASE WHEN abs(p0 - p1) < 0.3 THEN 2.0 ELSE prediction END AS DOUBLE) AS label FROM scored)
+"""
+    q["sentiment_score"] = hashed + """SELECT doc_id AS comment_id, monitor_id, hour, prediction, label,
+       CASE label WHEN 0.0 THEN 'positive' WHEN 1.0 THEN 'negative' ELSE 'neutral' END AS label_name
+FROM banded"""
+    q["sentiment_trend"] = hashed + """SELECT monitor_id, hour,
+       count(*) FILTER (WHERE label = 0.0) AS positive,
+       count(*) FILTER (WHERE label = 1.0) AS negative,
+       count(*) FILTER (WHERE label = 2.0) AS neutral
+FROM banded GROUP BY monitor_id, hour"""
+    q["stream_trend"] = q["sentiment_trend"]
     # streams: the latest view of each sink equals the batch result
     q["stream_word_counts"] = q["word_counts"]
     q["stream_gender_counts"] = q["gender_counts"]
