@@ -426,6 +426,54 @@ def q_author_union(spark, d):
                                 records.extract_comments(comment_responses(spark, d)))
 
 
+def q_ingest_lines(spark, d):
+    """R5+J2: the whole ingest.  Response r answers the search for nation r % 25's name, page
+    r % 10; its posts belong to the monitor that owns this URL, and conversation c holds the
+    comments of post c.  All three topics' lines."""
+    from moodwatch.functions.constants import DEFAULT_SEARCH_TEMPLATE, URL_KEYWORD_SLOT, URL_PAGE_SLOT
+    from moodwatch.functions.text import url_encode_path
+    from moodwatch.streaming import apps
+    nation = fx.table(spark, d, "nation")
+    r = F.col("r")
+    url = F.replace(F.replace(F.lit(DEFAULT_SEARCH_TEMPLATE), F.lit(URL_KEYWORD_SLOT), url_encode_path("n_name")),
+                    F.lit(URL_PAGE_SLOT), (r % 10).cast("string"))
+    search = (search_responses(spark, d).withColumnRenamed("monitor_id", "r")
+              .join(nation, r % 25 == F.col("n_nationkey")).select(url.alias("url"), "raw"))
+    comments = comment_responses(spark, d).withColumnRenamed("monitor_id", "post_id")
+    lines = apps.ingest(search, comments, q_url_owner(spark, d))
+    parts = [df.select(F.lit(topic).alias("topic"), "value") for topic, df in lines.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_monitor_table(spark, d):
+    """S3 and the K6 write: the monitor table written, new monitors appended, all read back."""
+    from moodwatch.session import fresh_dir
+    from moodwatch.sources.tables import append_monitors_table, read_monitors
+    path = fresh_dir(spark, "monitor-table")
+    append_monitors_table(fx.monitors(spark, d), path)
+    append_monitors_table(q_monitor_append(spark, d), path)
+    return read_monitors(spark, path)
+
+
+def q_sentiment_loaded(spark, d):
+    """The model saved, loaded and applied."""
+    from moodwatch.session import fresh_dir
+    path = fresh_dir(spark, "model")
+    trained_model(spark, d).write().save(path)
+    s = model.neutral_band(model.score(model.load(path), decoded_comments(spark, d)))
+    return s.select("comment_id", "monitor_id", "hour", "prediction", "label", model.label_name().alias("label_name"))
+
+
+def q_table_put(spark, d):
+    """K7: every profile put, then every second one again without a gender; the last put wins."""
+    from moodwatch.session import fresh_dir
+    from moodwatch.sinks import changelog
+    path, u = fresh_dir(spark, "table-put"), fx.users(spark, d)
+    changelog.write_batch(u, path, 0)
+    changelog.write_batch(u.where("user_id % 2 = 0").withColumn("gender", F.lit(None).cast("string")), path, 1)
+    return changelog.latest_view(spark, path, ["user_id"])
+
+
 def q_comment_dedup(spark, d):
     """The topic holds every comment twice (a re-crawl with one more like);
     keep the newest copy of each comment id."""

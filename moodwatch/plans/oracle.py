@@ -374,6 +374,33 @@ FROM (SELECT user_id, user_name, gender, description, follow_count, followers_co
       UNION ALL
       SELECT user_id, user_name, gender, description, follow_count, followers_count FROM conv_comments
       WHERE user_id IS NOT NULL)"""
+    url = ("replace(replace('__TEMPLATE__', '$1', replace(url_encode(n.n_name), '%2F', '/')), '$2', "
+           "CAST(p.monitor_id % 10 AS VARCHAR))").replace("__TEMPLATE__", B_TEMPLATE)
+    q["ingest_lines"] = _with(USERS, POSTS, CONV_COMMENTS, frontier_tpl, f"""owner AS (
+  SELECT url, arg_max(monitor_id, (monitor_id, keyword_pos)) AS owner_id FROM frontier GROUP BY url),
+tposts AS (
+  SELECT p.*, o.owner_id FROM posts p JOIN nation n ON n.n_nationkey = p.monitor_id % 25 JOIN owner o ON o.url = {url}),
+tcom AS (
+  SELECT c.* EXCLUDE (monitor_id), t.owner_id FROM conv_comments c
+  JOIN (SELECT DISTINCT post_id, owner_id FROM tposts) t ON c.monitor_id = t.post_id),
+authors AS (
+  SELECT user_id, user_name, gender, description, follow_count, followers_count FROM tposts WHERE user_id IS NOT NULL
+  UNION ALL
+  SELECT user_id, user_name, gender, description, follow_count, followers_count FROM tcom WHERE user_id IS NOT NULL)""") + f"""
+SELECT 'wz' AS topic, concat_ws('|', CAST(post_id AS VARCHAR), CAST(owner_id AS VARCHAR), coalesce(CAST(user_id AS VARCHAR), {none}),
+       coalesce(source, {none}), coalesce(CAST(reposts_count AS VARCHAR), {none}),
+       coalesce(CAST(comments_count AS VARCHAR), {none}), coalesce(CAST(attitudes_count AS VARCHAR), {none}),
+       coalesce(text, {none})) AS value FROM tposts
+UNION ALL
+SELECT 'user', concat_ws('|', CAST(user_id AS VARCHAR), coalesce(user_name, {none}), coalesce(gender, {none}),
+       coalesce(description, {none}), coalesce(CAST(follow_count AS VARCHAR), {none}),
+       coalesce(CAST(followers_count AS VARCHAR), {none})) FROM authors
+UNION ALL
+SELECT 'com', concat_ws('|', CAST(comment_id AS VARCHAR), CAST(owner_id AS VARCHAR), coalesce(created_at, {none}),
+       coalesce(CAST(like_count AS VARCHAR), {none}), coalesce(CAST(user_id AS VARCHAR), {none}), coalesce(text, {none})) FROM tcom"""
+    q["monitor_table"] = q["monitor_list"] + "\nUNION ALL\n(" + q["monitor_append"] + ")"
+    q["table_put"] = _with(USERS) + """SELECT user_id, user_name, CASE WHEN user_id % 2 = 0 THEN NULL ELSE gender END AS gender,
+       description, follow_count, followers_count FROM users"""
     q["comment_dedup"] = _with(*dec) + "SELECT comment_id, monitor_id, like_count + 1 AS like_count, user_id, text FROM valid"
     q["tfidf"] = _with(LABELLED, _model_terms("labelled", "lab"), IDF) + """SELECT t.doc_id, t.term, t.tf, round(t.tf * i.idf, 6) AS tfidf
 FROM lab_tf t JOIN idf i USING (term)"""
@@ -410,6 +437,7 @@ banded AS (
     q["sentiment_score"] = hashed + """SELECT doc_id AS comment_id, monitor_id, hour, prediction, label,
        CASE label WHEN 0.0 THEN 'positive' WHEN 1.0 THEN 'negative' ELSE 'neutral' END AS label_name
 FROM banded"""
+    q["sentiment_loaded"] = q["sentiment_score"]
     q["sentiment_trend"] = hashed + """SELECT monitor_id, hour,
        count(*) FILTER (WHERE label = 0.0) AS positive,
        count(*) FILTER (WHERE label = 1.0) AS negative,
@@ -433,6 +461,7 @@ FROM valid v LEFT JOIN users u ON v.user_id = u.user_id GROUP BY ALL"""
     q["stream_profiles"] = _with(USERS) + ("SELECT user_id, user_name, gender, description, follow_count, "
                                            "followers_count FROM users")
     q["stream_comment_dedup"] = _with(*dec) + "SELECT comment_id, monitor_id, like_count, user_id, text FROM valid"
+    q["stream_comment_dedup_within"] = q["stream_comment_dedup"]
     q["stream_line_word_count"] = (f"SELECT word, count(*) AS n FROM (SELECT unnest({jvm_split('line', ',', ',')}) "
                                    f"AS word FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) "
                                    f"GROUP BY word")

@@ -239,6 +239,14 @@ def q_stream_comment_dedup(spark, d):
     return changelog.read_log(spark, sink).drop(changelog.BATCH)
 
 
+def q_stream_comment_dedup_within(spark, d):
+    """W9 with bounded state: ids are forgotten once the watermark passed them by the delay."""
+    lines = _read(spark, _comment_topic(spark, d, copies=2))
+    out = jobs.comments(lines, dedup_within="60 days").select("comment_id", "monitor_id", "like_count", "user_id", "text")
+    sink = _run(spark, out, "dedup-within", output_mode="append")
+    return changelog.read_log(spark, sink).drop(changelog.BATCH)
+
+
 def q_stream_line_word_count(spark, d):
     """S2 + T4 + A5: document texts replayed as a text line stream, split on commas."""
     path = fresh_dir(spark, "lines")
