@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from moodwatch.functions.constants import LABEL_NEGATIVE, LABEL_NEUTRAL, LABEL_POSITIVE, LABEL_NAMES
 
 
-#: tasks over which rows without a join key are spread
-NULL_BUCKETS = 1024
+#: stand-in keys over which rows without a join key are spread
+NULL_KEYS = 1 << 20
 
 
 def word_counts(words: DataFrame, keys=("monitor_id", "word")) -> DataFrame:
@@ -44,11 +44,13 @@ def gender_join(comments: DataFrame, profiles: DataFrame, hot: DataFrame | None
     if hot is not None:
         from moodwatch.operators.joins import salted_join
         return salted_join(comments, g, "user_id", hot, "left")
-    # comments without a user match nothing: a second key deals them over many tasks
+    # comments without a user match nothing: stand-in keys deal them over many tasks, and
+    # whatever those might match is dropped
     others = [c for c in comments.columns if c != "user_id"]
-    spread = F.when(F.col("user_id").isNull(), F.pmod(F.xxhash64(*others), F.lit(NULL_BUCKETS))).otherwise(F.lit(0))
-    return (comments.withColumn("_spread", spread.cast("int"))
-            .join(g.withColumn("_spread", F.lit(0)), ["user_id", "_spread"], "left").drop("_spread"))
+    stand_in = F.lit(-1) - F.pmod(F.xxhash64(*others), F.lit(NULL_KEYS))
+    keyed = comments.withColumn("_user_key", F.coalesce(F.col("user_id").cast("bigint"), stand_in))
+    joined = keyed.join(g.select(F.col("user_id").alias("_user_key"), F.col("gender").alias("_gender")), "_user_key", "left")
+    return joined.select(*comments.columns, F.when(F.col("user_id").isNotNull(), F.col("_gender")).alias("gender"))
 
 
 def gender_counts(joined: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def _skewed_comments(spark, sf):
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_hot_user_salted_join_equals_plain_join(spark, sf_small):
@@ -75,7 +75,7 @@ def test_bucketed_profiles_are_not_shuffled(spark, sf_small):
         plan = j._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "SelectedBucketsCount: 8 out of 8" in plan
         # one exchange on user_id: the comments are shuffled into the buckets, the profile scan is not
-        assert len(re.findall(r"Exchange hashpartitioning\(user_id", plan)) == 1
+        assert len(re.findall(r"Exchange hashpartitioning\(_user_key", plan)) == 1
         assert _rows(metrics.gender_counts(j)) == _rows(metrics.gender_counts(
             metrics.gender_join(batch.decoded_comments(spark, sf_small), fx.users(spark, sf_small))))
     finally:
@@ -106,6 +106,26 @@ def test_stream_batches_read_bucketed_profiles_in_place(spark, sf_small):
             plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
             final = plan.split("== Initial Plan ==")[0]  # AQE runs the stateless micro-batches
             assert "SelectedBucketsCount: 8 out of 8" in final
-            assert len(re.findall(r"Exchange hashpartitioning\(user_id", final)) == 1, (stateful, final)
+            assert len(re.findall(r"Exchange hashpartitioning\(_user_key", final)) == 1, (stateful, final)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_without_a_user_are_spread(spark):
+    """Null keys match nothing and don't meet in one task, plain or salted."""
+    from moodwatch.operators.joins import salted_join
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        c = spark.range(4000).select(F.col("id").alias("comment_id"), F.when(F.col("id") % 4 == 0, F.col("id") % 50).alias("user_id"),
+                                     F.lit("m").alias("monitor_id"))
+        p = spark.range(50).select(F.col("id").alias("user_id"), F.lit("f").alias("gender"))
+        hot = spark.createDataFrame([(0,)], "user_id long")
+        for joined in (metrics.gender_join(c, p), salted_join(c, p, "user_id", hot)):
+            rows = joined.select("comment_id", "user_id", "gender", F.spark_partition_id().alias("task")).collect()
+            assert len(rows) == 4000 and all((r.gender is None) == (r.user_id is None) for r in rows)
+            tasks = [sum(r.user_id is None for r in rows if r.task == t) for t in {r.task for r in rows}]
+            assert max(tasks) < 1500
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
