@@ -1,6 +1,5 @@
 import corpus_pipeline
-import numpy as np
-from moodwatch.llm import decontam, langid, neardup, packing, queries
+from moodwatch.llm import packing, queries
 from moodwatch.llm.common import stored
 from moodwatch.llm.tokens import Encoder, tokenizer_path
 from moodwatch.session import fresh_dir
@@ -74,4 +73,4 @@ def test_registered():
     assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
     assert set(queries.oracle_sql()) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "language_id" and len(corpus_pipeline.STAGES) == 5
-    assert langid and decontam and neardup and np
+
