@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodwatch.functions.constants import COMMENT_FIELDS, FIELD_SEPARATOR, NULL_TEXT, POST_FIELDS, USER_FIELDS
-from moodwatch.functions.lines import encode_fields, has_arity, jvm_split
+from moodwatch.functions.lines import encode_fields, has_arity
 from moodwatch.functions.text import strip_tags
 from moodwatch.functions.timefmt import format_created_at, hour_bucket, parse_created_at
 
