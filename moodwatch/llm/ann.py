@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 
 from moodwatch.llm.common import stored
 
-DIMENSIONS, CERTAINTY, SEED = 8, 0.98, 42
+DIMENSIONS, CERTAINTY, SEED = 16, 0.95, 42
 #: vectors whose projections the cells are fitted on; a cell needs at least SAMPLE_CELL of them
 SAMPLE, SAMPLE_CELL = 20_000, 8
 #: points of a chunk and of a leaf
-CHUNK, LEAF = 4096, 48
+CHUNK, LEAF = 4096, 256
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -121,10 +121,10 @@ class Tree:
         self.high = np.array([projected[r].max(axis=0) for r in self.leaves])
 
     def search(self, vector: np.ndarray, projected: np.ndarray, k: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """(distances, rows) of the k nearest found, given that the k-th is within ``bound``."""
+        """(distances, rows) of the k nearest found within ``bound``, if the k-th of all is within it."""
         gaps = box_distance(projected, self.low, self.high)
         order = np.argsort(gaps)
-        best, rows = np.empty(0), np.empty(0, np.int64)
+        best, rows, limit = np.empty(0), np.empty(0, np.int64), bound
         for leaf in order:
             if gaps[leaf] > STOP * bound * bound:
                 break
@@ -142,7 +142,8 @@ class Tree:
                 best, rows = best[keep], rows[keep]
             if len(best) >= k:
                 bound = min(bound, float(np.partition(best, k - 1)[k - 1]))
-        return best, rows
+        near = best <= limit
+        return best[near], rows[near]
 
 
 def box_distance(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -210,14 +211,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     dealt = placed.withColumn("chunk", F.pmod(F.xxhash64("v"), chunks_of[F.col("cell")]))
 
     def where_to(first: bool):
-        """(v, cell, bound) of the cells that each (v, bound, home) must search."""
+        """(q, v, cell, bound) for the cells that each (q, v, bound) must search: its own, or the others."""
         def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 out_v, out_cell, out_bound = [], [], []
                 if b.num_rows:
-                    p = _matrix(b.column(0)) @ plane
+                    p = _matrix(b.column(1)) @ plane
                     home = cells_of(nodes, p)
-                    reach = b.column(1).to_numpy(zero_copy_only=False)
+                    reach = b.column(2).to_numpy(zero_copy_only=False)
                     for i in range(len(p)):
                         if first:
                             to = [home[i]]
@@ -229,36 +230,39 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
                     for a in range(0, len(out_v), 10_000):
                         z = slice(a, a + 10_000)
                         yield pa.RecordBatch.from_arrays(
-                            [b.column(0).take(pa.array(out_v[z])), pa.array(out_cell[z], pa.int64()), pa.array(out_bound[z], pa.float64())],
-                            ["v", "cell", "bound"])
+                            [b.column(0).take(pa.array(out_v[z], pa.int64())), b.column(1).take(pa.array(out_v[z], pa.int64())),
+                             pa.array(out_cell[z], pa.int64()), pa.array(out_bound[z], pa.float64())], ["q", "v", "cell", "bound"])
         return work
 
     def search(points_: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         if not len(points_) or not len(wanted):
-            return pd.DataFrame({"v": pd.Series(dtype=object), "score": pd.Series(dtype=float), "ids": pd.Series(dtype=object)})
+            return pd.DataFrame({"q": pd.Series(dtype="int64"), "score": pd.Series(dtype=float), "ids": pd.Series(dtype=object)})
         content = np.stack(points_["v"].to_numpy())
         tree, out = Tree(content, content @ plane), []
-        for v, bound in zip(wanted["v"], wanted["bound"], strict=True):
+        ids = points_["ids"].to_numpy()
+        for q, v, bound in zip(wanted["q"], wanted["v"], wanted["bound"], strict=True):
             found, rows = tree.search(v, v @ plane, k + 1, bound)
-            out += [(v, float(d), points_["ids"].iat[r]) for d, r in zip(found, rows, strict=True)]
-        return pd.DataFrame(out, columns=["v", "score", "ids"])
+            out += [(q, float(d), ids[r]) for d, r in zip(found, rows, strict=True)]
+        return pd.DataFrame(out, columns=["q", "score", "ids"])
 
     def run(to: DataFrame) -> DataFrame:
         spread = to.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks_of[F.col("cell")].cast("long") - 1)))
         return dealt.select("v", "ids", "cell", "chunk").groupBy("cell", "chunk").cogroup(
-            spread.groupBy("cell", "chunk")).applyInPandas(search, "v array<double>, score double, ids array<long>")
-
-    sought = asked.select("v").distinct().withColumn("bound", F.lit(float("inf")))
-    home = stored(run(sought.mapInArrow(where_to(True), "v array<double>, cell long, bound double")), "home_found")
-    turn = Window.partitionBy("v").orderBy("score")
-    kth = (home.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") == k + 1).select("v", F.col("score").alias("kth")))
-    reach = sought.select("v").join(kth, "v", "left").select("v", F.coalesce("kth", F.lit(float("inf"))).alias("bound"))
-    far = run(reach.mapInArrow(where_to(False), "v array<double>, cell long, bound double"))
+            spread.groupBy("cell", "chunk")).applyInPandas(search, "q long, score double, ids array<long>")
+
+    # equal query vectors are searched once, under the smallest of their ids
+    first_of = stored(asked.groupBy("v").agg(F.min("query_id").alias("q")), "query_vectors")
+    sought = first_of.select("q", "v", F.lit(float("inf")).alias("bound"))
+    target = "q long, v array<double>, cell long, bound double"
+    home = stored(run(sought.mapInArrow(where_to(True), target)), "home_found")
+    by_score = Window.partitionBy("q").orderBy("score")
+    kth = (home.withColumn("turn", F.row_number().over(by_score)).where(F.col("turn") == k + 1).select("q", F.col("score").alias("kth")))
+    reach = first_of.join(kth, "q", "left").select("q", "v", F.coalesce("kth", F.lit(float("inf"))).alias("bound"))
+    far = run(reach.mapInArrow(where_to(False), target))
     # k + 1 vectors hold at least k ids besides the query's own; ties of the last stay
-    near = Window.partitionBy("v").orderBy("score")
-    best = home.unionByName(far).withColumn("turn", F.rank().over(near)).where(F.col("turn") <= k + 1)
-    ids = best.select("v", "score", F.explode("ids").alias("vec_id"))
-    ids = ids.withColumn("turn", F.row_number().over(Window.partitionBy("v").orderBy("score", "vec_id"))).where(F.col("turn") <= k + 1)
-    pairs = asked.join(ids.drop("turn"), "v").where("vec_id <> query_id")
+    best = home.unionByName(far).withColumn("turn", F.rank().over(by_score)).where(F.col("turn") <= k + 1)
+    ids = best.select("q", "score", F.explode("ids").alias("vec_id"))
+    ids = ids.withColumn("turn", F.row_number().over(Window.partitionBy("q").orderBy("score", "vec_id"))).where(F.col("turn") <= k + 1)
+    pairs = (asked.join(first_of, "v").select("query_id", "q").join(ids.drop("turn"), "q").where("vec_id <> query_id"))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
