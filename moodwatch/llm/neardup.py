@@ -2,11 +2,12 @@
 
 A document is the set of its distinct shingles of five words (64-bit hashes).  Equal sets
 are one node.  The shingles fall into buckets; of the smallest hash of a bucket the number
-of leading zeros and some mantissa bits are kept (a register).  An empty bucket borrows the
-register of another one, found by a fixed sequence.  Registers serve twice: bands of three
-wide registers (6 + 10 bits) make nodes meet, and 256 narrow ones (5 + 3 bits) estimate the
-Jaccard similarity, corrected for registers that are equal by chance.  Pairs with a high
-enough estimate are confirmed on the full sets, recomputed from the texts.
+of leading zeros and some mantissa bits are kept (a register).  Registers serve twice.  Bands of
+three wide ones (6 + 10 bits) make nodes meet; there an empty bucket borrows the register of
+another one, found by a fixed sequence.  512 narrow ones (5 + 3 bits, or a mark for empty)
+estimate the Jaccard similarity from the buckets that aren't empty in both, corrected for
+registers that are equal by chance.  Pairs with a high enough estimate are confirmed on the
+full sets, recomputed from the texts.
 
 A bucket of a band never yields all its pairs.  First every member of a block of the bucket
 meets its most similar earlier member; confirmed links give components.  Then only pairs of
@@ -35,13 +36,14 @@ SHINGLE = 5
 #: percent of the union that linked documents share
 SIMILARITY = 85
 BUCKETS, BANDS, ROWS = 256, 20, 3
+NARROW, EMPTY = 512, 255
 #: two independent narrow registers are equal this often: leading zeros alike (0.4) times 1/8
 CHANCE = 0.05
-#: an estimate may fall this far below the similarity: 3.5 deviations of 256 registers; sets of
-#: fewer than 2 * BUCKETS shingles borrow registers, so their estimate scatters more
-SLACK, SLACK_SMALL = 0.08, 0.16
+#: an estimate may fall this far below the similarity: 3.75 deviations of 512 registers.  Smaller
+#: sets scatter less, since their buckets hold nearly all of their shingles
+SLACK = 0.06
 #: members of a bucket that meet in one step; a group of FEW yields all its likely pairs
-BLOCK, FEW = 1024, 8
+BLOCK, FEW = 512, 8
 LEAST_SHINGLES = 6
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -95,23 +97,28 @@ def _tries() -> np.ndarray:
     return _TRIES
 
 
-def _register(least: np.ndarray, zeros_bits: int, mantissa_bits: int) -> np.ndarray:
-    """Leading zeros and the bits after the first one of 56-bit values."""
+def _register(least: np.ndarray, bits: int, zeros_bits: int, mantissa_bits: int) -> np.ndarray:
+    """Leading zeros and the bits after the first one of values of ``bits`` bits."""
     _, exponent = np.frexp(least.astype(np.float64))
-    length = np.minimum(exponent, 56)  # bits of the value; 0 for 0
-    zeros = np.minimum(56 - length, (1 << zeros_bits) - 1)
-    shift = (56 - np.maximum(length, 1) + 1).astype(np.uint64)
-    fraction = ((least << shift) & np.uint64((1 << 56) - 1)) >> np.uint64(56 - mantissa_bits)
+    length = np.minimum(exponent, bits)  # bits of the value; 0 for 0
+    zeros = np.minimum(bits - length, (1 << zeros_bits) - 1)
+    shift = (bits - np.maximum(length, 1) + 1).astype(np.uint64)
+    fraction = ((least << shift) & np.uint64((1 << bits) - 1)) >> np.uint64(bits - mantissa_bits)
     return (zeros.astype(np.uint64) << np.uint64(mantissa_bits)) | fraction
 
 
-def registers(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(wide, narrow) registers of a set that isn't empty."""
-    edges = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(56)
-    first = np.searchsorted(found, edges)
-    inside = first < len(found)
+def _minima(found: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(smallest rest of the hashes in each bucket, whether it has any, bits of the rest)."""
+    bits = 64 - (buckets.bit_length() - 1)
+    first = np.searchsorted(found, np.arange(buckets, dtype=np.uint64) << np.uint64(bits))
     least = found[np.minimum(first, len(found) - 1)]
-    have = inside & ((least >> np.uint64(56)) == np.arange(BUCKETS, dtype=np.uint64))
+    have = (first < len(found)) & ((least >> np.uint64(bits)) == np.arange(buckets, dtype=np.uint64))
+    return least & np.uint64((1 << bits) - 1), have, bits
+
+
+def wide_registers(found: np.ndarray) -> np.ndarray:
+    """Registers of a set that isn't empty, for the bands."""
+    least, have, bits = _minima(found, BUCKETS)
     source = np.arange(BUCKETS)
     empty = np.flatnonzero(~have)
     for row in _tries():
@@ -123,8 +130,13 @@ def registers(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         empty = empty[~full]
     if len(empty):
         source[empty] = np.flatnonzero(have)[0]
-    least = (least & np.uint64((1 << 56) - 1))[source]
-    return _register(least, 6, 10), _register(least, 5, 3).astype(np.uint8)
+    return _register(least[source], bits, 6, 10)
+
+
+def narrow_registers(found: np.ndarray) -> np.ndarray:
+    """Registers of a set that isn't empty, for the estimate."""
+    least, have, bits = _minima(found, NARROW)
+    return np.where(have, np.minimum(_register(least, bits, 5, 3), EMPTY - 1), EMPTY).astype(np.uint8)
 
 
 def band_keys(wide: np.ndarray) -> np.ndarray:
@@ -136,30 +148,24 @@ def band_keys(wide: np.ndarray) -> np.ndarray:
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of narrow registers, along the last axis."""
-    return ((a == b).mean(axis=-1) - CHANCE) / (1 - CHANCE)
-
-
-def _likely(estimate: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    least, most = np.minimum(n, m), np.maximum(n, m)
-    slack = np.where(least < 2 * BUCKETS, SLACK_SMALL, SLACK)
-    return (100 * least >= SIMILARITY * most) & (estimate >= SIMILARITY / 100 - slack)
-
-
-def _matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimates of all rows of ``a`` with all of ``b``."""
-    out = np.empty((len(a), len(b)), np.float32)
+    """Estimated Jaccard similarities of the rows of ``a`` with the rows of ``b`` (narrow registers)."""
+    none_a, none_b = (a == EMPTY).astype(np.float32), (b == EMPTY).astype(np.float32)
+    neither = none_a @ none_b.T
+    both = NARROW - none_a.sum(axis=1)[:, None] - none_b.sum(axis=1)[None, :] + neither
+    equal = np.empty((len(a), len(b)), np.float32)
     for k in range(0, len(a), 16):
-        out[k:k + 16] = similarity(a[k:k + 16, None, :], b[None, :, :])
-    return out
+        equal[k:k + 16] = (a[k:k + 16, None, :] == b[None, :, :]).sum(axis=-1)
+    return (equal - neither - CHANCE * both) / (1 - CHANCE) / (NARROW - neither)
 
 
-Group = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+def _likely(estimate: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Pairs that may be linked, by the sizes of the sets and the estimate."""
+    return (100 * np.minimum(n, m) >= SIMILARITY * np.maximum(n, m)) & (estimate >= SIMILARITY / 100 - SLACK)
 
 
 def _meet(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, _: np.ndarray) -> list[tuple]:
     """First step, for one block: (a, b, open band or None) rows."""
-    estimate = _matrix(regs, regs)
+    estimate = similarity(regs, regs)
     likely = np.triu(_likely(estimate, n[:, None], n[None, :]), 1)
     if len(node) <= FEW:
         return [(node[i], node[j], None) for i, j in zip(*np.nonzero(likely), strict=True)]
@@ -178,7 +184,7 @@ def _cross(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray,
     sides = [np.arange(len(node))] * 2 if len(set(part.tolist())) < 2 else [np.flatnonzero(part == p) for p in np.unique(part)]
     for at in range(0, len(sides[0]), 256):
         i, j = sides[0][at:at + 256], sides[1]
-        likely = _likely(_matrix(regs[i], regs[j]), n[i][:, None], n[j][None, :]) & (label[i][:, None] != label[j][None, :])
+        likely = _likely(similarity(regs[i], regs[j]), n[i][:, None], n[j][None, :]) & (label[i][:, None] != label[j][None, :])
         x, y = np.nonzero(likely)
         out += [(node[i[p]], node[j[q]], None) for p, q in zip(x, y, strict=True) if sides[0] is not sides[1] or i[p] < j[q]]
     return out
@@ -205,7 +211,7 @@ def _grouped(rows: DataFrame, keys: list[str], extra: list[str], work: Callable[
         for batch in batches:
             number = {c: batch.column(k) for k, c in enumerate(batch.schema.names)}
             key = np.stack([number[k].to_numpy(zero_copy_only=False) for k in keys], axis=1)
-            regs = np.frombuffer(b"".join(number["regs"].to_pylist()), np.uint8).reshape(len(key), BUCKETS)
+            regs = np.frombuffer(b"".join(number["regs"].to_pylist()), np.uint8).reshape(len(key), NARROW)
             own = [number[c].to_numpy(zero_copy_only=False) for c in ("band", "node", "n")]
             more = np.stack([number[c].to_numpy(zero_copy_only=False) for c in extra], axis=1) if extra else np.zeros((len(key), 0))
             new = (key, *own, regs, more)
@@ -234,7 +240,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                 found = shingles(text)
                 size.append(len(found))
                 node.append(set_hash(found) if len(found) and doc is not None else None)
-                bands.append(band_keys(registers(found)[0]) if len(found) >= LEAST_SHINGLES and doc is not None else None)
+                bands.append(band_keys(wide_registers(found)) if len(found) >= LEAST_SHINGLES and doc is not None else None)
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
                 ["doc_id", "n", "node", "bands"])
@@ -253,7 +259,7 @@ def _with_registers(rows: DataFrame) -> DataFrame:
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = shingles(text)
                 if len(found) and set_hash(found) == node:
-                    out.append((node, len(found), registers(found)[1].tobytes(), text))
+                    out.append((node, len(found), narrow_registers(found).tobytes(), text))
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)],
                                               ["node", "n", "regs", "text"])
