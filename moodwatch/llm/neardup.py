@@ -163,7 +163,7 @@ def _likely(estimate: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (100 * np.minimum(n, m) >= SIMILARITY * np.maximum(n, m)) & (estimate >= SIMILARITY / 100 - SLACK)
 
 
-def _meet(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, _: np.ndarray) -> list[tuple]:
+def _meet(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, keys: np.ndarray, _: np.ndarray) -> list[tuple]:
     """First step, for one block: (a, b, open band or None) rows."""
     estimate = similarity(regs, regs)
     likely = np.triu(_likely(estimate, n[:, None], n[None, :]), 1)
@@ -177,8 +177,10 @@ def _meet(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, _
     return [*out, (None, None, band[0])] if likely.sum() > len(out) else out
 
 
-def _cross(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, extra: np.ndarray) -> list[tuple]:
-    """Second step, for a block or a pair of blocks: likely pairs of different components."""
+def _cross(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, keys: np.ndarray, extra: np.ndarray) -> list[tuple]:
+    """Second step, for a block or a pair of blocks: likely pairs of different components.  A pair
+    that meets in several bands is given in the first of them alone; if that one isn't open, the
+    first step has tested the pair."""
     label, part = extra[:, 0], extra[:, 1]
     out = []
     sides = [np.arange(len(node))] * 2 if len(set(part.tolist())) < 2 else [np.flatnonzero(part == p) for p in np.unique(part)]
@@ -186,12 +188,18 @@ def _cross(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray,
         i, j = sides[0][at:at + 256], sides[1]
         likely = _likely(similarity(regs[i], regs[j]), n[i][:, None], n[j][None, :]) & (label[i][:, None] != label[j][None, :])
         x, y = np.nonzero(likely)
-        out += [(node[i[p]], node[j[q]], None) for p, q in zip(x, y, strict=True) if sides[0] is not sides[1] or i[p] < j[q]]
+        x, y = i[x], j[y]
+        if sides[0] is sides[1]:
+            x, y = x[x < y], y[x < y]
+        first = (keys[x] == keys[y]).argmax(axis=1)
+        here = keys[x, first] == band[0]
+        out += [(a, b, None) for a, b in zip(node[x[here]], node[y[here]], strict=True)]
     return out
 
 
 def _grouped(rows: DataFrame, keys: list[str], extra: list[str], work: Callable[..., list[tuple]]) -> DataFrame:
-    """Run ``work`` over the rows (band, node, n, regs, *extra) of each key; rows are dealt and
+    """Run ``work`` over the rows (band, node, n, regs, band keys, *extra) of each key; ``regs`` holds
+    the narrow registers and then the band keys.  Rows are dealt and
     sorted by the keys, and a task holds one Arrow batch and the rows of one key."""
     keys = list(keys)
 
@@ -211,10 +219,11 @@ def _grouped(rows: DataFrame, keys: list[str], extra: list[str], work: Callable[
         for batch in batches:
             number = {c: batch.column(k) for k, c in enumerate(batch.schema.names)}
             key = np.stack([number[k].to_numpy(zero_copy_only=False) for k in keys], axis=1)
-            regs = np.frombuffer(b"".join(number["regs"].to_pylist()), np.uint8).reshape(len(key), NARROW)
+            both = np.frombuffer(b"".join(number["regs"].to_pylist()), np.uint8).reshape(len(key), NARROW + 8 * BANDS)
+            regs, bands = both[:, :NARROW], np.ascontiguousarray(both[:, NARROW:]).view(np.int64)
             own = [number[c].to_numpy(zero_copy_only=False) for c in ("band", "node", "n")]
             more = np.stack([number[c].to_numpy(zero_copy_only=False) for c in extra], axis=1) if extra else np.zeros((len(key), 0))
-            new = (key, *own, regs, more)
+            new = (key, *own, regs, bands, more)
             kept = new if kept is None else tuple(np.concatenate(x) for x in zip(kept, new, strict=True))
             last = np.flatnonzero((kept[0] != kept[0][-1]).any(axis=1))
             whole = int(last[-1]) + 1 if len(last) else 0
@@ -251,7 +260,8 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _with_registers(rows: DataFrame) -> DataFrame:
-    """(node, n, regs, text) of (node, text), where the text has that node."""
+    """(node, n, regs, text) of (node, text), where the text has that node; ``regs``: the narrow
+    registers and then the band keys."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -259,7 +269,8 @@ def _with_registers(rows: DataFrame) -> DataFrame:
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = shingles(text)
                 if len(found) and set_hash(found) == node:
-                    out.append((node, len(found), narrow_registers(found).tobytes(), text))
+                    own = narrow_registers(found).tobytes() + band_keys(wide_registers(found)).tobytes()
+                    out.append((node, len(found), own, text))
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)],
                                               ["node", "n", "regs", "text"])
