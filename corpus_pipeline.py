@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from moodwatch.llm import decontam, langid, lines, neardup, packing
 from moodwatch.llm.common import stored
 
+#: percent of their shingles that near duplicates share; op7's own query asks for more
+SIMILARITY = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -34,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group, the one of smallest id."""
-    gone = neardup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = neardup.near_duplicates(docs, similarity=SIMILARITY).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 

@@ -15,14 +15,16 @@ different components are left, of which those with a high estimate are confirmed
 no link between components is lost.  Buckets larger than a block are split by a hash, and
 pairs of blocks meet in the second step.
 
-Sets of fewer than six shingles can only reach the similarity by being equal, so they
-don't enter the bands.
+Sets of fewer than six shingles (four at 80 %) can only reach the similarity by being equal,
+so they don't enter the bands.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -33,18 +35,17 @@ from pyspark.sql import functions as F
 from moodwatch.llm.common import arrow_pass, components, partitions, stored
 
 SHINGLE = 5
-#: percent of the union that linked documents share
+#: percent of the union that linked documents share, unless the caller says otherwise
 SIMILARITY = 85
 BUCKETS, BANDS, ROWS = 256, 20, 3
 NARROW, EMPTY = 512, 255
 #: two independent narrow registers are equal this often: leading zeros alike (0.4) times 1/8
 CHANCE = 0.05
-#: an estimate may fall this far below the similarity: 3.75 deviations of 512 registers.  Smaller
-#: sets scatter less, since their buckets hold nearly all of their shingles
+#: an estimate may fall this far below SIMILARITY: 3.75 deviations of 512 registers, for others as
+#: many.  Smaller sets scatter less, since their buckets hold nearly all of their shingles
 SLACK = 0.06
 #: members of a bucket that meet in one step; a group of FEW yields all its likely pairs
 BLOCK, FEW = 512, 8
-LEAST_SHINGLES = 6
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -158,15 +159,25 @@ def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal - neither - CHANCE * both) / (1 - CHANCE) / (NARROW - neither)
 
 
-def _likely(estimate: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+def least_shingles(percent: int) -> int:
+    """The smallest set that can be linked with another one: n of n + 1 shingles reach the similarity."""
+    return -(-percent // (100 - percent))
+
+
+def slack(percent: int) -> float:
+    return SLACK * math.sqrt(percent * (100 - percent) / (SIMILARITY * (100 - SIMILARITY)))
+
+
+def _likely(estimate: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Pairs that may be linked, by the sizes of the sets and the estimate."""
-    return (100 * np.minimum(n, m) >= SIMILARITY * np.maximum(n, m)) & (estimate >= SIMILARITY / 100 - SLACK)
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (estimate >= percent / 100 - slack(percent))
 
 
-def _meet(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, keys: np.ndarray, _: np.ndarray) -> list[tuple]:
+def _meet(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, keys: np.ndarray, _: np.ndarray,
+          percent: int = SIMILARITY) -> list[tuple]:
     """First step, for one block: (a, b, open band or None) rows."""
     estimate = similarity(regs, regs)
-    likely = np.triu(_likely(estimate, n[:, None], n[None, :]), 1)
+    likely = np.triu(_likely(estimate, n[:, None], n[None, :], percent), 1)
     if len(node) <= FEW:
         return [(node[i], node[j], None) for i, j in zip(*np.nonzero(likely), strict=True)]
     order = np.argsort(-np.where(likely | likely.T, estimate, 0).sum(axis=1), kind="stable")
@@ -177,7 +188,8 @@ def _meet(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, k
     return [*out, (None, None, band[0])] if likely.sum() > len(out) else out
 
 
-def _cross(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, keys: np.ndarray, extra: np.ndarray) -> list[tuple]:
+def _cross(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray, keys: np.ndarray, extra: np.ndarray,
+           percent: int = SIMILARITY) -> list[tuple]:
     """Second step, for a block or a pair of blocks: likely pairs of different components.  A pair
     that meets in several bands is given in the first of them alone; if that one isn't open, the
     first step has tested the pair."""
@@ -186,7 +198,7 @@ def _cross(band: np.ndarray, node: np.ndarray, n: np.ndarray, regs: np.ndarray,
     sides = [np.arange(len(node))] * 2 if len(set(part.tolist())) < 2 else [np.flatnonzero(part == p) for p in np.unique(part)]
     for at in range(0, len(sides[0]), 256):
         i, j = sides[0][at:at + 256], sides[1]
-        likely = _likely(similarity(regs[i], regs[j]), n[i][:, None], n[j][None, :]) & (label[i][:, None] != label[j][None, :])
+        likely = _likely(similarity(regs[i], regs[j]), n[i][:, None], n[j][None, :], percent) & (label[i][:, None] != label[j][None, :])
         x, y = np.nonzero(likely)
         x, y = i[x], j[y]
         if sides[0] is sides[1]:
@@ -238,7 +250,7 @@ def _grouped(rows: DataFrame, keys: list[str], extra: list[str], work: Callable[
     return dealt.mapInArrow(run, "a long, b long, open long")
 
 
-def _signed(docs: DataFrame) -> DataFrame:
+def _signed(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, n, node, bands) of (doc_id, text); node is null for an empty set or a null id,
     bands for a set too small to meet others."""
 
@@ -249,7 +261,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                 found = shingles(text)
                 size.append(len(found))
                 node.append(set_hash(found) if len(found) and doc is not None else None)
-                bands.append(band_keys(wide_registers(found)) if len(found) >= LEAST_SHINGLES and doc is not None else None)
+                bands.append(band_keys(wide_registers(found)) if len(found) >= least and doc is not None else None)
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
                 ["doc_id", "n", "node", "bands"])
@@ -280,7 +292,7 @@ def _with_registers(rows: DataFrame) -> DataFrame:
     return arrow_pass(rows, ["node", "text"], "node long, n long, regs binary, text string", make)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The links among ``pairs`` (a, b), on the full sets of both texts."""
 
     def make():
@@ -298,7 +310,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = found(one), found(two)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
             return batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
         return work
@@ -313,14 +325,15 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row; documents are linked that share
+    ``similarity`` percent of their shingles.
 
     A null or empty text has no shingles and is linked with nothing.  Rows with a null id
     are linked with nothing; their component is null and they are kept.  Rows that repeat an
     id and a text are the same document; other rows that repeat an id keep their own sets."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stored(_signed(rows), "signed")
+    signed = stored(_signed(rows, least_shingles(similarity)), "signed")
     named = signed.where("node is not null")
     exploded = named.where("bands is not null").select("node", F.explode("bands").alias("band"))
     shared = (exploded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
@@ -333,9 +346,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "band", "node", F.ceil(F.col("m") / F.lit(float(BLOCK))).cast("long").alias("blocks")).withColumn(
         "block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")))
     regs = texts.select("node", "n", "regs")
-    first = stored(_grouped(blocked.join(regs, "node"), ["band", "block"], [], _meet), "met")
+    first = stored(_grouped(blocked.join(regs, "node"), ["band", "block"], [], partial(_meet, percent=similarity)), "met")
     tested = stored(_pairs(first), "pairs")
-    links = stored(_confirmed(tested, texts), "links")
+    links = stored(_confirmed(tested, texts, similarity), "links")
     label = components(links)
 
     left = (blocked.join(first.where("open is not null").select(F.col("open").alias("band")).distinct().withColumn("_open", F.lit(True)), "band", "left")
@@ -346,12 +359,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     paired = (left.join(mixed, "band").join(regs, "node")
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
               .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")))
-    second = stored(_pairs(_grouped(paired, ["band", "lo", "hi"], ["label", "block"], _cross))
+    second = stored(_pairs(_grouped(paired, ["band", "lo", "hi"], ["label", "block"], partial(_cross, percent=similarity)))
                     .join(tested, ["a", "b"], "left_anti"), "cross_pairs")
     if second.isEmpty():
         final = label
     else:
-        final = components(stored(links.unionByName(_confirmed(second, texts)), "all_links"))
+        final = components(stored(links.unionByName(_confirmed(second, texts, similarity)), "all_links"))
     placed = named.select("doc_id", "n", "node").join(final, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = placed.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     linked = placed.join(least, "group").select("doc_id", "n", "component_id")

@@ -115,3 +115,19 @@ def test_components(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {x: root(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_similarity_is_a_parameter(frame, prose):
+    """Pairs of sets that share 80 to 85 percent, the smallest ones too; op7's own similarity leaves them."""
+    words = [f"w{k}" for k in range(400)]
+    rows = []
+    for k, n in enumerate([4, 5, 9, 20, 41, 82, 200]):  # shingles; the second text has a fifth to a quarter less or more
+        text = [f"{w}x{k}" for w in words[:n + 4]]
+        rows += [(10 * k, " ".join(text)), (10 * k + 1, " ".join(text + [f"end{j}x{k}" for j in range(max(1, n * 24 // 100))]))]
+    linked = {d for d, _ in rows if d % 10}
+    for a, b in zip(rows[::2], rows[1::2], strict=True):
+        x, y = sets_of(a[1]), sets_of(b[1])
+        assert 80 * len(x | y) <= 100 * len(x & y) < 85 * len(x | y)
+    df = frame(rows, SCHEMA)
+    assert {r.doc_id for r in neardup.near_duplicates(df, similarity=80).collect() if not r.kept} == linked
+    assert all(r.kept for r in neardup.near_duplicates(df).collect())

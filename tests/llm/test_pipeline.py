@@ -74,3 +74,10 @@ def test_registered():
     assert set(queries.oracle_sql()) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "language_id" and len(corpus_pipeline.STAGES) == 5
 
+
+
+def test_near_copies_from_80_percent(spark, prose):
+    text = " ".join(f"word{k}" for k in range(104))
+    near = text + " " + " ".join(f"end{k}" for k in range(22))  # 100 of 122 shingles
+    df = spark.createDataFrame([(1, text, "en", "s", 1), (2, near, "en", "s", 1), (3, prose(40, 1), "en", "s", 1)], SCHEMA)
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {1, 3}
