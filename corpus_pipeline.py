@@ -36,9 +36,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group, the one of smallest id."""
-    gone = neardup.near_duplicates(docs, similarity=SIMILARITY).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """Keeps one document of each near-duplicate group, the one of smallest id.  Rows are told apart
+    by id and text."""
+    return neardup.keep_one(docs, similarity=SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

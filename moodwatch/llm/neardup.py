@@ -251,7 +251,7 @@ def _grouped(rows: DataFrame, keys: list[str], extra: list[str], work: Callable[
 
 
 def _signed(docs: DataFrame, least: int) -> DataFrame:
-    """(doc_id, n, node, bands) of (doc_id, text); node is null for an empty set or a null id,
+    """(doc_id, row, n, node, bands) of (doc_id, text, row); node is null for an empty set or a null id,
     bands for a set too small to meet others."""
 
     def make():
@@ -263,12 +263,12 @@ def _signed(docs: DataFrame, least: int) -> DataFrame:
                 node.append(set_hash(found) if len(found) and doc is not None else None)
                 bands.append(band_keys(wide_registers(found)) if len(found) >= least and doc is not None else None)
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n", "node", "bands"])
+                [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "row", "n", "node", "bands"])
 
         return work
 
-    return arrow_pass(docs, ["doc_id", "text"], "doc_id long, n long, node long, bands array<long>", make)
+    return arrow_pass(docs, ["doc_id", "text", "row"], "doc_id long, row long, n long, node long, bands array<long>", make)
 
 
 def _with_registers(rows: DataFrame) -> DataFrame:
@@ -325,14 +325,11 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row; documents are linked that share
-    ``similarity`` percent of their shingles.
-
-    A null or empty text has no shingles and is linked with nothing.  Rows with a null id
-    are linked with nothing; their component is null and they are kept.  Rows that repeat an
-    id and a text are the same document; other rows that repeat an id keep their own sets."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def _placed(docs: DataFrame, id_col: str, text_col: str, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, n, node, group) of the rows with shingles and an id, and (doc_id, row, n) of the
+    others; ``row`` is a hash of the text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("row"))
     signed = stored(_signed(rows, least_shingles(similarity)), "signed")
     named = signed.where("node is not null")
     exploded = named.where("bands is not null").select("node", F.explode("bands").alias("band"))
@@ -365,10 +362,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         final = label
     else:
         final = components(stored(links.unionByName(_confirmed(second, texts, similarity)), "all_links"))
-    placed = named.select("doc_id", "n", "node").join(final, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    placed = named.select("doc_id", "row", "n", "node").join(final, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    return placed, signed.where("node is null").select("doc_id", "row", "n")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row; documents are linked that share
+    ``similarity`` percent of their shingles.
+
+    A null or empty text has no shingles and is linked with nothing.  Rows with a null id
+    are linked with nothing; their component is null and they are kept.  Rows that repeat an
+    id and a text are the same document; other rows that repeat an id keep their own sets."""
+    placed, others = _placed(docs, id_col, text_col, similarity)
     least = placed.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     linked = placed.join(least, "group").select("doc_id", "n", "component_id")
-    alone = signed.where("node is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    alone = others.select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY) -> DataFrame:
+    """One row of ``docs``, all columns as they are, of each group of near duplicates: that of the
+    smallest id, and among the texts of that id the one of smallest hash.
+
+    Rows are told apart by id and text, so a row stays if only another one of its id is a copy; of
+    rows that repeat an id and a text one stays.  Rows with a null id all stay."""
+    placed, others = _placed(docs, id_col, text_col, similarity)
+    placed = stored(placed.select("doc_id", "row", "group"), "placed")
+    key = F.struct("doc_id", "row")
+    least = placed.groupBy("group").agg(F.min(key).alias("least"))
+    gone = placed.join(least, "group").where(key != F.col("least")).select("doc_id", "row").distinct()
+    repeated = stored(placed.select("doc_id", "row").unionByName(others.where("doc_id is not null").select("doc_id", "row"))
+                      .groupBy("doc_id", "row").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "row"), "repeated")
+    own = [F.col(id_col).cast("long").alias("_near_id"), F.xxhash64(text_col).alias("_near_row")]
+
+    def on(keys: DataFrame) -> DataFrame:
+        return keys.select(F.col("doc_id").alias("_near_id"), F.col("row").alias("_near_row"))
+
+    keys = ["_near_id", "_near_row"]
+    kept = docs.select("*", *own).join(on(gone), keys, "left_anti")
+    if not repeated.isEmpty():
+        kept = kept.join(on(repeated), keys, "left_anti").unionByName(
+            kept.join(on(repeated), keys, "left_semi").dropDuplicates(keys))
+    return kept.select(*docs.columns)

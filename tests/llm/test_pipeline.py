@@ -81,3 +81,15 @@ def test_near_copies_from_80_percent(spark, prose):
     near = text + " " + " ".join(f"end{k}" for k in range(22))  # 100 of 122 shingles
     df = spark.createDataFrame([(1, text, "en", "s", 1), (2, near, "en", "s", 1), (3, prose(40, 1), "en", "s", 1)], SCHEMA)
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {1, 3}
+
+
+def test_near_dedup_decides_by_row(spark, prose):
+    copied, unique, twice = prose(40, 11), prose(40, 12), prose(40, 13)
+    rows = [(1, copied), (2, copied), (2, unique), (3, twice), (3, twice), (4, prose(40, 14)), (4, prose(40, 15)),
+            (5, prose(40, 16)), (5, prose(40, 16) + " end"), (None, copied), (None, copied), (6, None), (7, ""), (8, "")]
+    df = spark.createDataFrame([(d, t, "en", "s", k) for k, (d, t) in enumerate(rows)], SCHEMA).repartition(3)
+    left = corpus_pipeline.near_dedup(spark, df, "").collect()
+    out = sorted((r.doc_id or 0, r.text or "") for r in left)
+    assert len([o for o in out if o[0] == 5]) == 1
+    assert [o for o in out if o[0] != 5] == sorted([(1, copied), (2, unique), (3, twice), (4, rows[5][1]), (4, rows[6][1]),
+                                                   (0, copied), (0, copied), (6, ""), (7, ""), (8, "")])
