@@ -224,8 +224,7 @@ def q_stream_late_rows(spark, d):
     sink, ckpt, folder = (fresh_dir(spark, n) for n in ("sink-late", "ckpt-late", "late-events"))
     events = fx.table(spark, d, "events")
     for years in (0, 10):
-        (events.withColumn("ts", F.col("ts") - F.expr(f"interval {years} years")).repartition(1)
-         .write.mode("append").parquet(folder))
+        events.withColumn("ts", F.col("ts") - F.expr(f"interval {years} years")).write.mode("append").parquet(folder)
         rows = _scored(topics.read_table_stream(spark, folder, events.schema))
         jobs.run_to_end(jobs.windowed_trend(rows), sink, ckpt, state_partitions=2 * _parts(spark))
     return changelog.latest_view(spark, sink, ["monitor_id", "hour"])

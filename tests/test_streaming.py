@@ -215,3 +215,14 @@ def test_console_preview(spark, sf_small):
     q.awaitTermination()
     assert q.exception() is None
     assert sum(p["numInputRows"] for p in q.recentProgress) == lines.count()
+
+
+def test_late_rows_are_written_side_by_side(spark, sf_small, monkeypatch):
+    """Each run's events are written by the tasks that read them; the late ones change no total."""
+    from moodwatch.plans import streams
+    folders, table = {}, streams.fx.table
+    monkeypatch.setattr(streams, "fresh_dir", lambda s, n: folders.setdefault(n, fresh_dir(s, n)))
+    monkeypatch.setattr(streams.fx, "table", lambda s, d, n: table(s, d, n).repartition(3) if n == "events" else table(s, d, n))
+    got = streams.q_stream_late_rows(spark, sf_small)
+    assert len(spark.read.parquet(folders["late-events"]).inputFiles()) == 6
+    assert got.agg({"hour": "min"}).first()[0] >= table(spark, sf_small, "events").selectExpr("cast(date_trunc('HOUR', min(ts)) as timestamp_ntz)").first()[0]
