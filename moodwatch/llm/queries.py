@@ -74,6 +74,12 @@ def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, learn(docs))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    from moodwatch.llm.prefixtrie import rebuilt_trie
+    return rebuilt_trie(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the stages of the corpus pipeline."""
     import corpus_pipeline
@@ -85,5 +91,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from moodwatch.llm.lines import ORACLE_SQL
-    return {"op9_log_templates": ORACLE_SQL}
+    from moodwatch.llm import lines, prefixtrie
+    return {"op9_log_templates": lines.ORACLE_SQL, "op11_prefix_trie": prefixtrie.ORACLE_SQL}
