@@ -80,6 +80,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuilt_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    from moodwatch.llm.licenses import scan
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the stages of the corpus pipeline."""
     import corpus_pipeline
@@ -91,5 +97,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from moodwatch.llm import lines, prefixtrie
-    return {"op9_log_templates": lines.ORACLE_SQL, "op11_prefix_trie": prefixtrie.ORACLE_SQL}
+    from moodwatch.llm import licenses, lines, prefixtrie
+    return {"op9_log_templates": lines.ORACLE_SQL, "op11_prefix_trie": prefixtrie.ORACLE_SQL,
+            "op12_license_diagonals": licenses.ORACLE_SQL}
