@@ -86,6 +86,12 @@ def op12_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+def op13_presence_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    from moodwatch.llm.lexical import rank_documents
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the stages of the corpus pipeline."""
     import corpus_pipeline
@@ -97,6 +103,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from moodwatch.llm import licenses, lines, prefixtrie
+    from moodwatch.llm import lexical, licenses, lines, prefixtrie
     return {"op9_log_templates": lines.ORACLE_SQL, "op11_prefix_trie": prefixtrie.ORACLE_SQL,
-            "op12_license_diagonals": licenses.ORACLE_SQL}
+            "op12_license_diagonals": licenses.ORACLE_SQL, "op13_presence_masks": lexical.ORACLE_SQL}
