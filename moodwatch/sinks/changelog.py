@@ -10,27 +10,39 @@ view:
 * ``latest`` folds the log: per key, the row with the greatest order key
   (``batch_id`` then an in-batch sequence).  ``max_by`` is a partial aggregate,
   so a key updated in a third of all rows is reduced map-side.
-* ``compact`` / ``compact_totals`` write the folded view as a new snapshot
-  version ``upto=<last batch>`` from the previous version plus the newer
-  batches only; readers take the newest version plus the batches after it.
-  Snapshots can be clustered by ``monitor_id``, in a fixed number of folders and
-  files, so point reads prune folders.  Folded batch folders are not listed or
-  read any more; ``expire`` deletes them.
+* ``compact`` / ``compact_totals`` fold the batches after the newest run into a run
+  of level 0.  Runs are kept in levels: the ``FANOUT``-th run of a level is merged with the
+  others of that level into one run of the next, in the same write.  A row is so
+  rewritten once a level, a number of times that grows with the logarithm of the
+  batches, and a reader folds at most ``FANOUT - 1`` runs a level.
+* A snapshot's manifest names its runs: the batches each one holds, its level, its rows
+  and the clusters of keys in it.  A manifest is published when its runs are complete;
+  runs that no manifest names any more are deleted by ``expire``.
+* Runs are clustered by a hash of one key (``monitor_id``) in a fixed number of folders;
+  reads of one key (``of``) list and read one folder of the runs that have it, push the
+  key down to the files, and skip row groups by Bloom filters on text keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BATCH = "batch_id"
-UPTO = "upto"
-MANIFEST = "manifest"
+MANIFEST, RUNS = "manifest", "runs"
 CLUSTER = "key_cluster"
-#: folders of a snapshot version, and files of a folder
-CLUSTERS, SPLITS = 16, 4
+#: folders of a run; a folder has FANOUT**level files, MAX_SPLITS at most
+CLUSTERS, MAX_SPLITS = 16, 64
+#: runs of a level that become one of the next
+FANOUT = 4
+#: manifests whose runs are kept for readers that began before the newest one
+KEPT_MANIFESTS = 2
 
 
 def latest(log: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -48,22 +60,47 @@ def latest(log: DataFrame, keys: Sequence[str], order: Sequence[str],
     return log.groupBy(*keys).agg(newest.alias("_v")).select(*keys, "_v.*")
 
 
-def _folders(spark: SparkSession, path: str, prefix: str) -> list[int] | None:
-    """The numbers of the folders ``<prefix>=<n>`` in ``path``, by one listing of names (a
-    driver call); None where ``path`` doesn't exist."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of ``path`` (driver calls)."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+
+def _names(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder, by one listing; None where it doesn't exist."""
+    fs, root = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else None
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None where there is none."""
+    fs, at = _fs(spark, path)
+    if not fs.exists(at):
         return None
-    names = [f.getPath().getName() for f in fs.listStatus(root)]
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}="))
+    stream = fs.open(at)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; fails where there is one."""
+    fs, at = _fs(spark, path)
+    out = fs.create(at, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
 
 
 def create(spark: SparkSession, path: str) -> None:
     """Make an empty sink, so that a sink without batches differs from a missing one."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(root)
+    fs, root = _fs(spark, path)
+    fs.mkdirs(root)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, seq: str | None = None) -> None:
@@ -77,10 +114,10 @@ def write_batch(df: DataFrame, path: str, batch_id: int, seq: str | None = None)
 
 def batches(spark: SparkSession, path: str) -> list[int]:
     """Ids of the batches in the log; raises where there is no log."""
-    found = _folders(spark, path, BATCH)
-    if found is None:
+    names = _names(spark, path)
+    if names is None:
         raise FileNotFoundError(f"no sink at {path}")
-    return found
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BATCH}="))
 
 
 def read_log(spark: SparkSession, path: str, after: int | None = None, upto: int | None = None,
@@ -99,113 +136,192 @@ def read_log(spark: SparkSession, path: str, after: int | None = None, upto: int
     return read.withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 
+@dataclass(frozen=True)
+class Run:
+    """The folded rows of the batches ``first`` to ``last``."""
+
+    path: str
+    first: int
+    last: int
+    level: int
+    rows: int
+    schema: str
+    cluster_by: str | None = None
+    clusters: list[int] | None = None
+
+
+def _manifests(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(n) for n in _names(spark, f"{root}/{MANIFEST}") or () if n.isdigit())
+
+
+def _manifest(spark: SparkSession, root: str, number: int) -> list[Run] | None:
+    """The runs of a manifest, oldest first; None where it isn't written to its end."""
+    try:
+        return [Run(**r) for r in json.loads(read_note(spark, f"{root}/{MANIFEST}/{number:012d}") or "")]
+    except ValueError:
+        return None
+
+
+def runs(spark: SparkSession, root: str) -> list[Run]:
+    """The runs of the newest complete manifest, oldest first."""
+    for number in reversed(_manifests(spark, root)):
+        found = _manifest(spark, root, number)
+        if found is not None:
+            return found
+    return []
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    """The last batch in the snapshot; None where nothing was compacted."""
+    live = runs(spark, root)
+    return live[-1].last if live else None
+
+
 def expire(spark: SparkSession, path: str, snapshot: str, keep: int = 2) -> list[int]:
-    """Delete the batch folders that the newest snapshot version holds, but for the last
-    ``keep`` of them (a reader that began before the version may still read those).
-    Returns the ids deleted."""
+    """Delete the batch folders that the snapshot holds, but for the last ``keep`` of them (a
+    reader that began before it may still read those), and the runs that none of the newest
+    manifests names.  Returns the ids of the batches deleted."""
     version = latest_version(spark, snapshot)
     folded = [] if version is None else [i for i in batches(spark, path) if i <= version]
     gone = folded[:-keep] if keep else folded
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     for i in gone:
-        folder = hadoop.Path(f"{path}/{BATCH}={i}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, f"{path}/{BATCH}={i}")
+    numbers = _manifests(spark, snapshot)
+    named = {r.path for n in numbers[-KEPT_MANIFESTS:] for r in _manifest(spark, snapshot, n) or ()}
+    for number in numbers[:-KEPT_MANIFESTS]:
+        for run in _manifest(spark, snapshot, number) or ():
+            if run.path not in named:
+                delete(spark, f"{snapshot}/{run.path}")
+        delete(spark, f"{snapshot}/{MANIFEST}/{number:012d}")
     return gone
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Newest finished snapshot version under ``root``; None if none.
-
-    Versions are listed in ``<root>/manifest``, appended only after a version's
-    folder was written completely, so a compaction that died half-way is never
-    read.
-    """
-    if _folders(spark, f"{root}/{MANIFEST}", "") is None:  # nothing compacted yet
-        return None
-    return spark.read.parquet(f"{root}/{MANIFEST}").agg(F.max(UPTO)).first()[0]  # one number
-
+def only(df: DataFrame, of: Mapping[str, object] | None) -> DataFrame:
+    """The rows of given key values; the values take the columns' types, so that they reach the files."""
+    for column, value in (of or {}).items():
+        df = df.where(F.col(column) == F.lit(value).cast(df.schema[column].dataType))
+    return df
+
+
+def _read_run(spark: SparkSession, root: str, run: Run, of: Mapping[str, object] | None = None) -> DataFrame | None:
+    """A run's rows; None where its clusters can't hold the key asked for.  Keys are columns of
+    the files; only the cluster number, an integer, is a folder name, so no key changes its type."""
+    schema = StructType.fromJson(json.loads(run.schema))
+    df = spark.read.schema(schema if run.cluster_by is None else schema.add(CLUSTER, "integer")).parquet(f"{root}/{run.path}")
+    if run.cluster_by is not None and run.cluster_by in (of or {}):
+        wanted = F.lit(of[run.cluster_by]).cast(df.schema[run.cluster_by].dataType)
+        number = spark.sql("SELECT 1").select(cluster(wanted)).first()[0]  # a constant, no job
+        if number not in run.clusters:
+            return None
+        df = df.where(F.col(CLUSTER) == number)
+    return only(df, of).withColumn(BATCH, F.lit(run.last).cast("bigint"))
+
+
+def _with_snapshot(spark: SparkSession, path: str, snapshot: str | None, upto: int | None = None,
+                   of: Mapping[str, object] | None = None) -> DataFrame:
+    """The log up to ``upto``, or the snapshot's runs plus only the batches after them; with
+    ``of`` only the rows of those key values."""
+    live = runs(spark, snapshot) if snapshot is not None else []
+    if not live:
+        return only(read_log(spark, path, upto=upto), of)
+    schema = StructType.fromJson(json.loads(live[-1].schema))
+    out = only(read_log(spark, path, after=live[-1].last, upto=upto, schema=schema), of)
+    for run in live:
+        folded = _read_run(spark, snapshot, run, of)
+        if folded is not None:
+            out = out.unionByName(folded.drop(CLUSTER), allowMissingColumns=True)
+    return out
 
-def _snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
-    """A snapshot version.  Keys are columns of the files; only the cluster number, an
-    integer, is a folder name, so no key changes its type."""
-    return spark.read.parquet(f"{root}/{UPTO}={version}").withColumn(BATCH, F.lit(version).cast("bigint"))
 
-
-def _with_snapshot(spark: SparkSession, path: str, snapshot: str | None, upto: int | None = None) -> DataFrame:
-    """The log up to ``upto``, or the newest snapshot plus only the batches after it."""
-    version = latest_version(spark, snapshot) if snapshot is not None else None
-    if version is None:
-        return read_log(spark, path, upto=upto)
-    snap = _snapshot(spark, snapshot, version)
-    newer = read_log(spark, path, after=version, upto=upto, schema=snap.drop(BATCH, CLUSTER).schema)
-    return snap.unionByName(newer, allowMissingColumns=True)
+def latest_view(spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str] = (),
+                snapshot: str | None = None, of: Mapping[str, object] | None = None) -> DataFrame:
+    """Latest value per key from the log and its snapshot; ``of`` asks for some keys only."""
+    log = _with_snapshot(spark, path, snapshot, of=of)
+    return _fold_latest(log, keys, seq)
 
 
-def latest_view(spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str] = (),
-                snapshot: str | None = None) -> DataFrame:
-    """Latest value per key from the log (and the newest compacted snapshot)."""
-    log = _with_snapshot(spark, path, snapshot).drop(CLUSTER)
+def _fold_latest(log: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     values = [c for c in log.columns if c not in keys]
-    view = latest(log, keys, [BATCH, *seq], values)
-    return view.drop(BATCH, *seq)
+    return latest(log, keys, [BATCH, *seq], values).drop(BATCH, *seq)
 
 
 def totals_view(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
-                snapshot: str | None = None, upto: int | None = None) -> DataFrame:
+                snapshot: str | None = None, upto: int | None = None, of: Mapping[str, object] | None = None) -> DataFrame:
     """Read side of an additive (delta) log: per key, the sum of every batch's
-    delta (the newest snapshot holds the sums up to its version)."""
-    log = _with_snapshot(spark, path, snapshot, upto)
+    delta (a run holds the sums of its batches); ``of`` asks for some keys only."""
+    return _fold_totals(_with_snapshot(spark, path, snapshot, upto, of), keys, values)
+
+
+def _fold_totals(log: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     return log.groupBy(*keys).agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
 
 
-def cluster(column: str, clusters: int = CLUSTERS) -> Column:
+def cluster(column: str | Column, clusters: int = CLUSTERS) -> Column:
     """The cluster a key's rows are stored in; filter on it to read one folder."""
     return F.pmod(F.xxhash64(column), F.lit(clusters)).cast("int")
 
 
-def _write_version(df: DataFrame, keys: Sequence[str], root: str, version: int, cluster_by: str | None) -> None:
+def _write_run(df: DataFrame, keys: Sequence[str], root: str, first: int, last: int, level: int,
+               cluster_by: str | None) -> Run:
+    """Write a run in the order of its keys.  Text keys get Bloom filters."""
     df = df.drop(BATCH, CLUSTER)
-    path = f"{root}/{UPTO}={version}"
-    if cluster_by is None:
-        df.write.mode("overwrite").parquet(path)
-    else:
-        # CLUSTERS folders of at most SPLITS files each, however many keys there are; the rows
-        # of one heavy key are spread over the splits
-        split = F.pmod(F.xxhash64(*keys), F.lit(SPLITS))
-        (df.withColumn(CLUSTER, cluster(cluster_by)).repartition(CLUSTERS * SPLITS, CLUSTER, split)
-         .sortWithinPartitions(CLUSTER, cluster_by).write.mode("overwrite").partitionBy(CLUSTER).parquet(path))
-    # publish the version only once its folder is complete
-    df.sparkSession.range(1).select(F.lit(version).cast("bigint").alias(UPTO)).write.mode("append").parquet(
-        f"{root}/{MANIFEST}")
-
-
-def _new_version(spark: SparkSession, path: str, snapshot: str) -> tuple[int | None, int | None]:
-    prev = latest_version(spark, snapshot)
-    newer = [i for i in batches(spark, path) if prev is None or i > prev]
-    return prev, newer[-1] if newer else None
+    path = f"{RUNS}/{first}-{last}-{uuid.uuid4().hex[:8]}"
+    order = [cluster_by, *(k for k in keys if k != cluster_by)] if cluster_by else list(keys)
+    writer = df if cluster_by is None else df.withColumn(CLUSTER, cluster(cluster_by))
+    if cluster_by is not None:
+        # CLUSTERS folders of a bounded number of files each, however many keys there are; the
+        # rows of one heavy key are spread over the splits
+        splits = min(FANOUT ** level, MAX_SPLITS)
+        split = F.pmod(F.xxhash64(*keys), F.lit(splits))
+        writer = writer.repartition(CLUSTERS * splits, CLUSTER, split).sortWithinPartitions(CLUSTER, *order)
+    out = writer.write.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for field in df.schema:
+        if field.name in keys and field.dataType.typeName() == "string":
+            out = out.option(f"parquet.bloom.filter.enabled#{field.name}", "true")
+    (out if cluster_by is None else out.partitionBy(CLUSTER)).parquet(f"{root}/{path}")
+    spark = df.sparkSession
+    rows = spark.read.schema(df.schema).parquet(f"{root}/{path}").count()  # from the files' footers
+    folders = None if cluster_by is None else sorted(int(n.split("=")[1]) for n in _names(spark, f"{root}/{path}") if n.startswith(f"{CLUSTER}="))
+    return Run(path, first, last, level, rows, df.schema.json(), cluster_by, folders)
+
+
+def _new_batches(spark: SparkSession, path: str, snapshot: str) -> tuple[list[Run], list[int]]:
+    """The live runs, and the batches that none of them holds."""
+    live = runs(spark, snapshot)
+    return live, [i for i in batches(spark, path) if not live or i > live[-1].last]
+
+
+def _compact(spark: SparkSession, path: str, snapshot: str, keys: Sequence[str], cluster_by: str | None,
+             fold: Callable[[DataFrame], DataFrame]) -> int | None:
+    live, newer = _new_batches(spark, path, snapshot)
+    if not newer:
+        return live[-1].last if live else None
+    level, merged = 0, []
+    while sum(r.level == level for r in live) >= FANOUT - 1:  # with the new run, the level is full
+        merged = [r for r in live if r.level == level] + merged
+        live = [r for r in live if r.level != level]
+        level += 1
+    log = read_log(spark, path, after=newer[0] - 1, upto=newer[-1])
+    for run in merged:
+        log = log.unionByName(_read_run(spark, snapshot, run).drop(CLUSTER), allowMissingColumns=True)
+    first = merged[0].first if merged else newer[0]
+    run = _write_run(fold(log), keys, snapshot, first, newer[-1], level, cluster_by)
+    # published once the run is complete; of two writers one fails here and leaves no trace but its run
+    number = max(_manifests(spark, snapshot), default=-1) + 1
+    write_note(spark, f"{snapshot}/{MANIFEST}/{number:012d}", json.dumps([asdict(r) for r in [*live, run]]))
+    return newer[-1]
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot: str, seq: Sequence[str] = (),
             cluster_by: str | None = None) -> int | None:
-    """Fold the batches after the newest snapshot into a new snapshot version
-    (incremental: earlier batches are read from the previous version only).  The last batch
-    is fixed first; one that lands meanwhile is left for the next version.
+    """Fold the batches after the snapshot into a run of it, newest row per key.  The last batch
+    is fixed first; one that lands meanwhile is left for the next run.
     ``cluster_by`` (e.g. ``monitor_id``) lets point reads prune folders.
-    Returns the new version (None when there was nothing new)."""
-    prev, last = _new_version(spark, path, snapshot)
-    if last is None:
-        return prev
-    log = _with_snapshot(spark, path, snapshot, last).drop(CLUSTER)
-    values = [c for c in log.columns if c not in keys]
-    _write_version(latest(log, keys, [BATCH, *seq], values).drop(*seq), keys, snapshot, last, cluster_by)
-    return last
+    Returns the last batch in the snapshot (None when it has none)."""
+    return _compact(spark, path, snapshot, keys, cluster_by, lambda log: _fold_latest(log, keys, seq))
 
 
 def compact_totals(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
                    snapshot: str, cluster_by: str | None = None) -> int | None:
-    """Additive twin of :func:`compact`: the new version holds the running sums."""
-    prev, last = _new_version(spark, path, snapshot)
-    if last is None:
-        return prev
-    _write_version(totals_view(spark, path, keys, values, snapshot, last), keys, snapshot, last, cluster_by)
-    return last
+    """Additive twin of :func:`compact`: a run holds the sums of its batches."""
+    return _compact(spark, path, snapshot, keys, cluster_by, lambda log: _fold_totals(log, keys, values))

@@ -147,14 +147,17 @@ SINKS = {
 }
 
 
-def _counts(spark, sink, keys, values, stateful, snapshot=None):
+def _counts(spark, sink, what, stateful, snapshot=None, **of):
+    """A running-total sink; values given by key (monitor, word) prune the read."""
+    keys, values = SINKS[what]
+    of = {k: v for k, v in of.items() if v is not None}
     if stateful:
-        return changelog.latest_view(spark, sink, keys, snapshot=snapshot)
-    return changelog.totals_view(spark, sink, keys, values, snapshot=snapshot)
+        return changelog.latest_view(spark, sink, keys, snapshot=snapshot, of=of)
+    return changelog.totals_view(spark, sink, keys, values, snapshot=snapshot, of=of)
 
 
 def compact_sink(spark: SparkSession, what: str, sink: str, snapshot: str, stateful: bool = False) -> int | None:
-    """Fold a sink into a new snapshot version, clustered by its first key (every read
+    """Fold a sink's new batches into its snapshot, clustered by its first key (every read
     query asks about one monitor)."""
     keys, values = SINKS[what]
     if what == "users":
@@ -164,37 +167,33 @@ def compact_sink(spark: SparkSession, what: str, sink: str, snapshot: str, state
     return changelog.compact_totals(spark, sink, keys, values, snapshot, cluster_by="monitor_id")
 
 
-def _of_monitor(counts: DataFrame, monitor_id) -> DataFrame:
-    return counts if monitor_id is None else counts.where(F.col("monitor_id") == F.lit(monitor_id))
-
-
 def read_trend(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
                points: int | None = None, snapshot: str | None = None) -> DataFrame:
     """Q1: the trend (newest ``points`` hours per monitor when given)."""
-    wide = _of_monitor(_counts(spark, sink, *SINKS["trend"], stateful, snapshot), monitor_id)
+    wide = _counts(spark, sink, "trend", stateful, snapshot, monitor_id=monitor_id)
     return wide if points is None else serve.trend_last(wide, points, monitor_id)
 
 
 def read_series(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
                 points: int = TREND_POINTS, snapshot: str | None = None) -> DataFrame:
     """Q3+Q4: the aligned series of the trend chart, per monitor."""
-    return serve.trend_series(_of_monitor(_counts(spark, sink, *SINKS["trend"], stateful, snapshot), monitor_id), points)
+    return serve.trend_series(_counts(spark, sink, "trend", stateful, snapshot, monitor_id=monitor_id), points)
 
 
 def read_word(spark: SparkSession, sink: str, monitor_id, word: str, stateful: bool = False,
               snapshot: str | None = None) -> DataFrame:
     """Q8: the count of one word in one monitor, from the sink."""
-    return serve.word_lookup(_counts(spark, sink, *SINKS["words"], stateful, snapshot), monitor_id, word)
+    return serve.word_lookup(_counts(spark, sink, "words", stateful, snapshot, monitor_id=monitor_id, word=word), monitor_id, word)
 
 
 def read_word_cloud(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
                     top: int | None = None, snapshot: str | None = None) -> DataFrame:
     """Q7: ``(name, value)`` per word."""
-    return serve.word_cloud(_counts(spark, sink, *SINKS["words"], stateful, snapshot), monitor_id, top)
+    return serve.word_cloud(_counts(spark, sink, "words", stateful, snapshot, monitor_id=monitor_id), monitor_id, top)
 
 
 def read_gender(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
                 snapshot: str | None = None) -> DataFrame:
     """Q5+Q6: 男 / 女 / 其它 with their shares."""
-    counts = _counts(spark, sink, *SINKS["gender"], stateful, snapshot)
+    counts = _counts(spark, sink, "gender", stateful, snapshot, monitor_id=monitor_id)
     return serve.gender_share(serve.gender_breakdown(counts, monitor_id))

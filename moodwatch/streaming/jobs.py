@@ -16,6 +16,7 @@ side sums the per-batch deltas.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -89,21 +90,26 @@ def claim(spark, sink: str, checkpoint: str) -> None:
     query, or the same one with a new checkpoint, would overwrite batches of the first: the
     sink's first writer leaves its checkpoint's path there, and any other is refused."""
     changelog.create(spark, sink)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{sink}/_writer")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        out = fs.create(path, False)
-        out.write(bytearray(checkpoint.rstrip("/").encode()))
-        out.close()
-        return
-    stream = fs.open(path)
-    owner = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-    stream.close()
-    if owner != checkpoint.rstrip("/"):
+    mine, owner = checkpoint.rstrip("/"), changelog.read_note(spark, f"{sink}/_writer")
+    if owner is None:
+        changelog.write_note(spark, f"{sink}/_writer", mine)
+    elif owner != mine:
         raise ValueError(f"{sink} is written with the checkpoint {owner}, not {checkpoint}")
 
 
+@contextmanager
+def settings(spark, conf: dict[str, str]):
+    """Session settings that hold while a query starts (it keeps them)."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
            available_now: bool = False, output_mode: str = "update", name: str | None = None,
            state_partitions: int | None = None) -> StreamingQuery:
@@ -123,16 +129,8 @@ def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFA
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
-    if state_partitions is None:
+    with settings(df.sparkSession, {} if state_partitions is None else {"spark.sql.shuffle.partitions": str(state_partitions)}):
         return w.start()
-    spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, before)
 
 
 def delta_upsert(rows: DataFrame, keys: Sequence[str], sums: dict[str, object] | None, sink: str,

@@ -146,8 +146,8 @@ def test_incremental_compaction_partitioned_by_monitor(spark):
     changelog.write_batch(mk([(1, "c", 5)]), sink, 2)
     view = changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap)
     assert sorted(tuple(r) for r in view.collect()) == [(1, "a", 4), (1, "c", 5), (2, "b", 2)]
-    pruned = changelog._snapshot(spark, snap, 1).where(F.col(changelog.CLUSTER) == changelog.cluster("monitor_id")).where("monitor_id = 1")
-    assert [tuple(r) for r in pruned.select("monitor_id", "word", "n").collect()] == [(1, "a", 4)]
+    of_one = changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap, of={"monitor_id": 1})
+    assert sorted(tuple(r) for r in of_one.collect()) == [(1, "a", 4), (1, "c", 5)]
 
 
 def test_batch_landing_while_compacting(spark, monkeypatch):
@@ -155,16 +155,16 @@ def test_batch_landing_while_compacting(spark, monkeypatch):
     sink, snap = fresh_dir(spark, "rlog"), fresh_dir(spark, "rsnap")
     mk = lambda rows: spark.createDataFrame(rows, "monitor_id string, word string, n long")
     changelog.write_batch(mk([("01", "a", 5), ("1", "a", 1), ("", "a", 7)]), sink, 0)
-    real = changelog._new_version
+    real = changelog._new_batches
 
     def slow(*args):
         out = real(*args)
         changelog.write_batch(mk([("1", "a", 10)]), sink, 1)
         return out
 
-    monkeypatch.setattr(changelog, "_new_version", slow)
+    monkeypatch.setattr(changelog, "_new_batches", slow)
     assert changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, "monitor_id") == 0
-    monkeypatch.setattr(changelog, "_new_version", real)
+    monkeypatch.setattr(changelog, "_new_batches", real)
     want = [("", "a", 7), ("01", "a", 5), ("1", "a", 11)]
     for _ in range(2):
         view = changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap)
@@ -174,13 +174,14 @@ def test_batch_landing_while_compacting(spark, monkeypatch):
     assert sorted(tuple(r) for r in changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"], snapshot=snap).collect()) == want
 
 
-def test_files_of_a_version_are_bounded(spark):
+def test_files_of_a_run_are_bounded(spark):
     sink, snap = fresh_dir(spark, "flog"), fresh_dir(spark, "fsnap")
     rows = spark.range(20_000).select((F.col("id") % 3000).alias("monitor_id"), F.col("id").cast("string").alias("word"), F.lit(1).cast("long").alias("n"))
     changelog.write_batch(rows.repartition(16), sink, 0)
     changelog.compact_totals(spark, sink, ["monitor_id", "word"], ["n"], snap, "monitor_id")
-    files = spark.read.parquet(f"{snap}/upto=0").inputFiles()
-    assert len(files) <= changelog.CLUSTERS * changelog.SPLITS
+    (run,) = changelog.runs(spark, snap)
+    assert run.rows == 20_000 and run.clusters == list(range(changelog.CLUSTERS))
+    assert len(spark.read.parquet(f"{snap}/{run.path}").inputFiles()) <= changelog.CLUSTERS
 
 
 def test_missing_sink_and_foreign_checkpoint(spark, sf_small):
