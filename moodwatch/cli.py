@@ -4,17 +4,18 @@ package with ``--py-files moodwatch.zip``).
     spark-submit moodwatch/cli.py train  --labelled L.parquet --model M
     spark-submit moodwatch/cli.py words  --topic T/com --sink S/words [--stateful]
     spark-submit moodwatch/cli.py trend  --topic T/com --model M --sink S/trend
-    spark-submit moodwatch/cli.py gender --topic T/com --profiles S/users --sink S/gender
+    spark-submit moodwatch/cli.py gender --topic T/com --users-topic T/user --sink S/gender [--hot 17,4711]
     spark-submit moodwatch/cli.py users  --topic T/user --sink S/users
     spark-submit moodwatch/cli.py compact --what trend|words|gender --sink S/x --snapshot S/x-snap
     spark-submit moodwatch/cli.py show   --what trend|words|gender|users --sink S/x [--monitor ID] [--snapshot ...]
 
-``gender`` reads the profile view once when it starts (genders are resolved
-as of then, like a lookup at arrival); restart it to pick up new profiles.
+``gender`` reads both topics and keeps each user's gender as state: a comment counts
+under the gender known when it arrives.  ``--hot`` names users with very many comments,
+whose keys are salted; it is fixed at the sink's first start.
 
 The master, executors and ``spark.checkpoint.dir`` come from spark-submit; each
-stream keeps its checkpoint under ``<checkpoint dir>/<command>-<sink name>``
-unless ``--checkpoint`` is given.  ``--once`` processes what is available and
+stream keeps its checkpoint under ``<checkpoint dir>/checkpoints/<command>-<hash of
+the sink's path>`` unless ``--checkpoint`` is given.  ``--once`` processes what is available and
 stops (``availableNow``); otherwise the stream runs with a processing-time
 trigger until stopped.
 """
@@ -46,14 +47,17 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--once", action="store_true")
         s.add_argument("--max-files", type=int)
         if name != "users":
-            s.add_argument("--stateful", action="store_true")
             s.add_argument("--state-partitions", type=int)
+        if name in ("words", "trend"):
+            s.add_argument("--stateful", action="store_true")
             s.add_argument("--dedup-within", help="drop repeated comment ids within this event-time delay")
         if name == "trend":
             s.add_argument("--model", required=True)
         if name == "gender":
-            s.add_argument("--profiles", required=True, help="sink folder of the users stream")
-            s.add_argument("--profiles-snapshot", help="its snapshot folder")
+            users = s.add_mutually_exclusive_group(required=True)
+            users.add_argument("--users-topic", help="folder of the user topic")
+            users.add_argument("--users-kafka", help="servers/topic of the user topic")
+            s.add_argument("--hot", help="comma-separated ids of users with very many comments")
     r = sub.add_parser("show", help="print a read-side query")
     r.add_argument("--what", choices=("trend", "series", "words", "word", "gender", "users"), required=True)
     r.add_argument("--word")
@@ -76,7 +80,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     from moodwatch.session import pin_utc, shared_dir
     from moodwatch.sinks import changelog
     from moodwatch.sources import topics
-    from moodwatch.streaming import apps
+    from moodwatch.streaming import apps, arrival
 
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"moodwatch-{args.cmd}").getOrCreate()
@@ -107,26 +111,30 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     # one checkpoint a sink, named by its whole path; the sink refuses any other (jobs.claim)
     name = hashlib.sha256(args.sink.rstrip("/").encode()).hexdigest()[:16]
     checkpoint = args.checkpoint or f"{shared_dir(spark)}/checkpoints/{args.cmd}-{name}"
-    kafka = None
-    if args.kafka:
-        servers, _, topic = args.kafka.rpartition("/")
-        kafka = {"kafka.bootstrap.servers": servers, "subscribe": topic}
-        if args.max_offsets:
-            kafka["maxOffsetsPerTrigger"] = str(args.max_offsets)
-    lines = topics.read_topic(spark, args.topic, kafka, max_files_per_trigger=args.max_files)
+    def topic(folder: str | None, kafka: str | None):
+        options = None
+        if kafka:
+            servers, _, name = kafka.rpartition("/")
+            options = {"kafka.bootstrap.servers": servers, "subscribe": name}
+            if args.max_offsets:
+                options["maxOffsetsPerTrigger"] = str(args.max_offsets)
+        return topics.read_topic(spark, folder, options, max_files_per_trigger=args.max_files)
+
+    lines = topic(args.topic, args.kafka)
     common = dict(trigger=args.trigger, available_now=args.once)
     if args.cmd == "users":
         q = apps.profile_app(lines, args.sink, checkpoint, **common)
+    elif args.cmd == "gender":
+        hot = args.hot.split(",") if args.hot else None
+        q = arrival.gender_app(lines, topic(args.users_topic, args.users_kafka), args.sink, checkpoint, hot,
+                               state_partitions=args.state_partitions, **common)
     else:
         extra = dict(stateful=args.stateful, state_partitions=args.state_partitions,
                      dedup_within=args.dedup_within)
         if args.cmd == "words":
             q = apps.word_cloud_app(lines, args.sink, checkpoint, **common, **extra)
-        elif args.cmd == "trend":
-            q = apps.sentiment_app(lines, model.load(args.model), args.sink, checkpoint, **common, **extra)
         else:
-            q = apps.gender_app(lines, lambda: apps.read_profiles(spark, args.profiles, args.profiles_snapshot), args.sink,
-                                checkpoint, **common, **extra)
+            q = apps.sentiment_app(lines, model.load(args.model), args.sink, checkpoint, **common, **extra)
     q.awaitTermination()
     return q
 

@@ -181,21 +181,22 @@ def q_stream_profiles(spark, d):
 
 
 def q_stream_gender_arrival(spark, d):
-    """J1 as of arrival: the gender stream runs over the first half of the comments while the
-    profiles have no gender yet, then over the rest once the profiles arrived."""
-    from moodwatch.streaming import apps
-    users_topic, com, sink, ckpt = (fresh_dir(spark, n) for n in ("topic-user", "topic-com", "sink-arrival", "ckpt-arrival"))
-    profiles, users_ckpt = fresh_dir(spark, "sink-users"), fresh_dir(spark, "ckpt-users")
-    changelog.create(spark, profiles)
+    """J1 + K2 from keyed state: half of the comments arrive before any profile, then the
+    profiles, then the rest; each step restarts the query from its checkpoint.  The heaviest
+    commenters' keys are salted."""
+    from moodwatch.operators import joins
+    from moodwatch.streaming import arrival
+    users, com, sink, ckpt = (fresh_dir(spark, n) for n in ("topic-user", "topic-com", "sink-arrival", "ckpt-arrival"))
     lines = batch.comment_lines(spark, d)
-    users = fx.users(spark, d)
-    for part in range(2):
-        if part:
-            topics.write_topic(records.encode_users(users), users_topic, files=_parts(spark))
-            apps.profile_app(_read(spark, users_topic), profiles, users_ckpt, available_now=True).awaitTermination()
-        topics.write_topic(lines.where(F.col("comment_id") % 2 == part), com, files=_parts(spark))
-        apps.gender_app(_read(spark, com), lambda: apps.read_profiles(spark, profiles), sink, ckpt,
-                        available_now=True).awaitTermination()
+    hot = [r.user_id for r in joins.hot_keys(fx.comments(spark, d), "user_id", share=0.01).collect()]  # 100 at most
+    changelog.create(spark, users)
+    for step in range(3):
+        if step == 1:
+            topics.write_topic(records.encode_users(fx.users(spark, d)), users, files=_parts(spark))
+        else:
+            topics.write_topic(lines.where(F.col("comment_id") % 2 == step // 2), com, files=_parts(spark))
+        arrival.gender_app(_read(spark, com), _read(spark, users), sink, ckpt, hot=hot, available_now=True,
+                           state_partitions=2 * _parts(spark)).awaitTermination()
     return changelog.totals_view(spark, sink, ["monitor_id", "gender"], ["n"])
 
 

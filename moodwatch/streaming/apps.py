@@ -3,9 +3,10 @@
 * :func:`ingest` turns fetched search/comment responses into the three topics
   (``wz`` posts, ``user`` profiles, ``com`` comments), each record tagged with
   the monitor that owns the search URL.
-* :func:`sentiment_app`, :func:`word_cloud_app`, :func:`gender_app`,
-  :func:`profile_app` are the long-running stream jobs; each writes a change
-  log under its own sink folder, with its own checkpoint.
+* :func:`sentiment_app`, :func:`word_cloud_app`, :func:`profile_app` and
+  :func:`moodwatch.streaming.arrival.gender_app` (genders from keyed state;
+  :func:`gender_app` takes a fixed profile table) are the long-running stream
+  jobs; each writes a change log under its own sink folder, with its own checkpoint.
 * :func:`read_trend`, :func:`read_word_cloud`, :func:`read_gender`,
   :func:`read_profiles` answer the dashboard queries from those sinks.
 
@@ -16,8 +17,6 @@ Additive totals default to per-batch deltas (no state store); pass
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,12 +62,12 @@ def write_topics(lines: dict[str, DataFrame], base: str, segment: int = 0) -> No
 
 # --- stream apps ---------------------------------------------------------------------------
 def _start(rows_or_agg: DataFrame, keys, sums, sink: str, checkpoint: str, stateful: bool,
-           trigger: str, available_now: bool, state_partitions: int | None, prepare=None) -> StreamingQuery:
+           trigger: str, available_now: bool, state_partitions: int | None) -> StreamingQuery:
     if stateful:
         return jobs.upsert(rows_or_agg, sink, checkpoint, trigger=trigger, available_now=available_now,
                            state_partitions=state_partitions)
     return jobs.delta_upsert(rows_or_agg, keys, sums, sink, checkpoint, available_now=available_now,
-                             trigger=trigger, prepare=prepare)
+                             trigger=trigger)
 
 
 def sentiment_app(lines: DataFrame, fitted: PipelineModel, sink: str, checkpoint: str, stateful: bool = False,
@@ -94,24 +93,16 @@ def word_cloud_app(lines: DataFrame, sink: str, checkpoint: str, stateful: bool
                   trigger, available_now, None)
 
 
-def gender_app(lines: DataFrame, profiles: DataFrame | Callable[[], DataFrame], sink: str, checkpoint: str, hot: DataFrame | None = None,
+def gender_app(lines: DataFrame, profiles: DataFrame, sink: str, checkpoint: str, hot: DataFrame | None = None,
                stateful: bool = False, trigger: str = jobs.DEFAULT_TRIGGER, available_now: bool = False,
                state_partitions: int | None = None, **kw) -> StreamingQuery:
-    """L3: ``com`` lines joined with the profile view -> comments per gender.
-
-    ``profiles`` may be a function: then every batch reads the profiles as they are when its
-    comments arrive, so a user registered after the start of the stream has a gender.  Running
-    totals in the state store (``stateful``) need a fixed plan; they read it once, at the start."""
+    """L3 against a fixed profile table: ``com`` lines -> comments per gender.  Genders as of
+    arrival, with profiles that come while the stream runs, are :func:`arrival.gender_app`."""
     if stateful:
-        fixed = profiles() if callable(profiles) else profiles
-        return _start(jobs.gender(lines, fixed, hot, **kw), None, None, sink, checkpoint, True, trigger,
+        return _start(jobs.gender(lines, profiles, hot, **kw), None, None, sink, checkpoint, True, trigger,
                       available_now, state_partitions)
-
-    def arrive(batch: DataFrame) -> DataFrame:
-        return metrics.gender_join(batch, profiles() if callable(profiles) else profiles, hot)
-
-    return _start(jobs.comments(lines, **kw), ["monitor_id", "gender"], None, sink, checkpoint, False, trigger,
-                  available_now, None, arrive)
+    joined = metrics.gender_join(jobs.comments(lines, **kw), profiles, hot)
+    return _start(joined, ["monitor_id", "gender"], None, sink, checkpoint, False, trigger, available_now, None)
 
 
 def profile_app(user_lines: DataFrame, sink: str, checkpoint: str, trigger: str = jobs.DEFAULT_TRIGGER,
@@ -131,13 +122,6 @@ def read_profiles(spark: SparkSession, sink: str, snapshot: str | None = None) -
     return changelog.latest_view(spark, sink, ["user_id"], topics.ORDER, snapshot)
 
 
-def publish_profiles(spark: SparkSession, sink: str, path: str, buckets: int, name: str | None = None) -> DataFrame:
-    """Write the latest profiles as a table bucketed by ``user_id`` (for the
-    gender stream: each batch then shuffles only its comments)."""
-    from moodwatch.sources.tables import save_bucketed
-    return save_bucketed(read_profiles(spark, sink).select("user_id", "gender"), "user_id", buckets, path, name)
-
-
 # keys and values of each running-total sink
 SINKS = {
     "trend": (["monitor_id", "hour"], ["positive", "negative", "neutral"]),
