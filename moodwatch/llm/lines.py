@@ -1,23 +1,22 @@
 """Line dedup by a log-template tree, with DataFrame functions only.
 
 A line is split into tokens; tokens with a digit are variable fields (``<*>``).  The tree
-has a fixed depth: the number of tokens, then the leading tokens.  Lines of one leaf share
-the tokens that are frequent at their place in the leaf; every other place generalises to
-``<*>``.  The line with those places replaced is its template.
-
-A template recurs if it stands in ``MIN_DOCS`` documents or more, and between different
-neighbours in at least half of them: that tells a line that many documents share from the
-lines of copied documents, which have the same neighbours everywhere and are left to the
-operators for copies.  Lines of recurring templates are dropped wherever they stand.
-
-``whole`` drops more, as the corpus pipeline needs it; without it the rule is that of
-``ORACLE_SQL``.  There a template also recurs if it stands in ``MIN_DOCS`` different documents,
-however many copies of them there are and whatever its neighbours are.  What a document has
-of its own are the lines whose first and last tokens stand in fewer than ``MIN_DOCS`` different
-texts; the least hash of these lines is what it is counted by, so copies count once.  Documents
-with little of their own are near copies of each other, and all of them count as one.
-Besides the template by shares of the leaf, a line has one in which each token is constant that
-``MIN_DOCS`` lines of the leaf have at its place, however large the leaf is; either may recur.
+has a fixed depth: the number of tokens, then the leading tokens.  In a leaf a token is
+constant at its place if a share of the leaf's lines have it there; every other place
+generalises to ``<*>``.  A second template of the same line takes a token as constant if
+``MIN_DOCS`` lines of the leaf have it at its place, however large the leaf is.  Lines with
+too few constant tokens have no template.
+
+A template recurs if it stands in ``MIN_DOCS`` different documents, however many copies of
+them there are; or in ``MIN_DOCS`` documents between different neighbours in at least half of
+them.  What a document has of its own are the lines whose first and last tokens stand in
+fewer than ``MIN_DOCS`` different texts; the least digest of these lines is what it is counted
+by, so copies count once.  Documents with little of their own are near copies of each
+other, and all of them count as one.  Lines of recurring templates are dropped wherever
+they stand; the lines of copied documents stay, for the operators for copies.
+
+Lines are masked and cut into tokens once.  What the counts need is written in columns of
+fixed width, next to the masked lines, which are read again for recurring leaves alone.
 """
 
 from __future__ import annotations
@@ -48,64 +47,87 @@ def _tokens(masked: Column) -> Column:
     return F.filter(F.split(masked, "[ \t\r]+"), lambda t: t != "")
 
 
-def _lines(docs: DataFrame, *more: str) -> DataFrame:
-    """(id, row, at, masked, leaf, around, *more) for each line with a token."""
+def _masked(line: Column) -> Column:
     # only at the start of a token, and possessive: linear in the length of any line
-    masked = F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, r"(?<![^ \t\r])[^ \t\r0-9]*+[0-9][^ \t\r]*+", FIELD))
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<![^ \t\r])[^ \t\r0-9]*+[0-9][^ \t\r]*+", FIELD)).otherwise(line)
+
+
+def _digest(text: Column) -> Column:
+    """60 bits of a text's MD5, as a number."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def line_table(docs: DataFrame) -> DataFrame:
+    """(id, row, at, masked, leaf, around, copy, n, first, last, line) for each line with a token of
+    (id, row, text).  copy is equal for texts that are equal but for fields; first and last
+    are the tokens at the line's ends."""
     edge = F.array(F.lit(""))
-    zipped = _let(masked, lambda m: F.arrays_zip(
+    zipped = _let(F.transform(F.split("text", "\n"), _masked), lambda m: F.struct(F.xxhash64(m).alias("copy"), F.arrays_zip(
         m.alias("masked"), F.concat(edge, F.slice(m, 1, F.size(m) - 1)).alias("before"),
-        F.concat(F.slice(m, 2, F.size(m)), edge).alias("after")))
-    rows = docs.select("id", "row", *more, F.posexplode(zipped).alias("at", "z"))
-    rows = rows.select("id", "row", *more, "at", F.col("z")["masked"].alias("masked"),
-                       F.xxhash64(F.col("z")["before"], F.col("z")["after"]).alias("around"))
-    leaf = _let(_tokens(F.col("masked")), lambda t: F.when(
-        F.size(t) > 0, F.xxhash64(F.size(t), F.slice(t, 1, DEPTH))))
-    return rows.select("id", "row", *more, "at", "masked", "around", leaf.alias("leaf")).where("leaf is not null")
-
-
-def _witnesses(docs: DataFrame) -> DataFrame:
-    """(id, witness): the least hash of the lines that a document has of its own, or 0 if they are
-    too little of it.  Exact copies, but for digits, are one text."""
-    ends = _let(_tokens(F.col("masked")), lambda t: F.struct(
-        F.size(t).alias("n"), F.xxhash64(F.slice(t, 1, END)).alias("first"),
-        F.xxhash64(F.lit("last"), F.slice(t, F.greatest(F.size(t) - END + 1, F.lit(1)), END)).alias("last")))
-    lines = _lines(docs.withColumn("copy", F.xxhash64(F.regexp_replace("text", "[0-9]+", "0"))), "copy").withColumn("e", ends)
-    lines = lines.select("id", "row", "at", "copy", F.xxhash64("masked").alias("line"), F.col("e")["n"].alias("n"),
-                         F.explode(F.array(F.col("e")["first"], F.col("e")["last"])).alias("end"))
-    shared = stored(lines.select("end", "copy").distinct().groupBy("end").agg(F.count("*").alias("texts"))
-                    .where(f"texts >= {MIN_DOCS}").select("end", F.lit(True).alias("shared")), "line_ends")
-    by_line = (lines.join(shared, "end", "left").groupBy("id", "row", "at")
-               .agg(F.max("shared").alias("shared"), F.first("n").alias("n"), F.first("line").alias("line")))
-    own = F.col("shared").isNull()
-    by_doc = by_line.groupBy("id").agg(F.sum("n").alias("n"), F.sum(F.when(own, F.col("n"))).alias("own"),
-                                       F.min(F.when(own, F.col("line"))).alias("line"))
-    return stored(by_doc.select("id", F.when(F.col("own") >= OWN_SHARE * F.col("n"), F.col("line")).otherwise(0).alias("witness")),
+        F.concat(F.slice(m, 2, F.size(m)), edge).alias("after")).alias("lines")))
+    cut = docs.select("id", "row", zipped.alias("z"))
+    rows = cut.select("id", "row", F.col("z")["copy"].alias("copy"), F.posexplode(F.col("z")["lines"]).alias("at", "l"))
+    parsed = _let(_tokens(F.col("l")["masked"]), lambda t: F.when(F.size(t) > 0, F.struct(
+        F.size(t).alias("n"), F.xxhash64(F.size(t), F.slice(t, 1, DEPTH)).alias("leaf"),
+        F.xxhash64(F.lit("first"), F.slice(t, 1, END)).alias("first"),
+        F.xxhash64(F.lit("last"), F.slice(t, F.greatest(F.size(t) - END + 1, F.lit(1)), END)).alias("last"))))
+    return (rows.select("id", "row", "copy", "at", F.col("l")["masked"].alias("masked"),
+                        F.xxhash64(F.col("l")["before"], F.col("l")["after"]).alias("around"), parsed.alias("p"))
+            .where("p is not null").select("id", "row", "copy", "at", "masked", "around", "p.*", _digest(F.col("masked")).alias("line")))
+
+
+def _witnesses(lines: DataFrame) -> DataFrame:
+    """(id, witness): the least digest of the lines that a document has of its own, or -1 if they are
+    too little of it."""
+    ends = lines.select("copy", F.explode(F.array("first", "last")).alias("end")).distinct()
+    shared = stored(ends.groupBy("end").agg(F.count("*").alias("texts")).where(f"texts >= {MIN_DOCS}").select("end"), "line_ends")
+
+    def flag(at: str) -> DataFrame:
+        return shared.select(F.col("end").alias(at), F.lit(True).alias(f"{at}_shared"))
+
+    marked = lines.select("id", "n", "line", "first", "last").join(flag("first"), "first", "left").join(flag("last"), "last", "left")
+    own = F.col("first_shared").isNull() & F.col("last_shared").isNull()
+    by_doc = marked.groupBy("id").agg(F.sum("n").alias("n"), F.sum(F.when(own, F.col("n"))).alias("own"),
+                                      F.min(F.when(own, F.col("line"))).alias("line"))
+    return stored(by_doc.select("id", F.when(F.col("own") >= OWN_SHARE * F.col("n"), F.col("line")).otherwise(-1).alias("witness")),
                   "witnesses")
 
 
-def _recurring(lines: DataFrame, key: str, witnesses: DataFrame | None = None) -> DataFrame:
-    """(key, lines) of the keys in enough documents between different neighbours, or with enough
-    ``witnesses``.  Counted by document first, so a frequent key is spread by document, then summed."""
-    by_doc = lines.groupBy(key, "id").agg(F.min_by("around", "at").alias("around"), F.count("*").alias("n"))
-    if witnesses is None:
-        by_place = by_doc.groupBy(key, "around").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
-        sums = by_place.groupBy(key).agg(F.sum("docs").alias("docs"), F.count("*").alias("places"), F.sum("n").alias("lines"))
-        return sums.where(f"docs >= {MIN_DOCS} and places >= {MIN_DOCS} and 2 * places >= docs").select(key, "lines")
+def _recurring(lines: DataFrame, key: str, witnesses: DataFrame) -> DataFrame:
+    """(key, lines) of the keys in enough different documents or between enough different
+    neighbours.  Counted by document first, so a frequent key is spread by document, then summed."""
+    by_doc = stored(lines.groupBy(key, "id").agg(F.min_by("around", "at").alias("around"), F.count("*").alias("n")), f"{key}_docs")
+    often = by_doc.groupBy(key).agg(F.count("*").alias("docs")).where(f"docs >= {MIN_DOCS}").select(key)
     seen = F.array(F.struct(F.lit(False).alias("own"), F.col("around").alias("by")),
                    F.struct(F.lit(True).alias("own"), F.col("witness").alias("by")))
-    by_seen = (by_doc.join(witnesses, "id").select(key, "n", F.inline(seen)).groupBy(key, "own", "by")
+    by_seen = (by_doc.join(stored(often, f"{key}_often"), key).join(witnesses, "id").select(key, "n", F.inline(seen)).groupBy(key, "own", "by")
                .agg(F.count("*").alias("docs"), F.sum("n").alias("n")))
     sums = by_seen.groupBy(key).agg(F.expr("sum(docs) filter (where not own)").alias("docs"), F.expr("sum(n) filter (where not own)").alias("lines"),
                                     F.expr("count_if(not own)").alias("places"), F.expr("count_if(own)").alias("different"))
-    return sums.where(f"different >= {MIN_DOCS} or docs >= {MIN_DOCS} and places >= {MIN_DOCS} and 2 * places >= docs").select(key, "lines")
+    return stored(sums.where(f"different >= {MIN_DOCS} or places >= {MIN_DOCS} and 2 * places >= docs").select(key, "lines"), f"{key}_recurring")
+
+
+def _templates_by_share(found: DataFrame) -> DataFrame:
+    """(id, row, at, around, template) of (id, row, at, masked, around, leaf, lines), with tokens constant
+    by their share of the leaf."""
+    lines = found.withColumn("tokens", _tokens(F.col("masked"))).drop("masked")
+    counts = (lines.select("leaf", "lines", F.posexplode("tokens").alias("place", "token"))
+              .groupBy("leaf", "place", "token").agg(F.count("*").alias("n"), F.first("lines").alias("lines")))
+    constant = F.when((F.col("n") >= MIN_DOCS) & (F.col("n") >= SUPPORT * F.col("lines")), F.col("token"))
+    # at most 1 / SUPPORT tokens a place
+    places = counts.groupBy("leaf", "place").agg(F.collect_list(constant).alias("tokens"))
+    trees = places.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", "tokens"))).alias("tree"))
+    template = F.transform("tokens", lambda t, i: F.when(F.array_contains(F.col("tree")[i]["tokens"], t), t).otherwise(FIELD))
+    literal = F.size(F.filter("template", lambda t: t != FIELD))
+    fixed = F.size(F.filter("tokens", lambda t: t != FIELD))
+    return (lines.join(trees, "leaf").withColumn("template", template).where((literal > 0) & (literal >= LIKENESS * fixed))
+            .select("id", "row", "at", "around", F.xxhash64("leaf", "template").alias("template")))
 
 
-def _templates_by_count(lines: DataFrame) -> DataFrame:
-    """(id, row, at, around, template) of (id, row, at, masked, around, leaf), with tokens constant by
-    their number alone.  Equal lines are one row until the end."""
+def _templates_by_count(found: DataFrame) -> DataFrame:
+    """The same with tokens constant by their number alone.  Equal lines are one row until the end."""
     line = F.xxhash64("leaf", "masked")
-    tokens = (lines.groupBy("leaf", "masked").agg(F.count("*").alias("n"))
+    tokens = (found.groupBy("leaf", "masked").agg(F.count("*").alias("n"))
               .select("leaf", line.alias("line"), "n", F.posexplode(_tokens(F.col("masked"))).alias("place", "token"))
               .where(F.col("token") != FIELD))
     often = (tokens.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).where(f"n >= {MIN_DOCS}")
@@ -115,46 +137,34 @@ def _templates_by_count(lines: DataFrame) -> DataFrame:
                    F.array_sort(F.collect_list(F.when(F.col("often"), F.struct("place", "token")))).alias("shape"))
               .where(f"literal > 0 and literal >= {LIKENESS} * fixed")
               .select("line", F.xxhash64("shape").alias("shape")))
-    return lines.withColumn("line", line).join(shapes, "line").select(
+    return found.withColumn("line", line).join(shapes, "line").select(
         "id", "row", "at", "around", F.xxhash64("leaf", F.lit("by count"), "shape").alias("template"))
 
 
-def dropped_lines(docs: DataFrame, whole: bool = False) -> DataFrame:
+def dropped_lines(docs: DataFrame) -> DataFrame:
     """(id, row, gone) of (id, row, text): the numbers of the lines to drop, for each row with any."""
-    lines, witnesses = _lines(docs), _witnesses(docs) if whole else None
+    lines = stored(line_table(docs), "lines")
+    witnesses = _witnesses(lines)
     # written tables have a known size: where the leaves are few, the planner broadcasts them and
     # no line is shuffled; and what follows runs on the lines of recurring leaves alone
-    leaves = stored(_recurring(lines.select("leaf", "id", "at", "around"), "leaf", witnesses), "leaves")
-    found = stored(lines.join(leaves, "leaf"), "leaf_lines")
-    lines = found.withColumn("tokens", _tokens(F.col("masked"))).drop("masked")
-    counts = (lines.select("leaf", "lines", F.posexplode("tokens").alias("place", "token"))
-              .groupBy("leaf", "place", "token").agg(F.count("*").alias("n"), F.first("lines").alias("lines")))
-    constant = F.when((F.col("n") >= MIN_DOCS) & (F.col("n") >= SUPPORT * F.col("lines")), F.col("token"))
-    # at most 1 / SUPPORT tokens a place
-    places = counts.groupBy("leaf", "place").agg(F.collect_list(constant).alias("tokens"))
-    trees = places.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", "tokens"))).alias("tree"))
-    template = F.transform("tokens", lambda t, i: F.when(F.array_contains(F.col("tree")[i]["tokens"], t), t).otherwise(FIELD))
-    literal = F.size(F.filter("template", lambda t: t != FIELD))
-    fixed = F.size(F.filter("tokens", lambda t: t != FIELD))
-    lines = stored(lines.join(trees, "leaf").withColumn("template", template)
-                   .where((literal > 0) & (literal >= LIKENESS * fixed))
-                   .select("id", "row", "at", "around", F.xxhash64("leaf", "template").alias("template")), "templates")
-    if whole:
-        lines = lines.unionByName(stored(_templates_by_count(found), "templates_by_count"))
-    gone = lines.join(_recurring(lines, "template", witnesses).select("template"), "template")
+    leaves = _recurring(lines, "leaf", witnesses)
+    found = stored(lines.select("id", "row", "at", "masked", "around", "leaf").join(leaves, "leaf"), "leaf_lines")
+    shaped = stored(_templates_by_share(found).unionByName(_templates_by_count(found)), "templates")
+    gone = shaped.join(_recurring(shaped, "template", witnesses).select("template"), "template")
     return stored(gone.groupBy("id", "row").agg(F.collect_set("at").alias("gone")), "gone_lines")
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all columns, ``text`` without the lines of recurring templates, and two
     more: n_lines, n_removed.
 
     A null text stays null (0 lines); lines without a token are kept; a text that loses all
-    lines is empty.  Rows with the same id count as one document, a null id as one too; equal
-    rows lose equal lines."""
-    number, row = F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), F.xxhash64(F.col(id_col), F.col(text_col))
+    lines is empty.  Rows with the same id count as one document; a row with a null id is a
+    document of its own, known by its text; equal rows lose equal lines."""
+    number = F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col))).otherwise(F.xxhash64(F.lit("no id"), F.col(text_col)))
+    row = F.xxhash64(F.col(id_col), F.col(text_col))
     gone = dropped_lines(docs.select(number.alias("id"), row.alias("row"), F.col(text_col).alias("text"))
-                         .where("text is not null"), whole).select(
+                         .where("text is not null")).select(
         F.col("id").alias(f"{OWN}id"), F.col("row").alias(f"{OWN}row"), F.col("gone").alias(f"{OWN}gone"))
     whole = F.split(text_col, "\n")
     count = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(whole))
@@ -167,47 +177,58 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole
     return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
 
 
-#: the same for ids that are unique and not null, on a table ``documents``
-ORACLE_SQL = f"""
+#: the same for ids that are unique and not null, on a table ``documents``; limits and widths are stated again
+ORACLE_SQL = r"""
 WITH doc_lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
   FROM documents WHERE text IS NOT NULL),
 masked AS (
-  SELECT doc_id, line_no, regexp_replace(line, '[^ \\t\\r]*[0-9][^ \\t\\r]*', '{FIELD}', 'g') AS masked FROM doc_lines),
+  SELECT doc_id, line_no, regexp_replace(line, '[^ \t\r]*[0-9][^ \t\r]*', '<*>', 'g') AS masked FROM doc_lines),
+copies AS (SELECT doc_id, md5(string_agg(masked, chr(10) ORDER BY line_no)) AS copy FROM masked GROUP BY doc_id),
 placed AS (
-  SELECT doc_id, line_no, list_filter(regexp_split_to_array(masked, '[ \\t\\r]+'), lambda x: x <> '') AS tokens,
+  SELECT doc_id, line_no, masked, list_filter(regexp_split_to_array(masked, '[ \t\r]+'), lambda x: x <> '') AS tokens,
          coalesce(lag(masked) OVER w, '') AS before, coalesce(lead(masked) OVER w, '') AS after
   FROM masked WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
 lines AS (
-  SELECT *, [len(tokens)::VARCHAR] || tokens[1:{DEPTH}] AS leaf, before || chr(10) || after AS around
+  SELECT *, [len(tokens)::VARCHAR] || tokens[1:3] AS leaf, before || chr(10) || after AS around,
+         ('0x' || left(md5(masked), 15))::BIGINT AS line, tokens[1:6] AS head, tokens[greatest(len(tokens) - 5, 1):] AS tail
   FROM placed WHERE len(tokens) > 0),
+heads AS (SELECT head FROM lines JOIN copies USING (doc_id) GROUP BY head HAVING count(DISTINCT copy) >= 5),
+tails AS (SELECT tail FROM lines JOIN copies USING (doc_id) GROUP BY tail HAVING count(DISTINCT copy) >= 5),
+marked AS (
+  SELECT l.doc_id, l.line, len(l.tokens) AS n, h.head IS NULL AND t.tail IS NULL AS own
+  FROM lines l LEFT JOIN heads h ON h.head = l.head LEFT JOIN tails t ON t.tail = l.tail),
+witnesses AS (
+  SELECT doc_id, CASE WHEN coalesce(sum(n) FILTER (own), 0) >= 0.2 * sum(n) THEN min(line) FILTER (own) ELSE -1 END AS witness
+  FROM marked GROUP BY doc_id),
 leaf_docs AS (SELECT leaf, doc_id, arg_min(around, line_no) AS around, count(*) AS n FROM lines GROUP BY leaf, doc_id),
 leaves AS (
-  SELECT leaf, sum(n) AS lines FROM leaf_docs GROUP BY leaf
-  HAVING count(*) >= {MIN_DOCS} AND count(DISTINCT around) >= {MIN_DOCS} AND 2 * count(DISTINCT around) >= count(*)),
+  SELECT leaf, sum(n) AS lines FROM leaf_docs JOIN witnesses USING (doc_id) GROUP BY leaf
+  HAVING count(DISTINCT witness) >= 5 OR count(DISTINCT around) >= 5 AND 2 * count(DISTINCT around) >= count(*)),
 candidates AS (SELECT l.*, v.lines FROM lines l JOIN leaves v USING (leaf)),
 exploded AS (
   SELECT leaf, lines, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place, doc_id, line_no FROM candidates),
-constants AS (
-  SELECT leaf, place, token FROM exploded GROUP BY leaf, place, token
-  HAVING count(*) >= {MIN_DOCS} AND count(*) >= {SUPPORT} * any_value(lines)),
+counted AS (
+  SELECT leaf, place, token, count(*) >= 0.2 * any_value(lines) AS by_share
+  FROM exploded GROUP BY leaf, place, token HAVING count(*) >= 5),
 shaped AS (
-  SELECT e.leaf, e.doc_id, e.line_no,
-         list(CASE WHEN c.token IS NULL THEN '{FIELD}' ELSE e.token END ORDER BY e.place) AS template,
-         count(*) FILTER (c.token IS NOT NULL AND e.token <> '{FIELD}') AS literal,
-         count(*) FILTER (e.token <> '{FIELD}') AS fixed
-  FROM exploded e LEFT JOIN constants c ON c.leaf = e.leaf AND c.place = e.place AND c.token = e.token
-  GROUP BY e.leaf, e.doc_id, e.line_no),
+  SELECT e.leaf, e.doc_id, e.line_no, k.kind,
+         list(CASE WHEN c.token IS NULL OR k.kind = 'share' AND NOT c.by_share THEN '<*>' ELSE e.token END ORDER BY e.place) AS template,
+         count(*) FILTER (c.token IS NOT NULL AND e.token <> '<*>' AND (k.kind = 'count' OR c.by_share)) AS literal,
+         count(*) FILTER (e.token <> '<*>') AS fixed
+  FROM exploded e CROSS JOIN (VALUES ('share'), ('count')) k(kind)
+  LEFT JOIN counted c ON c.leaf = e.leaf AND c.place = e.place AND c.token = e.token
+  GROUP BY e.leaf, e.doc_id, e.line_no, k.kind),
 templates AS (
-  SELECT s.leaf, s.template, s.doc_id, s.line_no, l.around
-  FROM shaped s JOIN lines l USING (doc_id, line_no) WHERE literal > 0 AND literal >= {LIKENESS} * fixed),
+  SELECT s.leaf, s.kind, s.template, s.doc_id, s.line_no, l.around
+  FROM shaped s JOIN lines l USING (doc_id, line_no) WHERE literal > 0 AND literal >= 0.7 * fixed),
 template_docs AS (
-  SELECT leaf, template, doc_id, arg_min(around, line_no) AS around FROM templates GROUP BY leaf, template, doc_id),
+  SELECT leaf, kind, template, doc_id, arg_min(around, line_no) AS around FROM templates GROUP BY leaf, kind, template, doc_id),
 recurring AS (
-  SELECT leaf, template FROM template_docs GROUP BY leaf, template
-  HAVING count(*) >= {MIN_DOCS} AND count(DISTINCT around) >= {MIN_DOCS} AND 2 * count(DISTINCT around) >= count(*)),
-gone AS (SELECT doc_id, line_no FROM templates JOIN recurring USING (leaf, template)),
+  SELECT leaf, kind, template FROM template_docs JOIN witnesses USING (doc_id) GROUP BY leaf, kind, template
+  HAVING count(DISTINCT witness) >= 5 OR count(DISTINCT around) >= 5 AND 2 * count(DISTINCT around) >= count(*)),
+gone AS (SELECT DISTINCT doc_id, line_no FROM templates JOIN recurring USING (leaf, kind, template)),
 kept AS (
   SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (g.line_no IS NULL) AS text,
          count(*)::INTEGER AS n_lines, count(g.line_no)::INTEGER AS n_removed

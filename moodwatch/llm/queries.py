@@ -94,8 +94,8 @@ def op13_presence_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the stages of the corpus pipeline."""
-    import corpus_pipeline
-    return corpus_pipeline.run(spark, sf_dir)
+    from moodwatch.llm.pipeline import run
+    return run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -64,9 +64,9 @@ def test_native(frame, prose):
 
 
 def removed(frame, docs):
-    """{line: documents it went from} with the pipeline's rule."""
+    """{line: documents it went from}."""
     was, gone = dict(docs), {}
-    for r in lines.dedup(frame(docs, SCHEMA), whole=True).collect():
+    for r in lines.dedup(frame(docs, SCHEMA)).collect():
         for x in set(was[r.doc_id].split("\n")) - set(r.text.split("\n")):
             gone[x] = gone.get(x, 0) + 1
     return gone
@@ -111,3 +111,27 @@ def test_templates_go_from_busy_leaves(frame, prose):
     docs += [(100 + k, "\n".join([prose(12, 500 + k), f"In the end name{'abcdefgh'[k]} has left the room", prose(9, 700 + k)])) for k in range(8)]
     docs += [(200 + k, f"In the end {prose(5, 900 + k).replace('.', '')}") for k in range(100)]
     assert removed(frame, docs) == {"Part of the" + t: 10 for t in tails} | {f"In the end name{c} has left the room": 1 for c in "abcdefgh"}
+
+
+def test_rows_without_an_id_are_documents_of_their_own(frame, prose):
+    notice = "All rights reserved by the Example Foundation"
+    rows = [(None if k % 2 else -1 - k, "\n".join([prose(12, 3 * k), notice, prose(9, 3 * k + 2)])) for k in range(30)]
+    out = lines.dedup(frame([r for r in rows if r[0] is None], SCHEMA)).collect()
+    assert [notice in r.text for r in out] == [False] * 15
+    out = lines.dedup(frame([(None, rows[1][1])] * 30 + [(-1, "a b\n" + notice)], SCHEMA)).collect()
+    assert all(r.n_removed == 0 for r in out)  # copies of one text, whatever stands in their id
+
+
+def test_repeated_ids_lose_the_lines_of_their_own_text(frame, prose):
+    notice = "All rights reserved by the Example Foundation"
+    rows = [(k, "\n".join([prose(12, 3 * k), notice, prose(9, 3 * k + 2)])) for k in range(20)]
+    other = "\n".join(prose(10, 900 + k) for k in range(4))
+    out = lines.dedup(frame([*rows, (3, other), (3, other)], SCHEMA)).collect()
+    assert sorted(r.n_removed for r in out) == [0, 0] + [1] * 20
+    assert [r.text for r in out if not r.n_removed] == [other, other]
+
+
+def test_lines_are_masked_once(frame, prose):
+    table = lines.line_table(frame([(1, 2, "a b 3\n\nc")], "id long, row long, text string"))
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+    assert [(r.at, r.masked, r.n) for r in sorted(table.collect(), key=lambda r: r.at)] == [(0, "a b <*>", 3), (2, "c", 1)]

@@ -1,4 +1,4 @@
-import corpus_pipeline
+from moodwatch.llm import pipeline as corpus_pipeline
 from moodwatch.llm import packing, queries
 from moodwatch.llm.common import stored
 from moodwatch.llm.tokens import Encoder, tokenizer_path
