@@ -1,70 +1,5 @@
-"""The corpus pipeline: documents to packed training sequences.
+"""The corpus pipeline: documents to packed training sequences (see ``moodwatch/llm/pipeline.py``)."""
 
-``STAGES`` are applied in order; each one's rows are written as Parquet in the shared folder
-and read again as the next one's documents.  All but the last return the columns of
-documents.  Rows without a doc_id pass through as documents of their own.
-"""
+from moodwatch.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from moodwatch.llm import decontam, langid, lines, neardup, packing
-from moodwatch.llm.common import stored
-
-#: percent of their shingles that near duplicates share; op7's own query asks for more
-SIMILARITY = 80
-
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is accepted; learned from the labelled ones among them."""
-    return langid.keep_identified(docs, langid.learn(docs))
-
-
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines of recurring templates; n_chars follows the text.  Documents stay, though
-    their text may end up empty."""
-    out = lines.dedup(docs, whole=True)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group, the one of smallest id.  Rows are told apart
-    by id and text."""
-    return neardup.keep_one(docs, similarity=SIMILARITY)
-
-
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which a benchmark item stands."""
-    return decontam.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-
-
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 4096 tokens."""
-    return packing.pack_documents(docs)
-
-
-STAGES: list[tuple[str, Stage]] = [
-    ("language_id", language_id),
-    ("line_dedup", line_dedup),
-    ("minhash_near_dedup", near_dedup),
-    ("benchmark_decontamination", decontamination),
-    ("best_fit_packing", best_fit_packing),
-]
-
-#: no SQL form: compression, registers, edit distances and token ids; see tests/llm/test_pipeline.py
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
