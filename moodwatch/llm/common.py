@@ -71,6 +71,22 @@ def slice_total(df: DataFrame, slice_col: str, order: list[str], value: str, out
             .drop("_base"))
 
 
+#: keys with at least one of so many rows are joined where the rows lie
+HOT = 1000
+
+
+def hot_join(rows: DataFrame, found: DataFrame, key: str, count: str) -> DataFrame:
+    """Inner join of written ``rows`` with ``found``, which is unique on ``key`` and has in ``count`` the
+    rows of each key.  Keys of a thousandth of all those rows or more (``HOT`` at most) are sent to
+    the rows, so that no task gets all rows of one key; the others are dealt by key."""
+    found = stored(found, "join_keys")
+    least = F.lit((found.agg(F.sum(count)).first()[0] or 0) / HOT)
+    hot = F.broadcast(found.where(F.col(count) >= least))
+    near = rows.join(hot, key)
+    far = rows.join(hot.select(key), key, "left_anti").join(found.where(F.col(count) < least), key)
+    return near.unionByName(far)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b; any ordered type): rows (node, component)
     with the smallest node of each component, for every node that has an edge.

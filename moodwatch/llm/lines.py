@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodwatch.llm.common import stored
+from moodwatch.llm.common import hot_join, stored
 
 FIELD = "<*>"
 DEPTH, MIN_DOCS = 3, 5
@@ -104,7 +104,7 @@ def _recurring(lines: DataFrame, key: str, witnesses: DataFrame) -> DataFrame:
                .agg(F.count("*").alias("docs"), F.sum("n").alias("n")))
     sums = by_seen.groupBy(key).agg(F.expr("sum(docs) filter (where not own)").alias("docs"), F.expr("sum(n) filter (where not own)").alias("lines"),
                                     F.expr("count_if(not own)").alias("places"), F.expr("count_if(own)").alias("different"))
-    return stored(sums.where(f"different >= {MIN_DOCS} or places >= {MIN_DOCS} and 2 * places >= docs").select(key, "lines"), f"{key}_recurring")
+    return sums.where(f"different >= {MIN_DOCS} or places >= {MIN_DOCS} and 2 * places >= docs").select(key, "lines")
 
 
 def _templates_by_share(found: DataFrame) -> DataFrame:
@@ -145,12 +145,11 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     """(id, row, gone) of (id, row, text): the numbers of the lines to drop, for each row with any."""
     lines = stored(line_table(docs), "lines")
     witnesses = _witnesses(lines)
-    # written tables have a known size: where the leaves are few, the planner broadcasts them and
-    # no line is shuffled; and what follows runs on the lines of recurring leaves alone
+    # what follows runs on the lines of recurring leaves alone
     leaves = _recurring(lines, "leaf", witnesses)
-    found = stored(lines.select("id", "row", "at", "masked", "around", "leaf").join(leaves, "leaf"), "leaf_lines")
+    found = stored(hot_join(lines.select("id", "row", "at", "masked", "around", "leaf"), leaves, "leaf", "lines"), "leaf_lines")
     shaped = stored(_templates_by_share(found).unionByName(_templates_by_count(found)), "templates")
-    gone = shaped.join(_recurring(shaped, "template", witnesses).select("template"), "template")
+    gone = hot_join(shaped, _recurring(shaped, "template", witnesses), "template", "lines")
     return stored(gone.groupBy("id", "row").agg(F.collect_set("at").alias("gone")), "gone_lines")
 
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodwatch.llm.common import arrow_pass, stored
+from moodwatch.llm.common import arrow_pass, hot_join, stored
 
 SPAN, WORDS = 3, 24
 #: a sentence with more words is cut after words whose hash divides by CUT, at the latest here
@@ -65,24 +65,25 @@ def spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def span_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, span, at, n) of (doc_id, text): every span of every text."""
+    """(doc_id, row, span, at, n) of (doc_id, row, text): every span of every text."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            ids, hashes, at, n = [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids, rows, hashes, at, n = [], [], [], [], []
+            for doc, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for h, k, m in spans(text or ""):
                     ids.append(doc)
+                    rows.append(row)
                     hashes.append(h)
                     at.append(k)
                     n.append(m)
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(at, pa.int32()),
-                 pa.array(n, pa.int32())], ["doc_id", "span", "at", "n"])
+                [pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(hashes, pa.int64()), pa.array(at, pa.int32()),
+                 pa.array(n, pa.int32())], ["doc_id", "row", "span", "at", "n"])
 
         return work
 
-    return arrow_pass(docs, ["doc_id", "text"], "doc_id long, span long, at int, n int", make)
+    return arrow_pass(docs, ["doc_id", "row", "text"], "doc_id long, row long, span long, at int, n int", make)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,16 +93,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     stays null), ``first_ids`` the documents that hold the first copies, ascending.  A text
     too short for a span is left alone.  Rows with a null id are kept as they are and take no
     part.  Rows that repeat an id count as one place: a passage is a repeat only where it
-    stands later in the text or in a document of larger id."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    stands later in the text or in a document of larger id; each row loses the repeats of its
+    own text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
     table = stored(span_table(rows.where("doc_id is not null")), "spans")
     # partial minima before the shuffle: a span that fills a third of the rows is one row a task
     firsts = (table.groupBy("span").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("copies"))
-              .where("copies > 1").select("span", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at")))
-    late = (table.join(firsts, "span").where("doc_id > first_id or at > first_at")
-            .groupBy("doc_id").agg(F.collect_set(F.struct("at", "n")).alias("cuts"),
+              .where("copies > 1").select("span", "copies", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at")))
+    late = (hot_join(table, firsts, "span", "copies").where("doc_id > first_id or at > first_at")
+            .groupBy("doc_id", "row").agg(F.collect_set(F.struct("at", "n")).alias("cuts"),
                                    F.array_sort(F.collect_set("first_id")).alias("first_ids")))
-    both = rows.join(late, "doc_id", "left")
+    both = rows.join(late, ["doc_id", "row"], "left")
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -49,3 +49,44 @@ def test_edges(frame, prose):
         (1, False), (2, False), (3, False), (4, False), (4, False), (5, False), (6, True)]
     assert [r.text for r in out if r.doc_id is None] == [text, text]
     assert substring.dedup(frame([], SCHEMA)).collect() == []
+
+
+def test_rows_of_one_id_lose_their_own_repeats(frame, prose):
+    p, q = prose(100, 1), prose(100, 2)
+    out = substring.dedup(frame([(1, p), (5, p), (5, q), (5, q), (6, q)], SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text == q, r.n_removed > 0) for r in out) == [
+        (1, False, False), (5, False, True), (5, True, False), (5, True, False), (6, False, True)]
+
+
+def test_hot_spans_are_joined_where_they_lie(spark, frame, prose):
+    passage = prose(60, 1)
+    rows = [(k, prose(40, 100 + k) + " " + passage) for k in range(300)]
+    out = by_id(substring.dedup(frame(rows, SCHEMA)))
+    middle = " ".join(passage.split()[20:40])
+    assert [k for k, r in out.items() if middle in r.text] == [0]
+
+
+def brute_cuts(docs):
+    """Sentences covered by a non-first span, from the definition and with its own hashing-free keys."""
+    import re
+    seen, gone = {}, {}
+    for doc, text in sorted(docs):
+        cut = substring.sentences(text)
+        words = [tuple(re.findall(r"\w+", text[a:b].lower())) for a, b, _ in cut]
+        for k in range(len(cut)):
+            to = k
+            while to < len(cut) and (to - k < substring.SPAN or sum(map(len, words[k:to])) < substring.WORDS):
+                to += 1
+            key = sum(words[k:to], ())
+            if to - k < substring.SPAN or len(key) < substring.WORDS:
+                continue
+            if seen.setdefault(key, (doc, k)) != (doc, k):
+                gone.setdefault(doc, set()).update(range(k, to))
+    return {d: len(gone.get(d, ())) for d, _ in docs}
+
+
+def test_against_spans_by_words(frame, prose):
+    shared = [prose(40, 300 + k) for k in range(4)]
+    rows = [(k, " ".join([prose(20 + k, k), shared[k % 4], prose(15, 50 + k), shared[(k + 1) % 4]])) for k in range(24)]
+    out = by_id(substring.dedup(frame(rows, SCHEMA)))
+    assert {d: r.n_removed for d, r in out.items()} == brute_cuts(rows)
