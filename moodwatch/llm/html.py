@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Callable
 from typing import NamedTuple
 from zlib import crc32
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from moodwatch.llm.common import arrow_pass
 
 #: pages the network is fitted on, blocks of one page used for it, other layouts of each page
-SAMPLE_PAGES, SAMPLE_BLOCKS, LAYOUTS = 300, 64, 3
+SAMPLE_PAGES, SAMPLE_BLOCKS, LAYOUTS = 300, 64, 5
 PATH_BUCKETS, WORD_BUCKETS, WIDTH, HIDDEN, NUMBERS = 512, 2048, 16, 24, 8
 EPOCHS, BATCH, RATE, SEED = 8, 32, 0.01, 7
 #: pages labelled at once
@@ -57,10 +58,18 @@ CONTENT_NAMES = {"article", "main", "content", "post", "entry", "story", "articl
 NOTICES = ("We use cookies to improve your experience. Accept all", "Wir verwenden Cookies. Alle akzeptieren",
            "Nous utilisons des cookies. Tout accepter", "Usamos cookies. Aceptar todo", "Subscribe to our newsletter",
            "Share on social media", "Log in or sign up to comment", "All rights reserved. Terms of use. Privacy policy",
-           "Advertisement", "Read more", "Leave a reply", "Related articles", "Skip to content", "Search this site")
-
+           "Advertisement", "Read more", "Leave a reply", "Related articles", "Skip to content", "Search this site",
+           "Impressum | Datenschutz | Kontakt", "Mentions légales. Plan du site", "Aviso legal. Contacto", "Terms of use", "Home", "Start",
+           "© 2024 All rights reserved", "Copyright", "Accept", "Share", "Contact us", "Newsletter bestellen", "À lire aussi", "Mehr zum Thema")
+#: short remarks of readers
+REMARKS = ("Great news, thanks!", "I was there too.", "Nice.", "Finally!", "I don't agree with this at all.", "Sehr guter Artikel.", "Das stimmt so nicht.",
+           "Merci pour cet article.", "Je ne suis pas d'accord.", "Muy interesante, gracias.", "No estoy de acuerdo.", "First!", "What about the others?")
+
+#: possessive throughout: no part gives characters back, so a page is read in linear time
 COMMENT_OR_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/a-zA-Z][^>]*(?:>|\Z)""", re.S)
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|<[!?/a-zA-Z][^>]*+(?:>|\Z)""", re.S)
+#: a block's path holds so many of the outermost and of the innermost open elements
+NEAR = 64
 NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 WORD = re.compile(r"\w+")
@@ -91,6 +100,7 @@ def blocks(page: str | None) -> list[Block]:
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    still_open: Counter[str] = Counter()
     parts: list[str] = []
     linked, links, at = 0, 0, 0
     path: tuple[str, ...] | None = None
@@ -108,13 +118,20 @@ def blocks(page: str | None) -> list[Block]:
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
         if path is None and not text.isspace():
-            path = tuple(n for name, more in stack for n in (name, *more))
+            shown = stack if len(stack) <= 2 * NEAR else stack[:NEAR] + stack[-NEAR:]
+            path = tuple(n for name, more in shown for n in (name, *more))
         if linked:
             links += len(text)
 
-    for m in COMMENT_OR_TAG.finditer(page):
-        if m.start() < at:  # inside a script or the like
-            continue
+    def cut(k: int) -> None:
+        """Close the open elements from number k on."""
+        nonlocal linked
+        for name, _ in stack[k:]:
+            still_open[name] -= 1
+            linked -= name == "a"
+        del stack[k:]
+
+    while (m := COMMENT_OR_TAG.search(page, at)) is not None:  # from behind a script's end, whatever stands in it
         if m.start() > at:
             add(page[at:m.start()])
         at = m.end()
@@ -127,11 +144,11 @@ def blocks(page: str | None) -> list[Block]:
         if name not in INLINE:
             close()
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if still_open[name] else ():
                 if stack[k][0] == name:
-                    if name not in INLINE or all(n in INLINE for n, _ in stack[k:]):
-                        linked -= sum(n == "a" for n, _ in stack[k:])
-                        del stack[k:]
+                    cut(k)
+                    break
+                if name in INLINE and stack[k][0] not in INLINE:
                     break
             continue
         if name in VOID or m[3].endswith("/"):
@@ -147,14 +164,14 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if name in SIBLINGS or name == "a":
             # an open one of the same kind ends here, unless a container began since
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if still_open[name] else ():
                 if stack[k][0] == name:
-                    linked -= sum(n == "a" for n, _ in stack[k:])
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "blockquote", "select"):
                     break
         stack.append((name, _names(m[3])))
+        still_open[name] += 1
         linked += name == "a"
     if at < len(page):
         add(page[at:])
@@ -182,16 +199,27 @@ def relayout(page: list[Block], labels: np.ndarray, others: list[str], rng: np.r
 
     content = [b.text for b, y in zip(page, labels, strict=True) if y] or others[:3]
     short = [b.text for b, y in zip(page, labels, strict=True) if not y and len(b.text) < 80]
-    telling = rng.random() < 0.75  # else the names say nothing
+    kind = rng.random()  # names that tell, names of another language or none
+    strange: dict[str, str] = {}
+    semantic = ("article", "main", "nav", "aside", "footer", "header", "form", "section")
 
     def name(path: tuple[str, ...]) -> tuple[str, ...]:
-        return path if telling else tuple(p for p in path if p[0] != "." and p not in ("article", "main", "nav", "aside", "footer", "header", "form", "section"))
+        if kind < 0.45:
+            return path
+        if kind < 0.7:
+            return tuple("div" if p in semantic else p for p in path if p[0] != ".")
+        for p in path:
+            if p[0] == "." and p not in strange:
+                strange[p] = "." + "".join(rng.choice(list("abdefghiklmnoprstuvwz"), int(rng.integers(2, 12))))
+        return tuple(strange.get(p, "div" if p in semantic and kind > 0.85 else p) for p in path)
 
     def some(source: list[str], low: int, high: int) -> list[str]:
-        return [source[rng.integers(len(source))] for _ in range(int(rng.integers(low, high)))] if source else []
+        # where no name tells, what isn't content is short, as nothing else would tell it
+        found = [source[rng.integers(len(source))] for _ in range(int(rng.integers(low, high)))] if source else []
+        return found if kind < 0.45 else [t[:int(rng.integers(15, 90))] for t in found]
 
     out: list[tuple[Block, int]] = []
-    base = ("html", "body") + pick("", "div", "div .page", "div .wrapper .container", "div div")
+    base = ("html", "body") + pick("", "", "div", "div .page", "div .wrapper .container", "div div", "table tr td")
 
     def put(path: tuple[str, ...], text: str, label: int, links: int = 0) -> None:
         out.append((Block(base + name(path), text, links), label))
@@ -212,13 +240,14 @@ def relayout(page: list[Block], labels: np.ndarray, others: list[str], rng: np.r
         for t in some(others, 1, 4):
             put(pick("aside", "div .sidebar", "div .widget", "div .side") + pick("p", "div", "ul li"), t[:200], 0)
     holder = pick("article", "main article", "div .content", "div .post", "div .entry .content", "main", "div .article .body",
-                  "section .story", "div .text", "td", "div .main div .post .body")
+                  "section .story", "div .text", "td", "div .main div .post .body", "table tr td", "div")
+    body = pick("p", "p", "p", "div", "")
     for k, t in enumerate(content):
-        put(holder + (pick("h1", "h1", "header h1", "h2") if not k and len(t) < 120 else pick("p", "p", "p", "div", "p b", "blockquote p", "ul li", "h2", "pre", "span")), t, 1)
+        put(holder + (pick("h1", "h1", "header h1", "h2") if not k and len(t) < 120 else (body if rng.random() < 0.8 else pick("p", "div", "p b", "blockquote p", "blockquote", "ul li", "h2", "pre", "span"))), t, 1)
         if rng.random() < 0.06:
             put(holder + pick("div .ad", "aside", "div .related", "div .promo", "div .share", "div .newsletter"), some([*NOTICES, *others], 1, 2)[0][:150], 0)
     if rng.random() < 0.5:
-        for t in some(others, 1, 6):
+        for t in some(others if rng.random() < 0.5 else list(REMARKS), 1, 6):
             put(pick("div .comments", "section .comment .list", "div .disqus", "ol .comments li .comment", "div .replies") + pick("p", "div p", "div"), t, 0)
     if rng.random() < 0.3:
         for _ in range(int(rng.integers(1, 4))):
@@ -384,7 +413,10 @@ def train(pages: list[str]) -> Weights:
         for _ in range(LAYOUTS):
             other = [texts[rng.integers(len(texts))] for _ in range(6)]
             made, known = relayout(b, y, other, rng)
-            seen.append((features(made[:2 * SAMPLE_BLOCKS]), known[:2 * SAMPLE_BLOCKS]))
+            page = features(made[:2 * SAMPLE_BLOCKS])
+            if rng.random() < 0.5:  # as if in a language never seen
+                page = page._replace(words=rng.integers(0, WORD_BUCKETS, len(page.words), dtype=np.int32))
+            seen.append((page, known[:2 * SAMPLE_BLOCKS]))
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     step = 0
     for epoch in range(EPOCHS):

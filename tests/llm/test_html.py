@@ -78,3 +78,41 @@ def test_held_out_layouts(prose):
         wrong += int((html.label(w, [made])[0] != (known > 0)).sum())
         total += len(known)
     assert wrong <= 0.1 * total
+
+
+def test_scripts_hold_no_text_whatever_stands_in_them():
+    inside = ("for(i=0;i<n;i++){a='x'}", "if (a<b && c>d) x = \"</div>\";", "<!-- y", "'<p>no</p>'", "a<b", "</scr' + 'ipt>", "<style>", "<a href='")
+    for code in inside:
+        for tag in ("script", "style", "SCRIPT"):
+            cut = html.blocks(f"<div>before<{tag}>{code}</{tag}><p>after</p></div>")
+            assert [b.text for b in cut] == ["before", "after"], (tag, code)
+    assert [b.text for b in html.blocks("<script>a<b</script>x<script>c<d</script>y")] == ["x", "y"]
+
+
+@pytest.mark.parametrize("page", ["<" + "a" * 1_000_000, "<a " + "b='" * 300_000, "<p>" + "<a \"" * 250_000, "<div>" * 100_000 + "</p>" * 100_000,
+                                  "<b>" * 50_000 + "</i>" * 50_000 + "<p>x" * 50_000, "<!--" * 250_000, "&" * 1_000_000, "<div class=" + " " * 1_000_000])
+def test_odd_pages_are_read_in_linear_time(page):
+    import time
+    began = time.process_time()
+    html.blocks(page)
+    assert time.process_time() - began < 3
+
+
+def test_paths_of_deep_pages_are_bounded():
+    cut = html.blocks("<div>" * 3000 + "text" + "<div>" * 3000 + "<p>more")
+    assert [b.text for b in cut] == ["text", "more"] and max(len(b.path) for b in cut) <= 2 * html.NEAR
+
+
+def test_pages_labelled_by_hand(spark):
+    """Other layouts and languages than the pages that the network is fitted on."""
+    from pages_by_hand import pages
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    weights = html.train([r.html for r in rows])
+    right = total = 0
+    for raw, want in pages():
+        cut = html.blocks(raw)
+        assert all(t in [b.text for b in cut] for t in want)
+        right += sum((b.text in want) == bool(y) for b, y in zip(cut, html.label(weights, [cut])[0], strict=True))
+        total += len(cut)
+    print(f"{right} of {total} blocks")
+    assert right >= 0.85 * total
