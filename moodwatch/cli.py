@@ -7,7 +7,7 @@ package with ``--py-files moodwatch.zip``).
     spark-submit moodwatch/cli.py gender --topic T/com --users-topic T/user --sink S/gender [--hot 17,4711]
     spark-submit moodwatch/cli.py users  --topic T/user --sink S/users
     spark-submit moodwatch/cli.py compact --what trend|words|gender --sink S/x --snapshot S/x-snap
-    spark-submit moodwatch/cli.py show   --what trend|words|gender|users --sink S/x [--monitor ID] [--snapshot ...]
+    spark-submit moodwatch/cli.py show   --what trend|words|gender|users|rejects --sink S/x [--monitor ID] [--snapshot ...]
 
 ``gender`` reads both topics and keeps each user's gender as state: a comment counts
 under the gender known when it arrives.  ``--hot`` names users with very many comments,
@@ -46,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--trigger", default="5 seconds")
         s.add_argument("--once", action="store_true")
         s.add_argument("--max-files", type=int)
+        s.add_argument("--rejects", help="sink folder for lines that can't be decoded")
         if name != "users":
             s.add_argument("--state-partitions", type=int)
         if name in ("words", "trend"):
@@ -59,7 +60,7 @@ def _parser() -> argparse.ArgumentParser:
             users.add_argument("--users-kafka", help="servers/topic of the user topic")
             s.add_argument("--hot", help="comma-separated ids of users with very many comments")
     r = sub.add_parser("show", help="print a read-side query")
-    r.add_argument("--what", choices=("trend", "series", "words", "word", "gender", "users"), required=True)
+    r.add_argument("--what", choices=("trend", "series", "words", "word", "gender", "users", "rejects"), required=True)
     r.add_argument("--word")
     r.add_argument("--sink", required=True)
     r.add_argument("--monitor")
@@ -104,7 +105,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
                 "gender": lambda: apps.read_gender(spark, args.sink, args.monitor, args.stateful, snap),
                 "series": lambda: apps.read_series(spark, args.sink, args.monitor, args.stateful, snapshot=snap),
                 "word": lambda: apps.read_word(spark, args.sink, args.monitor, args.word, args.stateful, snap),
-                "users": lambda: apps.read_profiles(spark, args.sink, snap)}[args.what]()
+                "users": lambda: apps.read_profiles(spark, args.sink, snap),
+                "rejects": lambda: apps.read_rejects(spark, args.sink)}[args.what]()
         read.show(args.rows, truncate=False)
         return read
 
@@ -121,7 +123,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         return topics.read_topic(spark, folder, options, max_files_per_trigger=args.max_files)
 
     lines = topic(args.topic, args.kafka)
-    common = dict(trigger=args.trigger, available_now=args.once)
+    common = dict(trigger=args.trigger, available_now=args.once, rejects=args.rejects)
     if args.cmd == "users":
         q = apps.profile_app(lines, args.sink, checkpoint, **common)
     elif args.cmd == "gender":

@@ -48,7 +48,10 @@ def gender_join(comments: DataFrame, profiles: DataFrame, hot: DataFrame | None
     # whatever those might match is dropped
     others = [c for c in comments.columns if c != "user_id"]
     stand_in = F.lit(-1) - F.pmod(F.xxhash64(*others), F.lit(NULL_KEYS))
-    keyed = comments.withColumn("_user_key", F.coalesce(F.col("user_id").cast("bigint"), stand_in))
+    kind = comments.schema["user_id"].dataType
+    if kind != g.schema["user_id"].dataType:
+        raise TypeError(f"user ids are {kind.simpleString()} in comments and {g.schema['user_id'].dataType.simpleString()} in profiles: cast one side")
+    keyed = comments.withColumn("_user_key", F.coalesce("user_id", stand_in.cast(kind)))
     joined = keyed.join(g.select(F.col("user_id").alias("_user_key"), F.col("gender").alias("_gender")), "_user_key", "left")
     return joined.select(*comments.columns, F.when(F.col("user_id").isNotNull(), F.col("_gender")).alias("gender"))
 

@@ -65,37 +65,38 @@ def decode_comments(lines: DataFrame, col: str = VALUE, clock12: bool = False,
     """``com`` lines -> typed comments with event time and hour bucket.
 
     Output: comment_id, monitor_id, created_at (raw text), ts, hour, like_count,
-    user_id, text, plus any other input columns.  Lines with the wrong arity, an
-    unparsable ``created_at`` or an id that is no number are dropped (see
-    :func:`comment_rejects`) unless ``keep_invalid``; an absent id (``None``) is null.
+    user_id, text, plus any other input columns.  Ids are text, as on the wire; an
+    absent one (``None``) is null.  Lines with the wrong arity or an unparsable
+    ``created_at`` are dropped (see :func:`comment_rejects`) unless ``keep_invalid``,
+    which keeps the line and adds ``_reason`` (null: the line is valid).
     """
     f = _fields(col)
     other = [c for c in lines.columns if c != col or keep_invalid]  # rejects keep the raw line
     ts = parse_created_at(f(2))
     out = lines.select(
         *other,
-        f(0).try_cast("bigint").alias("comment_id"),
+        _id(f(0)).alias("comment_id"),
         f(1).alias("monitor_id"),
         f(2).alias("created_at"),
         ts.alias("ts"),
         f(3).try_cast("bigint").alias("like_count"),
-        f(4).try_cast("bigint").alias("user_id"),
+        _id(f(4)).alias("user_id"),
         f(5).alias("text"),
-        _reject_reason(has_arity(col, 6), [("comment_id", f(0)), ("user_id", f(4))], ts).alias("_reason"),
+        _reject_reason(has_arity(col, 6), ts).alias("_reason"),
     ).withColumn("hour", hour_bucket("ts", clock12))
     if keep_invalid:
         return out
     return out.where(F.col("_reason").isNull()).drop("_reason")
 
 
-def _reject_reason(arity_ok: Column, ids: Sequence[tuple[str, Column]], ts: Column | None = None) -> Column:
-    """Why a line can't be decoded (null: it can): arity, an id that is no number, created_at."""
+def _id(field: Column) -> Column:
+    return F.nullif(field, F.lit(NULL_TEXT))
+
+
+def _reject_reason(arity_ok: Column, ts: Column | None = None) -> Column:
+    """Why a line can't be decoded (null: it can): arity, created_at."""
     reason = F.when(arity_ok.isNull() | ~arity_ok, F.lit("arity"))
-    if ts is not None:
-        reason = reason.when(ts.isNull(), F.lit("created_at"))
-    for name, field in ids:
-        reason = reason.when((field != NULL_TEXT) & field.try_cast("bigint").isNull(), F.lit(name))
-    return reason
+    return reason if ts is None else reason.when(ts.isNull(), F.lit("created_at"))
 
 
 def comment_rejects(lines: DataFrame, col: str = VALUE) -> DataFrame:
@@ -104,34 +105,32 @@ def comment_rejects(lines: DataFrame, col: str = VALUE) -> DataFrame:
     return d.where(F.col("_reason").isNotNull()).select(*lines.columns, F.col("_reason").alias("reason"))
 
 
-def decode_users(lines: DataFrame, col: str = VALUE) -> DataFrame:
-    """``user`` lines -> typed profile rows (the literal text ``None`` is null).  Lines that
-    can't be decoded go to :func:`user_rejects`."""
+def decode_users(lines: DataFrame, col: str = VALUE, keep_invalid: bool = False) -> DataFrame:
+    """``user`` lines -> typed profile rows (the literal text ``None`` is null; the id is text).
+    Lines that can't be decoded go to :func:`user_rejects`, or are kept with a ``_reason``."""
     f = _fields(col)
-    other = [c for c in lines.columns if c != col]
+    other = [c for c in lines.columns if c != col or keep_invalid]
 
     def text(i):
         v = f(i)
         return F.when(v == "None", F.lit(None).cast("string")).otherwise(v)
 
-    return lines.where(_user_reason(col).isNull()).select(
+    out = lines.select(
         *other,
-        f(0).try_cast("bigint").alias("user_id"),
+        _id(f(0)).alias("user_id"),
         text(1).alias("user_name"),
         text(2).alias("gender"),
         text(3).alias("description"),
         f(4).try_cast("bigint").alias("follow_count"),
         f(5).try_cast("bigint").alias("followers_count"),
+        _reject_reason(has_arity(col, 6)).alias("_reason"),
     )
-
-
-def _user_reason(col: str) -> Column:
-    return _reject_reason(has_arity(col, 6), [("user_id", _fields(col)(0))])
+    return out if keep_invalid else out.where(F.col("_reason").isNull()).drop("_reason")
 
 
 def user_rejects(lines: DataFrame, col: str = VALUE) -> DataFrame:
     """The side output of :func:`decode_users`: lines it drops, with a reason."""
-    return (lines.withColumn("reason", _user_reason(col)).where(F.col("reason").isNotNull())
+    return (lines.withColumn("reason", _reject_reason(has_arity(col, 6))).where(F.col("reason").isNotNull())
             .select(*lines.columns, "reason"))
 
 
@@ -174,7 +173,7 @@ COMMENTS_SCHEMA = T.StructType([T.StructField("data", T.StructType([
 
 def _user_cols(u: str):
     return [
-        F.col(f"{u}.id").try_cast("bigint").alias("user_id"),
+        F.col(f"{u}.id").alias("user_id"),
         F.col(f"{u}.screen_name").alias("user_name"),
         F.col(f"{u}.gender").alias("gender"),
         F.col(f"{u}.description").alias("description"),
@@ -216,7 +215,7 @@ def extract_comments(responses: DataFrame, raw: str = "raw", keep: Sequence[str]
         F.col("c.id").alias("comment_id"),
         F.col("c.created_at").alias("created_at"),
         F.col("c.like_count").alias("like_count"),
-        F.col("c.user.id").try_cast("bigint").alias("user_id"),
+        F.col("c.user.id").alias("user_id"),
         strip_tags("c.text").alias("text"),
         F.struct(*_user_cols("c.user")).alias("user"),
     )

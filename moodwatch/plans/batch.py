@@ -24,7 +24,7 @@ from moodwatch.sources import fixtures as fx
 WORD_CLOUD_MONITOR = "src0"
 TREND_MONITOR = "click"
 LOOKUP_WORD = "the"
-TABLE_GET_KEY = 43
+TABLE_GET_KEY = "43"
 PAGE_SEARCH = "A"
 PAGE_NUMBER = 2
 PAGE_SIZE = 2
@@ -92,7 +92,7 @@ def search_responses(spark, d) -> DataFrame:
     the frontier)."""
     p = fx.table(spark, d, "pages")
     u = fx.users(spark, d)
-    pu = p.join(u, p.page_id == u.user_id, "left")
+    pu = p.join(u, fx.user_key("page_id") == u.user_id, "left")
     user = F.struct(F.col("user_id").alias("id"), F.col("user_name").alias("screen_name"), "gender",
                     "description", "follow_count", "followers_count")
     mblog = F.struct(
@@ -112,7 +112,7 @@ def comment_responses(spark, d) -> DataFrame:
     ``COMMENT_PAGE`` turns."""
     c = fx.table(spark, d, "conversations")
     u = fx.users(spark, d)
-    cu = c.join(u, (c.conv_id + c.turn) == u.user_id, "left")
+    cu = c.join(u, fx.user_key(c.conv_id + c.turn) == u.user_id, "left")
     user = F.struct(F.col("user_id").alias("id"), F.col("user_name").alias("screen_name"), "gender",
                     "description", "follow_count", "followers_count")
     posted = F.timestamp_add("HOUR", F.col("turn"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
@@ -218,7 +218,7 @@ def q_segment_dict(spark, d):
 def han_comments(spark, d) -> DataFrame:
     """Comments with Chinese text: to each text words are added that depend on its id, so that
     every dictionary and stop word occurs, alone, joined to Latin letters and inside a run."""
-    k = F.col("comment_id")
+    k = fx.key_number("comment_id")
     phrases = F.array(*[F.lit(p) for p in HAN_PHRASES])
     extra = F.concat(F.element_at(phrases, (k % len(HAN_PHRASES) + 1).cast("int")), F.lit(" "),
                      F.element_at(phrases, (F.floor(k / 7) % len(HAN_PHRASES) + 1).cast("int")), k.cast("string"))
@@ -470,7 +470,7 @@ def q_table_put(spark, d):
     from moodwatch.sinks import changelog
     path, u = fresh_dir(spark, "table-put"), fx.users(spark, d)
     changelog.write_batch(u, path, 0)
-    changelog.write_batch(u.where("user_id % 2 = 0").withColumn("gender", F.lit(None).cast("string")), path, 1)
+    changelog.write_batch(u.where(fx.key_number("user_id") % 2 == 0).withColumn("gender", F.lit(None).cast("string")), path, 1)
     return changelog.latest_view(spark, path, ["user_id"])
 
 

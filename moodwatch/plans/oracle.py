@@ -34,23 +34,27 @@ def jvm_split(col: str, sep_re: str, sep: str) -> str:
     return f"CASE WHEN {s} = '' AND {col} <> '' THEN []::VARCHAR[] ELSE string_split_regex({s}, '{sep_re}') END"
 
 
-USERS = """users AS (
-  SELECT c_custkey AS user_id, c_name AS user_name,
+def user_key(n: str) -> str:
+    return f"CASE WHEN {n} % 5 = 0 THEN concat('u', {n}) ELSE CAST({n} AS VARCHAR) END"
+
+
+USERS = f"""users AS (
+  SELECT {user_key('c_custkey')} AS user_id, c_custkey AS user_number, c_name AS user_name,
          CASE WHEN c_mktsegment IN ('BUILDING','MACHINERY') THEN 'm'
               WHEN c_mktsegment IN ('FURNITURE','HOUSEHOLD') THEN 'f' END AS gender,
          c_mktsegment AS description, CAST(c_nationkey AS BIGINT) AS follow_count,
          CAST(floor(abs(c_acctbal)) AS BIGINT) AS followers_count
   FROM customer WHERE c_custkey % 7 <> 0)"""
 
-COMMENTS = """comments AS (
-  SELECT d.doc_id AS comment_id, d.source AS monitor_id, e.ts AS created_at,
-         CAST(floor(abs(e.value)) AS BIGINT) AS like_count, e.user_id AS user_id, d.text AS text
+COMMENTS = f"""comments AS (
+  SELECT CASE WHEN d.doc_id % 3 = 0 THEN concat('c', d.doc_id) ELSE CAST(d.doc_id AS VARCHAR) END AS comment_id, d.source AS monitor_id, e.ts AS created_at,
+         CAST(floor(abs(e.value)) AS BIGINT) AS like_count, {user_key('e.user_id')} AS user_id, d.text AS text
   FROM documents d JOIN events e ON d.doc_id = e.event_id)"""
 
 LINES = """lines AS (
-  SELECT comment_id, concat_ws('|', coalesce(CAST(comment_id AS VARCHAR), 'None'), coalesce(monitor_id, 'None'),
+  SELECT comment_id, concat_ws('|', coalesce(comment_id, 'None'), coalesce(monitor_id, 'None'),
          coalesce(strftime(created_at, '%a %b %d %H:%M:%S +0000 %Y'), 'None'),
-         coalesce(CAST(like_count AS VARCHAR), 'None'), coalesce(CAST(user_id AS VARCHAR), 'None'),
+         coalesce(CAST(like_count AS VARCHAR), 'None'), coalesce(user_id, 'None'),
          coalesce(text, 'None')) AS value
   FROM comments)"""
 
@@ -58,9 +62,9 @@ FIELDS = f"""fields AS (
   SELECT value, {jvm_split('value', '[|]', '|')} AS f FROM lines)"""
 
 DECODED = """decoded AS (
-  SELECT TRY_CAST(f[1] AS BIGINT) AS comment_id, f[2] AS monitor_id, f[3] AS created_at,
+  SELECT nullif(f[1], 'None') AS comment_id, f[2] AS monitor_id, f[3] AS created_at,
          make_timestamp(epoch_us(try_strptime(substr(f[3], 5), '%b %d %H:%M:%S %z %Y'))) AS ts,
-         TRY_CAST(f[4] AS BIGINT) AS like_count, TRY_CAST(f[5] AS BIGINT) AS user_id, f[6] AS text
+         TRY_CAST(f[4] AS BIGINT) AS like_count, nullif(f[5], 'None') AS user_id, f[6] AS text
   FROM fields WHERE len(f) = 6),
 valid AS (
   SELECT *, date_trunc('hour', ts) AS hour,
@@ -113,14 +117,14 @@ POSTS = f"""posts AS (
          CAST(length(p.html) AS BIGINT) AS reposts_count, CAST(length(p.url) AS BIGINT) AS comments_count,
          p.page_id AS attitudes_count, u.user_id, u.user_name, u.gender, u.description, u.follow_count,
          u.followers_count
-  FROM pages p LEFT JOIN users u ON p.page_id = u.user_id)"""
+  FROM pages p LEFT JOIN users u ON p.page_id = u.user_number)"""
 
 CONV_COMMENTS = f"""conv_comments AS (
   SELECT c.conv_id AS monitor_id, c.conv_id * 1000 + c.turn AS comment_id,
          strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(c.turn), '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
          c.turn AS like_count, u.user_id, {strip('c.text')} AS text,
          u.user_name, u.gender, u.description, u.follow_count, u.followers_count
-  FROM conversations c LEFT JOIN users u ON c.conv_id + c.turn = u.user_id)"""
+  FROM conversations c LEFT JOIN users u ON c.conv_id + c.turn = u.user_number)"""
 
 LABELLED = """labelled AS (
   SELECT d.doc_id, d.text, CAST(l.toxic AS DOUBLE) AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -236,15 +240,17 @@ def _queries() -> dict[str, str]:
     q["record_filter"] = _with(*base, FIELDS) + "SELECT value FROM fields WHERE len(f) = 6"
     q["record_decode"] = _with(*dec) + ("SELECT comment_id, monitor_id, created_at, like_count, user_id, text "
                                         "FROM valid")
-    q["record_rejects"] = _with(*dec) + """SELECT value, CASE WHEN len(f) <> 6 THEN 'arity' ELSE 'created_at' END AS reason
+    rejected = """SELECT value, CASE WHEN len(f) <> 6 THEN 'arity' ELSE 'created_at' END AS reason
 FROM fields
 WHERE len(f) <> 6 OR try_strptime(substr(f[3], 5), '%b %d %H:%M:%S %z %Y') IS NULL"""
+    q["record_rejects"] = _with(*dec) + rejected
     q["created_at_parse"] = _with(*dec) + "SELECT comment_id, ts FROM valid"
     q["hour_bucket"] = _with(*dec) + "SELECT comment_id, hour FROM valid"
     q["hour_bucket_12h"] = _with(*dec) + "SELECT comment_id, hour12 AS hour FROM valid"
     q["segment"] = _with(*seg) + ("SELECT comment_id, monitor_id, array_to_string(tokens, ' ') AS comment_text, "
                                   "CAST(len(tokens) AS INTEGER) AS n_tokens FROM segmented")
-    han_text = f"concat(text, {HAN_SQL}[comment_id % 5 + 1], ' ', {HAN_SQL}[CAST(floor(comment_id / 7) AS BIGINT) % 5 + 1], comment_id)"
+    number = "CAST(ltrim(comment_id, 'c') AS BIGINT)"
+    han_text = f"concat(text, {HAN_SQL}[{number} % 5 + 1], ' ', {HAN_SQL}[CAST(floor({number} / 7) AS BIGINT) % 5 + 1], {number})"
     han = dec + [f"""han AS (SELECT * REPLACE ({han_text} AS text) FROM valid),
 segmented AS (SELECT comment_id, monitor_id, {tokens('text')} AS tokens FROM han)"""]
     q["segment_han"] = _with(*han) + ("SELECT comment_id, monitor_id, array_to_string(tokens, ' ') AS comment_text, "
@@ -348,7 +354,7 @@ ORDER BY monitor_id LIMIT {B.PAGE_SIZE} OFFSET {(B.PAGE_NUMBER - 1) * B.PAGE_SIZ
                JOIN region r ON n.n_regionkey = r.r_regionkey) + row_number() OVER (ORDER BY s.s_name) AS BIGINT)
          AS monitor_id, s.s_name AS name, n.n_name AS words, DATE {_q(B.APPEND_DATE)} AS created
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey"""
-    q["table_get"] = _with(USERS) + f"SELECT * FROM users WHERE user_id = {B.TABLE_GET_KEY}"
+    q["table_get"] = _with(USERS) + f"SELECT * EXCLUDE (user_number) FROM users WHERE user_id = {_q(B.TABLE_GET_KEY)}"
     q["html_strip"] = f"SELECT page_id, {strip('html')} AS text FROM pages"
     q["json_posts"] = _with(USERS, POSTS) + """SELECT monitor_id, CAST(post_id AS VARCHAR) AS post_id, CAST(mid AS VARCHAR) AS mid, created_at, text, source, reposts_count,
        comments_count, attitudes_count, user_id FROM posts"""
@@ -399,7 +405,7 @@ UNION ALL
 SELECT 'com', concat_ws('|', CAST(comment_id AS VARCHAR), CAST(owner_id AS VARCHAR), coalesce(created_at, {none}),
        coalesce(CAST(like_count AS VARCHAR), {none}), coalesce(CAST(user_id AS VARCHAR), {none}), coalesce(text, {none})) FROM tcom"""
     q["monitor_table"] = q["monitor_list"] + "\nUNION ALL\n(" + q["monitor_append"] + ")"
-    q["table_put"] = _with(USERS) + """SELECT user_id, user_name, CASE WHEN user_id % 2 = 0 THEN NULL ELSE gender END AS gender,
+    q["table_put"] = _with(USERS) + """SELECT user_id, user_name, CASE WHEN user_number % 2 = 0 THEN NULL ELSE gender END AS gender,
        description, follow_count, followers_count FROM users"""
     q["comment_dedup"] = _with(*dec) + "SELECT comment_id, monitor_id, like_count + 1 AS like_count, user_id, text FROM valid"
     q["tfidf"] = _with(LABELLED, _model_terms("labelled", "lab"), IDF) + """SELECT t.doc_id, t.term, t.tf, round(t.tf * i.idf, 6) AS tfidf
@@ -450,8 +456,16 @@ FROM banded GROUP BY monitor_id, hour"""
     q["stream_gender_counts_delta"] = q["gender_counts"]
     q["stream_word_counts_delta"] = q["word_counts"]
     q["stream_word_cloud_compacted"] = _with(*seg) + "SELECT monitor_id, word, n * 2 AS n FROM word_counts"
-    q["stream_gender_arrival"] = _with(*gj) + """SELECT v.monitor_id, CASE WHEN v.comment_id % 2 = 1 THEN u.gender END AS gender, count(*) AS n
+    q["stream_gender_arrival"] = _with(*gj) + """SELECT v.monitor_id, CASE WHEN CAST(ltrim(v.comment_id, 'c') AS BIGINT) % 2 = 1 THEN u.gender END AS gender, count(*) AS n
 FROM valid v LEFT JOIN users u ON v.user_id = u.user_id GROUP BY ALL"""
+    mangled = LINES.replace("lines AS (", "whole AS (") + """,
+lines AS (
+  SELECT comment_id, CASE CAST(ltrim(comment_id, 'c') AS BIGINT) % 7
+           WHEN 1 THEN array_to_string(string_split(value, '|')[1:5], '|') WHEN 2 THEN replace(value, '+0000', 'noon')
+           WHEN 3 THEN '' ELSE value END AS value FROM whole)"""
+    q["stream_rejects"] = _with(COMMENTS, mangled, FIELDS, DECODED, SEGMENTED) + f"""SELECT monitor_id, word, NULL::VARCHAR AS reason, n FROM word_counts
+UNION ALL
+SELECT NULL, value, reason, count(*) FROM ({rejected}) GROUP BY ALL"""
     q["stream_word_lookup"] = q["word_lookup"]
     q["stream_trend_series"] = q["trend_series"]
     q["stream_late_rows"] = q["trend_wide"]

@@ -194,7 +194,7 @@ def q_stream_gender_arrival(spark, d):
         if step == 1:
             topics.write_topic(records.encode_users(fx.users(spark, d)), users, files=_parts(spark))
         else:
-            topics.write_topic(lines.where(F.col("comment_id") % 2 == step // 2), com, files=_parts(spark))
+            topics.write_topic(lines.where(fx.key_number("comment_id") % 2 == step // 2), com, files=_parts(spark))
         arrival.gender_app(_read(spark, com), _read(spark, users), sink, ckpt, hot=hot, available_now=True,
                            state_partitions=2 * _parts(spark)).awaitTermination()
     return changelog.totals_view(spark, sink, ["monitor_id", "gender"], ["n"])
@@ -231,6 +231,29 @@ def q_stream_late_rows(spark, d):
     return changelog.latest_view(spark, sink, ["monitor_id", "hour"])
 
 
+def mangled_lines(spark, d) -> DataFrame:
+    """Comment lines of which some can't be decoded: by the comment's number, one in seven has
+    no last field, one in seven no time, one in seven is empty."""
+    lines = batch.comment_lines(spark, d)
+    k = fx.key_number("comment_id") % 7
+    return lines.select(F.when(k == 1, F.substring_index("value", "|", 5))
+                        .when(k == 2, F.replace("value", F.lit("+0000"), F.lit("noon")))
+                        .when(k == 3, F.lit("")).otherwise(F.col("value")).alias("value"))
+
+
+def q_stream_rejects(spark, d):
+    """R7+R8 in a running app: one decode a batch, valid comments counted by word, the others in
+    the reject sink under the same batch ids.  Rows of both sinks."""
+    from moodwatch.streaming import apps
+    topic, sink, rejects, ckpt = (fresh_dir(spark, n) for n in ("topic-mangled", "sink-mangled", "sink-rejects", "ckpt-mangled"))
+    topics.write_topic(mangled_lines(spark, d), topic, files=_topic_files(spark))
+    apps.word_cloud_app(_read(spark, topic), sink, ckpt, available_now=True, rejects=rejects).awaitTermination()
+    counted = changelog.totals_view(spark, sink, ["monitor_id", "word"], ["n"])
+    bad = apps.read_rejects(spark, rejects).groupBy("value", "reason").agg(F.count("*").alias("n"))
+    return (counted.select("monitor_id", "word", F.lit(None).cast("string").alias("reason"), "n")
+            .unionByName(bad.select(F.lit(None).cast("string").alias("monitor_id"), F.col("value").alias("word"), "reason", "n")))
+
+
 def q_stream_comment_dedup(spark, d):
     """Every comment arrives twice; dropDuplicates keeps one per id."""
     lines = _read(spark, _comment_topic(spark, d, copies=2))

@@ -7,7 +7,7 @@ used by the DuckDB oracle live in :mod:`moodwatch.plans.oracle`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwatch.functions.constants import KEYWORD_SEPARATOR
@@ -17,6 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def user_key(number) -> Column:
+    """The user id of a number: every fifth is not numeric."""
+    n = F.col(number) if isinstance(number, str) else number
+    return F.when(n % 5 == 0, F.concat(F.lit("u"), n.cast("string"))).otherwise(n.cast("string"))
+
+
+def comment_key(number) -> Column:
+    """The comment id of a number: every third is not numeric."""
+    n = F.col(number) if isinstance(number, str) else number
+    return F.when(n % 3 == 0, F.concat(F.lit("c"), n.cast("string"))).otherwise(n.cast("string"))
+
+
+def key_number(column: str) -> Column:
+    """The number in an id of :func:`user_key` or :func:`comment_key`."""
+    return F.regexp_replace(column, "^[a-z]", "").cast("bigint")
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User profiles: one per customer but every seventh (those users have no profile);
     one market segment has no gender."""
@@ -24,7 +41,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     gender = (F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.lit("m"))
               .when(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD"), F.lit("f")))
     return c.select(
-        F.col("c_custkey").alias("user_id"),
+        user_key("c_custkey").alias("user_id"),
         F.col("c_name").alias("user_name"),
         gender.alias("gender"),
         F.col("c_mktsegment").alias("description"),
@@ -38,11 +55,11 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     e = table(spark, sf_dir, "events")
     return d.join(e, d.doc_id == e.event_id).select(
-        d.doc_id.alias("comment_id"),
+        comment_key(d.doc_id).alias("comment_id"),
         d.source.alias("monitor_id"),
         e.ts.alias("created_at"),
         F.floor(F.abs(e.value)).cast("bigint").alias("like_count"),
-        e.user_id.alias("user_id"),
+        user_key(e.user_id).alias("user_id"),
         d.text.alias("text"),
     )
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moodwatch.functions.constants import COMMENT_FIELDS, TREND_POINTS
-from moodwatch.operators import metrics, model, records, serve
+from moodwatch.operators import metrics, model, records, serve, text
 from moodwatch.session import materialize
 from moodwatch.sinks import changelog
 from moodwatch.sources import topics
@@ -61,56 +61,60 @@ def write_topics(lines: dict[str, DataFrame], base: str, segment: int = 0) -> No
 
 
 # --- stream apps ---------------------------------------------------------------------------
-def _start(rows_or_agg: DataFrame, keys, sums, sink: str, checkpoint: str, stateful: bool,
-           trigger: str, available_now: bool, state_partitions: int | None) -> StreamingQuery:
-    if stateful:
-        return jobs.upsert(rows_or_agg, sink, checkpoint, trigger=trigger, available_now=available_now,
-                           state_partitions=state_partitions)
-    return jobs.delta_upsert(rows_or_agg, keys, sums, sink, checkpoint, available_now=available_now,
-                             trigger=trigger)
+def _delta(lines: DataFrame, keys, sums, sink: str, checkpoint: str, prepare, rejects: str | None, trigger: str,
+           available_now: bool, **kw) -> StreamingQuery:
+    """Comments decoded once; what ``prepare`` makes of the valid ones is summed, the others
+    go to the reject sink (or are dropped, where there is none)."""
+    rows = jobs.comments(lines, keep_invalid=rejects is not None, **kw)
+    return jobs.delta_upsert(rows, keys, sums, sink, checkpoint, available_now=available_now, trigger=trigger,
+                             prepare=prepare, rejects=rejects)
+
+
+def _stateful(totals: DataFrame, sink: str, checkpoint: str, rejects: str | None, trigger: str, available_now: bool,
+              state_partitions: int | None) -> StreamingQuery:
+    if rejects is not None:
+        raise ValueError("running totals in the state store have no reject sink; use the default form")
+    return jobs.upsert(totals, sink, checkpoint, trigger=trigger, available_now=available_now, state_partitions=state_partitions)
 
 
 def sentiment_app(lines: DataFrame, fitted: PipelineModel, sink: str, checkpoint: str, stateful: bool = False,
                   trigger: str = jobs.DEFAULT_TRIGGER, available_now: bool = False,
-                  state_partitions: int | None = None, **kw) -> StreamingQuery:
+                  state_partitions: int | None = None, rejects: str | None = None, **kw) -> StreamingQuery:
     """L1: ``com`` lines -> hourly positive/negative/neutral per monitor."""
     if stateful:
-        return _start(jobs.trend(lines, fitted, **kw), None, None, sink, checkpoint, True, trigger,
-                      available_now, state_partitions)
-    scored = model.neutral_band(model.score(fitted, jobs.comments(lines, **kw)))
+        return _stateful(jobs.trend(lines, fitted, **kw), sink, checkpoint, rejects, trigger, available_now, state_partitions)
     keys, sums = jobs.trend_sums()
-    return _start(scored, keys, sums, sink, checkpoint, False, trigger, available_now, None)
+    return _delta(lines, keys, sums, sink, checkpoint, lambda c: model.neutral_band(model.score(fitted, c)), rejects,
+                  trigger, available_now, **kw)
 
 
 def word_cloud_app(lines: DataFrame, sink: str, checkpoint: str, stateful: bool = False,
                    trigger: str = jobs.DEFAULT_TRIGGER, available_now: bool = False,
-                   state_partitions: int | None = None, **kw) -> StreamingQuery:
+                   state_partitions: int | None = None, rejects: str | None = None, **kw) -> StreamingQuery:
     """L2: ``com`` lines -> word counts per monitor."""
     if stateful:
-        return _start(jobs.word_cloud(lines, **kw), None, None, sink, checkpoint, True, trigger,
-                      available_now, state_partitions)
-    return _start(jobs.word_rows(lines, **kw), ["monitor_id", "word"], None, sink, checkpoint, False,
-                  trigger, available_now, None)
+        return _stateful(jobs.word_cloud(lines, **kw), sink, checkpoint, rejects, trigger, available_now, state_partitions)
+    return _delta(lines, ["monitor_id", "word"], None, sink, checkpoint,
+                  lambda c: text.explode_tokens(text.segment(c), ["monitor_id"]), rejects, trigger, available_now, **kw)
 
 
 def gender_app(lines: DataFrame, profiles: DataFrame, sink: str, checkpoint: str, hot: DataFrame | None = None,
                stateful: bool = False, trigger: str = jobs.DEFAULT_TRIGGER, available_now: bool = False,
-               state_partitions: int | None = None, **kw) -> StreamingQuery:
+               state_partitions: int | None = None, rejects: str | None = None, **kw) -> StreamingQuery:
     """L3 against a fixed profile table: ``com`` lines -> comments per gender.  Genders as of
     arrival, with profiles that come while the stream runs, are :func:`arrival.gender_app`."""
     if stateful:
-        return _start(jobs.gender(lines, profiles, hot, **kw), None, None, sink, checkpoint, True, trigger,
-                      available_now, state_partitions)
-    joined = metrics.gender_join(jobs.comments(lines, **kw), profiles, hot)
-    return _start(joined, ["monitor_id", "gender"], None, sink, checkpoint, False, trigger, available_now, None)
+        return _stateful(jobs.gender(lines, profiles, hot, **kw), sink, checkpoint, rejects, trigger, available_now, state_partitions)
+    return _delta(lines, ["monitor_id", "gender"], None, sink, checkpoint, lambda c: metrics.gender_join(c, profiles, hot),
+                  rejects, trigger, available_now, **kw)
 
 
 def profile_app(user_lines: DataFrame, sink: str, checkpoint: str, trigger: str = jobs.DEFAULT_TRIGGER,
-                available_now: bool = False) -> StreamingQuery:
+                available_now: bool = False, rejects: str | None = None) -> StreamingQuery:
     """K2: ``user`` lines -> profile change log (newest message per user wins)."""
-    rows = records.decode_users(user_lines)
+    rows = records.decode_users(user_lines, keep_invalid=rejects is not None)
     return jobs.upsert(rows, sink, checkpoint, trigger=trigger, available_now=available_now,
-                       output_mode="append")
+                       output_mode="append", rejects=rejects)
 
 
 # --- read side -----------------------------------------------------------------------------
@@ -122,6 +126,11 @@ def read_profiles(spark: SparkSession, sink: str, snapshot: str | None = None) -
     return changelog.latest_view(spark, sink, ["user_id"], topics.ORDER, snapshot)
 
 
+def read_rejects(spark: SparkSession, sink: str) -> DataFrame:
+    """The lines that a running app couldn't decode: (batch_id, value, reason)."""
+    return changelog.read_log(spark, sink, schema="value string, reason string").select(changelog.BATCH, "value", "reason")
+
+
 # keys and values of each running-total sink
 SINKS = {
     "trend": (["monitor_id", "hour"], ["positive", "negative", "neutral"]),

@@ -78,19 +78,25 @@ def _salted(comments: DataFrame, profiles: DataFrame, hot: Sequence[str]) -> tup
     return comments.withColumn("salt", one), profiles.withColumn("salt", F.explode(every))
 
 
-def gender_at_arrival(comment_lines: DataFrame, user_lines: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
-    """Streams of ``com`` and ``user`` messages -> (monitor_id, gender, n), additive over batches."""
+def gender_at_arrival(comment_lines: DataFrame, user_lines: DataFrame, hot: Sequence[str] = (),
+                      rejects: bool = False) -> DataFrame:
+    """Streams of ``com`` and ``user`` messages -> (monitor_id, gender, n), additive over batches.
+    With ``rejects`` the lines of both that can't be decoded come as well, with a ``_reason``."""
     order = list(topics.ORDER)
-    comments = records.decode_comments(comment_lines).select(F.col("user_id").cast("string").alias("user_id"), "monitor_id", *order)
-    profiles = (records.decode_users(user_lines).where("user_id is not null")
-                .select(F.col("user_id").cast("string").alias("user_id"), "gender", *order))
+    comments = records.decode_comments(comment_lines).select("user_id", "monitor_id", *order)
+    profiles = records.decode_users(user_lines).where("user_id is not null").select("user_id", "gender", *order)
     known, profiles = _salted(comments.where("user_id is not null"), profiles, hot)
     messages = (known.withColumn("gender", F.lit(None).cast("string")).withColumn("is_comment", F.lit(True))
                 .unionByName(profiles.withColumn("monitor_id", F.lit(None).cast("string")).withColumn("is_comment", F.lit(False))))
     resolved = messages.groupBy(*KEYS).transformWithStateInPandas(
         statefulProcessor=GenderState(), outputStructType=COUNTS, outputMode="Append", timeMode="None")
     nobody = comments.where("user_id is null").select("monitor_id", F.lit(None).cast("string").alias("gender"), F.lit(1).cast("bigint").alias("n"))
-    return resolved.unionByName(nobody)
+    counts = resolved.unionByName(nobody)
+    if not rejects:
+        return counts
+    bad = (records.comment_rejects(comment_lines.select("value")).unionByName(records.user_rejects(user_lines.select("value")))
+           .withColumnRenamed("reason", "_reason"))
+    return counts.unionByName(bad, allowMissingColumns=True)
 
 
 def _fixed_hot(spark: SparkSession, sink: str, hot: Sequence[str] | None) -> list[str]:
@@ -112,14 +118,14 @@ def _fixed_hot(spark: SparkSession, sink: str, hot: Sequence[str] | None) -> lis
 
 def gender_app(comment_lines: DataFrame, user_lines: DataFrame, sink: str, checkpoint: str, hot: Sequence[str] | None = None,
                trigger: str = jobs.DEFAULT_TRIGGER, available_now: bool = False,
-               state_partitions: int | None = None) -> StreamingQuery:
+               state_partitions: int | None = None, rejects: str | None = None) -> StreamingQuery:
     """L3 with genders as of arrival, from one query over both topics.  ``hot``: ids of users
     with very many comments (only the first start may set them)."""
     spark = comment_lines.sparkSession
-    counts = gender_at_arrival(comment_lines, user_lines, _fixed_hot(spark, sink, hot))
+    counts = gender_at_arrival(comment_lines, user_lines, _fixed_hot(spark, sink, hot), rejects is not None)
     conf = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if state_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)
     with jobs.settings(spark, conf):
         return jobs.delta_upsert(counts, ["monitor_id", "gender"], {"n": F.col("n")}, sink, checkpoint,
-                                 available_now=available_now, trigger=trigger)
+                                 available_now=available_now, trigger=trigger, rejects=rejects)

@@ -32,11 +32,14 @@ DEFAULT_TRIGGER = "5 seconds"
 
 # --- stream definitions (pure DataFrame -> DataFrame) -----------------------------
 def comments(lines: DataFrame, clock12: bool = False, dedup: bool = False,
-             dedup_within: str | None = None) -> DataFrame:
+             dedup_within: str | None = None, keep_invalid: bool = False) -> DataFrame:
     """R7+R8 on a topic.  ``dedup`` drops repeated comment ids (W9): with
     ``dedup_within`` (a delay such as ``'1 day'``) state is bounded by an event
-    time watermark, otherwise it is kept for every id ever seen."""
-    c = records.decode_comments(lines.select("value"), clock12=clock12)
+    time watermark, otherwise it is kept for every id ever seen.  ``keep_invalid`` keeps
+    lines that can't be decoded, with a ``_reason``, for a reject sink."""
+    c = records.decode_comments(lines.select("value"), clock12=clock12, keep_invalid=keep_invalid)
+    if keep_invalid and (dedup or dedup_within):
+        raise ValueError("a reject has no comment id: rejects can't be kept where repeats are dropped")
     if dedup_within:
         return (c.withColumn("event_time", F.col("ts").cast("timestamp"))
                 .withWatermark("event_time", dedup_within)
@@ -97,6 +100,12 @@ def claim(spark, sink: str, checkpoint: str) -> None:
         raise ValueError(f"{sink} is written with the checkpoint {owner}, not {checkpoint}")
 
 
+def _claim_all(spark, checkpoint: str, *sinks: str | None) -> None:
+    for sink in sinks:
+        if sink is not None:
+            claim(spark, sink, checkpoint)
+
+
 @contextmanager
 def settings(spark, conf: dict[str, str]):
     """Session settings that hold while a query starts (it keeps them)."""
@@ -110,11 +119,29 @@ def settings(spark, conf: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@contextmanager
+def accepted(batch: DataFrame, batch_id: int, rejects: str | None):
+    """The valid rows of a micro-batch.  With a reject sink the batch is decoded once: it is
+    kept while rows with a ``_reason`` go there, as (value, reason) under the same batch id,
+    and the others to wherever the caller writes them."""
+    if rejects is None:
+        yield batch
+        return
+    batch.persist()
+    try:
+        bad = batch.where("_reason is not null").select("value", F.col("_reason").alias("reason"))
+        changelog.write_batch(bad, rejects, batch_id)
+        yield batch.where("_reason is null").drop("_reason", "value")
+    finally:
+        batch.unpersist()
+
+
 def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
            available_now: bool = False, output_mode: str = "update", name: str | None = None,
-           state_partitions: int | None = None) -> StreamingQuery:
+           state_partitions: int | None = None, rejects: str | None = None) -> StreamingQuery:
     """K3/K4/K5 (running totals) and K2/K7 (rows, ``output_mode='append'``):
-    every micro-batch is written to ``sink`` as ``batch_id=<id>``.
+    every micro-batch is written to ``sink`` as ``batch_id=<id>``; ``rejects`` as in
+    :func:`delta_upsert`.
 
     ``state_partitions`` sets the shuffle/state partition count of this query
     (recorded in its checkpoint at the first start and fixed afterwards; size
@@ -122,9 +149,10 @@ def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFA
     changed while the query starts.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        changelog.write_batch(batch, sink, batch_id)
+        with accepted(batch, batch_id, rejects) as rows:
+            changelog.write_batch(rows, sink, batch_id)
 
-    claim(df.sparkSession, sink, checkpoint)
+    _claim_all(df.sparkSession, checkpoint, sink, rejects)
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         w = w.queryName(name)
@@ -136,9 +164,11 @@ def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFA
 def delta_upsert(rows: DataFrame, keys: Sequence[str], sums: dict[str, object] | None, sink: str,
                  checkpoint: str, available_now: bool = False, trigger: str | None = DEFAULT_TRIGGER,
                  name: str | None = None,
-                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+                 prepare: Callable[[DataFrame], DataFrame] | None = None, rejects: str | None = None) -> StreamingQuery:
     """Additive running totals without a state store.  ``prepare`` turns a batch's rows into
-    the rows to sum, e.g. by a join with a table as it is when the batch arrives.
+    the rows to sum, e.g. by a join with a table as it is when the batch arrives.  ``rejects``:
+    a second sink for the rows with a ``_reason`` (see :func:`comments`); a replayed batch
+    replaces its rows in both.
 
     Each micro-batch of raw ``rows`` is aggregated inside ``foreachBatch`` (an
     ordinary batch plan: partial aggregation, AQE) and written as that batch's
@@ -152,10 +182,11 @@ def delta_upsert(rows: DataFrame, keys: Sequence[str], sums: dict[str, object] |
              {k: F.sum(v) for k, v in sums.items()})
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        delta = (batch if prepare is None else prepare(batch)).groupBy(*keys).agg(*[e.cast("bigint").alias(k) for k, e in exprs.items()])
-        changelog.write_batch(delta, sink, batch_id)
+        with accepted(batch, batch_id, rejects) as valid:
+            delta = (valid if prepare is None else prepare(valid)).groupBy(*keys).agg(*[e.cast("bigint").alias(k) for k, e in exprs.items()])
+            changelog.write_batch(delta, sink, batch_id)
 
-    claim(rows.sparkSession, sink, checkpoint)
+    _claim_all(rows.sparkSession, checkpoint, sink, rejects)
     w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         w = w.queryName(name)

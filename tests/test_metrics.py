@@ -137,7 +137,7 @@ def test_profile_column_reads_two_columns(spark, sf_small):
     col = tables.profile_column(spark.read.parquet(path), "gender")
     col.collect()
     plan = col._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<user_id:bigint,gender:string>" in plan
+    assert "ReadSchema: struct<user_id:string,gender:string>" in plan
 
 
 def test_neutral_band_default_threshold_edges(spark):

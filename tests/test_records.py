@@ -45,7 +45,7 @@ def test_decode_and_rejects(spark):
     df = spark.createDataFrame([(good,), (bad_date,), (bad_arity,)], "value string")
     out = records.decode_comments(df).collect()
     assert [(r.comment_id, r.monitor_id, r.user_id, r.text, r.hour) for r in out] == [
-        (7, "m1", 42, "hello world", dt.datetime(2020, 1, 18, 12))]
+        ("7", "m1", "42", "hello world", dt.datetime(2020, 1, 18, 12))]
     rej = {r.value: r.reason for r in records.comment_rejects(df).collect()}
     assert rej == {bad_date: "created_at", bad_arity: "arity"}
 
@@ -71,7 +71,7 @@ def test_comment_json_guards(spark):
             '{"data": {"data": [{"id": 3, "text": "<b>hi</b>", "like_count": 2, "user": {"id": 9, "gender": "f"}}]}}']
     df = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "monitor_id int, raw string")
     out = records.extract_comments(df).collect()
-    assert [(r.monitor_id, r.comment_id, r.text, r.user_id) for r in out] == [(3, "3", "hi", 9)]
+    assert [(r.monitor_id, r.comment_id, r.text, r.user_id) for r in out] == [(3, "3", "hi", "9")]
 
 
 def test_post_json_and_author_union(spark):
@@ -79,11 +79,11 @@ def test_post_json_and_author_union(spark):
            ' {"other": 1}]}}')
     posts = records.extract_posts(spark.createDataFrame([(0, raw)], "monitor_id int, raw string"))
     rows = posts.collect()
-    assert [(r.post_id, r.text, r.user_id) for r in rows] == [("1", "x", 5)]
+    assert [(r.post_id, r.text, r.user_id) for r in rows] == [("1", "x", "5")]
     com = records.extract_comments(spark.createDataFrame([(0, '{"data": {"data": [{"id": 2, "user": {"id": 6}}]}}')],
                                                          "monitor_id int, raw string"))
     users = sorted(r.user_id for r in records.author_union(posts, com).collect())
-    assert users == [5, 6]
+    assert users == ["5", "6"]
 
 
 def test_ids_as_numbers_or_text(spark):
@@ -91,17 +91,18 @@ def test_ids_as_numbers_or_text(spark):
             '{"data": {"cards": [{"mblog": {"id": "x8", "mid": 8, "text": "b", "user": {"id": 9}}}]}}']
     df = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "monitor_id int, raw string")
     rows = records.extract_posts(df).orderBy("monitor_id").collect()
-    assert [(r.post_id, r.mid, r.user_id) for r in rows] == [("7", "m-7", 9), ("x8", "8", 9)]
+    assert [(r.post_id, r.mid, r.user_id) for r in rows] == [("7", "m-7", "9"), ("x8", "8", "9")]
 
 
 def test_rejects_for_every_reason(spark):
     day = "Sat Jan 18 20:03:51 +0800 2020"
-    lines = [f"1|m|{day}|2|3|ok", f"None|m|{day}|2|None|absent ids", f"x|m|{day}|2|3|bad id", f"1|m|{day}|2|u|bad user", "1|m|never|2|3|bad day", "1|2"]
+    lines = [f"1|m|{day}|2|3|ok", f"None|m|{day}|2|None|absent ids", f"x|m|{day}|2|3|text id", f"1|m|{day}|2|u|text user", "1|m|never|2|3|bad day", "1|2"]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
-    assert {r.text for r in records.decode_comments(df).collect()} == {"ok", "absent ids"}
+    assert {(r.comment_id, r.user_id, r.text) for r in records.decode_comments(df).collect()} == {
+        ("1", "3", "ok"), (None, None, "absent ids"), ("x", "3", "text id"), ("1", "u", "text user")}
     assert {r.value: r.reason for r in records.comment_rejects(df).collect()} == {
-        lines[2]: "comment_id", lines[3]: "user_id", lines[4]: "created_at", lines[5]: "arity"}
+        lines[4]: "created_at", lines[5]: "arity"}
     users = ["5|n|m|d|1|2", "q|n|m|d|1|2", "5|n"]
     df = spark.createDataFrame([(x,) for x in users], "value string")
-    assert [r.user_id for r in records.decode_users(df).collect()] == [5]
-    assert {r.value: r.reason for r in records.user_rejects(df).collect()} == {users[1]: "user_id", users[2]: "arity"}
+    assert [r.user_id for r in records.decode_users(df).collect()] == ["5", "q"]
+    assert {r.value: r.reason for r in records.user_rejects(df).collect()} == {users[2]: "arity"}
