@@ -95,7 +95,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     end = np.array([end_id], "<u4").tobytes()
 
     def make():
-        tokens = encoder(path, spaces=False)
+        tokens = encoder(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

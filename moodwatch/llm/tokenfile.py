@@ -33,19 +33,18 @@ ORC_OPTIONS = {
 
 def encode(docs: DataFrame, path: str, end_id: int = END_ID, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, ids, n_tokens, *keep) of (doc_id, text, *keep); ``end_id`` closes each document."""
-    end = np.array([end_id], "<u4").tobytes()
     kept = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep]
 
     def make():
-        tokens = encoder(path, spaces=True)
+        tokens = encoder(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            coded = [c + end for c in tokens.encode([t or "" for t in batch.column(1).to_pylist()])]
-            sizes = np.array([len(c) // 4 for c in coded], np.int64)
-            starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(starts, np.frombuffer(b"".join(coded), "<u4").astype(np.int32))
+            flat, at = tokens.column(batch.column(1))
+            ids = np.insert(flat.astype(np.int32), at[1:], end_id)
+            at = at + np.arange(len(at))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), ids, pa.array(sizes), *batch.columns[2:]], ["doc_id", "ids", "n_tokens", *keep])
+                [batch.column(0), pa.ListArray.from_arrays(at.astype(np.int32), ids), pa.array(np.diff(at)), *batch.columns[2:]],
+                ["doc_id", "ids", "n_tokens", *keep])
 
         return work
 

@@ -4,20 +4,33 @@ A text is cut after every run of non-space characters.  Both vocabularies cut th
 too (no token of theirs holds a space after a letter or sign), so the ids of a text
 are the ids of its units, one after the other.  Texts with rarer white space, with a
 character whose lower case depends on its neighbours, or with a special token are
-encoded as a whole.
+one unit.
+
+The cuts are found in the bytes of a whole column, equal units are found by Arrow, and only
+different ones are looked up or encoded; the ids are gathered with numpy.
 """
 
 from __future__ import annotations
 
 import re
 
-UNITS = re.compile(r"\s*\S+|\s+$")
+import numpy as np
+import pyarrow as pa
+
 #: white space other than blank, tab, line feed and carriage return; final sigma; special tokens
-WHOLE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    　﻿Σ]|<\\|")
-#: entries a worker keeps (about 200 bytes each); a full cache starts anew
-CACHE_ENTRIES = 1_000_000
+WHOLE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u3000\ufeff\u03a3]|<\\|")
+#: bytes that end a unit
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 13, 32]] = True
+#: entries a worker keeps (about 200 bytes each), in two generations: units not seen since the younger
+#: one began go when it is full.  Longer units aren't kept
+CACHE_ENTRIES, CACHE_BYTES = 1_000_000, 256
+#: a special token of both vocabularies; no unit but a whole text holds it, and a text is cut there before anything else
+SEPARATOR = "<|endoftext|>"
+#: new units encoded as one text, and bytes of a column that are worked on at once (or one text)
+TOGETHER, CHUNK = 1024, 8 << 20
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -26,40 +39,99 @@ def tokenizer_path(name: str) -> str:
 
 
 class Encoder:
-    """Texts to little-endian 32-bit token ids (as bytes)."""
+    """Texts to token ids, unsigned 32-bit numbers."""
 
-    def __init__(self, path: str, spaces: bool):
+    def __init__(self, path: str):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.units = UNITS.findall if spaces else str.split
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known, whole = self.known, WHOLE.search
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
+        self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        """Units as one text with separators between them: one call instead of one a unit."""
         out: list[bytes] = []
-        for at in range(0, len(texts), 64):
-            cut = [None if whole(t) else self.units(t) for t in texts[at:at + 64]]
-            missing = list({u for units in cut if units for u in units if u not in known})
-            if missing:
-                known.update(zip(missing, self._encode(missing), strict=True))
-            for text, units in zip(texts[at:at + 64], cut, strict=True):
-                out.append(self._encode([text])[0] if units is None else b"".join(map(known.__getitem__, units)))
+        for at in range(0, len(units), TOGETHER):
+            ids = self._ids(SEPARATOR.join(units[at:at + TOGETHER]))
+            ends = np.flatnonzero(ids == self.separator).tolist() + [len(ids)]
+            flat, start = ids.tobytes(), 0
+            for end in ends:
+                out.append(flat[4 * start:4 * end])
+                start = end + 1
         return out
 
+    def _look_up(self, units: list[bytes], odd: bool) -> list[bytes]:
+        """The ids of different units, as bytes; ``odd``: some of them are whole texts."""
+        if len(self.known) > CACHE_ENTRIES // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new: list[bytes] = []
+        for u in units:
+            if u not in known:
+                if u in older:
+                    known[u] = older[u]
+                else:
+                    new.append(u)
+        texts = [u.decode() for u in new]
+        plain = [k for k, t in enumerate(texts) if not WHOLE.search(t)] if odd else list(range(len(texts)))
+        known.update((new[k], c) for k, c in zip(plain, self._encode_units([texts[k] for k in plain]), strict=True))
+        known.update((u, self._ids(t).tobytes()) for u, t in zip(new, texts, strict=True) if u not in known)
+        out = list(map(known.__getitem__, units))
+        for u in new:
+            if len(u) > CACHE_BYTES:
+                del known[u]
+        return out
+
+    def _chunk(self, data: np.ndarray, at: np.ndarray, odd: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts that begin and end at ``at`` in ``data``, and where each one's begin."""
+        space = SPACE[data]
+        begins = np.zeros(len(data) + 1, bool)
+        begins[1:-1] = space[1:] & ~space[:-1]
+        for k in odd:
+            begins[at[k]:at[k + 1]] = False
+        begins[at] = True
+        starts = np.flatnonzero(begins[:-1])
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        units = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        coded = self._look_up(units.dictionary.to_pylist(), bool(odd))
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        flat, first = np.frombuffer(b"".join(coded), "<u4"), np.cumsum(sizes) - sizes
+        codes = units.indices.to_numpy()
+        n = sizes[codes]
+        total = np.concatenate(([0], np.cumsum(n)))
+        ids = flat[np.repeat(first[codes] - total[:-1], n) + np.arange(total[-1])]
+        return ids, total[np.searchsorted(starts, at)]
+
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a column of texts, one after the other, and where each text's begin (and the
+        last one's end).  A null is empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = [k for k, t in enumerate(texts.to_pylist()) if WHOLE.search(t)]
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        out, starts, base, k = [], [np.zeros(1, np.int64)], 0, 0
+        while k < len(texts):
+            to = max(k + 1, int(np.searchsorted(at, at[k] + CHUNK, "right")) - 1)
+            ids, own = self._chunk(np.ascontiguousarray(data[at[k]:at[to]]), at[k:to + 1] - at[k], [o - k for o in odd if k <= o < to])
+            out.append(ids)
+            starts.append(own[1:] + base)
+            base, k = base + len(ids), to
+        return np.concatenate(out) if out else np.empty(0, "<u4"), np.concatenate(starts)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian bytes."""
+        ids, at = self.column(pa.array(texts, pa.large_string()))
+        flat, at = ids.tobytes(), (4 * at).tolist()
+        return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
 
-def encoder(path: str, spaces: bool) -> Encoder:
-    """The worker's encoder for a vocabulary file.  ``spaces``: blanks are part of tokens
-    (byte-level), else they only separate words."""
-    key = (path, spaces)
-    if key not in _encoders:
-        _encoders[key] = Encoder(path, spaces)
-    return _encoders[key]
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for a vocabulary file."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]

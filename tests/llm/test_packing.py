@@ -64,7 +64,7 @@ def check(rows, out, capacity):
 
 
 def test_pack_documents(frame, prose):
-    tokens = Encoder(tokenizer_path(packing.TOKENIZER), spaces=False)
+    tokens = Encoder(tokenizer_path(packing.TOKENIZER))
     rows = [(k, prose(5 + 13 * k % 90, k)) for k in range(120)] + [(200, None), (201, ""), (None, "a b"), (202, prose(3000, 1)),
                                                                  (1, prose(18, 1)), (203, "tab\tx y  Σίσυφος <|endoftext|> z")]
     out = packing.pack_documents(frame([(*r, 1) for r in rows], SCHEMA + ", length int"), capacity=256).collect()

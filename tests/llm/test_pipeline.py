@@ -45,7 +45,7 @@ def test_stages_against_plain_python(spark, prose):
     assert set(seen["benchmark_decontamination"]) == set(range(60)) - {7, 8}
 
     packed = corpus_pipeline.run(spark, folder).collect()
-    tokens = Encoder(tokenizer_path(packing.TOKENIZER), spaces=False).tokenizer
+    tokens = Encoder(tokenizer_path(packing.TOKENIZER)).tokenizer
     lengths = {d: len(tokens.encode(r.text, add_special_tokens=False).ids) + 1 for d, r in seen["benchmark_decontamination"].items()}
     assert {r.doc_id: r.length for r in packed} == lengths
     assert len({r.sequence_id for r in packed}) == -(-sum(lengths.values()) // packing.CAPACITY)

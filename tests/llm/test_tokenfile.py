@@ -1,6 +1,8 @@
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from moodwatch.llm import tokenfile, tokens
 from moodwatch.session import fresh_dir
@@ -8,8 +10,8 @@ from moodwatch.session import fresh_dir
 SCHEMA = "doc_id long, text string"
 
 
-def plain(text, name=tokenfile.TOKENIZER, spaces=True):
-    t = tokens.Encoder(tokens.tokenizer_path(name), spaces=spaces).tokenizer
+def plain(text, name=tokenfile.TOKENIZER):
+    t = tokens.Encoder(tokens.tokenizer_path(name)).tokenizer
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -18,10 +20,24 @@ ODD = ["", " ", "a  b   c", "tab\t\ttab \n\n x", "x \n\ny", "y\x1c!z", " lead",
 
 
 def test_units_are_the_whole_texts_ids():
-    for name, spaces in ((tokenfile.TOKENIZER, True), ("word_bpe_49k.json", False)):
-        encoder = tokens.Encoder(tokens.tokenizer_path(name), spaces=spaces)
-        for text, got in zip(ODD, encoder.encode(ODD), strict=True):
-            assert np.frombuffer(got, "<u4").tolist() == plain(text, name, spaces), text
+    rng = random.Random(4)
+    alphabet = "ab C\t\n.,'’é日🙂ß İ1²<>|�ﬁ́‍\xa0\x1cΣ\r"
+    texts = ODD + ["".join(rng.choices(alphabet, k=rng.randint(0, 25))) for _ in range(500)] + [None, "x" * 5000, "a b " * 3000]
+    for name in (tokenfile.TOKENIZER, "word_bpe_49k.json"):
+        encoder = tokens.Encoder(tokens.tokenizer_path(name))
+        want = [plain(text, name) for text in texts]
+        for _ in range(2):  # the second time from the cache
+            assert [np.frombuffer(got, "<u4").tolist() for got in encoder.encode(texts)] == want
+
+
+def test_columns_in_chunks(monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK", 50)
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 5)
+    encoder = tokens.Encoder(tokens.tokenizer_path(tokenfile.TOKENIZER))
+    texts = pa.array(["skipped", *ODD, None, "word " * 100, "", "last"]).slice(1)
+    ids, at = encoder.column(texts)
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [plain(t) for t in texts.to_pylist()]
+    assert encoder.column(pa.array([], pa.string()))[1].tolist() == [0]
 
 
 def test_round_trip(spark, frame, prose):
