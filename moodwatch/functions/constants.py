@@ -49,7 +49,12 @@ TREND_POINTS = 50
 # Placeholders of the search URL template: $1 = encoded keyword, $2 = page.
 URL_KEYWORD_SLOT = "$1"
 URL_PAGE_SLOT = "$2"
+# Placeholders of the comment URL template: $1 = post id, $2 = post mid.
+COMMENT_POST_SLOT = "$1"
+COMMENT_MID_SLOT = "$2"
 # -----------------------------------------------------------------------------
 
 # Neutral search endpoint used when the caller does not supply a template.
 DEFAULT_SEARCH_TEMPLATE = "https://search.example.org/api/search?q=$1&page=$2"
+# Neutral comment endpoint, likewise.
+DEFAULT_COMMENT_TEMPLATE = "https://search.example.org/api/comments?id=$1&mid=$2"

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodwatch.functions.constants import COMMENT_FIELDS, FIELD_SEPARATOR, NULL_TEXT, POST_FIELDS, USER_FIELDS
+from moodwatch.functions.constants import (COMMENT_FIELDS, COMMENT_MID_SLOT, COMMENT_POST_SLOT, DEFAULT_COMMENT_TEMPLATE,
+                                           FIELD_SEPARATOR, NULL_TEXT, POST_FIELDS, USER_FIELDS)
 from moodwatch.functions.lines import encode_fields, has_arity
 from moodwatch.functions.text import strip_tags
 from moodwatch.functions.timefmt import format_created_at, hour_bucket, parse_created_at
@@ -205,6 +206,13 @@ def extract_posts(responses: DataFrame, raw: str = "raw", keep: Sequence[str] =
     ).withColumn("user_id", F.col("user.user_id"))
 
 
+def comment_frontier(posts: DataFrame, template: str = DEFAULT_COMMENT_TEMPLATE) -> DataFrame:
+    """The requests for the comments of posts: one row a (post_id, mid) with its URL.  The ids fill
+    ``$1`` and ``$2`` as they are; a post without one of them has no request."""
+    url = F.replace(F.replace(F.lit(template), F.lit(COMMENT_POST_SLOT), F.col("post_id")), F.lit(COMMENT_MID_SLOT), F.col("mid"))
+    return posts.where("post_id is not null and mid is not null").select("post_id", "mid", url.alias("url")).distinct()
+
+
 def extract_comments(responses: DataFrame, raw: str = "raw", keep: Sequence[str] = ("monitor_id",)) -> DataFrame:
     """R2: comment responses -> one row per comment.  A response without ``data``
     or without the inner ``data`` list yields no rows and no error."""

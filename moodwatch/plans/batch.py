@@ -426,21 +426,31 @@ def q_author_union(spark, d):
                                 records.extract_comments(comment_responses(spark, d)))
 
 
-def q_ingest_lines(spark, d):
-    """R5+J2: the whole ingest.  Response r answers the search for nation r % 25's name, page
-    r % 10; its posts belong to the monitor that owns this URL, and conversation c holds the
-    comments of post c.  All three topics' lines."""
+def q_comment_frontier(spark, d):
+    """The comment requests of all posts: (post id, mid) -> URL."""
+    return records.comment_frontier(records.extract_posts(search_responses(spark, d)))
+
+
+def crawled(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Search and comment responses of a crawl: response r answers the search for nation r % 25's
+    name, page r % 10 (url, r, raw), and conversation c holds the comments of post c (post_id, raw)."""
     from moodwatch.functions.constants import DEFAULT_SEARCH_TEMPLATE, URL_KEYWORD_SLOT, URL_PAGE_SLOT
     from moodwatch.functions.text import url_encode_path
-    from moodwatch.streaming import apps
     nation = fx.table(spark, d, "nation")
     r = F.col("r")
     url = F.replace(F.replace(F.lit(DEFAULT_SEARCH_TEMPLATE), F.lit(URL_KEYWORD_SLOT), url_encode_path("n_name")),
                     F.lit(URL_PAGE_SLOT), (r % 10).cast("string"))
     search = (search_responses(spark, d).withColumnRenamed("monitor_id", "r")
-              .join(nation, r % 25 == F.col("n_nationkey")).select(url.alias("url"), "raw"))
-    comments = comment_responses(spark, d).withColumnRenamed("monitor_id", "post_id")
-    lines = apps.ingest(search, comments, q_url_owner(spark, d))
+              .join(nation, r % 25 == F.col("n_nationkey")).select(url.alias("url"), "r", "raw"))
+    return search, comment_responses(spark, d).withColumnRenamed("monitor_id", "post_id")
+
+
+def q_ingest_lines(spark, d):
+    """R5+J2: the whole ingest; posts belong to the monitor that owns the URL of their response.
+    All three topics' lines."""
+    from moodwatch.streaming import apps
+    search, comments = crawled(spark, d)
+    lines = apps.ingest(search.drop("r"), comments, q_url_owner(spark, d))
     parts = [df.select(F.lit(topic).alias("topic"), "value") for topic, df in lines.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

@@ -404,6 +404,8 @@ SELECT 'user', concat_ws('|', CAST(user_id AS VARCHAR), coalesce(user_name, {non
 UNION ALL
 SELECT 'com', concat_ws('|', CAST(comment_id AS VARCHAR), CAST(owner_id AS VARCHAR), coalesce(created_at, {none}),
        coalesce(CAST(like_count AS VARCHAR), {none}), coalesce(CAST(user_id AS VARCHAR), {none}), coalesce(text, {none})) FROM tcom"""
+    q["comment_frontier"] = _with(USERS, POSTS) + """SELECT DISTINCT CAST(post_id AS VARCHAR) AS post_id, CAST(mid AS VARCHAR) AS mid,
+       concat('https://search.example.org/api/comments?id=', post_id, '&mid=', mid) AS url FROM posts"""
     q["monitor_table"] = q["monitor_list"] + "\nUNION ALL\n(" + q["monitor_append"] + ")"
     q["table_put"] = _with(USERS) + """SELECT user_id, user_name, CASE WHEN user_number % 2 = 0 THEN NULL ELSE gender END AS gender,
        description, follow_count, followers_count FROM users"""
@@ -466,6 +468,7 @@ lines AS (
     q["stream_rejects"] = _with(COMMENTS, mangled, FIELDS, DECODED, SEGMENTED) + f"""SELECT monitor_id, word, NULL::VARCHAR AS reason, n FROM word_counts
 UNION ALL
 SELECT NULL, value, reason, count(*) FROM ({rejected}) GROUP BY ALL"""
+    q["stream_ingest_lines"] = q["ingest_lines"]
     q["stream_word_lookup"] = q["word_lookup"]
     q["stream_trend_series"] = q["trend_series"]
     q["stream_late_rows"] = q["trend_wide"]

@@ -241,6 +241,30 @@ def mangled_lines(spark, d) -> DataFrame:
                         .when(k == 3, F.lit("")).otherwise(F.col("value")).alias("value"))
 
 
+def q_stream_ingest_lines(spark, d):
+    """R5+J2 as a stream: a third of the comment responses comes before the posts, the rest after;
+    each step restarts the query.  Responses are fetched within an hour, the delay is two."""
+    from moodwatch.streaming import ingest
+    search, comments = batch.crawled(spark, d)
+    base, ckpt, folders = fresh_dir(spark, "topics"), fresh_dir(spark, "ckpt-ingest"), [fresh_dir(spark, n) for n in ("searched", "answered")]
+
+    def fetched(number: str):
+        return F.timestamp_add("MINUTE", F.col(number) % 60, F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("fetched_at")
+
+    search = search.select("url", "raw", fetched("r"))
+    comments = comments.select("post_id", "raw", fetched("post_id"))
+    for folder in folders:
+        changelog.create(spark, folder)
+    owners = batch.q_url_owner(spark, d)
+    for step in range(3):
+        new = search if step == 1 else comments.where((F.col("post_id") % 3 == 0) == F.lit(step == 0))
+        new.repartition(_parts(spark)).write.mode("append").parquet(folders[step != 1])
+        read = [topics.read_table_stream(spark, f, x.schema, _parts(spark)) for f, x in zip(folders, (search, comments), strict=True)]
+        ingest.ingest_app(*read, owners, base, ckpt, "2 hours", available_now=True, state_partitions=2 * _parts(spark)).awaitTermination()
+    parts = [topics.read_topic(spark, f"{base}/{t}", stream=False).select(F.lit(t).alias("topic"), "value") for t in ingest.TOPICS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_stream_rejects(spark, d):
     """R7+R8 in a running app: one decode a batch, valid comments counted by word, the others in
     the reject sink under the same batch ids.  Rows of both sinks."""

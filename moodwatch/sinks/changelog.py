@@ -72,6 +72,11 @@ def _names(spark: SparkSession, path: str) -> list[str] | None:
     return [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
 def read_note(spark: SparkSession, path: str) -> str | None:
     """The text of a small file; None where there is none."""
     fs, at = _fs(spark, path)

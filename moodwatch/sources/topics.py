@@ -31,6 +31,19 @@ def write_topic(df: DataFrame, path: str, segment: int = 0, value: str = "value"
     out.write.mode("append").parquet(path)
 
 
+def write_topic_batch(df: DataFrame, path: str, batch_id: int, value: str = "value") -> None:
+    """K1 from a micro-batch: its messages as the folder ``batch_id=<id>`` of a topic, with the id
+    as ``segment``.  A batch that was written to its end is not written again, so a replay
+    sends no message twice."""
+    from moodwatch.sinks.changelog import exists
+    folder = f"{path}/batch_id={int(batch_id)}"
+    if exists(df.sparkSession, f"{folder}/_SUCCESS"):
+        return
+    (df.select(F.col(value).cast("string").alias("value"), F.current_timestamp().alias("timestamp"),
+               F.lit(int(batch_id)).cast("bigint").alias("segment"), F.monotonically_increasing_id().alias("offset"))
+     .write.mode("overwrite").parquet(folder))
+
+
 def write_kafka(df: DataFrame, servers: str, topic: str, value: str = "value", key: str | None = None) -> None:
     """K1 with the Kafka connector: one message per row.  With ``key`` (e.g. ``user_id``) the
     messages of one key stay in one partition, in order."""
