@@ -451,9 +451,15 @@ def label(w: Weights, pages: list[list[Block]]) -> list[np.ndarray]:
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Weights:
     """Fit on the ``SAMPLE_PAGES`` pages that come first by a hash of their id."""
-    rows = (pages.where(F.col(html_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.col(html_col).alias("t"))
-            .orderBy("h", "i").limit(SAMPLE_PAGES).collect())
-    return train([r.t for r in rows])
+    rows = (pages.where(F.col(html_col).isNotNull())
+            .select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.xxhash64(html_col).alias("p"), F.col(html_col).alias("t")))
+    # their hashes first: else each task would send so many whole pages
+    firsts = rows.select("h", "i", "p").orderBy("h", "i", "p").limit(SAMPLE_PAGES).collect()
+    if not firsts:
+        return train([])
+    last = F.struct(F.lit(firsts[-1].h).alias("h"), F.lit(firsts[-1].p).alias("p"))
+    sample = rows.where(F.struct("h", "p") <= last).orderBy("h", "i", "p").limit(SAMPLE_PAGES).collect()
+    return train([r.t for r in sample])
 
 
 def extract(pages: DataFrame, weights: Weights, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -30,7 +30,7 @@ SEPARATOR = "<|endoftext|>"
 #: new units encoded as one text, and bytes of a column that are worked on at once (or one text)
 TOGETHER, CHUNK = 1024, 8 << 20
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,13 +39,15 @@ def tokenizer_path(name: str) -> str:
 
 
 class Encoder:
-    """Texts to token ids, unsigned 32-bit numbers."""
+    """Texts to token ids, unsigned 32-bit numbers.  ``spaces``: blanks are part of tokens (byte-level),
+    else they only separate words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, spaces: bool):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.spaces = spaces
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -67,11 +69,13 @@ class Encoder:
 
     def _look_up(self, units: list[bytes], odd: bool) -> list[bytes]:
         """The ids of different units, as bytes; ``odd``: some of them are whole texts."""
+        if not (self.spaces or odd):
+            units = [u.lstrip() for u in units]
         if len(self.known) > CACHE_ENTRIES // 2:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         new: list[bytes] = []
-        for u in units:
+        for u in dict.fromkeys(units):
             if u not in known:
                 if u in older:
                     known[u] = older[u]
@@ -130,8 +134,8 @@ class Encoder:
         return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, spaces: bool) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, spaces) not in _encoders:
+        _encoders[path, spaces] = Encoder(path, spaces)
+    return _encoders[path, spaces]

@@ -11,7 +11,7 @@ SCHEMA = "doc_id long, text string"
 
 
 def plain(text, name=tokenfile.TOKENIZER):
-    t = tokens.Encoder(tokens.tokenizer_path(name)).tokenizer
+    t = tokens.Encoder(tokens.tokenizer_path(name), True).tokenizer
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -23,8 +23,8 @@ def test_units_are_the_whole_texts_ids():
     rng = random.Random(4)
     alphabet = "ab C\t\n.,'’é日🙂ß İ1²<>|�ﬁ́‍\xa0\x1cΣ\r"
     texts = ODD + ["".join(rng.choices(alphabet, k=rng.randint(0, 25))) for _ in range(500)] + [None, "x" * 5000, "a b " * 3000]
-    for name in (tokenfile.TOKENIZER, "word_bpe_49k.json"):
-        encoder = tokens.Encoder(tokens.tokenizer_path(name))
+    for name, spaces in ((tokenfile.TOKENIZER, True), ("word_bpe_49k.json", False)):
+        encoder = tokens.Encoder(tokens.tokenizer_path(name), spaces)
         want = [plain(text, name) for text in texts]
         for _ in range(2):  # the second time from the cache
             assert [np.frombuffer(got, "<u4").tolist() for got in encoder.encode(texts)] == want
@@ -33,7 +33,7 @@ def test_units_are_the_whole_texts_ids():
 def test_columns_in_chunks(monkeypatch):
     monkeypatch.setattr(tokens, "CHUNK", 50)
     monkeypatch.setattr(tokens, "CACHE_ENTRIES", 5)
-    encoder = tokens.Encoder(tokens.tokenizer_path(tokenfile.TOKENIZER))
+    encoder = tokens.Encoder(tokens.tokenizer_path(tokenfile.TOKENIZER), spaces=True)
     texts = pa.array(["skipped", *ODD, None, "word " * 100, "", "last"]).slice(1)
     ids, at = encoder.column(texts)
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [plain(t) for t in texts.to_pylist()]
