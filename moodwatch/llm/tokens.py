@@ -1,8 +1,9 @@
 """Token ids by a public tokenizer, with a cache of the ids of words.
 
-A text is cut after every run of non-space characters.  Both vocabularies cut there
-too (no token of theirs holds a space after a letter or sign), so the ids of a text
-are the ids of its units, one after the other.  Texts with rarer white space, with a
+A text is cut after every run of non-space characters, and between an ASCII letter and a
+sign such as a full stop.  Both vocabularies cut there too (no token of theirs holds a space
+after a letter or sign, or a sign after a letter), so the ids of a text are the ids of its
+units, one after the other.  Texts with rarer white space, with a
 character whose lower case depends on its neighbours, or with a special token are
 one unit.
 
@@ -19,12 +20,18 @@ import pyarrow as pa
 
 #: white space other than blank, tab, line feed and carriage return; final sigma; special tokens
 WHOLE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u3000\ufeff\u03a3]|<\\|")
-#: bytes that end a unit
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 13, 32]] = True
+#: kinds of bytes: a unit ends before a blank that stands behind anything else, and before a sign behind an
+#: ASCII letter; the apostrophe of ``don't`` is no sign
+BLANK, LETTER, SIGN = 1, 2, 4
+KIND = np.zeros(256, np.uint8)
+KIND[[9, 10, 13, 32]] = BLANK
+KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+KIND[[ord(c) for c in ".,;:!?"]] = SIGN
+ENDS = np.zeros(64, bool)
+ENDS[[8 * BLANK + 0, 8 * BLANK + LETTER, 8 * BLANK + SIGN, 8 * SIGN + LETTER]] = True
 #: entries a worker keeps (about 200 bytes each), in two generations: units not seen since the younger
 #: one began go when it is full.  Longer units aren't kept
-CACHE_ENTRIES, CACHE_BYTES = 1_000_000, 256
+CACHE_ENTRIES, CACHE_BYTES = 600_000, 256
 #: a special token of both vocabularies; no unit but a whole text holds it, and a text is cut there before anything else
 SEPARATOR = "<|endoftext|>"
 #: new units encoded as one text, and bytes of a column that are worked on at once (or one text)
@@ -69,7 +76,7 @@ class Encoder:
 
     def _look_up(self, units: list[bytes], odd: bool) -> list[bytes]:
         """The ids of different units, as bytes; ``odd``: some of them are whole texts."""
-        if not (self.spaces or odd):
+        if not (self.spaces or odd):  # whole texts may begin with white space of other kinds
             units = [u.lstrip() for u in units]
         if len(self.known) > CACHE_ENTRIES // 2:
             self.known, self.older = {}, self.known
@@ -93,9 +100,11 @@ class Encoder:
 
     def _chunk(self, data: np.ndarray, at: np.ndarray, odd: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts that begin and end at ``at`` in ``data``, and where each one's begin."""
-        space = SPACE[data]
+        kind = KIND[data]
+        # BLANK after any other kind, SIGN after LETTER
+        ends = 8 * kind[1:] + kind[:-1]
         begins = np.zeros(len(data) + 1, bool)
-        begins[1:-1] = space[1:] & ~space[:-1]
+        begins[1:-1] = ENDS[ends]
         for k in odd:
             begins[at[k]:at[k + 1]] = False
         begins[at] = True
