@@ -167,28 +167,31 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     """(query_id, rank, vec_id, score): for each row of ``queries`` its k nearest rows of ``vectors``
     with another id, nearest first, ties to the smaller id; all if there are fewer.
 
-    Vectors that are null, zero, or hold a null or non-finite component take no part, nor do
-    vectors of another length than most, nor rows with a null id.  Equal rows count once; of
-    different query rows with one id the smallest vector is the query."""
+    Vectors that are null, zero, or hold a null or non-finite component take no part, nor do rows
+    with a null id.  Vectors of each length are searched among their own.  Equal rows count
+    once; of different query rows with one id the smallest vector is the query."""
     spark = vectors.sparkSession
     vector = F.col(vector_col).cast("array<double>")
     valid = vectors.select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("v")).where(
         F.col("vec_id").isNotNull() & _usable(F.col("v")))
-    schema = "query_id long, rank int, vec_id long, score double"
-    most = valid.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if most is None:
-        return spark.createDataFrame([], schema)
-    size = most.n
-    valid = valid.where(F.size("v") == size)
+    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), vector.alias("v")).where(
+        F.col("query_id").isNotNull() & _usable(F.col("v")))
+    asked = stored(asked.groupBy("query_id").agg(F.min("v").alias("v")), "queries")
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for row in asked.select(F.size("v").alias("n")).distinct().orderBy("n").collect():  # usually one length
+        size = F.size("v") == row.n
+        out = out.unionByName(_nearest_of(valid.where(size), asked.where(size), row.n, k))
+    return out
+
+
+def _nearest_of(valid: DataFrame, asked: DataFrame, size: int, k: int) -> DataFrame:
+    """:func:`nearest` over usable vectors of one length; ``asked`` is unique on query_id."""
+    spark = valid.sparkSession
     # k + 1 smallest ids of each vector: more are never needed, one may be the query's own.  The
     # limit is applied before the shuffle too, so a vector that a third of the rows share is few rows
     own = Window.partitionBy("v").orderBy("vec_id")
     few = valid.withColumn("turn", F.dense_rank().over(own)).where(F.col("turn") <= k + 1)
     points = stored(few.groupBy("v").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")), "points")
-    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), vector.alias("v")).where(
-        F.col("query_id").isNotNull() & _usable(F.col("v")) & (F.size("v") == size))
-    asked = stored(asked.groupBy("query_id").agg(F.min("v").alias("v")), "queries")
-
     plane = directions(size)
     count = points.count()
     sample = points.select("v", F.xxhash64("v").alias("h")).orderBy("h").limit(SAMPLE).select("v").toArrow()

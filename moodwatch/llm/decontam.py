@@ -13,6 +13,7 @@ blocks of a bounded size, so a pass over the documents never holds more than one
 from __future__ import annotations
 
 import bisect
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,6 +65,11 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def whole_words(text: str, a: int, b: int) -> bool:
+    """Whether ``text[a:b]`` doesn't begin or end inside a word."""
+    return not (a and text[a - 1].isalnum() and text[a].isalnum() or b < len(text) and text[b - 1].isalnum() and text[b].isalnum())
+
+
 class Matcher:
     def __init__(self, items: list[Item]):
         import ahocorasick
@@ -94,6 +100,8 @@ class Matcher:
         for k, begins in sorted(places.items()):
             ident, item = self.items[k]
             allowed = budget(len(item))
+            if not allowed:  # a short item stands in a text as words of its own, not inside others
+                begins = [b for b in begins if whole_words(text, b, b + len(item))]
             best = (allowed + 1, 0)
             begins.sort()
             at = 0
@@ -118,15 +126,14 @@ def _matcher(items: list[Item]) -> Matcher:
     return _matchers[key]
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[list[Item]]:
-    """The items in blocks of about ``BLOCK_CHARS`` characters, one collected at a time by the
-    caller's loop.  Items with a null or blank text are left out; equal texts are searched once
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[Item]]:
+    """The items in blocks of about ``BLOCK_CHARS`` characters, one collected at a time.  Items with a null or blank text are left out; equal texts are searched once
     each."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("trim(t) <> ''")
     total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = -(-total // BLOCK_CHARS)
-    return [[(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).orderBy("i", "t").collect()]
-            for k in range(blocks)]
+    for k in range(blocks):
+        yield [(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).orderBy("i", "t").collect()]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

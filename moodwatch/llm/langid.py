@@ -20,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodwatch.llm.common import arrow_pass
+from moodwatch.llm.common import arrow_pass, stored
 
-#: the sample the dictionaries are made of: rows a language, bytes a row, bytes a dictionary, languages
-SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES, LANGUAGES = 500, 4096, 256 << 10, 256
+#: the sample the dictionaries are made of: rows a language, characters a row, bytes a dictionary; with many
+#: languages the dictionaries are smaller, so that all of them together have ``ALL_BYTES`` at most
+SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES, ALL_BYTES = 500, 4096, 256 << 10, 64 << 20
 BLOCK, LEAST, LEVEL = 4096, 256, 6
 #: texts whose best size is within this share of the second are rejected
 NARROW = 0.02
@@ -34,6 +35,8 @@ _models: dict[int, list] = {}
 
 
 def normalise(text: str) -> bytes:
+    if not any(map(str.isalpha, text)):  # numerals such as one half are word characters, but no letters
+        return b"  "
     words = NO_LETTER.sub(" ", text.lower()).split()
     different = dict.fromkeys(words)
     return (" " + " ".join(different if 2 * len(different) < len(words) else words) + " ").encode()
@@ -52,23 +55,18 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     the first of them are kept."""
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where(
         F.col("t").isNotNull() & F.col("l").isNotNull() & ~held_out(F.col("i")))
-    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "l").limit(LANGUAGES).collect()}
-    if not counts:
-        return {}
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("l") == lang, F.lit(2.0 * SAMPLE_ROWS / n)).otherwise(share)
-    draw = F.xxhash64("i", "t")
-    sample = (rows.withColumn("h", draw).where(F.pmod(F.col("h"), F.lit(1 << 20)) < share * (1 << 20))
-              .select("l", "h", F.substring("t", 1, SAMPLE_BYTES).alias("t"))
+    counts = stored(rows.groupBy("l").agg(F.count("*").alias("n")), "languages")
+    most = min(DICTIONARY_BYTES, ALL_BYTES // max(1, counts.count()))
+    drawn = F.pmod(F.xxhash64("i", "t"), F.lit(1 << 20)) < (1 << 20) * 2.0 * SAMPLE_ROWS / F.col("n")
+    sample = (rows.join(counts, "l").where(drawn).select("l", F.xxhash64("i", "t").alias("h"), F.substring("t", 1, SAMPLE_CHARS).alias("t"))
               .withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "t")))
               .where(F.col("k") <= SAMPLE_ROWS))
     texts: dict[str, bytes] = {}
-    for r in sample.orderBy("l", "k").collect():  # at most SAMPLE_ROWS * LANGUAGES short texts
-        if len(texts.get(r.l, b"")) < DICTIONARY_BYTES:
-            texts[r.l] = texts.get(r.l, b"") + normalise(r.t)
-    return {lang: t[:DICTIONARY_BYTES] for lang, t in texts.items() if t.strip()}
+    # SAMPLE_ROWS short texts a language pass through, one part at a time
+    for r in sample.orderBy("l", "k").toLocalIterator():
+        if len(texts.get(r.l, b"")) < most:
+            texts[r.l] = (texts.get(r.l, b"") + normalise(r.t))[:most]
+    return {lang: t for lang, t in texts.items() if t.strip()}
 
 
 class Classifier:
@@ -113,7 +111,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     ``score`` is the margin, 0 to 1.  A null text, an empty one and one without a letter are
     ``und`` with score 0 and not accepted.  Equal sizes go to the language that sorts first,
     with score 0.  Null ids and repeated rows are classified like any other."""
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # LANGUAGES * DICTIONARY_BYTES at most
+    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # ALL_BYTES at most
 
     def make():
         classify = _classifier(shared.value)

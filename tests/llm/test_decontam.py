@@ -64,3 +64,36 @@ def test_blocks_and_empty(frame, prose, monkeypatch):
     assert decontam.matches(frame(docs, DOCS), frame([], ITEMS)).collect() == []
     assert decontam.matches(frame([], DOCS), frame(items, ITEMS)).collect() == []
     assert decontam.keep_clean(frame(docs, DOCS), frame([], ITEMS)).count() == 10
+
+
+def test_short_items_match_whole_words_only(frame):
+    docs = [(1, "they concatenate"), (2, "a cat sat"), (3, "Cat."), (4, "cats"), (5, "the cat-flap, cat"), (6, "x 42 y"), (7, "x 421 y")]
+    got = decontam.matches(frame(docs, "doc_id long, text string"), frame([(1, "cat"), (2, "42")], "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(2, 1), (3, 1), (5, 1), (6, 2)]
+
+
+def test_all_pairs_against_plain_edit_distance(frame):
+    """Every document with every item: an item stands where a stretch of the text is near enough."""
+    rng = random.Random(9)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda omega".split()
+    items = [(k, " ".join(rng.choices(words, k=rng.randint(8, 14)))) for k in range(12)]
+    docs = []
+    for k in range(40):
+        text = list(items[k % 12][1])
+        for _ in range(rng.randint(0, 2 * decontam.budget(len(text)) + 1)):
+            text[rng.randrange(len(text))] = rng.choice("xyz")
+        docs.append((k, " ".join(rng.choices(words, k=10)) + " " + "".join(text) + " " + " ".join(rng.choices(words, k=10))))
+
+    def least(item, text):
+        row = [0] * (len(text) + 1)
+        for i, c in enumerate(item, 1):
+            new = [i]
+            for j, x in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != x)))
+            row = new
+        return min(row)
+
+    want = {(d, i): least(decontam.normalise(t), decontam.normalise(x)) for d, x in docs for i, t in items}
+    want = {k: n for k, n in want.items() if n <= decontam.budget(len(decontam.normalise(items[k[1]][1])))}
+    got = decontam.matches(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): r.distance for r in got.collect()} == want and len(want) > 10

@@ -61,3 +61,36 @@ def test_edges(frame):
     empty = frame([], SCHEMA)
     assert langid.learn(empty) == {} and langid.identify(empty, {}).collect() == []
     assert {r.lang_pred for r in langid.identify(df, {}).collect()} == {"und"}
+
+
+def test_no_letter_by_unicode_category(frame):
+    model = langid.Classifier({"a": b" some words of a language " * 50, "b": b" andere worte einer sprache " * 50})
+    for text in ("\u00bd \u00b2 \u2167", "12 34", "_ _", "\u0661\u0662", "\u2460", "", None, "\U0001f600!"):
+        assert model(text) == ("und", 0.0), text
+    assert model("words of a \u00b2")[0] == "a" and model("\u4e2d")[0] != "und"
+
+
+def test_every_language_is_learned(frame):
+    rows = [(3 * k + j, f"word{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]} " * 20, f"l{k}") for k in range(300) for j in range(3)]
+    assert len(langid.learn(frame(rows, "doc_id long, text string, lang string"))) >= 295
+
+
+def test_smallest_size_wins_against_plain_compression(frame):
+    """The choice again from the definition: one compressor a language and block, nothing shared."""
+    import zstandard as z
+    dictionaries = {k: (" " + " ".join(w + e for w in "stein haus garten fluss".split() for e in "abcdefgh") * 30).encode() if k == "de" else
+                    (" " + " ".join(w + e for w in "stone house garden river".split() for e in "abcdefgh") * 30).encode() for k in ("de", "en")}
+    model = langid.Classifier(dictionaries)
+    for text in ("stonea houseb gardenc riverd", "steina hausb gartenc flussd " * 300, "stonea steinb", "x"):
+        content = langid.normalise(text)
+        if len(content) < langid.LEAST:
+            content *= 2 * langid.LEAST // len(content)
+        sizes = {}
+        for lang, words in dictionaries.items():
+            params = z.ZstdCompressionParameters.from_level(langid.LEVEL, dict_size=len(words), source_size=langid.BLOCK, window_log=20,
+                                                            write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(z.ZstdCompressor(compression_params=params, dict_data=z.ZstdCompressionDict(words, dict_type=z.DICT_TYPE_RAWCONTENT))
+                                  .compress(content[k:k + langid.BLOCK])) for k in range(0, len(content), langid.BLOCK))
+        best = min(sizes, key=lambda k: (sizes[k], k))
+        other = sizes["en" if best == "de" else "de"]
+        assert model(text) == (best, (other - sizes[best]) / other)
