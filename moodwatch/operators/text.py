@@ -3,9 +3,8 @@
 Segmentation is one ``regexp_extract_all`` over an alternation of dictionary
 words, so the whole text of every row is segmented inside the JVM.  A large
 dictionary (thousands of words) does not fit one regex well; pass it as a
-DataFrame to :func:`moodwatch.operators.dictseg.segment_with_dictionary_table`, which matches with an
-Aho-Corasick automaton inside ``mapInPandas`` (the dictionary is broadcast
-once per executor, after a size check).
+DataFrame to :func:`moodwatch.operators.segmenter.segment_with_dictionary`, which finds
+its words by joins.
 """
 
 from __future__ import annotations

@@ -31,6 +31,9 @@ PAGE_SIZE = 2
 APPEND_DATE = "2024-02-01"
 # Phrases that hold every word of the dictionary and of the stop list.
 HAN_PHRASES = ("北京加油了", "数加的ABC牛逼", "过年好，北京 加油", "ｑｑ数加", "牛逼北京加油数加过了的")
+# Han characters that stand for the letters a to z.
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+HAN_LETTERS = "".join(chr(0x4E00 + i) for i in range(26))
 # Turns per comment response page (a response is one bounded JSON document).
 COMMENT_PAGE = 20
 
@@ -204,15 +207,34 @@ def q_segment(spark, d):
     return s.select("comment_id", "monitor_id", "comment_text", F.size("tokens").alias("n_tokens"))
 
 
+def _segmented_by_table(s: DataFrame) -> DataFrame:
+    return text.join_tokens(s, "tokens", "comment_text").select(
+        "comment_id", "monitor_id", "comment_text", F.size("tokens").alias("n_tokens"))
+
+
 def q_segment_dict(spark, d):
-    """T1 through the large-dictionary path (dictionary as a table, Aho-Corasick
-    in ``mapInPandas``); must equal ``segment``."""
+    """T1 with the dictionary as a table, longest word first; must equal ``segment``."""
     from moodwatch.functions.constants import EXTENSION_WORDS
-    from moodwatch.operators.dictseg import segment_with_dictionary_table
+    from moodwatch.operators.segmenter import segment_with_dictionary
     dictionary = spark.createDataFrame([(w,) for w in EXTENSION_WORDS], "word string")
-    s = segment_with_dictionary_table(decoded_comments(spark, d), dictionary)
-    return text.join_tokens(s, "tokens", "comment_text").select(
-        "comment_id", "monitor_id", "comment_text", F.size("tokens").alias("n_tokens"))
+    return _segmented_by_table(segment_with_dictionary(decoded_comments(spark, d), dictionary, "comment_id"))
+
+
+def han_written(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Documents written in Han characters, one for each of the letters a to z, and a dictionary of
+    the short words (2 to 4 letters) that stand in them: longer words fall into overlapping ones."""
+    docs = fx.table(spark, d, "documents").select("doc_id", F.translate(F.lower("text"), LATIN, HAN_LETTERS).alias("text"))
+    short = F.regexp_extract_all(F.col("text"), F.lit(r"([\p{L}\p{N}]++)"), F.lit(1))
+    words = (docs.select(F.explode_outer(short).alias("word")).where(F.col("word").rlike(r"^\p{IsHan}{2,4}$")).distinct())
+    return docs, words
+
+
+def q_segment_coarse(spark, d):
+    """T1 in the coarsest way: the fewest tokens, with a dictionary made from all documents."""
+    from moodwatch.operators.segmenter import segment_with_dictionary
+    docs, words = han_written(spark, d)
+    s = segment_with_dictionary(docs, words, "doc_id", mode="coarsest")
+    return s.select("doc_id", F.array_join("tokens", " ").alias("comment_text"), F.size("tokens").alias("n_tokens"))
 
 
 def han_comments(spark, d) -> DataFrame:

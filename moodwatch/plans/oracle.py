@@ -258,6 +258,34 @@ segmented AS (SELECT comment_id, monitor_id, {tokens('text')} AS tokens FROM han
     q["word_counts_han"] = _with(*han) + """SELECT monitor_id, word, count(*) AS n
 FROM (SELECT monitor_id, unnest(tokens) AS word FROM segmented) GROUP BY monitor_id, word"""
     q["segment_dict"] = q["segment"]
+    letters = "".join(chr(0x4E00 + i) for i in range(26))
+    q["segment_coarse"] = rf"""WITH RECURSIVE han AS (
+  SELECT doc_id, regexp_extract_all(translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '{letters}'), '[\p{{L}}\p{{N}}]+') AS runs FROM documents),
+placed AS (SELECT doc_id, unnest(runs) AS run, generate_subscripts(runs, 1) AS place FROM han),
+dictionary AS (SELECT DISTINCT run AS word FROM placed WHERE regexp_full_match(run, '\p{{Han}}{{2,4}}')),
+elements AS (
+  SELECT run, regexp_extract_all(run, '(?:[^\P{{L}}\p{{Han}}]|[^\P{{N}}\p{{Han}}])+|\p{{Han}}') AS e FROM (SELECT DISTINCT run FROM placed)),
+stretches AS (
+  SELECT run, i, n, array_to_string(e[i:i + n - 1], '') AS word
+  FROM (SELECT run, e, unnest(range(1, len(e) + 1)) AS i FROM elements), (VALUES (2), (3), (4)) k(n) WHERE i + n - 1 <= len(e)),
+hits AS (SELECT run, i, list(n ORDER BY n) AS ns FROM stretches JOIN dictionary USING (word) GROUP BY run, i),
+-- from the right: best[k] is the least (tokens, -length of the first word) from place i + k - 1 on
+folded(run, i, best) AS (
+  SELECT run, len(e) + 1, [(0, 0)] FROM elements
+  UNION ALL
+  SELECT f.run, f.i - 1, list_prepend(list_min(list_prepend((f.best[1][1] + 1, -1),
+           list_transform(coalesce(h.ns, []::INTEGER[]), lambda n: (f.best[n][1] + 1, -n)))), f.best)
+  FROM folded f LEFT JOIN hits h ON h.run = f.run AND h.i = f.i - 1 WHERE f.i > 1),
+walked(run, i, tokens) AS (
+  SELECT run, 1, []::VARCHAR[] FROM elements
+  UNION ALL
+  SELECT w.run, w.i - c.best[w.i][2], list_append(w.tokens, array_to_string(e.e[w.i:w.i - c.best[w.i][2] - 1], ''))
+  FROM walked w JOIN elements e USING (run) JOIN folded c ON c.run = w.run AND c.i = 1 WHERE w.i <= len(e.e)),
+cut AS (SELECT w.run, w.tokens FROM walked w JOIN elements e USING (run) WHERE w.i > len(e.e)),
+whole AS (SELECT doc_id, list_filter(flatten(list(tokens ORDER BY place)), lambda t: t NOT IN ('的', '了', '过')) AS tokens
+          FROM placed JOIN cut USING (run) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(array_to_string(tokens, ' '), '') END AS comment_text,
+       CASE WHEN text IS NOT NULL THEN coalesce(len(tokens), 0) END::INTEGER AS n_tokens FROM documents LEFT JOIN whole USING (doc_id)"""
     q["word_counts"] = _with(*seg) + "SELECT monitor_id, word, n FROM word_counts"
     q["word_cloud"] = _with(*seg) + (f"SELECT monitor_id, word AS name, n AS value FROM word_counts "
                                      f"WHERE monitor_id = {_q(B.WORD_CLOUD_MONITOR)}")
@@ -479,6 +507,8 @@ SELECT NULL, value, reason, count(*) FROM ({rejected}) GROUP BY ALL"""
                                            "followers_count FROM users")
     q["stream_comment_dedup"] = _with(*dec) + "SELECT comment_id, monitor_id, like_count, user_id, text FROM valid"
     q["stream_comment_dedup_within"] = q["stream_comment_dedup"]
+    q["stream_comment_dedup_ledger"] = q["stream_comment_dedup"]
+    q["stream_model"] = q["nb_vocab_score"]
     q["stream_line_word_count"] = (f"SELECT word, count(*) AS n FROM (SELECT unnest({jvm_split('line', ',', ',')}) "
                                    f"AS word FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) "
                                    f"GROUP BY word")

@@ -294,6 +294,31 @@ def q_stream_comment_dedup_within(spark, d):
     return changelog.read_log(spark, sink).drop(changelog.BATCH)
 
 
+def q_stream_comment_dedup_ledger(spark, d):
+    """W9 exactly: every comment arrives twice; the second copies are found in the ledger."""
+    from moodwatch.streaming import ledger
+    sink, book, ckpt = (fresh_dir(spark, n) for n in ("sink-ledger", "ledger", "ckpt-ledger"))
+    lines = _read(spark, _comment_topic(spark, d, copies=2))
+    ledger.dedup_app(jobs.comments(lines), sink, book, ckpt, available_now=True).awaitTermination()
+    return changelog.read_log(spark, sink).select("comment_id", "monitor_id", "like_count", "user_id", "text")
+
+
+def q_stream_model(spark, d):
+    """M5 as a stream: the labelled rows arrive in three batches, compacted in between; the model of
+    the log scores all documents as one fit does."""
+    from moodwatch.streaming import apps
+    folder, sink, snap, ckpt = (fresh_dir(spark, n) for n in ("labelled", "sink-model", "snap-model", "ckpt-model"))
+    labelled = fx.labelled(spark, d)
+    for part in range(3):
+        labelled.where(F.col("doc_id") % 3 == part).write.mode("append").parquet(folder)
+        apps.learn_app(topics.read_table_stream(spark, folder, labelled.schema), sink, ckpt, available_now=True).awaitTermination()
+        if part < 2:
+            apps.compact_sink(spark, "model", sink, snap)
+    docs = fx.table(spark, d, "documents").select("doc_id", "text")
+    s = bayes.score(apps.read_model(spark, sink, snap), docs, "doc_id")
+    return s.select("doc_id", "prediction", F.round("p0", 6).alias("p0"), F.round("p1", 6).alias("p1"))
+
+
 def q_stream_line_word_count(spark, d):
     """S2 + T4 + A5: document texts replayed as a text line stream, split on commas."""
     path = fresh_dir(spark, "lines")

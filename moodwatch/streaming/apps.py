@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moodwatch.functions.constants import COMMENT_FIELDS, TREND_POINTS
-from moodwatch.operators import metrics, model, records, serve, text
+from moodwatch.operators import bayes, metrics, model, records, serve, text
 from moodwatch.session import materialize
 from moodwatch.sinks import changelog
 from moodwatch.sources import topics
@@ -117,6 +117,18 @@ def profile_app(user_lines: DataFrame, sink: str, checkpoint: str, trigger: str
                        output_mode="append", rejects=rejects)
 
 
+def learn_app(labelled: DataFrame, sink: str, checkpoint: str, trigger: str = jobs.DEFAULT_TRIGGER,
+              available_now: bool = False, **columns) -> StreamingQuery:
+    """M5 as a stream of labelled rows (doc_id, text, label): each batch adds its sums to the
+    sink, and :func:`read_model` makes the model of all rows so far.  Rows are read once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        changelog.write_batch(bayes.increments(batch, **columns), sink, batch_id)
+
+    jobs.claim(labelled.sparkSession, sink, checkpoint)
+    w = labelled.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()
+
+
 # --- read side -----------------------------------------------------------------------------
 def read_profiles(spark: SparkSession, sink: str, snapshot: str | None = None) -> DataFrame:
     """Latest profile per user, in order of arrival: the batch, then the order of messages.
@@ -126,6 +138,11 @@ def read_profiles(spark: SparkSession, sink: str, snapshot: str | None = None) -
     return changelog.latest_view(spark, sink, ["user_id"], topics.ORDER, snapshot)
 
 
+def read_model(spark: SparkSession, sink: str, snapshot: str | None = None) -> bayes.NaiveBayesTable:
+    """The Naive Bayes model of all rows that :func:`learn_app` has read."""
+    return bayes.fit_log(changelog.totals_view(spark, sink, bayes.LOG_KEYS, bayes.LOG_SUMS, snapshot))
+
+
 def read_rejects(spark: SparkSession, sink: str) -> DataFrame:
     """The lines that a running app couldn't decode: (batch_id, value, reason)."""
     return changelog.read_log(spark, sink, schema="value string, reason string").select(changelog.BATCH, "value", "reason")
@@ -137,6 +154,7 @@ SINKS = {
     "words": (["monitor_id", "word"], ["n"]),
     "gender": (["monitor_id", "gender"], ["n"]),
     "users": (["user_id"], []),
+    "model": (bayes.LOG_KEYS, bayes.LOG_SUMS),
 }
 
 
@@ -157,7 +175,7 @@ def compact_sink(spark: SparkSession, what: str, sink: str, snapshot: str, state
         return changelog.compact(spark, sink, keys, snapshot, topics.ORDER, cluster_by="user_id")
     if stateful:
         return changelog.compact(spark, sink, keys, snapshot, cluster_by="monitor_id")
-    return changelog.compact_totals(spark, sink, keys, values, snapshot, cluster_by="monitor_id")
+    return changelog.compact_totals(spark, sink, keys, values, snapshot, cluster_by="term" if what == "model" else "monitor_id")
 
 
 def read_trend(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,

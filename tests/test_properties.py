@@ -54,10 +54,10 @@ _seg_chars = "ab c的北京数加油了Ｄ_1-"
 @settings(**SETTINGS)
 @given(st.lists(st.text(alphabet=_seg_chars, max_size=20), min_size=20, max_size=40),
        st.lists(st.text(alphabet=_seg_chars.replace(" ", ""), min_size=1, max_size=4), min_size=1, max_size=6))
-def test_regex_and_automaton_segmentation_agree(spark, texts, dictionary):
-    from moodwatch.operators.dictseg import segment_with_dictionary_table
+def test_regex_and_joined_segmentation_agree(spark, texts, dictionary):
+    from moodwatch.operators.segmenter import segment_with_dictionary
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
     a = {r.i: r.x for r in df.select("i", tokens("text", dictionary=dictionary).alias("x")).collect()}
     d = spark.createDataFrame([(w,) for w in dictionary], "w string")
-    b = {r.i: r.tokens for r in segment_with_dictionary_table(df, d).collect()}
+    b = {r.i: r.tokens for r in segment_with_dictionary(df, d, "i").collect()}
     assert a == b

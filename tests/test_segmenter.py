@@ -1,0 +1,98 @@
+"""Segmentation with a dictionary table: greedy and coarsest, against brute force."""
+
+import random
+import re
+
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+from moodwatch.operators import segmenter
+
+ELEMENT = regex.compile(r"(?V1)(?s)[[\p{L}\p{N}]--\p{Han}]+|\p{Han}|.")
+HAN = "北京加油数牛逼武汉"
+
+
+def brute(text, words, mode, stop=("的", "了", "过")):
+    """Tokens by trying every path (coarsest) or the longest word at each place (greedy)."""
+    e = ELEMENT.findall(text)
+    keep = {w for w in words if len(ELEMENT.findall(w)) > 1 or not regex.match(r"[\p{L}\p{N}]", w)}
+
+    def at(i):
+        """(tokens, word lengths by place) of the best way from i on."""
+        if i == len(e):
+            return (0, []), []
+        ways = []
+        for n in range(len(e) - i, 0, -1):
+            word = "".join(e[i:i + n])
+            if word in keep:
+                (c, lens), rest = memo(i + n)
+                ways.append(((c + 1, [-n, *lens]), [word, *rest]))
+                if mode == "greedy":
+                    return ways[0]
+        sign = not regex.match(r"[\p{L}\p{N}]", e[i])
+        (c, lens), rest = memo(i + 1)
+        ways.append(((c + (not sign), [0, *lens]), rest if sign else [e[i], *rest]))
+        return min(ways, key=lambda w: w[0])
+
+    cache = {}
+
+    def memo(i):
+        if i not in cache:
+            cache[i] = at(i)
+        return cache[i]
+
+    for i in range(len(e), -1, -1):
+        memo(i)
+    return [t for t in memo(0)[1] if t not in stop]
+
+
+def run(spark, texts, words, mode, **kw):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    d = spark.createDataFrame([(w,) for w in words], "w string")
+    return {r.i: r.tokens for r in segmenter.segment_with_dictionary(df, d, "i", mode, **kw).collect()}
+
+
+def test_overlapping_words_differ_from_greedy(spark):
+    words = ["北京", "北京加", "加油数", "油数"]
+    text = "北京加油数"
+    assert run(spark, [text], words, "greedy")[0] == ["北京加", "油数"]
+    words = ["北京加", "京加油数", "北京", "加油数"]
+    assert run(spark, [text], words, "greedy")[0] == ["北京加", "油", "数"]
+    assert run(spark, [text], words, "coarsest")[0] == ["北京", "加油数"]
+
+
+@pytest.mark.parametrize("mode", segmenter.MODES)
+def test_random_texts_equal_brute_force(spark, mode):
+    rng = random.Random(5)
+    alphabet = HAN + "ab1 _-。"
+    words = sorted({"".join(rng.choices(alphabet, k=rng.randint(1, 5))).strip() for _ in range(60)} - {""})
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(120)] + ["", " ", HAN * 30, words[0] * 5]
+    got = run(spark, texts, words, mode)
+    for i, text in enumerate(texts):
+        want = brute(text, words, mode)
+        assert got[i] == want, (text, words)
+
+
+def test_nulls_case_and_stop_words(spark):
+    got = run(spark, [None, "ＡＢ北京 x", "了北京的", "NONE"], ["北京", "ab北", "", "None"], "coarsest")
+    assert got == {0: None, 1: ["ab北", "京", "x"], 2: ["北京"], 3: ["none"]}
+    assert run(spark, ["了过"], ["了过"], "coarsest", stop_words=["了"])[0] == ["了过"]
+    with pytest.raises(ValueError):
+        run(spark, ["a"], ["b"], "finest")
+
+
+def test_ties_take_the_longest_word_first(spark):
+    words = ["北京", "京加", "北京加", "加油", "油"]
+    assert run(spark, ["北京加油"], words, "coarsest")[0] == ["北京加", "油"]
+
+
+def test_large_dictionary_is_joined_not_collected(spark, monkeypatch):
+    """200,000 words, one beginning in a third of them and of the texts."""
+    rows = spark.range(200_000).select(F.concat(F.when(F.col("id") % 3 == 0, F.lit("北")).otherwise(F.lit("京")),
+                                                F.regexp_replace(F.translate(F.col("id").cast("string"), "0123456789", "一丁七万丈三上下不与"), "^", "")).alias("w"))
+    df = spark.range(2000).select("id", F.concat(F.lit("北"), F.translate((F.col("id") * 3).cast("string"), "0123456789", "一丁七万丈三上下不与"),
+                                                 F.lit("。北")).alias("text"))
+    out = segmenter.segment_with_dictionary(df, rows, "id", "coarsest").collect()
+    assert all(len(r.tokens) == 2 and r.tokens[1] == "北" for r in out) and len(out) == 2000
+    assert not re.search("Python|Arrow|CartesianProduct", segmenter.segment_with_dictionary(df, rows, "id")._jdf.queryExecution().executedPlan().toString())

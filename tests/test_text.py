@@ -41,14 +41,14 @@ def test_url_encode_matches_python_quote(spark):
 
 
 def test_dictionary_table_path_equals_regex_path(spark, sf_small):
-    from moodwatch.operators.dictseg import segment_with_dictionary_table
+    from moodwatch.operators.segmenter import segment_with_dictionary
     from moodwatch.sources import fixtures as fx
     words = ["of the", "de la", "und die", "the", "北京加油", "数加", "Ｔhe ＥND"]
     docs = fx.table(spark, sf_small, "documents").select("doc_id", "text").unionByName(
         spark.createDataFrame([(-1, "武汉北京加油的abc 123 of them of the end, THE END")], "doc_id long, text string"))
     a = {r.doc_id: r.tokens for r in text.segment(docs, dictionary=words).collect()}
     d = spark.createDataFrame([(w,) for w in words], "w string")
-    b = {r.doc_id: r.tokens for r in segment_with_dictionary_table(docs, d).collect()}
+    b = {r.doc_id: r.tokens for r in segment_with_dictionary(docs, d, "doc_id").collect()}
     assert a == b
     assert a[-1] == ["武", "汉", "北京加油", "abc", "123", "of", "them", "of the", "end", "the end"]
 
