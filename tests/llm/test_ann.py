@@ -49,3 +49,15 @@ def test_edges(frame):
     empty = frame([], SCHEMA)
     assert ann.nearest(empty, empty).collect() == []
     assert ann.nearest(df, empty).collect() == []
+
+
+def test_each_length_among_its_own(frame):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4 if i % 3 else 7).tolist()) for i in range(400)]
+    df = frame([(i, v, 0) for i, v in rows], SCHEMA)
+    out = ann.nearest(df, df.where("vec_id % 50 = 0")).collect()
+    rows = [(r.vec_id, list(r.embedding)) for r in df.collect()]  # as stored, in single precision
+    for i, v in (r for r in rows if r[0] % 50 == 0):
+        mine = [r.vec_id for r in sorted((r for r in out if r.query_id == i), key=lambda r: r["rank"])]
+        true = [j for _, j in brute([r for r in rows if len(r[1]) == len(v)], (i, v))]
+        assert len(set(mine) & set(true)) >= 9 and all(j % 3 == 0 for j in mine) == (i % 3 == 0)

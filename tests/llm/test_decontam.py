@@ -60,7 +60,7 @@ def test_blocks_and_empty(frame, prose, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 200)
     found = decontam.matches(frame(docs, DOCS), frame(items, ITEMS))
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, k) for k in range(8)}
-    assert len(decontam.item_blocks(frame(items, ITEMS))) > 1
+    assert len(list(decontam.item_blocks(frame(items, ITEMS)))) > 1
     assert decontam.matches(frame(docs, DOCS), frame([], ITEMS)).collect() == []
     assert decontam.matches(frame([], DOCS), frame(items, ITEMS)).collect() == []
     assert decontam.keep_clean(frame(docs, DOCS), frame([], ITEMS)).count() == 10

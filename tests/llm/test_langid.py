@@ -72,7 +72,8 @@ def test_no_letter_by_unicode_category(frame):
 
 def test_every_language_is_learned(frame):
     rows = [(3 * k + j, f"word{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]} " * 20, f"l{k}") for k in range(300) for j in range(3)]
-    assert len(langid.learn(frame(rows, "doc_id long, text string, lang string"))) >= 295
+    open_to_learn = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert set(langid.learn(frame(rows, "doc_id long, text string, lang string"))) == open_to_learn and len(open_to_learn) > 256
 
 
 def test_smallest_size_wins_against_plain_compression(frame):
