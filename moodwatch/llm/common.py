@@ -29,12 +29,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: what a worker keeps between tasks: (its key, the object) by name
+_kept: dict[str, tuple[object, object]] = {}
+
+
+def kept(name: str, key: object, make: Callable[[], object]) -> object:
+    """One object a worker and name, made anew for another key."""
+    if _kept.get(name, (None,))[0] != key:
+        _kept.pop(name, None)
+        _kept[name] = key, make()
+    return _kept[name][1]
+
+
+def release(keep: str = "") -> None:
+    """Let go of what this worker has :func:`kept`, but for one name."""
+    for name in [n for n in _kept if n != keep]:
+        del _kept[name]
+
+
 def arrow_pass(df: DataFrame, columns: list[str], schema: str | StructType,
-               make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]) -> DataFrame:
+               make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], keep: str = "") -> DataFrame:
     """Run a batch function over ``columns``.  ``make`` is called once a task, on the
-    executor, so that it can open models and caches there."""
+    executor, so that it can open models and caches there.  A worker outlives its tasks:
+    what it has kept goes, but for ``keep``, before it does other work."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keep)
         work = make()
         for batch in batches:
             out = work(batch)

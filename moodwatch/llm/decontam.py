@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodwatch.llm.common import arrow_pass
+from moodwatch.llm.common import arrow_pass, kept
 
 #: edits allowed for each character of an item, and the shortest piece; shorter items must stand unchanged
 RATE, PIECE = 0.08, 12
@@ -27,8 +27,6 @@ RATE, PIECE = 0.08, 12
 BLOCK_CHARS = 1_000_000
 
 Item = tuple[int | None, str]
-_matchers: dict[int, Matcher] = {}
-
 
 def normalise(text: str | None) -> str:
     return " ".join((text or "").lower().split())
@@ -119,11 +117,7 @@ class Matcher:
 
 def _matcher(items: list[Item]) -> Matcher:
     """One matcher a worker for equal items."""
-    key = hash(tuple(items))
-    if key not in _matchers:
-        _matchers.clear()
-        _matchers[key] = Matcher(items)
-    return _matchers[key]
+    return kept("decontam", hash(tuple(items)), lambda: Matcher(items))
 
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[Item]]:
@@ -159,7 +153,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
             return work
 
-        out = out.unionByName(arrow_pass(rows, ["doc_id", "text"], schema, make))
+        out = out.unionByName(arrow_pass(rows, ["doc_id", "text"], schema, make, keep="decontam"))
     return out
 
 
@@ -177,5 +171,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
 
             return work
 
-        docs = arrow_pass(docs, docs.columns, docs.schema, make)
+        docs = arrow_pass(docs, docs.columns, docs.schema, make, keep="decontam")
     return docs

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodwatch.llm.common import arrow_pass, stored
+from moodwatch.llm.common import arrow_pass, kept, stored
 
 #: the sample the dictionaries are made of: rows a language, characters a row, bytes a dictionary; with many
 #: languages the dictionaries are smaller, so that all of them together have ``ALL_BYTES`` at most
@@ -31,9 +31,6 @@ NARROW = 0.02
 UNDETERMINED = "und"
 NO_LETTER = re.compile(r"[\W\d_]+")
 
-_models: dict[int, list] = {}
-
-
 def normalise(text: str) -> bytes:
     if not any(map(str.isalpha, text)):  # numerals such as one half are word characters, but no letters
         return b"  "
@@ -97,11 +94,7 @@ class Classifier:
 
 def _classifier(dictionaries: dict[str, bytes]) -> Classifier:
     """One classifier a worker for equal dictionaries."""
-    key = hash(tuple(sorted(dictionaries.items())))
-    if key not in _models:
-        _models.clear()
-        _models[key] = Classifier(dictionaries)
-    return _models[key]
+    return kept("langid", hash(tuple(sorted(dictionaries.items()))), lambda: Classifier(dictionaries))
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id",
@@ -129,7 +122,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
                        F.col(text_col).alias("text"))
     return arrow_pass(rows, ["doc_id", "held_out", "text"],
-                      "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean", make)
+                      "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean", make, keep="langid")
 
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:
@@ -146,4 +139,4 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: s
 
         return work
 
-    return arrow_pass(docs, docs.columns, docs.schema, make)
+    return arrow_pass(docs, docs.columns, docs.schema, make, keep="langid")

@@ -116,7 +116,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     return arrow_pass(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
-                      ["doc_id", "text"], schema, make)
+                      ["doc_id", "text"], schema, make, keep="tokens")
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:

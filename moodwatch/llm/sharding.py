@@ -22,7 +22,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodwatch.llm.common import running_total, stored
+from moodwatch.llm.common import hot_join, running_total, stored
 
 SHARDS = 40
 #: bytes that a document counts besides its text
@@ -116,7 +116,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
         F.crc32(F.encode(content, "UTF-8")).alias("text_crc32"),
         F.coalesce(F.unhex(F.sha2(F.encode(F.col(text_col), "UTF-8"), 256)), F.lit(bytearray())).alias("copy_key"))
     rows = stored(rows, "shard_rows")
-    groups = stored(rows.groupBy("copy_key").agg(F.min("doc_id").alias("first_id"), F.sum("size").alias("bytes")),
+    groups = stored(rows.groupBy("copy_key").agg(F.min("doc_id").alias("first_id"), F.sum("size").alias("bytes"),
+                                                    F.count("*").alias("rows")),
                     "shard_groups")
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     left, own = shards, []
@@ -129,17 +130,17 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     if own:
         rest = groups.where(~F.col("copy_key").isin(own))
     placed = stored(running_total(rest, ["first_id", "copy_key"], "bytes", "start")
-                    .select("copy_key", "start", (F.col("start") + F.col("bytes")).alias("end")), "shard_places")
+                    .select("copy_key", "rows", "start", (F.col("start") + F.col("bytes")).alias("end")), "shard_places")
     cuts = minimax_cuts(placed.select("end"), total, left) if total else []
     # the place of the last cut at or before the start: cuts are fewer than the shards
     number = F.lit(0)
     for k, cut in enumerate(cuts):
         number = F.when(F.col("start") >= cut, F.lit(k + 1)).otherwise(number)
-    placed = placed.select("copy_key", number.alias("shard"))
+    placed = placed.select("copy_key", "rows", number.alias("shard"))
     for k, key in enumerate(own):
-        one = groups.where(F.col("copy_key") == F.lit(key)).select("copy_key", F.lit(left + k).alias("shard"))
+        one = groups.where(F.col("copy_key") == F.lit(key)).select("copy_key", "rows", F.lit(left + k).alias("shard"))
         placed = placed.unionByName(one)
-    dealt = rows.join(placed, "copy_key").select("doc_id", "size", "text_crc32", "shard", "copy_key")
+    dealt = hot_join(rows, placed, "copy_key", "rows").select("doc_id", "size", "text_crc32", "shard", "copy_key")
     dealt = running_total(dealt, ["shard", "doc_id", "copy_key"], F.lit(1), "place")
     firsts = dealt.groupBy("shard").agg(F.min("place").alias("first_place"))
     return (dealt.join(F.broadcast(firsts), "shard")  # one row a shard

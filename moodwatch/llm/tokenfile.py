@@ -49,7 +49,7 @@ def encode(docs: DataFrame, path: str, end_id: int = END_ID, keep: tuple[str, ..
         return work
 
     return arrow_pass(docs, ["doc_id", "text", *keep],
-                      ", ".join(["doc_id long, ids array<int>, n_tokens long", *kept]), make)
+                      ", ".join(["doc_id long, ids array<int>, n_tokens long", *kept]), make, keep="tokens")
 
 
 def write_tokens(docs: DataFrame, target: str, path: str | None = None, end_id: int = END_ID,

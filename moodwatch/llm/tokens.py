@@ -18,6 +18,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
+from moodwatch.llm.common import kept
+
 #: white space other than blank, tab, line feed and carriage return; final sigma; special tokens
 WHOLE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u3000\ufeff\u03a3]|<\\|")
 #: kinds of bytes: a unit ends before a blank that stands behind anything else, and before a sign behind an
@@ -37,9 +39,6 @@ SEPARATOR = "<|endoftext|>"
 #: new units encoded as one text, and bytes of a column that are worked on at once (or one text)
 TOGETHER, CHUNK = 1024, 8 << 20
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
-
-
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -144,7 +143,5 @@ class Encoder:
 
 
 def encoder(path: str, spaces: bool) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    if (path, spaces) not in _encoders:
-        _encoders[path, spaces] = Encoder(path, spaces)
-    return _encoders[path, spaces]
+    """The worker's encoder for a vocabulary file, :func:`kept` as ``tokens``."""
+    return kept("tokens", (path, spaces), lambda: Encoder(path, spaces))

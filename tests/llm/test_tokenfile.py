@@ -66,3 +66,28 @@ def test_pruned_read(spark, frame, prose):
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "doc_id" in plan.split("PushedFilters")[1]
     assert {r.doc_id: r.ids[:-1] for r in some.collect()} == {k: plain(prose(20, k)) for k in (5, 250)}
+
+
+def test_a_worker_keeps_one_object_a_name():
+    from moodwatch.llm import common
+    path = tokens.tokenizer_path(tokenfile.TOKENIZER)
+    one = tokens.encoder(path, True)
+    assert tokens.encoder(path, True) is one and tokens.encoder(path, False) is not one
+    common.release("tokens")
+    assert common._kept.keys() == {"tokens"}
+    common.release()
+    assert not common._kept
+
+
+def test_other_work_lets_go_of_what_a_worker_kept(spark, frame):
+    from moodwatch.llm import common
+
+    def make():
+        def work(batch):
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(common._kept)] * batch.num_rows, pa.int64())], ["doc_id", "n"])
+
+        return work
+
+    docs = frame([(k, "some words") for k in range(8)], SCHEMA).coalesce(1)
+    tokenfile.encode(docs, tokens.tokenizer_path(tokenfile.TOKENIZER)).collect()
+    assert all(r.n == 0 for r in common.arrow_pass(docs, ["doc_id"], "doc_id long, n long", make).collect())
