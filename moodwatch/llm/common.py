@@ -29,6 +29,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: rows that a pass works on at once
+ROWS = 2000
 #: what a worker keeps between tasks: (its key, the object) by name
 _kept: dict[str, tuple[object, object]] = {}
 
@@ -57,9 +59,10 @@ def arrow_pass(df: DataFrame, columns: list[str], schema: str | StructType,
         release(keep)
         work = make()
         for batch in batches:
-            out = work(batch)
-            if out is not None and out.num_rows:
-                yield out
+            for at in range(0, batch.num_rows, ROWS):  # a batch in the worker's own form takes several times its size
+                out = work(batch.slice(at, ROWS))
+                if out is not None and out.num_rows:
+                    yield out
 
     return df.select(*columns).mapInArrow(run, schema)
 

@@ -27,7 +27,7 @@ ORC_OPTIONS = {
     "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
-    "compression": "zstd",
+    "compression": "lz4",
 }
 
 

@@ -33,11 +33,11 @@ ENDS = np.zeros(64, bool)
 ENDS[[8 * BLANK + 0, 8 * BLANK + LETTER, 8 * BLANK + SIGN, 8 * SIGN + LETTER]] = True
 #: entries a worker keeps (about 200 bytes each), in two generations: units not seen since the younger
 #: one began go when it is full.  Longer units aren't kept
-CACHE_ENTRIES, CACHE_BYTES = 600_000, 256
+CACHE_ENTRIES, CACHE_BYTES = 400_000, 256
 #: a special token of both vocabularies; no unit but a whole text holds it, and a text is cut there before anything else
 SEPARATOR = "<|endoftext|>"
 #: new units encoded as one text, and bytes of a column that are worked on at once (or one text)
-TOGETHER, CHUNK = 1024, 8 << 20
+TOGETHER, CHUNK = 1024, 4 << 20
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
