@@ -20,6 +20,8 @@ from moodwatch.session import materialize
 # Hot-key lists are broadcast; never more keys than this.
 MAX_HOT_KEYS = 100_000
 DEFAULT_BUCKETS = 32
+# Keys that a frequent-items sketch follows.
+TRACKED = 20_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, top: int | None = None) -> DataFrame:
@@ -41,6 +43,26 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01, top: int | None = Non
     return counts.where(F.col("_n") >= total * F.lit(share)).select(key)
 
 
+def key_sketch(df: DataFrame, key: str, tracked: int = TRACKED) -> DataFrame:
+    """(rows, sketch) in one row: the rows with a key, and a frequent-items sketch of the keys as text.
+    Sketches of parts are merged by :func:`heavy_keys`; one pass, one row a task."""
+    named = df.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_k"))
+    return named.agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k_accumulate(_k, {tracked})").alias("sketch"))
+
+
+def heavy_keys(sketches: DataFrame, key: str, share: float, tracked: int = TRACKED) -> DataFrame:
+    """(key, n) of the keys with at least ``share`` of all rows, from sketches of all parts.
+
+    Counts are exact while there are fewer different keys than ``tracked``, and then too large or
+    small by about ``4 / tracked`` of all rows at most, so ``share`` has to be well above that."""
+    if share * tracked < 100:
+        raise ValueError(f"a share of {share} needs a sketch of at least {100 / share:.0f} items")
+    parts = sketches.where("rows > 0")
+    merged = parts.agg(F.sum("rows").alias("rows"), F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).where("rows > 0")
+    found = merged.select("rows", F.expr(f"inline(approx_top_k_estimate(sketch, {int(1 / share) + 1}))").alias("_k", "n"))
+    return found.where(F.col("n") >= F.col("rows") * F.lit(share)).select(F.col("_k").alias(key), F.col("n").cast("bigint").alias("n"))
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, how: str = "left",
                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys spread over ``buckets`` tasks.

@@ -508,6 +508,9 @@ SELECT NULL, value, reason, count(*) FROM ({rejected}) GROUP BY ALL"""
     q["stream_comment_dedup"] = _with(*dec) + "SELECT comment_id, monitor_id, like_count, user_id, text FROM valid"
     q["stream_comment_dedup_within"] = q["stream_comment_dedup"]
     q["stream_comment_dedup_ledger"] = q["stream_comment_dedup"]
+    q["stream_gender_heavy"] = q["gender_counts"]
+    q["stream_heavy_users"] = _with(*dec) + """SELECT user_id, count(*) AS n FROM valid WHERE user_id IS NOT NULL
+GROUP BY user_id HAVING count(*) >= (SELECT count(user_id) FROM valid) * 0.01::DOUBLE"""
     q["stream_model"] = q["nb_vocab_score"]
     q["stream_line_word_count"] = (f"SELECT word, count(*) AS n FROM (SELECT unnest({jvm_split('line', ',', ',')}) "
                                    f"AS word FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) "

@@ -319,6 +319,27 @@ def q_stream_model(spark, d):
     return s.select("doc_id", "prediction", F.round("p0", 6).alias("p0"), F.round("p1", 6).alias("p1"))
 
 
+def _gender_heavy(spark, d) -> tuple[str, str]:
+    """The gender sink and the sink of sketches of a run that salts heavy users (not a query)."""
+    from moodwatch.streaming import apps
+    sink, heavy = fresh_dir(spark, "sink-gender-heavy"), fresh_dir(spark, "sketches")
+    users = fx.users(spark, d)
+    apps.gender_app(_read(spark, _comment_topic(spark, d)), users, sink, fresh_dir(spark, "ckpt-gender-heavy"), available_now=True,
+                    heavy=heavy).awaitTermination()
+    return sink, heavy
+
+
+def q_stream_heavy_users(spark, d):
+    """J1's heavy users from sketches merged over the batches: users with 1% of all comments."""
+    from moodwatch.streaming import apps
+    return apps.read_heavy(spark, _gender_heavy(spark, d)[1], 0.01)
+
+
+def q_stream_gender_heavy(spark, d):
+    """J1+A4 where each batch salts the users that were heavy before."""
+    return changelog.totals_view(spark, _gender_heavy(spark, d)[0], ["monitor_id", "gender"], ["n"])
+
+
 def q_stream_line_word_count(spark, d):
     """S2 + T4 + A5: document texts replayed as a text line stream, split on commas."""
     path = fresh_dir(spark, "lines")

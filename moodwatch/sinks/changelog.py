@@ -36,7 +36,7 @@ from pyspark.sql.types import StructType
 
 BATCH = "batch_id"
 MANIFEST, RUNS = "manifest", "runs"
-CLUSTER = "key_cluster"
+CLUSTER, DAY = "key_cluster", "key_day"
 #: folders of a run; a folder has FANOUT**level files, MAX_SPLITS at most
 CLUSTERS, MAX_SPLITS = 16, 64
 #: runs of a level that become one of the next
@@ -153,6 +153,8 @@ class Run:
     schema: str
     cluster_by: str | None = None
     clusters: list[int] | None = None
+    day_of: str | None = None
+    days: list[str] | None = None
 
 
 def _manifests(spark: SparkSession, root: str) -> list[int]:
@@ -208,11 +210,18 @@ def only(df: DataFrame, of: Mapping[str, object] | None) -> DataFrame:
     return df
 
 
-def _read_run(spark: SparkSession, root: str, run: Run, of: Mapping[str, object] | None = None) -> DataFrame | None:
-    """A run's rows; None where its clusters can't hold the key asked for.  Keys are columns of
+def _read_run(spark: SparkSession, root: str, run: Run, of: Mapping[str, object] | None = None,
+              since: str | None = None) -> DataFrame | None:
+    """A run's rows; None where its clusters can't hold the key asked for.  ``since``: only days from
+    that one on, of a run that is laid out by day.  Keys are columns of
     the files; only the cluster number, an integer, is a folder name, so no key changes its type."""
     schema = StructType.fromJson(json.loads(run.schema))
-    df = spark.read.schema(schema if run.cluster_by is None else schema.add(CLUSTER, "integer")).parquet(f"{root}/{run.path}")
+    for name, kind in ((CLUSTER, "integer"), (DAY, "date")):
+        if name == CLUSTER and run.cluster_by is not None or name == DAY and run.day_of is not None:
+            schema = schema.add(name, kind)
+    df = spark.read.schema(schema).parquet(f"{root}/{run.path}")
+    if since is not None and run.day_of is not None:
+        df = df.where(F.col(DAY) >= F.lit(since).cast("date"))
     if run.cluster_by is not None and run.cluster_by in (of or {}):
         wanted = F.lit(of[run.cluster_by]).cast(df.schema[run.cluster_by].dataType)
         number = spark.sql("SELECT 1").select(cluster(wanted)).first()[0]  # a constant, no job
@@ -223,21 +232,40 @@ def _read_run(spark: SparkSession, root: str, run: Run, of: Mapping[str, object]
 
 
 def _with_snapshot(spark: SparkSession, path: str, snapshot: str | None, upto: int | None = None,
-                   of: Mapping[str, object] | None = None) -> DataFrame:
+                   of: Mapping[str, object] | None = None, since: str | None = None) -> DataFrame:
     """The log up to ``upto``, or the snapshot's runs plus only the batches after them; with
-    ``of`` only the rows of those key values."""
+    ``of`` only the rows of those key values, with ``since`` only those days of the runs."""
     live = runs(spark, snapshot) if snapshot is not None else []
     if not live:
         return only(read_log(spark, path, upto=upto), of)
     schema = StructType.fromJson(json.loads(live[-1].schema))
     out = only(read_log(spark, path, after=live[-1].last, upto=upto, schema=schema), of)
     for run in live:
-        folded = _read_run(spark, snapshot, run, of)
+        folded = _read_run(spark, snapshot, run, of, since)
         if folded is not None:
-            out = out.unionByName(folded.drop(CLUSTER), allowMissingColumns=True)
+            out = out.unionByName(folded.drop(CLUSTER, DAY), allowMissingColumns=True)
     return out
 
 
+def newest(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str], snapshot: str | None, hour: str, n: int,
+           of: Mapping[str, object], additive: bool = True) -> DataFrame:
+    """The view of one key (``of``), with at least its ``n`` newest hours: runs are read backwards by
+    day, twice as many days each time, until the hours are found."""
+    days = sorted({d for r in (runs(spark, snapshot) if snapshot is not None else []) for d in r.days or ()}, reverse=True)
+    width = max(1, -(-n // 24) + 1)
+    while True:
+        since = days[width - 1] if width < len(days) else None
+        log = _with_snapshot(spark, path, snapshot, of=of, since=since)
+        view = _fold_totals(log, keys, values) if additive else _fold_latest(log, keys, ())
+        if since is None:
+            return view
+        # days before ``since`` that only newer batches hold are not whole, those after it are
+        whole = view.where(F.col(hour) >= F.lit(since).cast("date"))
+        if whole.select(hour).distinct().limit(n).count() >= n:
+            return whole
+        width *= 2
+
+
 def latest_view(spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str] = (),
                 snapshot: str | None = None, of: Mapping[str, object] | None = None) -> DataFrame:
     """Latest value per key from the log and its snapshot; ``of`` asks for some keys only."""
@@ -267,9 +295,10 @@ def cluster(column: str | Column, clusters: int = CLUSTERS) -> Column:
 
 
 def _write_run(df: DataFrame, keys: Sequence[str], root: str, first: int, last: int, level: int,
-               cluster_by: str | None) -> Run:
-    """Write a run in the order of its keys.  Text keys get Bloom filters."""
-    df = df.drop(BATCH, CLUSTER)
+               cluster_by: str | None, day_of: str | None = None) -> Run:
+    """Write a run in the order of its keys.  Text keys get Bloom filters; ``day_of`` (with a cluster)
+    lays a folder out by the days of a column."""
+    df = df.drop(BATCH, CLUSTER, DAY)
     path = f"{RUNS}/{first}-{last}-{uuid.uuid4().hex[:8]}"
     order = [cluster_by, *(k for k in keys if k != cluster_by)] if cluster_by else list(keys)
     writer = df if cluster_by is None else df.withColumn(CLUSTER, cluster(cluster_by))
@@ -278,16 +307,23 @@ def _write_run(df: DataFrame, keys: Sequence[str], root: str, first: int, last:
         # rows of one heavy key are spread over the splits
         splits = min(FANOUT ** level, MAX_SPLITS)
         split = F.pmod(F.xxhash64(*keys), F.lit(splits))
-        writer = writer.repartition(CLUSTERS * splits, CLUSTER, split).sortWithinPartitions(CLUSTER, *order)
+        if day_of is not None:
+            writer = writer.withColumn(DAY, F.to_date(day_of))
+        by = [CLUSTER] if day_of is None else [CLUSTER, DAY]
+        writer = writer.repartition(CLUSTERS * splits, CLUSTER, split).sortWithinPartitions(*by, *order)
     out = writer.write.option("parquet.bloom.filter.adaptive.enabled", "true")
     for field in df.schema:
         if field.name in keys and field.dataType.typeName() == "string":
             out = out.option(f"parquet.bloom.filter.enabled#{field.name}", "true")
-    (out if cluster_by is None else out.partitionBy(CLUSTER)).parquet(f"{root}/{path}")
+    (out if cluster_by is None else out.partitionBy(*by)).parquet(f"{root}/{path}")
     spark = df.sparkSession
     rows = spark.read.schema(df.schema).parquet(f"{root}/{path}").count()  # from the files' footers
     folders = None if cluster_by is None else sorted(int(n.split("=")[1]) for n in _names(spark, f"{root}/{path}") if n.startswith(f"{CLUSTER}="))
-    return Run(path, first, last, level, rows, df.schema.json(), cluster_by, folders)
+    days = None
+    if day_of is not None:
+        found = {n.split("=")[1] for c in folders for n in _names(spark, f"{root}/{path}/{CLUSTER}={c}") or () if n.startswith(f"{DAY}=")}
+        days = sorted(d for d in found if d[:1].isdigit())
+    return Run(path, first, last, level, rows, df.schema.json(), cluster_by, folders, day_of, days)
 
 
 def _new_batches(spark: SparkSession, path: str, snapshot: str) -> tuple[list[Run], list[int]]:
@@ -297,7 +333,7 @@ def _new_batches(spark: SparkSession, path: str, snapshot: str) -> tuple[list[Ru
 
 
 def _compact(spark: SparkSession, path: str, snapshot: str, keys: Sequence[str], cluster_by: str | None,
-             fold: Callable[[DataFrame], DataFrame]) -> int | None:
+             fold: Callable[[DataFrame], DataFrame], day_of: str | None = None) -> int | None:
     live, newer = _new_batches(spark, path, snapshot)
     if not newer:
         return live[-1].last if live else None
@@ -308,9 +344,9 @@ def _compact(spark: SparkSession, path: str, snapshot: str, keys: Sequence[str],
         level += 1
     log = read_log(spark, path, after=newer[0] - 1, upto=newer[-1])
     for run in merged:
-        log = log.unionByName(_read_run(spark, snapshot, run).drop(CLUSTER), allowMissingColumns=True)
+        log = log.unionByName(_read_run(spark, snapshot, run).drop(CLUSTER, DAY), allowMissingColumns=True)
     first = merged[0].first if merged else newer[0]
-    run = _write_run(fold(log), keys, snapshot, first, newer[-1], level, cluster_by)
+    run = _write_run(fold(log), keys, snapshot, first, newer[-1], level, cluster_by, day_of)
     # published once the run is complete; of two writers one fails here and leaves no trace but its run
     number = max(_manifests(spark, snapshot), default=-1) + 1
     write_note(spark, f"{snapshot}/{MANIFEST}/{number:012d}", json.dumps([asdict(r) for r in [*live, run]]))
@@ -318,15 +354,15 @@ def _compact(spark: SparkSession, path: str, snapshot: str, keys: Sequence[str],
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot: str, seq: Sequence[str] = (),
-            cluster_by: str | None = None) -> int | None:
+            cluster_by: str | None = None, day_of: str | None = None) -> int | None:
     """Fold the batches after the snapshot into a run of it, newest row per key.  The last batch
     is fixed first; one that lands meanwhile is left for the next run.
     ``cluster_by`` (e.g. ``monitor_id``) lets point reads prune folders.
     Returns the last batch in the snapshot (None when it has none)."""
-    return _compact(spark, path, snapshot, keys, cluster_by, lambda log: _fold_latest(log, keys, seq))
+    return _compact(spark, path, snapshot, keys, cluster_by, lambda log: _fold_latest(log, keys, seq), day_of)
 
 
 def compact_totals(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
-                   snapshot: str, cluster_by: str | None = None) -> int | None:
+                   snapshot: str, cluster_by: str | None = None, day_of: str | None = None) -> int | None:
     """Additive twin of :func:`compact`: a run holds the sums of its batches."""
-    return _compact(spark, path, snapshot, keys, cluster_by, lambda log: _fold_totals(log, keys, values))
+    return _compact(spark, path, snapshot, keys, cluster_by, lambda log: _fold_totals(log, keys, values), day_of)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moodwatch.functions.constants import COMMENT_FIELDS, TREND_POINTS
-from moodwatch.operators import bayes, metrics, model, records, serve, text
+from moodwatch.operators import bayes, joins, metrics, model, records, serve, text
 from moodwatch.session import materialize
 from moodwatch.sinks import changelog
 from moodwatch.sources import topics
@@ -100,9 +100,23 @@ def word_cloud_app(lines: DataFrame, sink: str, checkpoint: str, stateful: bool
 
 def gender_app(lines: DataFrame, profiles: DataFrame, sink: str, checkpoint: str, hot: DataFrame | None = None,
                stateful: bool = False, trigger: str = jobs.DEFAULT_TRIGGER, available_now: bool = False,
-               state_partitions: int | None = None, rejects: str | None = None, **kw) -> StreamingQuery:
+               state_partitions: int | None = None, rejects: str | None = None, heavy: str | None = None,
+               share: float = 0.01, **kw) -> StreamingQuery:
     """L3 against a fixed profile table: ``com`` lines -> comments per gender.  Genders as of
-    arrival, with profiles that come while the stream runs, are :func:`arrival.gender_app`."""
+    arrival, with profiles that come while the stream runs, are :func:`arrival.gender_app`.
+
+    ``heavy`` names a sink of sketches of the commenters: each batch adds its own, and its join
+    salts the users that had ``share`` of all comments in the batches before.  No comment is
+    read for the list alone."""
+    if heavy is not None and not stateful:
+        def around(valid: DataFrame, batch_id: int) -> DataFrame:
+            changelog.write_batch(joins.key_sketch(valid, "user_id"), heavy, batch_id)
+            known = read_heavy(valid.sparkSession, heavy, share, before=batch_id)
+            return metrics.gender_join(valid, profiles, None if known is None else known.select("user_id"))
+
+        jobs.claim(lines.sparkSession, heavy, checkpoint)
+        return jobs.delta_upsert(jobs.comments(lines, keep_invalid=rejects is not None, **kw), ["monitor_id", "gender"], None, sink, checkpoint,
+                                 available_now=available_now, trigger=trigger, rejects=rejects, around=around)
     if stateful:
         return _stateful(jobs.gender(lines, profiles, hot, **kw), sink, checkpoint, rejects, trigger, available_now, state_partitions)
     return _delta(lines, ["monitor_id", "gender"], None, sink, checkpoint, lambda c: metrics.gender_join(c, profiles, hot),
@@ -143,6 +157,15 @@ def read_model(spark: SparkSession, sink: str, snapshot: str | None = None) -> b
     return bayes.fit_log(changelog.totals_view(spark, sink, bayes.LOG_KEYS, bayes.LOG_SUMS, snapshot))
 
 
+def read_heavy(spark: SparkSession, sink: str, share: float, before: int | None = None) -> DataFrame | None:
+    """(user_id, n) of the users with ``share`` of all comments so far (or in the batches ``before``
+    one), from the sink of sketches; None where there is no batch."""
+    wanted = [i for i in changelog.batches(spark, sink) if before is None or i < before]
+    if not wanted:
+        return None
+    return joins.heavy_keys(changelog.read_log(spark, sink, upto=wanted[-1]), "user_id", share)
+
+
 def read_rejects(spark: SparkSession, sink: str) -> DataFrame:
     """The lines that a running app couldn't decode: (batch_id, value, reason)."""
     return changelog.read_log(spark, sink, schema="value string, reason string").select(changelog.BATCH, "value", "reason")
@@ -173,22 +196,31 @@ def compact_sink(spark: SparkSession, what: str, sink: str, snapshot: str, state
     keys, values = SINKS[what]
     if what == "users":
         return changelog.compact(spark, sink, keys, snapshot, topics.ORDER, cluster_by="user_id")
+    day_of = "hour" if what == "trend" else None
     if stateful:
-        return changelog.compact(spark, sink, keys, snapshot, cluster_by="monitor_id")
-    return changelog.compact_totals(spark, sink, keys, values, snapshot, cluster_by="term" if what == "model" else "monitor_id")
+        return changelog.compact(spark, sink, keys, snapshot, cluster_by="monitor_id", day_of=day_of)
+    return changelog.compact_totals(spark, sink, keys, values, snapshot, "term" if what == "model" else "monitor_id", day_of)
 
 
 def read_trend(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
                points: int | None = None, snapshot: str | None = None) -> DataFrame:
-    """Q1: the trend (newest ``points`` hours per monitor when given)."""
-    wide = _counts(spark, sink, "trend", stateful, snapshot, monitor_id=monitor_id)
+    """Q1: the trend (newest ``points`` hours per monitor when given).  For one monitor the
+    snapshot is read backwards by day, as far as the points are."""
+    wide = _trend(spark, sink, monitor_id, stateful, points, snapshot)
     return wide if points is None else serve.trend_last(wide, points, monitor_id)
 
 
+def _trend(spark, sink, monitor_id, stateful, points, snapshot) -> DataFrame:
+    if points is None or monitor_id is None or snapshot is None:
+        return _counts(spark, sink, "trend", stateful, snapshot, monitor_id=monitor_id)
+    keys, values = SINKS["trend"]
+    return changelog.newest(spark, sink, keys, values, snapshot, "hour", points, {"monitor_id": monitor_id}, additive=not stateful)
+
+
 def read_series(spark: SparkSession, sink: str, monitor_id=None, stateful: bool = False,
                 points: int = TREND_POINTS, snapshot: str | None = None) -> DataFrame:
     """Q3+Q4: the aligned series of the trend chart, per monitor."""
-    return serve.trend_series(_counts(spark, sink, "trend", stateful, snapshot, monitor_id=monitor_id), points)
+    return serve.trend_series(_trend(spark, sink, monitor_id, stateful, points, snapshot), points)
 
 
 def read_word(spark: SparkSession, sink: str, monitor_id, word: str, stateful: bool = False,

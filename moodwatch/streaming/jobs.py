@@ -164,11 +164,13 @@ def upsert(df: DataFrame, sink: str, checkpoint: str, trigger: str | None = DEFA
 def delta_upsert(rows: DataFrame, keys: Sequence[str], sums: dict[str, object] | None, sink: str,
                  checkpoint: str, available_now: bool = False, trigger: str | None = DEFAULT_TRIGGER,
                  name: str | None = None,
-                 prepare: Callable[[DataFrame], DataFrame] | None = None, rejects: str | None = None) -> StreamingQuery:
+                 prepare: Callable[[DataFrame], DataFrame] | None = None, rejects: str | None = None,
+                 around: Callable[[DataFrame, int], DataFrame] | None = None) -> StreamingQuery:
     """Additive running totals without a state store.  ``prepare`` turns a batch's rows into
     the rows to sum, e.g. by a join with a table as it is when the batch arrives.  ``rejects``:
     a second sink for the rows with a ``_reason`` (see :func:`comments`); a replayed batch
-    replaces its rows in both.
+    replaces its rows in both.  ``around`` is ``prepare`` with the batch's id, for what
+    depends on the batches before.
 
     Each micro-batch of raw ``rows`` is aggregated inside ``foreachBatch`` (an
     ordinary batch plan: partial aggregation, AQE) and written as that batch's
@@ -183,7 +185,8 @@ def delta_upsert(rows: DataFrame, keys: Sequence[str], sums: dict[str, object] |
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with accepted(batch, batch_id, rejects) as valid:
-            delta = (valid if prepare is None else prepare(valid)).groupBy(*keys).agg(*[e.cast("bigint").alias(k) for k, e in exprs.items()])
+            made = around(valid, batch_id) if around is not None else valid if prepare is None else prepare(valid)
+            delta = made.groupBy(*keys).agg(*[e.cast("bigint").alias(k) for k, e in exprs.items()])
             changelog.write_batch(delta, sink, batch_id)
 
     _claim_all(rows.sparkSession, checkpoint, sink, rejects)

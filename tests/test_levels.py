@@ -1,6 +1,7 @@
 """Levelled compaction of the change log, and reads of one key that prune it."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +158,35 @@ def test_batches_without_rows(spark):
     changelog.write_batch(_batch(spark, 0, 3), sink, 2)
     changelog.compact_totals(spark, sink, KEYS, ["n"], snap, "monitor_id")
     assert changelog.totals_view(spark, sink, KEYS, ["n"], snapshot=snap).count() == 3
+
+
+def _hours(spark, start, n, monitor="m1", step=1):
+    return spark.range(n).select(F.lit(monitor).alias("monitor_id"),
+                                 F.expr(f"timestamp_ntz'{start}' + make_interval(0, 0, 0, 0, cast(id as int) * {step})").alias("hour"),
+                                 F.lit(1).cast("long").alias("positive"), F.lit(0).cast("long").alias("negative"), F.lit(2).cast("long").alias("neutral"))
+
+
+def test_trend_of_one_monitor_reads_the_newest_days_only(spark):
+    sink, snap = fresh_dir(spark, "ld-sink"), fresh_dir(spark, "ld-snap")
+    for b, start in enumerate(("2024-01-01 00:00:00", "2024-03-01 00:00:00", "2024-05-01 00:00:00")):
+        # m1 has every hour, m2 one hour in a week
+        both = _hours(spark, start, 24 * 40).unionByName(_hours(spark, start, 6, "m2", 24 * 7))
+        changelog.write_batch(both, sink, b)
+        apps.compact_sink(spark, "trend", sink, snap)
+    changelog.write_batch(_hours(spark, "2024-06-09 20:00:00", 6), sink, 3)  # repeats four hours of the last run
+    whole = {m: [r for r in sorted(changelog.totals_view(spark, sink, ["monitor_id", "hour"], ["positive", "negative", "neutral"]).collect(),
+                                   key=lambda r: r.hour) if r.monitor_id == m] for m in ("m1", "m2")}
+    for m, n in (("m1", 50), ("m1", 5), ("m1", 2000), ("m2", 50), ("m2", 7), ("m3", 50)):
+        got = apps.read_trend(spark, sink, m, points=n, snapshot=snap)
+        assert [(r.hour, r.positive, r.neutral) for r in got.collect()] == [(r.hour, r.positive, r.neutral) for r in whole.get(m, [])[-n:]], (m, n)
+    view = apps._trend(spark, sink, "m1", False, 50, snap)
+    plan = _plan(view)
+    since = re.findall(rf"PartitionFilters: \[[^\]]*{changelog.DAY}#\d+ >= (\d{{4}}-\d\d-\d\d)", plan)
+    assert len(since) == 3 and min(since) >= "2024-06-06"
+    read = changelog._with_snapshot(spark, sink, snap, of={"monitor_id": "m1"}, since=since[0]).select(F.input_file_name().alias("f")).distinct()
+    days = {r.f.split(f"{changelog.DAY}=")[1].split("/")[0] for r in read.collect() if changelog.DAY in r.f}
+    assert len(days) <= 4 and min(days) >= "2024-06-06"
+    series = apps.read_series(spark, sink, "m1", snapshot=snap).first()
+    assert len(series.x) == 50 and series.y1[-1] == 1
+    (run,) = [r for r in changelog.runs(spark, snap) if r.last == 2]
+    assert run.days[0] == "2024-05-01" and run.days[-1] == "2024-06-09"

@@ -130,3 +130,44 @@ def test_rows_without_a_user_are_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_heavy_keys_from_merged_sketches(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit("warm"))
+                                      .otherwise(F.concat(F.lit("u"), F.col("id"))).alias("user_id"))
+    parts = [joins.key_sketch(rows.where(F.pmod(F.xxhash64("user_id", F.rand(1)), F.lit(4)) == k), "user_id") for k in range(4)]
+    parts.append(joins.key_sketch(spark.createDataFrame([(None,)], "user_id string"), "user_id"))
+    sketches = parts[0]
+    for p in parts[1:]:
+        sketches = sketches.unionByName(p)
+    path = fresh_dir(spark, "sketches")
+    joins.key_sketch(rows, "user_id").unionByName(joins.key_sketch(spark.createDataFrame([], "user_id string"), "user_id")).write.parquet(path)
+    found = {r.user_id: r.n for r in joins.heavy_keys(spark.read.parquet(path), "user_id", 0.01).collect()}
+    exact = {r.user_id: r["count"] for r in rows.groupBy("user_id").count().where("count >= 300").collect()}
+    assert set(found) == set(exact) == {"hot", "warm"}
+    assert all(abs(found[k] - exact[k]) <= 4 * 30_000 / joins.TRACKED for k in exact)
+    assert {r.user_id for r in joins.heavy_keys(sketches, "user_id", 0.01).collect()} == set(exact)
+
+
+def test_small_share_needs_a_larger_sketch(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        joins.heavy_keys(joins.key_sketch(spark.createDataFrame([("a",)], "k string"), "k", 100), "k", 0.01, 100)
+
+
+def test_stream_salts_who_was_heavy_before(spark, sf_small):
+    from moodwatch.sinks import changelog
+    from moodwatch.streaming import apps
+    c = _skewed_comments(spark, sf_small)
+    from moodwatch.operators import records
+    topic, sink, heavy = fresh_dir(spark, "hv-topic"), fresh_dir(spark, "hv-sink"), fresh_dir(spark, "hv-sketches")
+    lines = records.encode_comments(c.drop("created_at").withColumnRenamed("ts", "created_at"))
+    topics.write_topic(lines, topic, files=3)
+    users = fx.users(spark, sf_small)
+    apps.gender_app(topics.read_topic(spark, topic, max_files_per_trigger=1), users, sink, fresh_dir(spark, "hv-ck"), available_now=True,
+                    heavy=heavy, share=0.2).awaitTermination()
+    got = changelog.totals_view(spark, sink, ["monitor_id", "gender"], ["n"])
+    want = metrics.gender_counts(metrics.gender_join(records.decode_comments(lines), users))
+    assert _rows(got.select("monitor_id", "gender", "n")) == _rows(want)
+    assert [r.user_id for r in apps.read_heavy(spark, heavy, 0.2).collect()] == ["1"]
+    assert apps.read_heavy(spark, heavy, 0.2, before=0) is None and apps.read_heavy(spark, heavy, 0.2, before=1).first().user_id == "1"
