@@ -487,6 +487,19 @@ def q_monitor_table(spark, d):
     return read_monitors(spark, path)
 
 
+def q_monitor_register(spark, d):
+    """K6 by two writers: the suppliers registered in two parts, each with a range of ids of its own."""
+    from moodwatch.session import fresh_dir
+    from moodwatch.sources.tables import append_monitors_table, read_monitors, register_monitors
+    path = fresh_dir(spark, "monitor-register")
+    append_monitors_table(fx.monitors(spark, d), path)
+    new = fx.new_monitors(spark, d)
+    half = F.length("name") + F.ascii(F.substring("name", -1, 1))
+    for part in range(2):
+        register_monitors(new.where(half % 2 == part), path, created=APPEND_DATE)
+    return read_monitors(spark, path)
+
+
 def q_sentiment_loaded(spark, d):
     """The model saved, loaded and applied."""
     from moodwatch.session import fresh_dir

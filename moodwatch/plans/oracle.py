@@ -435,6 +435,12 @@ SELECT 'com', concat_ws('|', CAST(comment_id AS VARCHAR), CAST(owner_id AS VARCH
     q["comment_frontier"] = _with(USERS, POSTS) + """SELECT DISTINCT CAST(post_id AS VARCHAR) AS post_id, CAST(mid AS VARCHAR) AS mid,
        concat('https://search.example.org/api/comments?id=', post_id, '&mid=', mid) AS url FROM posts"""
     q["monitor_table"] = q["monitor_list"] + "\nUNION ALL\n(" + q["monitor_append"] + ")"
+    q["monitor_register"] = q["monitor_list"] + f"""
+UNION ALL
+SELECT CAST((SELECT max(c_custkey) FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+         + row_number() OVER (ORDER BY (length(s.s_name) + ascii(right(s.s_name, 1))) % 2, s.s_name) AS BIGINT),
+       s.s_name, n.n_name, DATE {_q(B.APPEND_DATE)}
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey"""
     q["table_put"] = _with(USERS) + """SELECT user_id, user_name, CASE WHEN user_number % 2 = 0 THEN NULL ELSE gender END AS gender,
        description, follow_count, followers_count FROM users"""
     q["comment_dedup"] = _with(*dec) + "SELECT comment_id, monitor_id, like_count + 1 AS like_count, user_id, text FROM valid"

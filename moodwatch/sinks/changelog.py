@@ -66,7 +66,7 @@ def _fs(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
 
-def _names(spark: SparkSession, path: str) -> list[str] | None:
+def names(spark: SparkSession, path: str) -> list[str] | None:
     """Names in a folder, by one listing; None where it doesn't exist."""
     fs, root = _fs(spark, path)
     return [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else None
@@ -97,6 +97,16 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the data files of a finished folder into another one, each in one step."""
+    fs, root = _fs(spark, target)
+    fs.mkdirs(root)
+    for name in names(spark, source) or ():
+        if name.startswith("part-") and not fs.rename(_fs(spark, f"{source}/{name}")[1], _fs(spark, f"{target}/{name}")[1]):
+            raise OSError(f"{source}/{name} could not be moved to {target}")
+    delete(spark, source)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, at = _fs(spark, path)
     fs.delete(at, True)
@@ -119,10 +129,10 @@ def write_batch(df: DataFrame, path: str, batch_id: int, seq: str | None = None)
 
 def batches(spark: SparkSession, path: str) -> list[int]:
     """Ids of the batches in the log; raises where there is no log."""
-    names = _names(spark, path)
-    if names is None:
+    found = names(spark, path)
+    if found is None:
         raise FileNotFoundError(f"no sink at {path}")
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BATCH}="))
+    return sorted(int(n.split("=", 1)[1]) for n in found if n.startswith(f"{BATCH}="))
 
 
 def read_log(spark: SparkSession, path: str, after: int | None = None, upto: int | None = None,
@@ -158,7 +168,7 @@ class Run:
 
 
 def _manifests(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(n) for n in _names(spark, f"{root}/{MANIFEST}") or () if n.isdigit())
+    return sorted(int(n) for n in names(spark, f"{root}/{MANIFEST}") or () if n.isdigit())
 
 
 def _manifest(spark: SparkSession, root: str, number: int) -> list[Run] | None:
@@ -318,10 +328,10 @@ def _write_run(df: DataFrame, keys: Sequence[str], root: str, first: int, last:
     (out if cluster_by is None else out.partitionBy(*by)).parquet(f"{root}/{path}")
     spark = df.sparkSession
     rows = spark.read.schema(df.schema).parquet(f"{root}/{path}").count()  # from the files' footers
-    folders = None if cluster_by is None else sorted(int(n.split("=")[1]) for n in _names(spark, f"{root}/{path}") if n.startswith(f"{CLUSTER}="))
+    folders = None if cluster_by is None else sorted(int(n.split("=")[1]) for n in names(spark, f"{root}/{path}") if n.startswith(f"{CLUSTER}="))
     days = None
     if day_of is not None:
-        found = {n.split("=")[1] for c in folders for n in _names(spark, f"{root}/{path}/{CLUSTER}={c}") or () if n.startswith(f"{DAY}=")}
+        found = {n.split("=")[1] for c in folders for n in names(spark, f"{root}/{path}/{CLUSTER}={c}") or () if n.startswith(f"{DAY}=")}
         days = sorted(d for d in found if d[:1].isdigit())
     return Run(path, first, last, level, rows, df.schema.json(), cluster_by, folders, day_of, days)
 

@@ -7,9 +7,16 @@ a JDBC URL it is read through ``spark.read.jdbc`` (one query, or
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodwatch.sinks import changelog
+
+#: times that a writer looks for a free range of ids
+TRIES = 200
 MONITOR_COLUMNS = ("monitor_id", "name", "words", "created")
 
 
@@ -42,6 +49,56 @@ def append_monitors_table(rows: DataFrame, path: str | None = None, url: str | N
             .write.mode("append").parquet(path)
 
 
+def register_monitors(new: DataFrame, path: str, order: Sequence[str] = ("name",), created=None) -> tuple[int, int]:
+    """K6 with several writers: append ``(name, words)`` rows to the table at ``path`` under ids of
+    their own; returns the first and the last id.
+
+    A writer reserves its range of ids before it writes, by a file that only one can create
+    (``_ids/<first id>``, with the last id in it); who comes second takes the next range.  A
+    writer that dies leaves a gap, never an id twice.  Ids follow ``order``."""
+    from moodwatch.operators.monitors import dense_ids
+    from moodwatch.session import materialize
+    spark = new.sparkSession
+    rows = materialize(new.select("name", "words"))
+    n = rows.count()
+    if not n:
+        return 0, -1
+    written = any(name.startswith("part-") for name in changelog.names(spark, path) or ())
+    known = spark.read.parquet(path).agg(F.max("monitor_id")).first()[0] if written else None
+    first = (known or 0) + 1
+    tries = 0
+    while not _reserve(spark, f"{path}/_ids", first, first + n - 1):
+        tries += 1
+        if tries > TRIES:
+            raise RuntimeError(f"a reservation under {path}/_ids was never finished; delete it if its writer is gone")
+        time.sleep(0.05)
+        taken = [changelog.read_note(spark, f"{path}/_ids/{name}") for name in changelog.names(spark, f"{path}/_ids") or ()]
+        first = max([first, *(int(last) + 1 for last in taken if last)])
+    day = F.current_date() if created is None else F.lit(created).cast("date")
+    ids = dense_ids(rows, list(order), first, "monitor_id")
+    # side by side writers of one folder delete each other's temporary files: each writes a folder of
+    # its own, whose finished files are then moved
+    own = f"{path}/_new/{first:020d}"
+    append_monitors_table(ids.select("monitor_id", "name", "words", day.alias("created")), own)
+    changelog.move_files(spark, own, path)
+    return first, first + n - 1
+
+
+def _reserve(spark: SparkSession, folder: str, first: int, last: int) -> bool:
+    """Whether the ids from ``first`` to ``last`` are this writer's now."""
+    for name in changelog.names(spark, folder) or ():
+        held = changelog.read_note(spark, f"{folder}/{name}")
+        if not held or int(name) <= last and first <= int(held):
+            return False  # taken, or about to be
+    try:
+        changelog.write_note(spark, f"{folder}/{first:020d}", str(last))
+    except Exception as e:  # the file system's own exception, whichever it is
+        if "exist" not in str(e).lower():
+            raise
+        return False
+    return True
+
+
 def save_bucketed(df: DataFrame, key: str, buckets: int, path: str, name: str | None = None) -> DataFrame:
     """Write ``df`` as a table bucketed and sorted by ``key`` at ``path`` and
     return it read back.

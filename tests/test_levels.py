@@ -47,10 +47,10 @@ def test_rows_are_rewritten_a_logarithmic_number_of_times(spark, grown):
 def test_expire_deletes_what_no_manifest_names(spark, grown):
     sink, snap, _ = grown
     before = _rows(changelog.totals_view(spark, sink, KEYS, ["n"], snapshot=snap))
-    assert len(changelog._names(spark, f"{snap}/{changelog.RUNS}")) == 64
+    assert len(changelog.names(spark, f"{snap}/{changelog.RUNS}")) == 64
     changelog.expire(spark, sink, snap, keep=0)
     named = {r.path for n in changelog._manifests(spark, snap) for r in changelog._manifest(spark, snap, n)}
-    assert set(changelog._names(spark, f"{snap}/{changelog.RUNS}")) == {p.split("/")[1] for p in named}
+    assert set(changelog.names(spark, f"{snap}/{changelog.RUNS}")) == {p.split("/")[1] for p in named}
     assert changelog.batches(spark, sink) == []
     assert _rows(changelog.totals_view(spark, sink, KEYS, ["n"], snapshot=snap)) == before
 
