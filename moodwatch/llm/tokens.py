@@ -22,6 +22,10 @@ from moodwatch.llm.common import kept
 
 #: white space other than blank, tab, line feed and carriage return; final sigma; special tokens
 WHOLE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u3000\ufeff\u03a3]|<\\|")
+#: bytes without which WHOLE finds nothing: controls, the sign of special tokens, and the first bytes of the
+#: other characters in it
+HINT = np.zeros(256, bool)
+HINT[[0x0B, 0x0C, *range(0x1C, 0x20), ord("<"), 0xC2, 0xCE, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 #: kinds of bytes: a unit ends before a blank that stands behind anything else, and before a sign behind an
 #: ASCII letter; the apostrophe of ``don't`` is no sign
 BLANK, LETTER, SIGN = 1, 2, 4
@@ -33,11 +37,11 @@ ENDS = np.zeros(64, bool)
 ENDS[[8 * BLANK + 0, 8 * BLANK + LETTER, 8 * BLANK + SIGN, 8 * SIGN + LETTER]] = True
 #: entries a worker keeps (about 200 bytes each), in two generations: units not seen since the younger
 #: one began go when it is full.  Longer units aren't kept
-CACHE_ENTRIES, CACHE_BYTES = 400_000, 256
+CACHE_ENTRIES, CACHE_BYTES = 600_000, 256
 #: a special token of both vocabularies; no unit but a whole text holds it, and a text is cut there before anything else
 SEPARATOR = "<|endoftext|>"
 #: new units encoded as one text, and bytes of a column that are worked on at once (or one text)
-TOGETHER, CHUNK = 1024, 4 << 20
+TOGETHER, CHUNK = 1024, 8 << 20
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -80,13 +84,10 @@ class Encoder:
         if len(self.known) > CACHE_ENTRIES // 2:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        new: list[bytes] = []
-        for u in dict.fromkeys(units):
-            if u not in known:
-                if u in older:
-                    known[u] = older[u]
-                else:
-                    new.append(u)
+        missing = set(units).difference(known)
+        again = missing.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        new = list(missing - again)
         texts = [u.decode() for u in new]
         plain = [k for k, t in enumerate(texts) if not WHOLE.search(t)] if odd else list(range(len(texts)))
         known.update((new[k], c) for k, c in zip(plain, self._encode_units([texts[k] for k in plain]), strict=True))
@@ -123,9 +124,11 @@ class Encoder:
         """The ids of a column of texts, one after the other, and where each text's begin (and the
         last one's end).  A null is empty."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        odd = [k for k, t in enumerate(texts.to_pylist()) if WHOLE.search(t)]
         at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        hints = np.flatnonzero(HINT[data[at[0]:at[-1]]]) + at[0]
+        rows = np.unique(np.searchsorted(at, hints, "right") - 1).tolist()  # empty texts end where they begin
+        odd = [k for k in rows if WHOLE.search(texts[k].as_py())]
         out, starts, base, k = [], [np.zeros(1, np.int64)], 0, 0
         while k < len(texts):
             to = max(k + 1, int(np.searchsorted(at, at[k] + CHUNK, "right")) - 1)
