@@ -70,7 +70,7 @@ def test_nulls_and_extra_columns(spark, prose):
 
 def test_registered():
     names = queries.queries()
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
     assert set(queries.oracle_sql()) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "language_id" and len(corpus_pipeline.STAGES) == 5
 
