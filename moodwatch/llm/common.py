@@ -50,7 +50,8 @@ def release(keep: str = "") -> None:
 
 
 def arrow_pass(df: DataFrame, columns: list[str], schema: str | StructType,
-               make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], keep: str = "") -> DataFrame:
+               make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], keep: str = "",
+               rows: int = ROWS) -> DataFrame:
     """Run a batch function over ``columns``.  ``make`` is called once a task, on the
     executor, so that it can open models and caches there.  A worker outlives its tasks:
     what it has kept goes, but for ``keep``, before it does other work."""
@@ -59,8 +60,8 @@ def arrow_pass(df: DataFrame, columns: list[str], schema: str | StructType,
         release(keep)
         work = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):  # a batch in the worker's own form takes several times its size
-                out = work(batch.slice(at, ROWS))
+            for at in range(0, batch.num_rows, rows):  # a batch in the worker's own form takes several times its size
+                out = work(batch.slice(at, rows))
                 if out is not None and out.num_rows:
                     yield out
 

@@ -20,6 +20,8 @@ from moodwatch.llm.common import arrow_pass, partitions, slice_total
 from moodwatch.llm.tokens import encoder, tokenizer_path
 from moodwatch.session import fresh_dir
 
+#: rows of an Arrow batch: its text is worked on in chunks anyway
+WHOLE_BATCH = 10_000
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 ORC_OPTIONS = {
     "orc.stripe.size": str(16 << 20),
@@ -27,7 +29,7 @@ ORC_OPTIONS = {
     "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
-    "compression": "lz4",
+    "compression": "zstd",
 }
 
 
@@ -49,7 +51,7 @@ def encode(docs: DataFrame, path: str, end_id: int = END_ID, keep: tuple[str, ..
         return work
 
     return arrow_pass(docs, ["doc_id", "text", *keep],
-                      ", ".join(["doc_id long, ids array<int>, n_tokens long", *kept]), make, keep="tokens")
+                      ", ".join(["doc_id long, ids array<int>, n_tokens long", *kept]), make, keep="tokens", rows=WHOLE_BATCH)
 
 
 def write_tokens(docs: DataFrame, target: str, path: str | None = None, end_id: int = END_ID,
