@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -12,7 +13,10 @@ from moodwatch.functions.constants import (DEFAULT_SEARCH_TEMPLATE, KEYWORD_SEPA
                                            URL_KEYWORD_SLOT, URL_PAGE_SLOT)
 from moodwatch.functions.lines import jvm_split
 from moodwatch.functions.text import url_encode_path
-from moodwatch.session import materialize
+from moodwatch.session import materialize, parallelism
+
+#: (url, monitor) pairs that one task holds, about
+PAIRS_A_TASK = 500_000
 
 
 def keyword_explode(monitors: DataFrame, separators: str = KEYWORD_SEPARATOR) -> DataFrame:
@@ -32,9 +36,17 @@ def keyword_explode(monitors: DataFrame, separators: str = KEYWORD_SEPARATOR) ->
     return monitors.select("monitor_id", F.posexplode(parts).alias("keyword_pos", "keyword"))
 
 
+def pair_parts(keywords: DataFrame, pages: int = PAGES_PER_KEYWORD) -> int:
+    """Tasks that hold about ``PAIRS_A_TASK`` (url, monitor) pairs each.  One count of the keywords."""
+    return max(parallelism(keywords.sparkSession), math.ceil(keywords.count() * pages / PAIRS_A_TASK))
+
+
 def url_frontier(keywords: DataFrame, template: str = DEFAULT_SEARCH_TEMPLATE,
-                 pages: int = PAGES_PER_KEYWORD) -> DataFrame:
-    """E2+E3: each keyword, percent-encoded, fills ``$1``; pages 0..pages-1 fill ``$2``."""
+                 pages: int = PAGES_PER_KEYWORD, parts: int | None = None) -> DataFrame:
+    """E2+E3: each keyword, percent-encoded, fills ``$1``; pages 0..pages-1 fill ``$2``.
+    ``parts`` deals the keywords over so many tasks before each becomes ``pages`` rows."""
+    if parts is not None:
+        keywords = keywords.repartition(parts, *keywords.columns)
     enc = url_encode_path("keyword")
     filled = F.replace(F.lit(template), F.lit(URL_KEYWORD_SLOT), enc)
     return (keywords.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))))
@@ -42,16 +54,22 @@ def url_frontier(keywords: DataFrame, template: str = DEFAULT_SEARCH_TEMPLATE,
 
 
 def url_owner(frontier: DataFrame, owner: str = "last",
-              order: Sequence[str] = ("monitor_id", "keyword_pos")) -> DataFrame:
+              order: Sequence[str] = ("monitor_id", "keyword_pos"), parts: int | None = None) -> DataFrame:
     """The monitor a fetched URL is credited to.
 
     ``owner='last'`` reproduces the scheduler, where a later monitor sharing a
     keyword overwrites the URL's owner (order = monitor table order, then keyword
     position); ``'all'`` keeps every (url, monitor) pair.  ``max_by`` is a
     partial aggregate, so a URL shared by many monitors is reduced map-side.
+
+    Pairs hardly repeat, so ``'all'`` doesn't reduce them map-side: that would hold
+    every pair of a task in memory.  They are dealt over ``parts`` tasks first (see
+    :func:`pair_parts`), by default counted from the frontier.
     """
     if owner == "all":
-        return frontier.select("url", "monitor_id").distinct()
+        if parts is None:
+            parts = pair_parts(frontier, 1)
+        return frontier.select("url", "monitor_id").repartition(parts, "url", "monitor_id").distinct()
     if owner != "last":
         raise ValueError("owner must be 'last' or 'all'")
     order = list(order)

@@ -110,6 +110,19 @@ def test_monitor_table_roundtrip_and_get(spark):
     assert tables.get(tables.scan(spark, path), "monitor_id", 2).first().words == "z"
 
 
+def test_url_owner_all_deals_its_pairs_over_tasks(spark, monkeypatch):
+    """No task holds more than a bounded number of pairs, though all come from one task and are small."""
+    monkeypatch.setattr(monitors, "PAIRS_A_TASK", 100)
+    words = spark.createDataFrame([(i, f"k{i % 7},own{i}") for i in range(200)] * 2, "monitor_id long, words string").coalesce(1)
+    keywords = monitors.keyword_explode(words)
+    parts = monitors.pair_parts(keywords)
+    assert parts == 80
+    for frontier, given in ((monitors.url_frontier(keywords), None), (monitors.url_frontier(keywords, parts=parts), parts)):
+        pairs = monitors.url_owner(frontier, "all", parts=given).withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in pairs.groupBy("task").count().collect()]
+        assert sum(sizes) == 200 * 2 * 10 and max(sizes) < 200
+
+
 def test_url_tag_joins_frontier_owner(spark):
     from moodwatch.operators import records
     mons = spark.createDataFrame([(1, "k")], "monitor_id int, words string")
