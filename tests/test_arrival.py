@@ -110,3 +110,19 @@ def test_a_batch_scans_no_profile_log(spark):
 def test_too_many_hot_users(spark):
     with pytest.raises(ValueError):
         System(spark, hot=range(arrival.MAX_HOT + 1)).run()
+
+
+def test_the_operator_is_called_by_bucket_not_by_user(spark, monkeypatch):
+    """500 profiles and comments in 8 buckets: 8 keys in the state operator's input, all users known."""
+    monkeypatch.setattr(arrival, "BUCKETS", 8)
+    s = System(spark)
+    s.profiles(*[(u, "mf"[u % 2]) for u in range(0, 500, 2)], *[(u, "f") for u in range(1, 500, 2)])
+    s.run()
+    s.comments(*[(f"m{u % 3}", u) for u in range(600)])
+    q = s.run()
+    s.check()
+    assert "user_id" not in arrival.KEYS
+    lines = topics.read_topic(spark, s.com, stream=False)
+    comments = arrival.records.decode_comments(lines).select("user_id")
+    assert comments.select(arrival.bucket("user_id")).distinct().count() == 8
+    assert "bucket" in q._jsq.explainInternal(False)
