@@ -227,3 +227,16 @@ def test_late_rows_are_written_side_by_side(spark, sf_small, monkeypatch):
     got = streams.q_stream_late_rows(spark, sf_small)
     assert len(spark.read.parquet(folders["late-events"]).inputFiles()) == 6
     assert got.agg({"hour": "min"}).first()[0] >= table(spark, sf_small, "events").selectExpr("cast(date_trunc('HOUR', min(ts)) as timestamp_ntz)").first()[0]
+
+
+def test_comment_topic_moves_each_text_once(spark, sf_small):
+    """The topic is written in the parts of the join, and re-sent lines are those of the first segment."""
+    from moodwatch.plans import batch, streams
+    from moodwatch.sources import topics
+    lines = batch.comment_lines(spark, sf_small, parts=6)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert lines.rdd.getNumPartitions() == 6 and "RoundRobin" not in plan
+    want = sorted(r.value for r in batch.comment_lines(spark, sf_small).collect())
+    sent = topics.read_topic(spark, streams._comment_topic(spark, sf_small, copies=2), stream=False)
+    for segment in (0, 1):
+        assert sorted(r.value for r in sent.where(sent.segment == segment).collect()) == want
