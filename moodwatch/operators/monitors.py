@@ -53,6 +53,12 @@ def url_frontier(keywords: DataFrame, template: str = DEFAULT_SEARCH_TEMPLATE,
             .withColumn("url", F.replace(filled, F.lit(URL_PAGE_SLOT), F.col("page").cast("string"))))
 
 
+def last_keywords(keywords: DataFrame) -> DataFrame:
+    """(keyword, monitor_id): the last monitor of each keyword.  Every row of a keyword fills the same
+    URLs, so these rows have the owners of all (:func:`url_owner`), and the pages multiply them only."""
+    return keywords.groupBy("keyword").agg(F.max("monitor_id").alias("monitor_id"))
+
+
 def url_owner(frontier: DataFrame, owner: str = "last",
               order: Sequence[str] = ("monitor_id", "keyword_pos"), parts: int | None = None) -> DataFrame:
     """The monitor a fetched URL is credited to.

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from moodwatch.functions.constants import COMMENT_FIELDS, POST_FIELDS, USER_FIELDS
 from moodwatch.functions.lines import encode_fields
 from moodwatch.operators import records
+from moodwatch.session import materialize
 from moodwatch.sources import topics
 from moodwatch.streaming import jobs
 
@@ -55,9 +56,10 @@ def ingest_stream(search: DataFrame, comments: DataFrame, owners: DataFrame, del
 def ingest_app(search: DataFrame, comments: DataFrame, owners: DataFrame, base: str, checkpoint: str, delay: str = "1 hour",
                trigger: str = jobs.DEFAULT_TRIGGER, available_now: bool = False,
                state_partitions: int | None = None) -> StreamingQuery:
-    """Run :func:`ingest_stream` into the topics ``<base>/wz``, ``user`` and ``com``."""
+    """Run :func:`ingest_stream` into the topics ``<base>/wz``, ``user`` and ``com``.  ``owners`` are
+    computed once a start: a micro-batch would run their whole plan again."""
     spark = search.sparkSession
-    lines = ingest_stream(search, comments, owners, delay)
+    lines = ingest_stream(search, comments, materialize(owners), delay)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

@@ -89,3 +89,26 @@ def test_a_finished_batch_is_not_written_again(spark):
     topics.write_topic_batch(spark.createDataFrame([("b",)], "value string"), path, 3)
     topics.write_topic_batch(spark.createDataFrame([("c",)], "value string"), path, 4)
     assert sorted((r.value, r.segment) for r in topics.read_topic(spark, path, stream=False).collect()) == [("a", 3), ("c", 4)]
+
+
+def test_owners_are_computed_once_a_start(spark):
+    """A micro-batch reads the finished owners, not the tables that they are made of."""
+    table = fresh_dir(spark, "in-owned")
+    c = Crawl(spark)
+    c.owners.write.parquet(table)
+    c.owners = spark.read.parquet(table).groupBy("url").agg(F.max("monitor_id").alias("monitor_id"))
+    c.search(("u1", 1, 0))
+    c.answer((1, 100, 1))
+    plan = c.run()._jsq.explainInternal(False)
+    assert "TransformWithState" not in plan and "StreamingSymmetricHashJoin" in plan and "max(monitor_id" not in plan
+    assert [x.split("|")[:2] for x in c.lines("com")] == [["100", "10"]]
+
+
+def test_last_keywords_have_all_owners(spark):
+    from moodwatch.operators import monitors
+    words = spark.createDataFrame([(3, "a,b"), (1, "b,c,b"), (2, "a"), (None, "d,a"), (2, "a"), (9, None)], "monitor_id long, words string")
+    keywords = monitors.keyword_explode(words)
+    last = monitors.last_keywords(keywords)
+    assert last.count() == 4
+    got, want = (sorted(map(tuple, monitors.url_owner(monitors.url_frontier(k)).collect()), key=str) for k in (last, keywords))
+    assert got == want
