@@ -96,3 +96,13 @@ def test_large_dictionary_is_joined_not_collected(spark, monkeypatch):
     out = segmenter.segment_with_dictionary(df, rows, "id", "coarsest").collect()
     assert all(len(r.tokens) == 2 and r.tokens[1] == "北" for r in out) and len(out) == 2000
     assert not re.search("Python|Arrow|CartesianProduct", segmenter.segment_with_dictionary(df, rows, "id")._jdf.queryExecution().executedPlan().toString())
+
+
+def test_long_texts_have_no_look_up_by_place(spark):
+    """20,000 runs in one text: put in order once, not searched for each run."""
+    df = spark.createDataFrame([(1, "北京加 x 油 " * 5000), (2, ""), (3, "x\n y。z")], "i int, text string")
+    out = segmenter.segment_with_dictionary(df, spark.createDataFrame([("北京",), ("x\n",)], "w string"), "i", "coarsest")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_element_at" not in plan and "element_at" not in plan and "map_from_entries" not in plan
+    got = {r.i: r.tokens for r in out.collect()}
+    assert got == {1: ["北京", "加", "x", "油"] * 5000, 2: [], 3: ["x\n", "y", "z"]}
