@@ -65,3 +65,24 @@ def test_hashing_scores_equal_brute_force(spark, sf_small):
         pred, p0, p1 = got[r.doc_id]
         assert pred == float(np.argmax(raw))
         assert abs(p0 - p[0]) < 1e-9 and abs(p1 - p[1]) < 1e-9
+
+
+def test_frequent_terms_are_told_apart_once_a_fit(spark, monkeypatch):
+    """A score neither sorts nor anti-joins the terms, and the cut makes no difference."""
+    from moodwatch.operators import bayes
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 9 + 1)), float(i % 2)) for i in range(40)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, label double")
+
+    def scored():
+        fitted = bayes.fit(labelled)
+        s = bayes.score(fitted, labelled, "doc_id")
+        plan = s._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" not in plan and "Sort" not in plan and "Limit" not in plan
+        assert fitted.terms.where(fitted.frequent()).count() == min(bayes.FREQUENT, 9)
+        return {r.doc_id: (r.prediction, round(r.p0, 9)) for r in s.collect()}
+
+    every = scored()
+    monkeypatch.setattr(bayes, "FREQUENT", 3)
+    assert scored() == every
+    empty = bayes.fit(labelled.limit(0))
+    assert bayes.score(empty, labelled, "doc_id").count() == 40
