@@ -106,3 +106,10 @@ def test_long_texts_have_no_look_up_by_place(spark):
     assert "try_element_at" not in plan and "element_at" not in plan and "map_from_entries" not in plan
     got = {r.i: r.tokens for r in out.collect()}
     assert got == {1: ["北京", "加", "x", "油"] * 5000, 2: [], 3: ["x\n", "y", "z"]}
+
+
+def test_repeated_keys_are_refused(spark):
+    df = spark.createDataFrame([(1, "北京加"), (1, "北京加")], "i int, text string")
+    out = segmenter.segment_with_dictionary(df, spark.createDataFrame([("北京",)], "w string"), "i")
+    with pytest.raises(Exception, match="must be unique"):
+        out.collect()
