@@ -190,3 +190,63 @@ def test_trend_of_one_monitor_reads_the_newest_days_only(spark):
     assert len(series.x) == 50 and series.y1[-1] == 1
     (run,) = [r for r in changelog.runs(spark, snap) if r.last == 2]
     assert run.days[0] == "2024-05-01" and run.days[-1] == "2024-06-09"
+
+
+def test_totals_are_folded_where_they_are_laid_out(spark, monkeypatch):
+    """A clustered run of totals takes one shuffle, that of its layout."""
+    sink, snap, plans = fresh_dir(spark, "lo-sink"), fresh_dir(spark, "lo-snap"), []
+    real = changelog._write_run
+
+    def seen(df, *args):
+        plans.append(_plan(df))
+        return real(df, *args)
+
+    monkeypatch.setattr(changelog, "_write_run", seen)
+    for b in range(5):  # the fourth is merged with the runs before it
+        changelog.write_batch(_batch(spark, b).unionByName(spark.createDataFrame([(None, None, 1), (None, "w", None)], "monitor_id string, word string, n long")), sink, b)
+        changelog.compact_totals(spark, sink, KEYS, ["n"], snap, "monitor_id")
+    assert all(p.count("Exchange") == 1 and f"Exchange hashpartitioning({changelog.CLUSTER}" in p for p in plans), plans
+    got = {tuple(r) for r in changelog.totals_view(spark, sink, KEYS, ["n"], snapshot=snap).collect()}
+    assert got == {tuple(r) for r in changelog.totals_view(spark, sink, KEYS, ["n"]).collect()}
+    assert (None, None, 5) in got and (None, "w", None) in got
+    assert all(set(spark.read.parquet(f"{snap}/{r.path}").columns) == {*KEYS, "n", changelog.CLUSTER} for r in changelog.runs(spark, snap))
+
+
+@pytest.mark.parametrize("fold", ["totals", "latest"])
+def test_splits_of_a_run_grow_with_its_rows(spark, monkeypatch, fold):
+    """A cluster's rows, here all, are written by more tasks the more rows there are, from the first level on."""
+    monkeypatch.setattr(changelog, "SPLIT_ROWS", 500, raising=False)
+    for rows, least, most in ((400, 1, 1), (5000, 5, 10)):
+        sink, snap = fresh_dir(spark, "sg-sink"), fresh_dir(spark, "sg-snap")
+        changelog.write_batch(spark.range(rows).selectExpr("'m' AS monitor_id", "concat('w', id) AS word", "id AS n"), sink, 0)
+        if fold == "totals":
+            changelog.compact_totals(spark, sink, KEYS, ["n"], snap, "monitor_id")
+            view = changelog.totals_view(spark, sink, KEYS, ["n"], snapshot=snap)
+        else:
+            changelog.compact(spark, sink, KEYS, snapshot=snap, cluster_by="monitor_id")
+            view = changelog.latest_view(spark, sink, KEYS, snapshot=snap)
+        (run,) = changelog.runs(spark, snap)
+        assert least <= len(spark.read.parquet(f"{snap}/{run.path}").inputFiles()) <= most
+        assert _rows(view) == sorted(("m", f"w{i}", i) for i in range(rows))
+
+
+def test_topic_has_the_files_of_its_batches(spark, tmp_path):
+    """As many files as asked for, where the session has more shuffle partitions."""
+    from moodwatch.plans import streams
+    from moodwatch.sources import topics
+    d, path = str(tmp_path), fresh_dir(spark, "tf-topic")
+    ids = spark.range(300)
+    ids.selectExpr("id AS doc_id", "concat('text ', id) AS text", "'s' AS source").write.parquet(f"{d}/documents.parquet")
+    ids.selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id", "1.0D AS value").write.parquet(f"{d}/events.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        for segment in range(2):
+            streams._send_comments(spark, d, path, segment, 4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sent = topics.read_topic(spark, path, stream=False)
+    assert sent.count() == 600 and len(sent.inputFiles()) <= 8
+    sizes = {k: sorted(r.n for r in sent.where(F.col("segment") == k).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) for k in (0, 1)}
+    assert len(sizes[0]) == 4 and sizes[0] == sizes[1]  # re-sent in files of the same sizes
+    assert sent.select("segment", "value").distinct().count() == 600

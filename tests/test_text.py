@@ -78,3 +78,19 @@ def test_long_run_is_one_token(spark):
     """A run of a million letters neither overflows the matcher's stack nor is cut."""
     run = "a" * 1_000_000
     assert _tok(spark, f"x {run} 好{run}") == ["x", run, "好", run]
+
+
+def test_cheaper_classes_hold_the_same_characters(spark):
+    """Every character: what a run and what a Han character is, and full-width ones next to others."""
+    from moodwatch.functions import text as T
+    points = [p for p in range(1, 0x110000) if not 0xD800 <= p < 0xE000]
+    blocks = spark.createDataFrame([("".join(map(chr, points[i:i + 2048])),) for i in range(0, len(points), 2048)], "s string")
+
+    def found(pattern):
+        return F.regexp_extract_all("s", F.lit(f"({pattern})"), F.lit(1))
+
+    same = blocks.select((found(T._RUN_CHAR) == found(r"[\p{L}\p{N}&&[^\p{IsHan}]]")).alias("run"), (found(T._HAN) == found(r"\p{IsHan}")).alias("han"),
+                         (T.normalize("s", False) == F.translate("s", T._FULL_WIDTH, T._HALF_WIDTH)).alias("wide"), F.size(found(T._HAN)).alias("n"))
+    rows = same.collect()
+    assert all(r.run and r.han and r.wide for r in rows) and sum(r.n for r in rows) > 90_000
+    assert spark.createDataFrame([(None,)], "s string").select(T.normalize("s").alias("x")).first().x is None
