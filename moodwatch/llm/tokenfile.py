@@ -42,7 +42,7 @@ def encode(docs: DataFrame, path: str, end_id: int = END_ID, keep: tuple[str, ..
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             flat, at = tokens.column(batch.column(1))
-            ids = np.insert(flat.astype(np.int32), at[1:], end_id)
+            ids = np.insert(flat.view(np.int32), at[1:], end_id)
             at = at + np.arange(len(at))
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(at.astype(np.int32), ids), pa.array(np.diff(at)), *batch.columns[2:]],

@@ -40,6 +40,37 @@ def test_columns_in_chunks(monkeypatch):
     assert encoder.column(pa.array([], pa.string()))[1].tolist() == [0]
 
 
+def test_new_units_are_encoded_without_separators_and_once(monkeypatch):
+    encoder = tokens.Encoder(tokens.tokenizer_path(tokenfile.TOKENIZER), spaces=True)
+    asked = []
+    one_call = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda text: asked.append(text) or one_call(text))
+    rng = random.Random(6)
+    words = ["".join(rng.choices("aeoéßñrst", k=rng.randint(2, 12))) for _ in range(5000)]
+    text = "Start " + " ".join(words)
+    for _ in range(2):
+        ids = np.frombuffer(encoder.encode([text])[0], "<u4")
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    # the first word stands alone, the others are one text for each TOGETHER of them, and none is asked for again
+    assert sum(map(len, asked)) <= len(text) and len(asked) <= 2 + len(words) // tokens.TOGETHER
+    assert not any(tokens.SEPARATOR in a for a in asked)
+    # lengths that don't tell where units end: separators do
+    other = tokens.Encoder(tokens.tokenizer_path(tokenfile.TOKENIZER), spaces=True)
+    other.lengths = encoder.lengths + 1
+    assert other.encode([text]) == encoder.encode([text])
+
+
+def test_a_full_cache_lets_go_of_rare_units(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 100)
+    encoder = tokens.Encoder(tokens.tokenizer_path(tokenfile.TOKENIZER), spaces=True)
+    for k in range(20):
+        text = "the same words " + " ".join(f"w{k}x{n}" for n in range(30)) + " " + "long" * 100
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == encoder.tokenizer.encode(text).ids
+        assert len(encoder.known) <= 100 + 35 and len(encoder.flat) == encoder.sizes.sum()
+    kept = encoder.known.to_pylist()
+    assert {"the", " same", " words"} <= set(kept) and max(map(len, kept)) <= tokens.CACHE_BYTES
+
+
 def test_round_trip(spark, frame, prose):
     rows = [(7 * k % 200, prose(10 + k, k)) for k in range(200)] + [(900, None), (901, ""), (None, "no id"), (902, "word " * 30_000)]
     rows += [(1000 + k, t) for k, t in enumerate(ODD)]
