@@ -113,3 +113,62 @@ def test_repeated_keys_are_refused(spark):
     out = segmenter.segment_with_dictionary(df, spark.createDataFrame([("北京",)], "w string"), "i")
     with pytest.raises(Exception, match="must be unique"):
         out.collect()
+
+
+def _disk(spark):
+    """Bytes by file of the shuffles' folders and the shared folder."""
+    from pathlib import Path
+
+    from moodwatch.session import shared_dir
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = {files.apply(i).getPath(): files.apply(i).length() for i in range(files.size())}
+    root = Path(shared_dir(spark).removeprefix("file:"))
+    return found | {str(p): p.stat().st_size for p in root.rglob("*") if p.is_file()}
+
+
+def test_disk_holds_a_copy_of_the_texts_not_of_their_places(spark):
+    """300 texts of 300 different runs each: shuffles and kept tables hold less than the texts twice."""
+    rng = random.Random(3)
+    letters = "一丁七万丈三上下不与"
+    runs = sorted({"".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(2000)})
+    texts = [" ".join(rng.sample(runs, 300)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    words = spark.createDataFrame([(r,) for r in runs if len(r) < 4], "w string")
+    before = _disk(spark)
+    out = segmenter.segment_with_dictionary(df, words, "i", "coarsest").collect()
+    grown = sum(n - before.get(p, 0) for p, n in _disk(spark).items())
+    assert len(out) == 300 and grown < 2 * sum(len(t.encode()) for t in texts), grown
+    tokens = {r: brute(r, [w for w in runs if len(w) < 4], "coarsest") for r in texts[0].split()}
+    assert next(r.tokens for r in out if r.i == 0) == [t for r in texts[0].split() for t in tokens[r]]
+
+
+@pytest.mark.parametrize("mode", segmenter.MODES)
+def test_many_blocks_equal_one(spark, monkeypatch, mode):
+    """Texts and runs dealt over many blocks, lists of one item: the same tokens."""
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choices(HAN, k=rng.randint(2, 4))) for _ in range(40)})
+    texts = [" ".join("".join(rng.choices(HAN + "ab_", k=rng.randint(1, 12))) for _ in range(20)) for _ in range(60)] + [None, "", "北"]
+    one = run(spark, texts, words, mode)
+    monkeypatch.setattr(segmenter, "BLOCK_TEXT", 500)
+    monkeypatch.setattr(segmenter, "SHORT_LIST", 1)
+    assert run(spark, texts, words, mode) == one
+    assert all(one[i] == (None if t is None else brute(t, words, mode)) for i, t in enumerate(texts))
+
+
+def test_texts_are_shuffled_as_they_are(spark):
+    """A way of writing the texts is applied where they are read, and both readers share one shuffle."""
+    df = spark.createDataFrame([(1, "ABC abcd"), (2, None), (None, "ab")], "i int, text string")
+    out = segmenter.segment_with_dictionary(df, spark.createDataFrame([("北京",), ("京加",)], "w string"), "i", "coarsest",
+                                            written=lambda t: F.translate(F.lower(t), "abcd", "北京加油"))
+    assert {r.i: (r.text, r.tokens) for r in out.collect()} == {
+        1: ("ABC abcd", ["北京", "加", "北京", "加", "油"]), 2: (None, None), None: ("ab", ["北京"])}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search("ReusedExchange", plan)
+
+
+def test_null_keys_and_repeated_keys_without_runs(spark):
+    """Nothing is looked up for a null key; a repeated key is refused only for texts with runs to look up."""
+    rows = [(None, "北京加 x"), (None, "北京加 x"), (3, ""), (3, None), (3, "x y"), (4, "北京加")]
+    out = segmenter.segment_with_dictionary(spark.createDataFrame(rows, "i int, text string"), spark.createDataFrame([("北京",)], "w string"), "i")
+    got = sorted(((r.i or 0), r.text or "", r.tokens or []) for r in out.collect())
+    assert got == [(0, "北京加 x", ["北京加", "x"])] * 2 + [(3, "", []), (3, "", []), (3, "x y", ["x", "y"]), (4, "北京加", ["北京", "加"])]
