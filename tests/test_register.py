@@ -40,3 +40,18 @@ def test_a_range_in_the_making_is_not_taken(spark):
     changelog.write_note(spark, f"{path}/_ids/{5:020d}", "9")  # reserved, nothing written yet
     assert tables.register_monitors(_new(spark, "b", 2), path) == (10, 11)
     assert not tables._reserve(spark, f"{path}/_ids", 8, 8) and not tables._reserve(spark, f"{path}/_ids", 3, 6)
+
+
+def test_one_of_many_writers_writes_a_note(spark):
+    path = fresh_dir(spark, "rg-note")
+
+    def written(k):
+        try:
+            changelog.write_note(spark, f"{path}/{k // 8}", str(k))
+        except Exception as e:
+            assert "exist" in str(e).lower()
+            return 0
+        return 1
+
+    with ThreadPoolExecutor(8) as pool:
+        assert sum(pool.map(written, range(8 * 100))) == 100
